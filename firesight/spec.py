@@ -153,7 +153,8 @@ def reading_schema() -> T.StructType:
     fields += [
         T.StructField("Fire", T.IntegerType(), True),
         T.StructField("node_id", T.StringType(), False),
-        T.StructField("reading_index", T.IntegerType(), True),
+        # long, not int: an index past 2^31 must not overflow at scale
+        T.StructField("reading_index", T.LongType(), True),
         T.StructField("ingest_ts", T.StringType(), True),
     ]
     return T.StructType(fields)

@@ -33,6 +33,8 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
+        if os.environ.get("ORACLE_EXACT"):
+            return v + 0.0
         return float(f"{v:.10g}") + 0.0
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None)
