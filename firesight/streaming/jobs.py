@@ -158,13 +158,15 @@ def run_both(spark: SparkSession, source: str, root: str, max_files_per_trigger:
     return q1, q2
 
 
-def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def read_tables(spark: SparkSession, root: str, names=None) -> dict[str, DataFrame]:
     """Current state of the stream outputs (merge-on-read of the keyed tables)."""
-    return {
-        "processed_readings": T.read_upserted(spark, f"{root}/processed_readings", ["node_id", "reading_index"]),
-        "fire_events": T.read_upserted(spark, f"{root}/fire_events", ["node_id", "reading_index"]),
-        "node_latest": T.read_upserted(spark, f"{root}/node_latest", ["node_id"]),
-        "window_stats": T.read_upserted(spark, f"{root}/window_stats", ["node_id", "window_start"]),
-        "cumulative": cumulative_from_partials(
+    readers = {
+        "processed_readings": lambda: T.read_upserted(spark, f"{root}/processed_readings",
+                                                      ["node_id", "reading_index"]),
+        "fire_events": lambda: T.read_upserted(spark, f"{root}/fire_events", ["node_id", "reading_index"]),
+        "node_latest": lambda: T.read_upserted(spark, f"{root}/node_latest", ["node_id"]),
+        "window_stats": lambda: T.read_upserted(spark, f"{root}/window_stats", ["node_id", "window_start"]),
+        "cumulative": lambda: cumulative_from_partials(
             spark.read.parquet(f"{root}/cumulative_partials").drop(T.SEQ)),
     }
+    return {n: readers[n]() for n in (names or readers)}
