@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firesight.functions.columns import clean, fire_state_label, is_fire, q, threshold_flags
+from firesight.functions.columns import _compare, clean, fire_state_label, is_fire, q
 from firesight.spec import DEFAULT_SPEC, SensorSpec
 
 # Index values per chunk. A chunk holds at most this many readings of one
@@ -63,18 +63,29 @@ def _zscore(x: Column, n: Column, mean: Column, m2: Column, decimals: int) -> Co
             .otherwise(F.lit(0.0)))
 
 
-def _flags(spec: SensorSpec) -> tuple[Column, Column, Column]:
-    z_flags = F.filter(
-        F.array(*[F.when(F.abs(F.coalesce(F.col(f"zscore_{name}"), F.lit(0.0))) > F.lit(spec.z_threshold),
-                         F.lit(name)) for _, name, _ in spec.scored]),
-        lambda x: x.isNotNull())
-    flags = F.array_union(z_flags, threshold_flags(spec))
-    return flags, F.size(flags) > 0, F.concat_ws(", ", flags)
+def _flags(spec: SensorSpec) -> tuple[Column, Column]:
+    """(is_anomaly, anomaly_sensors): z-flags in sensor order, then threshold
+    flags not already present. Plain ``when`` terms joined by ``concat_ws``
+    (which skips nulls) keep this inside generated code - no arrays or lambdas."""
+    z_hit = {name: F.abs(F.coalesce(F.col(f"zscore_{name}"), F.lit(0.0))) > F.lit(spec.z_threshold)
+             for _, name, _ in spec.scored}
+    terms, conds = [], []
+    for _, name, _ in spec.scored:
+        terms.append(F.when(z_hit[name], F.lit(name)))
+        conds.append(z_hit[name])
+    for name, col, op, thr in spec.thresholds:
+        hit = F.coalesce(_compare(q(col), op, thr), F.lit(False))
+        terms.append(F.when(hit & ~z_hit.get(name, F.lit(False)), F.lit(name)))
+        conds.append(hit)
+    anomalous = conds[0]
+    for c in conds[1:]:
+        anomalous = anomalous | c
+    return anomalous, F.concat_ws(", ", *terms)
 
 
 def _finish(df: DataFrame, prev_fire: Column, spec: SensorSpec) -> DataFrame:
     """W2 + W3 from the z-scores and the previous non-null fire value."""
-    flags, anomalous, joined = _flags(spec)
+    anomalous, joined = _flags(spec)
     fire = F.col("Fire")
     return (df.withColumn("_prev_fire", prev_fire)
             .withColumns({
@@ -124,33 +135,35 @@ def _chunk_summaries(base: DataFrame, spec: SensorSpec) -> DataFrame:
 
 
 def _carry_in(chunks: DataFrame, spec: SensorSpec) -> DataFrame:
-    """Step 2: for each chunk, the merged summary of all earlier chunks of its node."""
+    """Step 2: for each chunk, the merged summary of all earlier chunks of its node.
+
+    Two window passes over the small chunk table: a per-node reference mean
+    (to shift the running sums and avoid cancellation), then exclusive running
+    sums of n, n*d, n*d^2 and M2 over the earlier chunks.
+    """
     node = Window.partitionBy("node_id")
     before = node.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    out = chunks
+    names = [name for _, name, _ in spec.scored]
+    out = chunks.withColumns({f"_ref_{n}": F.avg(f"_mean_{n}").over(node) for n in names})
+    sums = {"_cfire": F.last(F.col("_last_fire"), ignorenulls=True).over(before)}
+    for n in names:
+        cnt, m2 = F.col(f"_n_{n}"), F.coalesce(F.col(f"_m2_{n}"), F.lit(0.0))
+        d = F.coalesce(F.col(f"_mean_{n}") - F.col(f"_ref_{n}"), F.lit(0.0))
+        sums[f"_pn_{n}"] = F.coalesce(F.sum(cnt).over(before), F.lit(0))
+        sums[f"_pd_{n}"] = F.coalesce(F.sum(cnt * d).over(before), F.lit(0.0))
+        sums[f"_pdd_{n}"] = F.coalesce(F.sum(cnt * d * d).over(before), F.lit(0.0))
+        sums[f"_pm2_{n}"] = F.coalesce(F.sum(m2).over(before), F.lit(0.0))
+    out = out.withColumns(sums)
     cols = []
-    for _, name, _ in spec.scored:
-        n, mean, m2 = F.col(f"_n_{name}"), F.col(f"_mean_{name}"), F.col(f"_m2_{name}")
-        ref = F.avg(mean).over(node)  # per-node shift for the running sums
-        d = F.coalesce(mean - ref, F.lit(0.0))
-        out = out.withColumns({
-            f"_ref_{name}": ref,
-            f"_pn_{name}": F.coalesce(F.sum(n).over(before), F.lit(0)),
-            f"_pd_{name}": F.coalesce(F.sum(n * d).over(before), F.lit(0.0)),
-            f"_pdd_{name}": F.coalesce(F.sum(n * d * d).over(before), F.lit(0.0)),
-            f"_pm2_{name}": F.coalesce(F.sum(F.coalesce(m2, F.lit(0.0))).over(before), F.lit(0.0)),
-        })
-        pn, pd, pdd, pm2 = (F.col(f"_pn_{name}"), F.col(f"_pd_{name}"),
-                            F.col(f"_pdd_{name}"), F.col(f"_pm2_{name}"))
+    for n in names:
+        pn, pd, pdd, pm2 = (F.col(f"_pn_{n}"), F.col(f"_pd_{n}"), F.col(f"_pdd_{n}"), F.col(f"_pm2_{n}"))
         has = pn > 0
-        out = out.withColumns({
-            f"_cn_{name}": pn,
-            f"_cmean_{name}": F.when(has, F.col(f"_ref_{name}") + pd / pn).otherwise(F.lit(0.0)),
-            f"_cm2_{name}": F.when(has, F.greatest(pm2 + pdd - pd * pd / pn, F.lit(0.0)))
-                             .otherwise(F.lit(0.0)),
-        })
-        cols += [f"_cn_{name}", f"_cmean_{name}", f"_cm2_{name}"]
-    out = out.withColumn("_cfire", F.last(F.col("_last_fire"), ignorenulls=True).over(before))
+        cols += [
+            pn.alias(f"_cn_{n}"),
+            F.when(has, F.col(f"_ref_{n}") + pd / pn).otherwise(F.lit(0.0)).alias(f"_cmean_{n}"),
+            F.when(has, F.greatest(pm2 + pdd - pd * pd / pn, F.lit(0.0))).otherwise(F.lit(0.0))
+            .alias(f"_cm2_{n}"),
+        ]
     return out.select("node_id", CHUNK, *cols, "_cfire")
 
 
@@ -161,8 +174,9 @@ def score_prefix(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC,
     carry = _carry_in(_chunk_summaries(base, spec), spec)
 
     order = [F.col(ORD), F.col("ingest_ts")]
-    w = Window.partitionBy("node_id", CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    w_prev = Window.partitionBy("node_id", CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    part = Window.partitionBy("node_id", CHUNK).orderBy(*order)
+    w = part.rowsBetween(Window.unboundedPreceding, 0)
+    w_prev = part.rowsBetween(Window.unboundedPreceding, -1)
     local = {}
     for col, name, _ in spec.scored:
         x = q(col)
@@ -177,17 +191,25 @@ def score_prefix(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC,
     # the readings side keeps its (node, chunk) partitioning from the window.
     joined = windowed.join(carry, ["node_id", CHUNK], "left")
 
-    zs = {}
-    for col, name, _ in spec.scored:
+    # Merge in stages of plain columns, so no large expression is inlined
+    # several times into the next one (keeps the stage inside codegen).
+    merged = {}
+    for _, name, _ in spec.scored:
+        cn = F.coalesce(F.col(f"_cn_{name}"), F.lit(0))
+        merged[f"_n_{name}"] = cn + F.col(f"_ln_{name}")
+        merged[f"_d_{name}"] = F.col(f"_lmean_{name}") - F.coalesce(F.col(f"_cmean_{name}"), F.lit(0.0))
+    joined = joined.withColumns(merged)
+    stats = {}
+    for _, name, _ in spec.scored:
         cn = F.coalesce(F.col(f"_cn_{name}"), F.lit(0))
-        cmean = F.coalesce(F.col(f"_cmean_{name}"), F.lit(0.0))
-        cm2 = F.coalesce(F.col(f"_cm2_{name}"), F.lit(0.0))
-        ln, lmean, lm2 = F.col(f"_ln_{name}"), F.col(f"_lmean_{name}"), F.col(f"_lm2_{name}")
-        n = cn + ln
-        delta = lmean - cmean
-        mean = cmean + delta * ln / n
-        m2 = cm2 + lm2 + delta * delta * cn * ln / n
-        zs[f"zscore_{name}"] = _zscore(q(col), n, mean, m2, spec.z_decimals)
+        ln, n, d = F.col(f"_ln_{name}"), F.col(f"_n_{name}"), F.col(f"_d_{name}")
+        stats[f"_mean_{name}"] = F.coalesce(F.col(f"_cmean_{name}"), F.lit(0.0)) + d * ln / n
+        stats[f"_m2_{name}"] = (F.coalesce(F.col(f"_cm2_{name}"), F.lit(0.0)) + F.col(f"_lm2_{name}")
+                                + d * d * cn * ln / n)
+    joined = joined.withColumns(stats)
+    zs = {f"zscore_{name}": _zscore(q(col), F.col(f"_n_{name}"), F.col(f"_mean_{name}"),
+                                    F.col(f"_m2_{name}"), spec.z_decimals)
+          for col, name, _ in spec.scored}
     scored = joined.withColumns(zs)
     prev = F.coalesce(F.col("_lfire"), F.col("_cfire"))
     out = _finish(scored, prev, spec)

@@ -54,9 +54,14 @@ def topk_nodes(series: DataFrame, k: int = TOP_NODES, descending: bool = True) -
 
 
 # A13 --------------------------------------------------------------------------
-def anomaly_count(enriched: DataFrame, span: str = "15 minutes", every: str = "1 minute") -> DataFrame:
-    """Anomalous rows in the last ``span``: bucketed counts, then their sum."""
-    recent = in_range(enriched.filter(F.col("is_anomaly")), span, latest_time(enriched))
+def anomaly_count(enriched: DataFrame, span: str = "15 minutes", every: str = "1 minute",
+                  as_of: Column | None = None) -> DataFrame:
+    """Anomalous rows in the last ``span``: bucketed counts, then their sum.
+
+    ``as_of`` defaults to the newest row of ``enriched``; pass a cheaper
+    equivalent (e.g. the newest cleaned reading) to avoid a second pass."""
+    end = latest_time(enriched) if as_of is None else as_of
+    recent = in_range(enriched.filter(F.col("is_anomaly")), span, end)
     per_bucket = recent.groupBy(bucket(F.col("ingest_ts"), every).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     return per_bucket.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("anomaly_count"))
 
@@ -65,20 +70,20 @@ def anomaly_count(enriched: DataFrame, span: str = "15 minutes", every: str = "1
 def fire_activity(enriched: DataFrame, every: str = "1 hour") -> DataFrame:
     """Count of fire rows per (node, bucket), zero-filled over the table's time range.
 
-    The time spine comes from the data: for every node present, the bucket
-    sequence from the global first to the global last bucket (scalar
-    subqueries) is exploded; the counts are left-joined on (node, bucket).
-    Spine size = nodes x buckets of the range, independent of row count.
+    One aggregate over the readings gives the count of every occupied
+    (node, bucket). The range comes from it too: per-node first/last bucket
+    (one row per node), then the global first/last over that node table. For
+    every node the bucket sequence of the range is exploded and left-joined to
+    the counts. Spine size = nodes x buckets in the range, not rows.
     """
-    ts = F.col("ingest_ts")
-    first = enriched.select(F.min(bucket(ts, every))).scalar()
-    last = enriched.select(F.max(bucket(ts, every))).scalar()
-    spine = (enriched.groupBy("node_id").agg(F.count(F.lit(1)).alias("_n"))
-             .select("node_id", F.explode(F.sequence(first, last, F.expr(f"INTERVAL {every}")))
-                     .alias("bucket_start")))
-    counts = (enriched.filter(F.col("is_fire"))
-              .groupBy("node_id", bucket(ts, every).alias("bucket_start"))
-              .agg(F.count(F.lit(1)).alias("fire_count")))
+    from pyspark.sql import Window
+    counts = (enriched.groupBy("node_id", bucket(F.col("ingest_ts"), every).alias("bucket_start"))
+              .agg(F.count_if(F.col("is_fire")).alias("fire_count")))
+    all_nodes = Window.partitionBy()
+    nodes = (counts.groupBy("node_id").agg(F.min("bucket_start").alias("_a"), F.max("bucket_start").alias("_b"))
+             .select("node_id", F.min("_a").over(all_nodes).alias("_a"), F.max("_b").over(all_nodes).alias("_b")))
+    spine = nodes.select("node_id", F.explode(F.sequence("_a", "_b", F.expr(f"INTERVAL {every}")))
+                         .alias("bucket_start"))
     return (spine.join(counts, ["node_id", "bucket_start"], "left")
             .select("node_id", "bucket_start", F.coalesce("fire_count", F.lit(0)).alias("fire_count")))
 

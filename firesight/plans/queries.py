@@ -218,7 +218,9 @@ def q_topk_nodes(spark, sf):
 
 @register("anomaly_count")
 def q_anomaly_count(spark, sf):
-    return V.anomaly_count(_enriched(spark, sf))
+    clean = _clean(spark, sf)
+    # the enriched rows are exactly the cleaned rows: same newest time
+    return V.anomaly_count(enrich(_raw(spark, sf)), as_of=V.latest_time(clean))
 
 
 @register("fire_activity")

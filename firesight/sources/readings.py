@@ -22,12 +22,26 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (a small or unsplittable file), so the per-row work after it runs in
+    parallel. A large table already has enough splits and is left alone (no
+    shuffle). Filters and column pruning still reach the scan."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
+               spread: bool = True) -> DataFrame:
     """Scan a Parquet table; Catalyst prunes columns and pushes filters."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(path)
+    df = reader.parquet(path)
+    return spread_small_input(df) if spread else df
 
 
 def readings_from_events(events: DataFrame) -> DataFrame:
