@@ -112,6 +112,20 @@ def nan_to_null_all(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: nan_to_null(q(c)) for c in columns})
 
 
+EXACT_DECIMAL = "decimal(38,12)"
+
+
+def exact_avg(c: Column, decimals: int) -> Column:
+    """Average rounded half-up to ``decimals``, summed in decimal arithmetic.
+
+    A double sum depends on the order rows are added (that is, on the
+    partitioning), which can move an average that is exactly on a rounding
+    tie to either side. The decimal sum is exact, so the rounded result is the
+    same however the rows are split. NaN/inf are ignored like nulls.
+    """
+    return F.round(F.avg(c.try_cast(EXACT_DECIMAL)), decimals).cast("double")
+
+
 # P13 / P14 --------------------------------------------------------------------
 def band(c: Column, steps: Sequence[float]) -> Column:
     """Index of the highest step the value reaches (0 = below the first)."""

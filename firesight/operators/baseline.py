@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firesight.functions.columns import event_time, q
+from firesight.functions.columns import event_time, exact_avg, q
 from firesight.spec import DEFAULT_SPEC, SensorSpec
 
 STAT_DECIMALS = 4
@@ -19,14 +19,13 @@ def with_event_time(df: DataFrame, col: str = "ingest_ts") -> DataFrame:
 def _summary_aggs(spec: SensorSpec) -> list:
     aggs = [
         F.count(F.lit(1)).alias("total_readings"),
-        F.count_distinct(F.col("reading_index")).alias("distinct_reading_index"),
         F.min("_ts").alias("first_ingest_ts"),
         F.max("_ts").alias("last_ingest_ts"),
     ]
     for col, _, suf in spec.scored:
         x = q(col)
         aggs += [
-            F.round(F.avg(x), STAT_DECIMALS).alias(f"avg_{suf}"),
+            exact_avg(x, STAT_DECIMALS).alias(f"avg_{suf}"),
             F.round(F.min(x), STAT_DECIMALS).alias(f"min_{suf}"),
             F.round(F.max(x), STAT_DECIMALS).alias(f"max_{suf}"),
         ]
@@ -43,9 +42,25 @@ def _percentile_aggs(spec: SensorSpec) -> list:
     return aggs
 
 
+def distinct_index_counts(raw: DataFrame) -> DataFrame:
+    """Distinct reading indexes per node, as its own aggregate.
+
+    Kept apart on purpose: a distinct aggregate makes Spark pre-aggregate
+    every other function per (node, index), which would build one percentile
+    sketch per reading. Alone it shuffles two narrow columns.
+    """
+    return raw.groupBy("node_id").agg(F.count_distinct(F.col("reading_index")).alias("distinct_reading_index"))
+
+
+def _with_distinct(per_node: DataFrame, raw: DataFrame) -> DataFrame:
+    out = per_node.join(distinct_index_counts(raw), "node_id", "left")
+    cols = per_node.columns
+    return out.select(cols[0], cols[1], "distinct_reading_index", *cols[2:])
+
+
 def baseline_summary(raw: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
     """A3: counts, first/last time and avg/min/max per sensor, per node."""
-    return with_event_time(raw).groupBy("node_id").agg(*_summary_aggs(spec))
+    return _with_distinct(with_event_time(raw).groupBy("node_id").agg(*_summary_aggs(spec)), raw)
 
 
 def baseline_percentiles(raw: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
@@ -54,8 +69,9 @@ def baseline_percentiles(raw: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> Dat
 
 
 def baseline(raw: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
-    """A3 + A4 in one aggregate (one scan, one shuffle of partial states)."""
-    return with_event_time(raw).groupBy("node_id").agg(*_summary_aggs(spec), *_percentile_aggs(spec))
+    """A3 + A4: one aggregate (one shuffle of partial states) plus the distinct count."""
+    per_node = with_event_time(raw).groupBy("node_id").agg(*_summary_aggs(spec), *_percentile_aggs(spec))
+    return _with_distinct(per_node, raw)
 
 
 def hourly_trend(raw: DataFrame) -> DataFrame:
@@ -64,7 +80,7 @@ def hourly_trend(raw: DataFrame) -> DataFrame:
             .withColumn("hour", F.hour("_ts"))
             .filter(F.col("hour").isNotNull())
             .groupBy("node_id", "hour")
-            .agg(F.round(F.avg(q("Temperature (C)")), STAT_DECIMALS).alias("avg_temp")))
+            .agg(exact_avg(q("Temperature (C)"), STAT_DECIMALS).alias("avg_temp")))
 
 
 def hourly_trend_nested(raw: DataFrame) -> DataFrame:
@@ -77,30 +93,57 @@ def hourly_trend_nested(raw: DataFrame) -> DataFrame:
             .agg(F.sort_array(F.collect_list(F.struct("hour", "avg_temp"))).alias("trend_hourly")))
 
 
-def baseline_report(raw: DataFrame, enriched: DataFrame, spec: SensorSpec = DEFAULT_SPEC,
+def _quality_aggs(spec: SensorSpec) -> tuple[list, list]:
+    """Confusion-matrix counts over cleaned, labelled rows, as masked counts
+    inside the per-node aggregate; returns (aggregates, output columns)."""
+    from firesight.functions.columns import fire_rule, outlier_condition
+    from firesight.operators.quality import metric_columns
+    labelled = outlier_condition(spec) & F.col("Fire").isNotNull()
+    actual, pred = F.col("Fire") >= 1, fire_rule(spec)
+    aggs = [F.count_if(labelled).alias("_labelled"),
+            F.count_if(labelled & actual & pred).alias("tp"),
+            F.count_if(labelled & ~actual & pred).alias("fp"),
+            F.count_if(labelled & ~actual & ~pred).alias("tn"),
+            F.count_if(labelled & actual & ~pred).alias("fn")]
+    # a node without labelled rows gets null metrics (left join semantics)
+    has = F.col("_labelled") > 0
+    cols = [F.when(has, col).alias(f"val_{name}") for name, col in metric_columns()]
+    return aggs, cols
+
+
+def _pair_aggs(spec: SensorSpec) -> list:
+    """The key correlation pairs per node, listwise deletion as input masks."""
+    from firesight.operators.correlate import complete_condition, pearson
+    ok = complete_condition(spec.corr_sensors)
+    return [pearson(F.when(ok, q(a)), F.when(ok, q(b))).alias(label) for label, a, b in spec.corr_pairs]
+
+
+def baseline_report(raw: DataFrame, enriched: DataFrame | None = None, spec: SensorSpec = DEFAULT_SPEC,
                     nested: bool = True, generated_at=None) -> DataFrame:
     """One row per node: baseline, hourly trend, detection quality and
-    the key correlation pairs, all joined on node_id without a driver collect.
-
-    ``raw`` is the unfiltered history, ``enriched`` the filtered one (the
-    validation reads the filtered table, the rest the raw table).
+    the key correlation pairs.
+
+    One per-node aggregate computes the baseline, the percentiles, the
+    detection counts (masked to cleaned, labelled rows) and the correlation
+    pairs (masked to complete rows); the distinct-index count and the
+    (node, hour) trend are two narrow aggregates; all are joined on node_id.
+    Nothing is collected.
+    ``enriched`` is accepted for the signature of the reference's two inputs;
+    the cleaned rows are selected by the outlier mask instead.
     """
-    from firesight.operators.correlate import correlation_pairs
-    from firesight.operators.quality import detection_quality
-
-    base = baseline(raw, spec)
+    q_aggs, q_cols = _quality_aggs(spec)
+    per_node = (with_event_time(raw).groupBy("node_id")
+                .agg(*_summary_aggs(spec), *_percentile_aggs(spec), *q_aggs, *_pair_aggs(spec)))
+    base_cols = [c for c in per_node.columns if c not in ("_labelled", "tp", "fp", "tn", "fn")
+                 and not c.startswith("corr_")]
+    report = _with_distinct(per_node.select(*base_cols, *q_cols, *[label for label, _, _ in spec.corr_pairs]),
+                            raw)
     if nested:
         trend = hourly_trend_nested(raw)
-        report = base.join(trend, "node_id", "left").withColumn(
+        report = report.join(trend, "node_id", "left").withColumn(
             "trend_hourly",
             F.coalesce(F.col("trend_hourly"),
                        F.array().cast("array<struct<hour:int,avg_temp:double>>")))
-    else:
-        report = base
-    quality = detection_quality(enriched, spec)
-    quality = quality.select("node_id", *[F.col(c).alias(f"val_{c}") for c in quality.columns if c != "node_id"])
-    pairs = correlation_pairs(raw, spec).filter(F.col("scope") != "global").withColumnRenamed("scope", "node_id")
-    report = report.join(quality, "node_id", "left").join(pairs, "node_id", "left")
     if generated_at is not None:
         report = report.withColumn("report_generated_at", F.lit(generated_at))
     return report

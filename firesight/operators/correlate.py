@@ -34,16 +34,21 @@ def pair_column(a: str, b: str) -> str:
     return f"corr_{SHORT[a]}_{SHORT[b]}"
 
 
-def complete_rows(df: DataFrame, sensors) -> DataFrame:
-    """Listwise deletion: keep rows where every sensor is a number."""
+def complete_condition(sensors) -> Column:
+    """True when every sensor of the row is a number (listwise deletion)."""
     cond = None
     for s in sensors:
         c = q(s).isNotNull() & ~F.isnan(q(s))
         cond = c if cond is None else (cond & c)
-    return df.filter(cond)
+    return cond
+
+
+def complete_rows(df: DataFrame, sensors) -> DataFrame:
+    """Listwise deletion: keep rows where every sensor is a number."""
+    return df.filter(complete_condition(sensors))
 
 
-def _pearson(a: Column, b: Column) -> Column:
+def pearson(a: Column, b: Column) -> Column:
     """Null when either side has no spread (ANSI-safe, no divide-by-zero)."""
     return F.round(F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)), CORR_DECIMALS)
 
@@ -54,7 +59,7 @@ def correlation_wide(raw: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFra
     sensors = list(spec.corr_sensors)
     rows = complete_rows(raw.select("node_id", *[q(s) for s in sensors]), sensors)
     aggs = [F.count(F.lit(1)).alias("n_rows")]
-    aggs += [_pearson(q(a), q(b)).alias(pair_column(a, b)) for a, b in combinations(sensors, 2)]
+    aggs += [pearson(q(a), q(b)).alias(pair_column(a, b)) for a, b in combinations(sensors, 2)]
     grouped = rows.groupingSets([["node_id"], []], "node_id").agg(F.grouping_id().alias("_gid"), *aggs)
     return (grouped
             .withColumn("scope", F.when(F.col("_gid") == 1, F.lit(GLOBAL)).otherwise(F.col("node_id")))

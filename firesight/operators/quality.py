@@ -30,15 +30,18 @@ def detection_quality(readings: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> D
                    F.count_if(~actual & pred).alias("fp"),
                    F.count_if(~actual & ~pred).alias("tn"),
                    F.count_if(actual & ~pred).alias("fn")))
+    return counts.select("node_id", *[col.alias(name) for name, col in metric_columns()])
+
+
+def metric_columns() -> list[tuple[str, Column]]:
+    """(name, column) of the counts and the ratios, from columns tp/fp/tn/fn."""
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
     precision = _ratio(tp, tp + fp)
     recall = _ratio(tp, tp + fn)
     f1 = _ratio(F.lit(2.0) * precision * recall, precision + recall)
     accuracy = _ratio(tp + tn, tp + fp + tn + fn)
-    return counts.select(
-        "node_id", "tp", "fp", "tn", "fn",
-        F.round(precision, METRIC_DECIMALS).alias("precision"),
-        F.round(recall, METRIC_DECIMALS).alias("recall"),
-        F.round(f1, METRIC_DECIMALS).alias("f1"),
-        F.round(accuracy, METRIC_DECIMALS).alias("accuracy"),
-    )
+    return [("tp", tp), ("fp", fp), ("tn", tn), ("fn", fn),
+            ("precision", F.round(precision, METRIC_DECIMALS)),
+            ("recall", F.round(recall, METRIC_DECIMALS)),
+            ("f1", F.round(f1, METRIC_DECIMALS)),
+            ("accuracy", F.round(accuracy, METRIC_DECIMALS))]

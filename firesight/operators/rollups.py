@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firesight.functions.columns import q
+from firesight.functions.columns import exact_avg, q
 from firesight.spec import DEFAULT_SPEC, SensorSpec
 
 # (raw column, suffix, decimals of avg/min/max, decimals of sum)
@@ -35,7 +35,7 @@ def node_batch_stats(df: DataFrame, batch_col: str = "batch_id") -> DataFrame:
     for col, suf, d, ds in ROLLUP_SENSORS:
         x = q(col)
         aggs += [
-            F.round(F.avg(x), d).alias(f"batch_avg_{suf}"),
+            exact_avg(x, d).alias(f"batch_avg_{suf}"),
             F.round(F.min(x), d).alias(f"batch_min_{suf}"),
             F.round(F.max(x), d).alias(f"batch_max_{suf}"),
             F.round(F.sum(x), ds).alias(f"batch_sum_{suf}"),
@@ -65,7 +65,7 @@ def cumulative_stats(df: DataFrame, batch_col: str = "batch_id") -> DataFrame:
     # Averages of each node's latest batch: a (node, batch) aggregate, then
     # pick the row of the node's last batch with a join on (node, batch).
     last = (df.groupBy("node_id", batch_col)
-            .agg(*[F.round(F.avg(q(col)), d).alias(f"last_batch_avg_{suf}")
+            .agg(*[exact_avg(q(col), d).alias(f"last_batch_avg_{suf}")
                    for col, suf, d, _ in ROLLUP_SENSORS])
             .withColumnRenamed(batch_col, "_last_batch"))
     return tot.join(last, ["node_id", "_last_batch"], "left").drop("_last_batch")

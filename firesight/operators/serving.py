@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firesight.functions.columns import band, fire_card, q
+from firesight.functions.columns import band, exact_avg, fire_card, q
 from firesight.spec import HISTOGRAM_BUCKET, LATEST_ANOMALIES, SEVERITY_STEPS, TOP_NODES
 
 
@@ -92,12 +92,10 @@ def fire_activity(enriched: DataFrame, every: str = "1 hour") -> DataFrame:
 def window_reagg(windows: DataFrame, every: str = "1 hour") -> DataFrame:
     """Re-aggregate the window table: avg of the window averages per (node, bucket).
 
-    The window averages carry 2 decimals; they are summed as decimals so the
-    mean is exact before it is rounded (no tie flips from summation order).
+    The mean is exact before it is rounded (no tie flips from summation order).
     """
-    x = F.col("avg_temp").cast("decimal(18,2)")
     return (windows.groupBy("node_id", bucket(F.col("window_start"), every).alias("bucket_start"))
-            .agg(F.round((F.sum(x) / F.count(x)).cast("double"), 4).alias("avg_avg_temp")))
+            .agg(exact_avg(F.col("avg_temp"), 4).alias("avg_avg_temp")))
 
 
 # L1 ---------------------------------------------------------------------------

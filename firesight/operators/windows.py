@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firesight.functions.columns import event_time, q
+from firesight.functions.columns import event_time, exact_avg, q
 from firesight.spec import WINDOW_DURATION
 
 WINDOW_COLUMNS = ("window_start", "window_end", "node_id", "avg_temp", "max_temp", "avg_co", "max_co",
@@ -14,13 +14,13 @@ WINDOW_COLUMNS = ("window_start", "window_end", "node_id", "avg_temp", "max_temp
 
 def window_aggs() -> list:
     return [
-        F.round(F.avg(q("Temperature (C)")), 2).alias("avg_temp"),
+        exact_avg(q("Temperature (C)"), 2).alias("avg_temp"),
         F.round(F.max(q("Temperature (C)")), 2).alias("max_temp"),
-        F.round(F.avg(q("CO")), 2).alias("avg_co"),
+        exact_avg(q("CO"), 2).alias("avg_co"),
         F.round(F.max(q("CO")), 2).alias("max_co"),
-        F.round(F.avg(q("Smoke (ppm)")), 4).alias("avg_smoke"),
+        exact_avg(q("Smoke (ppm)"), 4).alias("avg_smoke"),
         F.round(F.max(q("Smoke (ppm)")), 4).alias("max_smoke"),
-        F.round(F.avg(q("Gas (Ohm)")), 2).alias("avg_gas"),
+        exact_avg(q("Gas (Ohm)"), 2).alias("avg_gas"),
         F.round(F.min(q("Gas (Ohm)")), 2).alias("min_gas"),
         F.count(F.lit(1)).alias("reading_count"),
     ]

@@ -21,6 +21,15 @@ def R(expr: str, n: int) -> str:
     return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,20)), {n}) AS DOUBLE)"
 
 
+def RA(col: str, n: int) -> str:
+    """Exact average of ``col`` rounded half-up (away from zero) to n decimals:
+    decimal sum scaled to an integer, rounded by integer division."""
+    s_ = f"CAST(sum(CAST({col} AS DECIMAL(38,12))) * 1000000000000 AS HUGEINT)"
+    d_ = f"(CAST(count({col}) AS HUGEINT) * 1000000000000)"
+    q_ = f"((2 * abs({s_}) * {10 ** n} + {d_}) // (2 * {d_}))"
+    return f"CASE WHEN count({col}) = 0 THEN NULL ELSE CAST(sign({s_}) * {q_} AS DOUBLE) / {10 ** n}.0e0 END"
+
+
 def Q(name: str) -> str:
     return '"' + name + '"'
 
@@ -127,7 +136,7 @@ def _summary_cols() -> str:
     cols = ["count(*) AS total_readings", "count(DISTINCT reading_index) AS distinct_reading_index",
             "min(ingest_ts) AS first_ingest_ts", "max(ingest_ts) AS last_ingest_ts"]
     for col, suf in SUFFIX.items():
-        cols += [f"{R(f'avg({Q(col)})', 4)} AS avg_{suf}", f"{R(f'min({Q(col)})', 4)} AS min_{suf}",
+        cols += [f"{RA(Q(col), 4)} AS avg_{suf}", f"{R(f'min({Q(col)})', 4)} AS min_{suf}",
                  f"{R(f'max({Q(col)})', 4)} AS max_{suf}"]
     return ", ".join(cols)
 
@@ -243,16 +252,16 @@ BATCHED = "time_bucket(INTERVAL '1 hour', ingest_ts) AS batch_id"
 def _batch_stats_cols() -> str:
     cols = ["count(*) AS batch_count"]
     for c, s, d, ds in ROLL:
-        cols += [f"{R(f'avg({Q(c)})', d)} AS batch_avg_{s}", f"{R(f'min({Q(c)})', d)} AS batch_min_{s}",
+        cols += [f"{RA(Q(c), d)} AS batch_avg_{s}", f"{R(f'min({Q(c)})', d)} AS batch_min_{s}",
                  f"{R(f'max({Q(c)})', d)} AS batch_max_{s}", f"{R(f'sum({Q(c)})', ds)} AS batch_sum_{s}"]
     return ", ".join(cols)
 
 
 def _window_cols() -> str:
-    return (f"{R('avg(\"Temperature (C)\")', 2)} AS avg_temp, {R('max(\"Temperature (C)\")', 2)} AS max_temp, "
-            f"{R('avg(\"CO\")', 2)} AS avg_co, {R('max(\"CO\")', 2)} AS max_co, "
-            f"{R('avg(\"Smoke (ppm)\")', 4)} AS avg_smoke, {R('max(\"Smoke (ppm)\")', 4)} AS max_smoke, "
-            f"{R('avg(\"Gas (Ohm)\")', 2)} AS avg_gas, {R('min(\"Gas (Ohm)\")', 2)} AS min_gas, "
+    return (f"{RA(Q('Temperature (C)'), 2)} AS avg_temp, {R('max(\"Temperature (C)\")', 2)} AS max_temp, "
+            f"{RA(Q('CO'), 2)} AS avg_co, {R('max(\"CO\")', 2)} AS max_co, "
+            f"{RA(Q('Smoke (ppm)'), 4)} AS avg_smoke, {R('max(\"Smoke (ppm)\")', 4)} AS max_smoke, "
+            f"{RA(Q('Gas (Ohm)'), 2)} AS avg_gas, {R('min(\"Gas (Ohm)\")', 2)} AS min_gas, "
             "count(*) AS reading_count")
 
 
@@ -274,7 +283,7 @@ ORACLES: dict[str, str] = {}
 ORACLES["baseline_summary"] = f"{BASE} SELECT node_id, {_summary_cols()} FROM readings GROUP BY node_id"
 ORACLES["baseline_percentiles"] = f"{BASE} SELECT node_id, {_pct_cols()} FROM readings GROUP BY node_id"
 ORACLES["hourly_trend"] = (f"{BASE} SELECT node_id, CAST(hour(ingest_ts) AS INTEGER) AS hour, "
-                           f"{R('avg(\"Temperature (C)\")', 4)} AS avg_temp FROM readings "
+                           f"{RA(Q('Temperature (C)'), 4)} AS avg_temp FROM readings "
                            "WHERE hour(ingest_ts) IS NOT NULL GROUP BY 1, 2")
 ORACLES["detection_quality"] = f"{with_(READINGS, CLEAN, QUALITY_CTE)} SELECT * FROM quality"
 
@@ -315,7 +324,7 @@ tot AS (SELECT node_id, count(*) AS total_processed, {", ".join(
     f"{R(f'sum({Q(c)})', ds)} AS running_sum_{s}, {R(f'min({Q(c)})', d)} AS running_min_{s}, "
     f"{R(f'max({Q(c)})', d)} AS running_max_{s}" for c, s, d, ds in ROLL)},
   max(batch_id) AS last_batch, max(ingest_ts) AS last_update FROM b GROUP BY node_id),
-lb AS (SELECT node_id, batch_id, {", ".join(f"{R(f'avg({Q(c)})', d)} AS last_batch_avg_{s}" for c, s, d, _ in ROLL)}
+lb AS (SELECT node_id, batch_id, {", ".join(f"{RA(Q(c), d)} AS last_batch_avg_{s}" for c, s, d, _ in ROLL)}
   FROM b GROUP BY node_id, batch_id)
 SELECT tot.* EXCLUDE (last_batch), {", ".join(f"lb.last_batch_avg_{s}" for _, s, _, _ in ROLL)}
 FROM tot LEFT JOIN lb ON tot.node_id = lb.node_id AND tot.last_batch = lb.batch_id"""
@@ -340,7 +349,7 @@ ORACLES["window_stats"] = f"{BASE} {_window_sql('1 minute')}"
 ORACLES["window_stats_hourly"] = f"{BASE} {_window_sql('1 hour')}"
 ORACLES["window_reagg"] = f"""{BASE}, win AS ({_window_sql('1 minute')})
 SELECT node_id, time_bucket(INTERVAL '1 hour', window_start) AS bucket_start,
-  {R('sum(CAST(avg_temp AS DECIMAL(18,2))) / count(avg_temp)', 4)} AS avg_avg_temp FROM win GROUP BY 1, 2"""
+  {RA('avg_temp', 4)} AS avg_avg_temp FROM win GROUP BY 1, 2"""
 HIST = ("SELECT node_id, time_bucket(INTERVAL '10 seconds', ingest_ts) AS bucket_start, "
         "avg(\"Temperature (C)\") AS avg_temp, avg(\"CO\") AS avg_co, avg(\"Smoke (ppm)\") AS avg_smoke, "
         "avg(\"Gas (Ohm)\") AS avg_gas FROM enriched GROUP BY 1, 2")
