@@ -61,19 +61,29 @@ def node_state(clean_readings: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> Da
     return order_key(clean_readings).groupBy("node_id").agg(*aggs)
 
 
-def node_status(enriched: DataFrame, coords: DataFrame) -> DataFrame:
-    """One live row per node: latest reading and its flags and z-scores,
-    running min/max and totals over the whole history, coordinates and map
-    status. ``coords`` is the fixed node dimension (broadcast: it has one row
-    per configured node)."""
-    latest = latest_reading(enriched)
+STATUS_COLUMNS = (
+    "node_id", "last_ingest_ts", "temperature_c", "humidity_pct", "pressure_hpa", "gas_ohm",
+    "co", "smoke_ppm", "fire", "is_fire", "fire_state_label", "is_anomaly_current",
+    "anomaly_sensors", "zscore_Temperature", "zscore_CO", "zscore_Smoke", "zscore_Gas",
+    "running_min_temp", "running_max_temp", "running_min_co", "running_max_co",
+    "running_min_smoke", "running_max_smoke", "running_min_gas", "running_max_gas",
+    "total_processed", "last_update_ts", "lat", "lon", "map_status",
+)
+
+
+def _running_totals() -> list:
     totals = [F.count(F.lit(1)).alias("total_processed")]
     for col, suf, d, _ in ROLLUP_SENSORS:
         totals += [F.round(F.min(q(col)), d).alias(f"running_min_{suf}"),
                    F.round(F.max(q(col)), d).alias(f"running_max_{suf}")]
-    cum = enriched.groupBy("node_id").agg(*totals)
+    return totals
+
+
+def _status_row(latest: DataFrame, coords: DataFrame) -> DataFrame:
+    """Status columns from a frame holding each node's latest reading (raw
+    names), its z-scores, flags and the running totals."""
     fire = F.col("Fire")
-    status = latest.select(
+    out = latest.select(
         "node_id",
         F.col("ingest_ts").alias("last_ingest_ts"),
         q("Temperature (C)").alias("temperature_c"),
@@ -88,20 +98,50 @@ def node_status(enriched: DataFrame, coords: DataFrame) -> DataFrame:
         F.col("is_anomaly").alias("is_anomaly_current"),
         "anomaly_sensors",
         "zscore_Temperature", "zscore_CO", "zscore_Smoke", "zscore_Gas",
+        *[c for c in latest.columns if c.startswith("running_") or c == "total_processed"],
+        F.col("ingest_ts").alias("last_update_ts"),
         map_status(fire, F.col("is_anomaly")).alias("map_status"),
     )
-    out = (status.join(cum, "node_id", "left")
-           .join(F.broadcast(coords), "node_id", "left")
-           .withColumn("last_update_ts", F.col("last_ingest_ts")))
-    return out.select(
-        "node_id", "last_ingest_ts", "temperature_c", "humidity_pct", "pressure_hpa", "gas_ohm",
-        "co", "smoke_ppm", "fire", "is_fire", "fire_state_label", "is_anomaly_current",
-        "anomaly_sensors", "zscore_Temperature", "zscore_CO", "zscore_Smoke", "zscore_Gas",
-        "running_min_temp", "running_max_temp", "running_min_co", "running_max_co",
-        "running_min_smoke", "running_max_smoke", "running_min_gas", "running_max_gas",
-        "total_processed", "last_update_ts", "lat", "lon", "map_status",
-    )
+    return out.join(F.broadcast(coords), "node_id", "left").select(*STATUS_COLUMNS)
+
+
+def node_status(history: DataFrame, coords: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
+    """One live row per node from the cleaned readings, in one pass of
+    partial aggregates (no sort of any node's history).
+
+    A node's latest reading is the last in its order, so the running
+    statistics it is scored against are the node's statistics over the whole
+    history: its z-scores are (x - mean) / sqrt(M2 / (n - 1)) with count,
+    mean and M2 of all non-null values. ``max_by`` picks the latest row; the
+    running min/max and totals come from the same aggregate. ``coords`` is the
+    fixed node dimension (broadcast: one row per configured node).
+    """
+    from firesight.operators.enrich import _flags, _zscore
+    base = order_key(history)
+    fields = [c for c in history.columns if c != "node_id"]
+    row = F.struct(*[F.col(f"`{c}`") for c in fields])
+    aggs = [F.max_by(row, F.struct(F.col(ORD), F.col("ingest_ts"))).alias("_last"), *_running_totals()]
+    for col, name, _ in spec.scored:
+        x = q(col)
+        aggs += [F.count(x).alias(f"_n_{name}"), F.avg(x).alias(f"_mean_{name}"),
+                 (F.var_pop(x) * F.count(x)).alias(f"_m2_{name}")]
+    agg = base.groupBy("node_id").agg(*aggs)
+    latest = agg.select("*", *[F.col("_last").getField(c).alias(c) for c in fields]).drop("_last")
+    latest = latest.withColumns({
+        f"zscore_{name}": _zscore(q(col), F.col(f"_n_{name}"), F.col(f"_mean_{name}"), F.col(f"_m2_{name}"),
+                                  spec.z_decimals)
+        for col, name, _ in spec.scored})
+    anomalous, joined = _flags(spec)
+    latest = latest.withColumns({"is_anomaly": anomalous, "anomaly_sensors": joined})
+    return _status_row(latest, coords)
+
+
+def node_status_from_enriched(enriched: DataFrame, coords: DataFrame) -> DataFrame:
+    """W6 from an enriched table (the streaming sink's form): latest enriched
+    row per node joined with the running totals of the same rows."""
+    latest = latest_reading(enriched).join(enriched.groupBy("node_id").agg(*_running_totals()), "node_id", "left")
+    return _status_row(latest, coords)
 
 
 __all__ = ["latest_by_key", "latest_reading", "coords_table", "node_state", "node_status",
-           "ENRICH_COLUMNS"]
+           "node_status_from_enriched", "ENRICH_COLUMNS"]

@@ -147,7 +147,7 @@ def q_node_state(spark, sf):
 
 
 def _status(spark, sf):
-    return S.node_status(_enriched(spark, sf), S.coords_table(spark))
+    return S.node_status(_clean(spark, sf), S.coords_table(spark))
 
 
 @register("node_status")
@@ -401,7 +401,7 @@ def q_audit_counts(spark, sf):
         "processed_readings": enriched,
         "fire_events": fire_events(enriched),
         "window_stats": window_stats(raw),
-        "node_status": S.node_status(enriched, S.coords_table(spark)),
+        "node_status": S.node_status(C.clean(raw), S.coords_table(spark)),
     })
 
 

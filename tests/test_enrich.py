@@ -146,3 +146,22 @@ def test_enrich_plan_has_no_python(spark):
     plan = enrich(load_readings(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
     assert F is not None
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_status_from_aggregates_equals_status_from_enrichment(spark, seed):
+    from firesight.functions.columns import clean
+    from firesight.operators.status import coords_table, node_status, node_status_from_enriched
+    rnd = random.Random(seed)
+    rows = []
+    for node in ("nodo_1", "nodo_2", "x"):
+        for i in rnd.sample(range(0, 300), rnd.randint(1, 60)):
+            rows.append(reading(node, i, temp=None if rnd.random() < 0.2 else rnd.uniform(15, 40),
+                                co=rnd.uniform(0, 70), smoke=rnd.uniform(0, 0.1),
+                                gas=rnd.uniform(3000, 9000), fire=rnd.choice([None, 0, 1, 2])))
+    df = frame(spark, rows)
+    coords = coords_table(spark)
+    a = node_status(clean(df), coords)
+    b = node_status_from_enriched(enrich(df, chunk_rows=16), coords)
+    assert a.count() == 3
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
