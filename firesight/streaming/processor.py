@@ -46,14 +46,21 @@ def enriched_schema(input_schema: T.StructType) -> T.StructType:
 
 
 def _round_half_up(z: np.ndarray, decimals: int) -> np.ndarray:
-    """Half-up rounding on the decimal text, like Spark's ``round``."""
-    out = np.empty_like(z)
-    for i, v in enumerate(z):
-        if np.isnan(v):
-            out[i] = np.nan
-        else:
-            from decimal import ROUND_HALF_UP, Decimal
-            out[i] = float(Decimal(repr(float(v))).quantize(Decimal(1).scaleb(-decimals), ROUND_HALF_UP))
+    """Half-up rounding on the decimal text, like Spark's ``round``.
+
+    Vectorised; only values within a hair of a tie (rare) go through
+    ``Decimal`` on their shortest text, where binary rounding could differ.
+    """
+    from decimal import ROUND_HALF_UP, Decimal
+    scale = 10.0 ** decimals
+    with np.errstate(invalid="ignore"):
+        scaled = z * scale
+        frac = np.abs(scaled - np.trunc(scaled))
+        out = np.sign(z) * np.floor(np.abs(scaled) + 0.5) / scale
+        near_tie = np.abs(frac - 0.5) < 1e-6
+    quantum = Decimal(1).scaleb(-decimals)
+    for i in np.flatnonzero(near_tie & ~np.isnan(z)):
+        out[i] = float(Decimal(repr(float(z[i]))).quantize(quantum, ROUND_HALF_UP))
     return out + 0.0
 
 
@@ -92,20 +99,24 @@ def score_frame(pdf: pd.DataFrame, state: dict, spec: SensorSpec = DEFAULT_SPEC)
             new_state[f"{name}_m2"] = float(m2[-1])
 
     # Flags: z-flags in sensor order, then threshold flags not yet present.
-    flags_col, anomalous = [], []
-    zs = {name: out[f"zscore_{name}"].astype("float64").fillna(0.0).abs().to_numpy() for _, name, _ in spec.scored}
-    for i in range(len(out)):
-        flags = [name for _, name, _ in spec.scored if zs[name][i] > spec.z_threshold]
-        for name, col, op, thr in spec.thresholds:
-            v = out[SAFE[col]].iloc[i]
-            if v is None or pd.isna(v) or name in flags:
-                continue
-            if (op == ">" and v > thr) or (op == "<" and v < thr):
-                flags.append(name)
-        flags_col.append(", ".join(flags))
-        anomalous.append(bool(flags))
-    out["is_anomaly"] = anomalous
-    out["anomaly_sensors"] = flags_col
+    n_rows = len(out)
+    parts = []
+    hit_any = np.zeros(n_rows, dtype=bool)
+    z_hit = {}
+    for _, name, _ in spec.scored:
+        z = out[f"zscore_{name}"].astype("float64").fillna(0.0).abs().to_numpy()
+        z_hit[name] = z > spec.z_threshold
+        parts.append(np.where(z_hit[name], name, ""))
+        hit_any |= z_hit[name]
+    for name, col, op, thr in spec.thresholds:
+        v = out[SAFE[col]].to_numpy(dtype="float64", na_value=np.nan)
+        with np.errstate(invalid="ignore"):
+            hit = (v > thr) if op == ">" else (v < thr)
+        hit &= ~np.isnan(v)
+        parts.append(np.where(hit & ~z_hit.get(name, np.zeros(n_rows, dtype=bool)), name, ""))
+        hit_any |= hit
+    out["is_anomaly"] = hit_any
+    out["anomaly_sensors"] = [", ".join(p for p in row if p) for row in zip(*parts)] if n_rows else []
 
     # Fire state: previous non-null value carried across rows and batches.
     last = state.get("last_fire_value")
