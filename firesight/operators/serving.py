@@ -129,6 +129,16 @@ def panel_projection(df: DataFrame, fields: Sequence[str] = MAP_PANEL_FIELDS,
     return df.select(*[F.col(f).alias(rename.get(f, f)) for f in fields])
 
 
+BASELINE_PANEL_FIELDS = ("node_id", "p50_temp", "p95_temp", "p99_temp", "avg_temp", "p50_co", "p95_co", "p99_co",
+                         "avg_co", "p50_smoke", "p95_smoke", "p99_smoke", "avg_smoke", "p50_gas", "p95_gas",
+                         "p99_gas", "avg_gas")
+
+
+def sorted_panel(report: DataFrame, fields: Sequence[str] = BASELINE_PANEL_FIELDS) -> DataFrame:
+    """L3: a report table panel: field subset in panel order, sorted by node."""
+    return panel_projection(report, fields).orderBy("node_id")
+
+
 # P13 --------------------------------------------------------------------------
 def severity_bands(readings: DataFrame) -> DataFrame:
     """Band index of every plotted value (0 = below the first step)."""

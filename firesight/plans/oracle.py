@@ -373,6 +373,10 @@ ORACLES["latest_anomalies"] = (f"{BASE_ENRICHED} SELECT node_id, reading_index,
                                "ORDER BY ingest_ts DESC, node_id, reading_index DESC LIMIT 50")
 ORACLES["node_card"] = (f"{BASE_STATUS} SELECT node_id, is_fire, CASE WHEN coalesce(is_fire, false) THEN 'FIRE' "
                         "ELSE 'NO FIRE' END AS card, last_update_ts FROM status WHERE node_id = 'nodo_1' LIMIT 1")
+ORACLES["baseline_panel"] = f"""{BASE}, base AS (SELECT node_id, {_summary_cols()}, {_pct_cols()}
+  FROM readings GROUP BY node_id)
+SELECT node_id, p50_temp, p95_temp, p99_temp, avg_temp, p50_co, p95_co, p99_co, avg_co,
+  p50_smoke, p95_smoke, p99_smoke, avg_smoke, p50_gas, p95_gas, p99_gas, avg_gas FROM base ORDER BY node_id"""
 ORACLES["fire_cards"] = (f"{BASE_STATUS} SELECT node_id, is_fire, CASE WHEN coalesce(is_fire, false) THEN 'FIRE' "
                          "ELSE 'NO FIRE' END AS card FROM status")
 ORACLES["panel_projection"] = (f"{BASE_STATUS} SELECT node_id, fire_state_label, map_status, temperature_c, "

@@ -256,6 +256,11 @@ def q_panel_projection(spark, sf):
     return V.panel_projection(_status(spark, sf))
 
 
+@register("baseline_panel")
+def q_baseline_panel(spark, sf):
+    return V.sorted_panel(B.baseline(_raw(spark, sf)))
+
+
 @register("severity_bands")
 def q_severity_bands(spark, sf):
     return V.severity_bands(_served(spark, sf))

@@ -148,11 +148,14 @@ def start_windows(spark: SparkSession, messages: DataFrame, root: str, checkpoin
 
 # T6 ---------------------------------------------------------------------------
 def run_both(spark: SparkSession, source: str, root: str, max_files_per_trigger: int = 1,
-             trigger: dict | None = None, wait: bool = True):
+             trigger: dict | None = None, wait: bool = True, checkpoint_root: str | None = None):
     """Both queries on the same source, each with its own reader and checkpoint;
     with ``wait`` the call returns when either query stops (or fails)."""
-    q1 = start_enrichment(spark, read_stream(spark, source, max_files_per_trigger), root, trigger=trigger)
-    q2 = start_windows(spark, read_stream(spark, source, max_files_per_trigger), root, trigger=trigger)
+    ck = checkpoint_root or f"{ensure_checkpoint_dir(spark)}/streams"
+    q1 = start_enrichment(spark, read_stream(spark, source, max_files_per_trigger), root,
+                          checkpoint=f"{ck}/enrichment", trigger=trigger)
+    q2 = start_windows(spark, read_stream(spark, source, max_files_per_trigger), root,
+                       checkpoint=f"{ck}/windows", trigger=trigger)
     if wait:
         spark.streams.awaitAnyTermination()
     return q1, q2

@@ -109,3 +109,19 @@ def test_stream_dedup_within_watermark(spark, workdir):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.sql("select count(*) from dedup_t").collect()[0][0] == 2
+
+
+@pytest.mark.slow
+def test_both_queries_run_independently(spark, workdir):
+    src, root = f"{workdir}/src", f"{workdir}/out"
+    write_file(src, "b-000.json", messages(spark, 0, 200))
+    q1, q2 = jobs.run_both(spark, src, root, trigger={"availableNow": True}, wait=False,
+                           checkpoint_root=f"{workdir}/ck")
+    q1.awaitTermination()
+    q2.awaitTermination()
+    assert q1.exception() is None and q2.exception() is None
+    tabs = jobs.read_tables(spark, root, ["processed_readings", "window_stats", "cumulative"])
+    raw = load_readings(spark, "/root/testdata/sf0.001").filter(F.col("reading_index") < 200)
+    from firesight.functions.columns import clean
+    assert tabs["processed_readings"].count() == clean(raw).count()
+    assert tabs["window_stats"].agg(F.sum("reading_count")).collect()[0][0] == raw.count()
