@@ -28,10 +28,28 @@ def latest_by_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Data
             .select(*keys, *[F.col("_r").getField(c).alias(c) for c in others]))
 
 
+def latest_rows(df: DataFrame, key: str = "node_id", extra_aggs: list | None = None) -> DataFrame:
+    """Each key's row with the greatest order (null index as 0; ties by
+    ingest_ts), without sorting the input.
+
+    ``max_by`` over a whole-row struct can only run as a sort-based
+    aggregate (a struct buffer is not hash-aggregatable), which would sort
+    every input partition. Instead: (1) a hash aggregate of ``max(order)`` per
+    key (plus any ``extra_aggs`` over the same rows), (2) a join that keeps only
+    rows at that order - the per-key table is small and AQE broadcasts it once
+    its measured size allows - and (3) ``max_by`` over those few candidates.
+    Returns the latest row's columns plus the extra aggregates.
+    """
+    base = order_key(df)
+    tops = base.groupBy(key).agg(F.max(ORD).alias("_top"), *(extra_aggs or []))
+    cands = base.join(tops.select(key, "_top"), key).filter(F.col(ORD) == F.col("_top")).drop("_top")
+    latest = latest_by_key(cands, [key], [ORD, "ingest_ts"]).drop(ORD)
+    return latest.join(tops.drop("_top"), key) if extra_aggs else latest
+
+
 def latest_reading(df: DataFrame) -> DataFrame:
     """Each node's row with the greatest index (null index counts as 0)."""
-    cols = df.columns
-    return latest_by_key(order_key(df), ["node_id"], [ORD, "ingest_ts"]).select(*cols)
+    return latest_rows(df).select(*df.columns)
 
 
 def coords_table(spark: SparkSession, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
@@ -106,27 +124,25 @@ def _status_row(latest: DataFrame, coords: DataFrame) -> DataFrame:
 
 
 def node_status(history: DataFrame, coords: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
-    """One live row per node from the cleaned readings, in one pass of
-    partial aggregates (no sort of any node's history).
+    """One live row per node from the cleaned readings, from hash
+    aggregates only (no sort of any node's history).
 
     A node's latest reading is the last in its order, so the running
     statistics it is scored against are the node's statistics over the whole
     history: its z-scores are (x - mean) / sqrt(M2 / (n - 1)) with count,
-    mean and M2 of all non-null values. ``max_by`` picks the latest row; the
-    running min/max and totals come from the same aggregate. ``coords`` is the
-    fixed node dimension (broadcast: one row per configured node).
+    mean and M2 of all non-null values. These, the running min/max and the
+    totals come from the same hash aggregate that finds each node's latest
+    order; the latest row itself is picked among the few rows at that order
+    (``latest_rows``). ``coords`` is the fixed node dimension (broadcast: one
+    row per configured node).
     """
     from firesight.operators.enrich import _flags, _zscore
-    base = order_key(history)
-    fields = [c for c in history.columns if c != "node_id"]
-    row = F.struct(*[F.col(f"`{c}`") for c in fields])
-    aggs = [F.max_by(row, F.struct(F.col(ORD), F.col("ingest_ts"))).alias("_last"), *_running_totals()]
+    aggs = list(_running_totals())
     for col, name, _ in spec.scored:
         x = q(col)
         aggs += [F.count(x).alias(f"_n_{name}"), F.avg(x).alias(f"_mean_{name}"),
                  (F.var_pop(x) * F.count(x)).alias(f"_m2_{name}")]
-    agg = base.groupBy("node_id").agg(*aggs)
-    latest = agg.select("*", *[F.col("_last").getField(c).alias(c) for c in fields]).drop("_last")
+    latest = latest_rows(history, "node_id", aggs)
     latest = latest.withColumns({
         f"zscore_{name}": _zscore(q(col), F.col(f"_n_{name}"), F.col(f"_mean_{name}"), F.col(f"_m2_{name}"),
                                   spec.z_decimals)
