@@ -126,6 +126,17 @@ def exact_avg(c: Column, decimals: int) -> Column:
     return F.round(F.avg(c.try_cast(EXACT_DECIMAL)), decimals).cast("double")
 
 
+def round_significant(c: Column, digits: int) -> Column:
+    """Round to ``digits`` significant digits (half-up on the decimal text).
+
+    For large sums of squares a fixed number of decimals sits at the last
+    bits of a double, which differ with summation order; a relative rounding
+    does not."""
+    exp = F.floor(F.log10(F.abs(c)))
+    scale = F.pow(F.lit(10.0), exp)
+    return F.when(c == 0, F.lit(0.0)).otherwise(F.round(c / scale, digits - 1) * scale)
+
+
 # P13 / P14 --------------------------------------------------------------------
 def band(c: Column, steps: Sequence[float]) -> Column:
     """Index of the highest step the value reaches (0 = below the first)."""

@@ -33,12 +33,14 @@ def bucket(ts: Column, every: str) -> Column:
 
 # A12 --------------------------------------------------------------------------
 def sensor_histogram(enriched: DataFrame, every: str = HISTOGRAM_BUCKET) -> DataFrame:
-    """Average of each plotted sensor per (node, time bucket); empty buckets omitted."""
+    """Average of each plotted sensor per (node, time bucket); empty buckets
+    omitted. Averages are exact and shown to 9 decimals, so they do not
+    depend on how the rows of a bucket were split across tasks."""
     return (enriched.groupBy("node_id", bucket(F.col("ingest_ts"), every).alias("bucket_start"))
-            .agg(F.avg(q("Temperature (C)")).alias("avg_temp"),
-                 F.avg(q("CO")).alias("avg_co"),
-                 F.avg(q("Smoke (ppm)")).alias("avg_smoke"),
-                 F.avg(q("Gas (Ohm)")).alias("avg_gas")))
+            .agg(exact_avg(q("Temperature (C)"), 9).alias("avg_temp"),
+                 exact_avg(q("CO"), 9).alias("avg_co"),
+                 exact_avg(q("Smoke (ppm)"), 9).alias("avg_smoke"),
+                 exact_avg(q("Gas (Ohm)"), 9).alias("avg_gas")))
 
 
 # L2 ---------------------------------------------------------------------------

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from firesight.functions.columns import fire_state_label, is_fire, map_status, q
+from firesight.functions.columns import fire_state_label, is_fire, map_status, q, round_significant
 from firesight.operators.enrich import ENRICH_COLUMNS, ORD, order_key
 from firesight.operators.rollups import ROLLUP_SENSORS
 from firesight.spec import DEFAULT_SPEC, SensorSpec
 
 STATE_DECIMALS = 6
+M2_DIGITS = 10
 
 
 def latest_by_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
@@ -72,7 +73,7 @@ def node_state(clean_readings: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> Da
         aggs += [
             F.count(x).alias(f"{name}_count"),
             F.round(F.avg(x), STATE_DECIMALS).alias(f"{name}_mean"),
-            F.round(F.var_pop(x) * F.count(x), 2).alias(f"{name}_m2"),
+            round_significant(F.var_pop(x) * F.count(x), M2_DIGITS).alias(f"{name}_m2"),
         ]
     fire = F.col("Fire")
     aggs.append(F.max_by(fire, F.when(fire.isNotNull(), F.col(ORD))).alias("last_fire_value"))

@@ -30,6 +30,12 @@ def RA(col: str, n: int) -> str:
     return f"CASE WHEN count({col}) = 0 THEN NULL ELSE CAST(sign({s_}) * {q_} AS DOUBLE) / {10 ** n}.0e0 END"
 
 
+def RS(expr: str, digits: int) -> str:
+    """Round to significant digits, the same steps as round_significant."""
+    scale = f"pow(10.0e0, floor(log10(abs({expr}))))"
+    return f"CASE WHEN ({expr}) = 0 THEN 0.0e0 ELSE {R(f'({expr}) / {scale}', digits - 1)} * {scale} END"
+
+
 def Q(name: str) -> str:
     return '"' + name + '"'
 
@@ -312,7 +318,7 @@ ORACLES["latest_reading"] = (f"{BASE} SELECT * FROM readings QUALIFY row_number(
                              "ORDER BY coalesce(reading_index, 0) DESC, ingest_ts DESC) = 1")
 ORACLES["node_state"] = f"""{BASE_CLEAN} SELECT node_id, {", ".join(
     f"count({Q(c)}) AS {n}_count, {R(f'avg({Q(c)})', 6)} AS {n}_mean, "
-    f"{R(f'var_pop({Q(c)}) * count({Q(c)})', 2)} AS {n}_m2" for c, n in SCORED)},
+    f"{RS(f'var_pop({Q(c)}) * count({Q(c)})', 10)} AS {n}_m2" for c, n in SCORED)},
   arg_max("Fire", coalesce(reading_index, 0)) FILTER (WHERE "Fire" IS NOT NULL) AS last_fire_value
 FROM clean GROUP BY node_id"""
 ORACLES["node_status"] = f"{BASE_STATUS} SELECT * FROM status"
@@ -351,8 +357,8 @@ ORACLES["window_reagg"] = f"""{BASE}, win AS ({_window_sql('1 minute')})
 SELECT node_id, time_bucket(INTERVAL '1 hour', window_start) AS bucket_start,
   {RA('avg_temp', 4)} AS avg_avg_temp FROM win GROUP BY 1, 2"""
 HIST = ("SELECT node_id, time_bucket(INTERVAL '10 seconds', ingest_ts) AS bucket_start, "
-        "avg(\"Temperature (C)\") AS avg_temp, avg(\"CO\") AS avg_co, avg(\"Smoke (ppm)\") AS avg_smoke, "
-        "avg(\"Gas (Ohm)\") AS avg_gas FROM enriched GROUP BY 1, 2")
+        f"{RA(Q('Temperature (C)'), 9)} AS avg_temp, {RA(Q('CO'), 9)} AS avg_co, "
+        f"{RA(Q('Smoke (ppm)'), 9)} AS avg_smoke, {RA(Q('Gas (Ohm)'), 9)} AS avg_gas FROM enriched GROUP BY 1, 2")
 ORACLES["sensor_histogram"] = f"{BASE_ENRICHED} {HIST}"
 ORACLES["topk_nodes"] = (f"{BASE_ENRICHED}, h AS ({HIST}), top AS (SELECT DISTINCT node_id FROM h "
                          "ORDER BY node_id DESC LIMIT 2) SELECT * FROM h WHERE node_id IN (SELECT node_id FROM top)")

@@ -82,7 +82,7 @@ def main():
     from __spark_entry__ import oracle_sql, queries
 
     from firesight.session import local_session
-    spark = local_session(8)
+    spark = local_session(os.environ.get("ORACLE_CORES", "8"))
     con = duck(sf_dir)
     qs, sqls = queries(), oracle_sql()
     bad = 0
