@@ -329,10 +329,10 @@ def _iso_readings(df):
 def q_decode_envelope(spark, sf):
     """Encoded readings, every message whose index ends in 13 cut short (it
     becomes unparsable), sent as bytes and decoded; the cut ones are rejected."""
-    msgs = envelope.encode(_raw(spark, sf))
-    idx = F.get_json_object("value", "$.reading_index").cast("long")
+    raw = _raw(spark, sf).withColumn("_cut", (F.col("reading_index") % 100) == 13)
+    msgs = envelope.encode(raw, keep=["_cut"])
     damaged = msgs.select(
-        "key", F.when(idx % 100 == 13, F.substring("value", 1, 40)).otherwise(F.col("value"))
+        "key", F.when(F.col("_cut"), F.substring("value", 1, 40)).otherwise(F.col("value"))
         .cast("binary").alias("value"))
     return envelope.decode(damaged)
 

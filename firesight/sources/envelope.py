@@ -13,11 +13,12 @@ from firesight.spec import DEFAULT_SPEC, SENSOR_COLUMNS, SensorSpec
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
 
-def encode(readings: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
+def encode(readings: DataFrame, spec: SensorSpec = DEFAULT_SPEC, keep=()) -> DataFrame:
     """S3: one message per reading: key = node id, value = JSON document.
 
     Null fields are written as JSON null (as a Python producer does); the
-    event time travels as ISO-8601 text with milliseconds and 'Z'.
+    event time travels as ISO-8601 text with milliseconds and 'Z'. Columns
+    named in ``keep`` are passed through beside the message.
     """
     fields = []
     for f in spec.schema.fields:
@@ -26,7 +27,7 @@ def encode(readings: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
             c = iso_ts(c)
         fields.append(c.alias(f.name))
     return readings.select(F.col("node_id").alias("key"),
-                           F.to_json(F.struct(*fields), JSON_OPTIONS).alias("value"))
+                           F.to_json(F.struct(*fields), JSON_OPTIONS).alias("value"), *keep)
 
 
 def decode(messages: DataFrame, spec: SensorSpec = DEFAULT_SPEC, value_col: str = "value",
