@@ -146,6 +146,15 @@ def start_windows(spark: SparkSession, messages: DataFrame, root: str, checkpoin
             .start())
 
 
+# W7 (streaming form) -----------------------------------------------------------
+def read_stream_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The enrichment query's committed per-node state (count, mean, M2 per
+    sensor and the last non-null fire value), read from its checkpoint with
+    Spark's state store reader - one row per node, nothing kept elsewhere."""
+    st = spark.read.format("statestore").option("stateVarName", "stats").load(checkpoint)
+    return st.select("key.node_id", "value.*")
+
+
 # T6 ---------------------------------------------------------------------------
 def run_both(spark: SparkSession, source: str, root: str, max_files_per_trigger: int = 1,
              trigger: dict | None = None, wait: bool = True, checkpoint_root: str | None = None):

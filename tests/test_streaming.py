@@ -125,3 +125,24 @@ def test_both_queries_run_independently(spark, workdir):
     from firesight.functions.columns import clean
     assert tabs["processed_readings"].count() == clean(raw).count()
     assert tabs["window_stats"].agg(F.sum("reading_count")).collect()[0][0] == raw.count()
+
+
+@pytest.mark.slow
+def test_stream_state_equals_batch_key_state(spark, workdir):
+    from firesight.functions.columns import clean
+    from firesight.operators.status import node_state
+    src = f"{workdir}/src"
+    write_file(src, "s-000.json", messages(spark, 0, 250))
+    write_file(src, "s-001.json", messages(spark, 250, 500))
+    run_enrichment(spark, src, f"{workdir}/out", f"{workdir}/ck")
+    got = {r["node_id"]: r.asDict() for r in jobs.read_stream_state(spark, f"{workdir}/ck").collect()}
+    raw = load_readings(spark, "/root/testdata/sf0.001").filter(F.col("reading_index") < 500)
+    exp = {r["node_id"]: r.asDict() for r in node_state(clean(raw)).collect()}
+    assert set(got) == set(exp)
+    for node, e in exp.items():
+        g = got[node]
+        assert g["last_fire_value"] == e["last_fire_value"]
+        for name in ("Temperature", "CO", "Smoke", "Gas"):
+            assert g[f"{name}_count"] == e[f"{name}_count"]
+            assert g[f"{name}_mean"] == pytest.approx(e[f"{name}_mean"], rel=1e-9, abs=1e-6)
+            assert g[f"{name}_m2"] == pytest.approx(e[f"{name}_m2"], rel=1e-9)
