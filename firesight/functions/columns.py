@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from firesight.spec import DEFAULT_SPEC, FIRE_LABEL_OTHER, ISO_FORMAT, SensorSpec
+from firesight.spec import DEFAULT_SPEC, FIRE_LABEL_OTHER, FIRE_LABELS, ISO_FORMAT, SensorSpec
 
 
 def q(name: str) -> Column:
@@ -41,9 +41,9 @@ def clean(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
 
 # P2 / P3 ----------------------------------------------------------------------
 def fire_state_label(c: Column) -> Column:
-    return (F.when(c.isNull(), F.lit("N/A"))
-            .when(c == 0, F.lit("NORMAL"))
-            .when(c == 1, F.lit("FIRE"))
+    return (F.when(c.isNull(), F.lit(FIRE_LABELS[None]))
+            .when(c == 0, F.lit(FIRE_LABELS[0]))
+            .when(c == 1, F.lit(FIRE_LABELS[1]))
             .otherwise(F.lit(FIRE_LABEL_OTHER)))
 
 

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firesight.functions.columns import exact_avg, q
-from firesight.spec import DEFAULT_SPEC, SensorSpec
 
 # (raw column, suffix, decimals of avg/min/max, decimals of sum)
 ROLLUP_SENSORS = (
@@ -109,7 +108,3 @@ def snapshot_rollup(report: DataFrame, k: int = 10) -> DataFrame:
 def fire_distribution(raw: DataFrame) -> DataFrame:
     """Count of each Fire value per node."""
     return raw.groupBy("node_id", "Fire").agg(F.count(F.lit(1)).alias("n"))
-
-
-def spec_sensors(spec: SensorSpec = DEFAULT_SPEC):
-    return [c for c, _, _ in spec.scored]

@@ -18,7 +18,8 @@ import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from firesight.spec import DEFAULT_SPEC, SENSOR_COLUMNS, SERVING_NAMES, SensorSpec
+from firesight.spec import (DEFAULT_SPEC, FIRE_LABEL_OTHER, FIRE_LABELS, SENSOR_COLUMNS, SERVING_NAMES,
+                            SensorSpec)
 
 # Arrow hands columns whose names hold spaces or brackets to Python under
 # positional names, so the stateful step works on the snake_case names.
@@ -126,7 +127,7 @@ def score_frame(pdf: pd.DataFrame, state: dict, spec: SensorSpec = DEFAULT_SPEC)
         prevs.append(int(last) if last is not None else 0)
         trans.append(bool(v is not None and v >= 1 and (last is None or last == 0)))
         fires.append(bool(v is not None and v >= 1))
-        labels.append("N/A" if v is None else "NORMAL" if v == 0 else "FIRE" if v == 1 else "SPECIAL")
+        labels.append(FIRE_LABELS.get(v, FIRE_LABEL_OTHER))
         if v is not None:
             last = v
     out["is_fire"] = fires
