@@ -64,6 +64,8 @@ def test_decode_rejects_and_nan(spark):
     ok, bad = envelope.split_rejects(decoded)
     got = {r["node_id"]: r for r in ok.collect()}
     assert got["a"]["Temperature (C)"] == 21.0 and got["a"]["ingest_ts"] == "2024-01-01T00:00:01.000Z"
+    # a wrongly typed field becomes null; NaN becomes null (deviation: it never enters running state)
+    assert got["b"]["reading_index"] is None and got["b"]["CO"] is None and got["b"]["Fire"] == 1
     assert [r["document"] for r in bad.collect()] == ["{broken"]
 
 

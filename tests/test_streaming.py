@@ -43,7 +43,9 @@ def test_stream_equals_batch_and_restart(spark, workdir):
     src, root, ckpt = f"{workdir}/src", f"{workdir}/out", f"{workdir}/ckpt"
     write_file(src, "m-000.json", messages(spark, 0, 300))
     write_file(src, "m-001.json", messages(spark, 300, 620))
-    run_enrichment(spark, src, root, ckpt)
+    q = run_enrichment(spark, src, root, ckpt)
+    # rate control: one file per micro-batch, so the state is carried across two batches
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 2
     # rerun without new files emits nothing new
     before = spark.read.parquet(f"{root}/processed_readings").count()
     run_enrichment(spark, src, root, ckpt)
