@@ -3,8 +3,10 @@
 The keyed upsert (S7) is merge-on-read over plain Parquet: every micro-batch
 writes its rows into its own ``batch_id=N`` partition with dynamic partition
 overwrite, so a replayed batch rewrites exactly its own partition
-(idempotent), and a reader keeps the newest row per key with a partial
-``max_by`` aggregate. ``compact`` rewrites the merged state to a new folder.
+(idempotent), and a reader keeps the newest row per key (a keyed
+last-write-wins aggregate, shuffled on the key). Merge-on-read cost grows with
+the number of batch partitions until ``compact`` rewrites the merged state to
+a new folder.
 """
 
 from __future__ import annotations
@@ -35,9 +37,12 @@ def write_batch(df: DataFrame, target: str, batch_id: int, partition_by: Sequenc
     """Write one micro-batch's rows to ``target`` as partition ``batch_id``.
 
     Overwrites only that partition, so a retried batch replaces its own
-    earlier attempt and nothing else.
+    earlier attempt and nothing else. The ``rebalance`` hint lets AQE size the
+    output files (a micro-batch would otherwise write one small file per
+    state partition).
     """
-    (df.withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
+    (df.hint("rebalance")
+       .withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
        .withColumn(SEQ, F.monotonically_increasing_id())
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
