@@ -200,10 +200,10 @@ def _fire_rule() -> str:
 QUALITY_CTE = f"""
 qc AS (
   SELECT node_id,
-    count_if("Fire" >= 1 AND ({_fire_rule()})) AS tp,
-    count_if(NOT ("Fire" >= 1) AND ({_fire_rule()})) AS fp,
-    count_if(NOT ("Fire" >= 1) AND NOT ({_fire_rule()})) AS tn,
-    count_if("Fire" >= 1 AND NOT ({_fire_rule()})) AS fn
+    CAST(count_if("Fire" >= 1 AND ({_fire_rule()})) AS BIGINT) AS tp,
+    CAST(count_if(NOT ("Fire" >= 1) AND ({_fire_rule()})) AS BIGINT) AS fp,
+    CAST(count_if(NOT ("Fire" >= 1) AND NOT ({_fire_rule()})) AS BIGINT) AS tn,
+    CAST(count_if("Fire" >= 1 AND NOT ({_fire_rule()})) AS BIGINT) AS fn
   FROM clean WHERE "Fire" IS NOT NULL GROUP BY node_id
 ),
 qr AS (
@@ -336,19 +336,19 @@ SELECT tot.* EXCLUDE (last_batch), {", ".join(f"lb.last_batch_avg_{s}" for _, s,
 FROM tot LEFT JOIN lb ON tot.node_id = lb.node_id AND tot.last_batch = lb.batch_id"""
 ORACLES["cumulative_by_batch"] = f"""{BASE_CLEAN}, b AS (SELECT *, {BATCHED} FROM clean),
 s AS (SELECT node_id, batch_id, {_batch_stats_cols()} FROM b GROUP BY node_id, batch_id)
-SELECT node_id, batch_id, sum(batch_count) OVER w AS total_processed, {", ".join(
+SELECT node_id, batch_id, CAST(sum(batch_count) OVER w AS BIGINT) AS total_processed, {", ".join(
     f"{R(f'sum(batch_sum_{s}) OVER w', ds)} AS running_sum_{s}, min(batch_min_{s}) OVER w AS running_min_{s}, "
     f"max(batch_max_{s}) OVER w AS running_max_{s}" for _, s, _, ds in ROLL)},
   {", ".join(f"batch_avg_{s} AS last_batch_avg_{s}" for _, s, _, _ in ROLL)}
 FROM s WINDOW w AS (PARTITION BY node_id ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 ORACLES["enrichment_counts"] = f"""{BASE_ENRICHED}, b AS (SELECT *, {BATCHED} FROM enriched),
-per AS (SELECT node_id, batch_id, count(*) AS rows, count_if(is_fire) AS fire_rows,
-  count_if(is_anomaly) AS anomaly_rows FROM b GROUP BY node_id, batch_id)
-SELECT *, sum(rows) OVER (PARTITION BY batch_id) AS batch_rows FROM per"""
+per AS (SELECT node_id, batch_id, count(*) AS rows, CAST(count_if(is_fire) AS BIGINT) AS fire_rows,
+  CAST(count_if(is_anomaly) AS BIGINT) AS anomaly_rows FROM b GROUP BY node_id, batch_id)
+SELECT *, CAST(sum(rows) OVER (PARTITION BY batch_id) AS BIGINT) AS batch_rows FROM per"""
 ORACLES["fire_distribution"] = f'{BASE} SELECT node_id, "Fire", count(*) AS n FROM readings GROUP BY 1, 2'
 ORACLES["snapshot_rollup"] = f"""{BASE}, base AS (SELECT node_id, {_summary_cols()}, {_pct_cols()}
   FROM readings GROUP BY node_id)
-SELECT node_id, sum(total_readings) AS sum_total_readings, max(p99_temp) AS max_p99_temp
+SELECT node_id, CAST(sum(total_readings) AS BIGINT) AS sum_total_readings, max(p99_temp) AS max_p99_temp
 FROM base GROUP BY node_id ORDER BY node_id LIMIT 10"""
 
 ORACLES["window_stats"] = f"{BASE} {_window_sql('1 minute')}"

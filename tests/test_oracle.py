@@ -36,3 +36,18 @@ def test_every_query_runs(spark):
     for name, fn in queries().items():
         if name not in oracle_sql():
             assert fn(spark, SF_SMALL).count() > 0, name
+
+
+SPARK_TO_DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "BooleanType": "BOOLEAN", "TimestampNTZType": "TIMESTAMP",
+                 "TimestampType": "TIMESTAMP WITH TIME ZONE"}
+
+
+def test_column_types_match_oracle(spark, con):
+    from __spark_entry__ import oracle_sql, queries
+    for name, sql in oracle_sql().items():
+        got = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
+               for f in queries()[name](spark, SF_SMALL).schema.fields}
+        exp = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
+        assert got == exp, (name, {k: (got.get(k), exp.get(k)) for k in set(got) | set(exp)
+                                   if got.get(k) != exp.get(k)})
