@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from firesight.llm import secrets
 from firesight.llm.simhash import op3_simhash
 
 
 def queries():
     return {
+        "op1_secret_scans": secrets.op1_secret_scans,
         "op3_simhash": op3_simhash,
     }
 
 
 def oracle_sql():
-    return {}
+    return {"op1_secret_scans": secrets.ORACLE}
