@@ -17,7 +17,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,12 +74,11 @@ def in_batches(batches: Iterator[pa.RecordBatch], text: str, limit: int = BATCH_
 
     A single longer text is a piece of its own. ``g`` is unique over all tasks.
     """
-    from pyspark import TaskContext
-    import numpy as np
-    part = TaskContext.get().partitionId() if TaskContext.get() else 0
+    task = TaskContext.get()
+    part = task.partitionId() if task else 0
     n = 0
     for batch in batches:
-        lengths = np.asarray(pa.compute.binary_length(batch.column(text)).fill_null(0))
+        lengths = np.asarray(pc.binary_length(batch.column(text)).fill_null(0))
         start = 0
         while start < batch.num_rows:
             size = np.cumsum(lengths[start:])

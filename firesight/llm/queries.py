@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from firesight.llm import secrets
+from firesight.llm import bpe, secrets
 from firesight.llm.simhash import op3_simhash
 
 
 def queries():
     return {
         "op1_secret_scans": secrets.op1_secret_scans,
+        "op2_bpe": bpe.op2_bpe,
         "op3_simhash": op3_simhash,
     }
 
