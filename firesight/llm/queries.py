@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from firesight.llm import bpe, secrets
+from firesight.llm import bpe, quality, secrets
 from firesight.llm.simhash import op3_simhash
 
 
@@ -11,8 +11,9 @@ def queries():
         "op1_secret_scans": secrets.op1_secret_scans,
         "op2_bpe": bpe.op2_bpe,
         "op3_simhash": op3_simhash,
+        "op5_quality_rules": quality.op5_quality_rules,
     }
 
 
 def oracle_sql():
-    return {"op1_secret_scans": secrets.ORACLE}
+    return {"op1_secret_scans": secrets.ORACLE, "op5_quality_rules": quality.ORACLE}
