@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from firesight.llm import bpe, quality, secrets
+from firesight.llm import bpe, mixing, quality, secrets
 from firesight.llm.simhash import op3_simhash
 
 
@@ -12,8 +12,10 @@ def queries():
         "op2_bpe": bpe.op2_bpe,
         "op3_simhash": op3_simhash,
         "op5_quality_rules": quality.op5_quality_rules,
+        "op8_mixing": mixing.op8_mixing,
     }
 
 
 def oracle_sql():
-    return {"op1_secret_scans": secrets.ORACLE, "op5_quality_rules": quality.ORACLE}
+    return {"op1_secret_scans": secrets.ORACLE, "op5_quality_rules": quality.ORACLE,
+            "op8_mixing": mixing.ORACLE}
