@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from firesight.llm import bpe, mixing, quality, secrets
+from firesight.llm import bpe, mixing, quality, secrets, toxicity
 from firesight.llm.simhash import op3_simhash
 
 
@@ -11,6 +11,7 @@ def queries():
         "op1_secret_scans": secrets.op1_secret_scans,
         "op2_bpe": bpe.op2_bpe,
         "op3_simhash": op3_simhash,
+        "op4_toxicity": toxicity.op4_toxicity,
         "op5_quality_rules": quality.op5_quality_rules,
         "op8_mixing": mixing.op8_mixing,
     }
