@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,12 +72,12 @@ def exchange_rows(rows: list[tuple]) -> pa.RecordBatch:
 def in_batches(batches: Iterator[pa.RecordBatch], text: str, limit: int = BATCH_BYTES):
     """Cut a task's rows into (g, record batch) pieces of about ``limit`` bytes of text.
 
-    A single longer text is a piece of its own. ``g`` is unique over all tasks.
+    A single longer text is a piece of its own. ``g`` is unique over all tasks; the partition
+    comes from column ``_part``, as a task's own number changes under a union.
     """
-    task = TaskContext.get()
-    part = task.partitionId() if task else 0
     n = 0
     for batch in batches:
+        part = batch.column("_part")[0].as_py() if batch.num_rows and "_part" in batch.schema.names else 0
         lengths = np.asarray(pc.binary_length(batch.column(text)).fill_null(0))
         start = 0
         while start < batch.num_rows:
@@ -88,6 +88,34 @@ def in_batches(batches: Iterator[pa.RecordBatch], text: str, limit: int = BATCH_
             start = stop
 
 
+def pack(parts: list[bytes]) -> bytes:
+    """Byte strings as one compressed value."""
+    sizes = np.array([len(parts), *map(len, parts)], "<u4").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(sizes + b"".join(parts))
+
+
+def unpack(packed: bytes):
+    data = zstandard.ZstdDecompressor().decompress(packed)
+    n = int.from_bytes(data[:4], "little")
+    at = 4 + 4 * n
+    for size in np.frombuffer(data, "<u4", n, 4).tolist():
+        yield data[at:at + size]
+        at += size
+
+
+def pack_rows(batch: pa.RecordBatch, names: list[str]) -> bytes:
+    """Some columns of a batch as bytes."""
+    part = pa.RecordBatch.from_arrays([batch.column(c) for c in names], names=names)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, part.schema) as out:
+        out.write_batch(part)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack_rows(data: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data).read_next_batch()
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The column's texts as UTF-8 bytes; null is empty."""
     return [x if x is not None else b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
@@ -99,14 +127,26 @@ def rows_sorted(batches: Iterator[pa.RecordBatch]):
         yield from zip(*(c.to_pylist() for c in batch.columns))
 
 
-def run_exchange(docs: DataFrame, scan: Callable, answer: Callable, finish: Callable, schema: str,
-                 extra: DataFrame | None = None) -> DataFrame:
+def keep_texts(names: list[str], limit: int = BATCH_BYTES):
+    """A scan that sends each batch's rows and texts to where its answers meet."""
+    def run(batches):
+        for g, batch in in_batches(batches, "_text", limit):
+            yield exchange_rows([(0, g, 1, pack_rows(batch, names), pack(texts_of(batch, "_text")))])
+    return run
+
+
+def run_exchange(docs: DataFrame, scan: Callable, answer: Callable, finish: Callable, schema,
+                 extra: DataFrame | None = None, keep: Callable | None = None) -> DataFrame:
     """scan -> meet by key -> answer -> meet by batch -> finish (see the module's text).
 
-    ``extra``: further rows of the EXCHANGE schema that take part in step 2.
+    ``extra``: further rows of the EXCHANGE schema that take part in step 2. ``keep``: a second
+    scan of the same rows in the same batches, whose rows go straight to the last step.
     """
+    docs = docs.withColumn("_part", F.spark_partition_id())
     asked = docs.mapInArrow(scan, EXCHANGE)
     if extra is not None:
         asked = asked.unionByName(extra)
     answered = asked.repartition(F.col("k")).sortWithinPartitions("k", "kind", "g").mapInArrow(answer, EXCHANGE)
+    if keep is not None:
+        answered = answered.unionByName(docs.mapInArrow(keep, EXCHANGE))
     return answered.repartition(F.col("g")).sortWithinPartitions("g", "kind", "k").mapInArrow(finish, schema)

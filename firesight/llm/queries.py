@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from firesight.llm import bpe, mixing, quality, secrets, toxicity
+from firesight.llm import bpe, mixing, quality, secrets, substrings, toxicity
 from firesight.llm.simhash import op3_simhash
 
 
@@ -14,9 +14,11 @@ def queries():
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_quality_rules": quality.op5_quality_rules,
         "op8_mixing": mixing.op8_mixing,
+        "op10_substring_dedup": substrings.op10_substring_dedup,
     }
 
 
 def oracle_sql():
     return {"op1_secret_scans": secrets.ORACLE, "op5_quality_rules": quality.ORACLE,
-            "op8_mixing": mixing.ORACLE}
+            "op8_mixing": mixing.ORACLE,
+            "op10_substring_dedup": substrings.ORACLE}
