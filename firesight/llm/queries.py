@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from firesight.llm import bpe, mixing, quality, secrets, substrings, toxicity
+from firesight.llm import bpe, classlm, mixing, quality, secrets, substrings, toxicity
 from firesight.llm.simhash import op3_simhash
 
 
@@ -13,6 +13,7 @@ def queries():
         "op3_simhash": op3_simhash,
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_quality_rules": quality.op5_quality_rules,
+        "op7_class_lm": classlm.op7_class_lm,
         "op8_mixing": mixing.op8_mixing,
         "op10_substring_dedup": substrings.op10_substring_dedup,
     }
