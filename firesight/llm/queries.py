@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from firesight.llm import bpe, classlm, mixing, quality, secrets, substrings, toxicity
+from firesight.llm import bpe, classlm, embeddings, html, mixing, quality, secrets, substrings, toxicity
 from firesight.llm.simhash import op3_simhash
 
 
@@ -13,8 +13,10 @@ def queries():
         "op3_simhash": op3_simhash,
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_quality_rules": quality.op5_quality_rules,
+        "op6_embedding_dedup": embeddings.op6_embedding_dedup,
         "op7_class_lm": classlm.op7_class_lm,
         "op8_mixing": mixing.op8_mixing,
+        "op9_html": html.op9_html,
         "op10_substring_dedup": substrings.op10_substring_dedup,
     }
 
@@ -22,4 +24,5 @@ def queries():
 def oracle_sql():
     return {"op1_secret_scans": secrets.ORACLE, "op5_quality_rules": quality.ORACLE,
             "op8_mixing": mixing.ORACLE,
-            "op10_substring_dedup": substrings.ORACLE}
+            "op9_html": html.op9_html,
+        "op10_substring_dedup": substrings.ORACLE}
