@@ -1,17 +1,64 @@
-"""Corpus pipeline: documents through stages of the training-data operators."""
+"""Corpus pipeline: documents through five of the training-data operators.
+
+Documents that the toxicity operator rejects go, one document of each near-duplicate
+group stays, credentials that aren't widely copied examples are masked, sources are
+mixed to target weights, and what is left is encoded. Every stage works on all that
+its predecessor kept.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import functions as F
+
+from firesight.llm import bpe, mixing, secrets, simhash, toxicity
+from firesight.llm.common import table, written
+
+#: The mix reaches this share of the largest entropy by repeating small sources; none loses a document.
+ENTROPY = 0.9
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents whose score stays below the operator's threshold."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=tuple(docs.columns)).filter("predicted = 0").select(*docs.columns)
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    """One document of each SimHash group: 3-word shingles, at most 2 differing bits."""
+    return simhash.one_per_group(docs, shingle=3, max_bits=2)
+
+
+def mask_secrets(spark, docs, sf_dir):
+    """Texts with their live-looking credentials masked; ``n_chars`` follows the text."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Documents repeated so that source shares reach the target entropy; every document stays."""
+    return mixing.mixed_documents(docs, entropy=ENTROPY, cover=True)
+
+
+def encode(spark, docs, sf_dir):
+    """The training rows: ids with their digests."""
+    ids = bpe.encode_documents(docs, bpe.default_tokenizer(), keep=("doc_id", "lang", "source"))
+    return bpe.digests(ids, "doc_id", "lang", "source", "ids")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash", drop_near_duplicates),
+    ("secrets", mask_secrets),
+    ("mixing", mix_sources),
+    ("bpe", encode),
+]
 
-#: Stages with models and tokenisers have no SQL form; tests/llm holds the brute-force check.
+#: The classifier and the tokeniser have no SQL form; tests/llm holds run() against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """STAGES over the documents table, each stage written and read again."""
-    from firesight.llm.common import table, written
+    """STAGES over the documents table, each written and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -118,8 +118,8 @@ def fingerprint_links(classes: DataFrame, max_bits: int = 2, list_pairs: int = L
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3,
                     max_bits: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of ``docs``: the id, the columns in ``keep``, ``fingerprint`` (16 hex digits)
-    and ``component_id``, the smallest id reachable by links.
+    """One row per row of ``docs``: the id, the columns in ``keep``, ``fingerprint`` (16 hex digits),
+    ``component_id``, the smallest id reachable by links, and ``component``, a number of its own for each.
 
     Null text is empty; texts without words have fingerprint zero and link like any other.
     A null id takes part and gets its component's smallest id (null if all are null); repeated
@@ -136,13 +136,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     roots = components(links, "a", "b", "simhash-links").withColumnRenamed("node", "_fp")
     rooted = classes.join(roots, "_fp", "left").select("_fp", "_least", F.coalesce("root", "_fp").alias("_root"))
     named = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    by_fp = rooted.join(named, "_root").select("_fp", "component_id")
+    by_fp = rooted.join(named, "_root").select("_fp", "component_id", F.col("_root").alias("component"))
     hexed = F.lpad(F.lower(F.hex("_fp")), 16, "0")
     return fps.join(by_fp, "_fp").select(
         F.col("_id").alias(id_col), *[F.col(f"_keep_{c}").alias(c) for c in keep],
-        hexed.alias("fingerprint"), "component_id")
+        hexed.alias("fingerprint"), "component_id", "component")
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the one with the smallest id (null last)."""
+    keyed = docs.withColumn("_key", F.xxhash64(F.col(text)))
+    near = near_duplicates(keyed, id_col, text, shingle, max_bits, keep=("_key",))
+    first = near.groupBy("component").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                                                         F.col("_key").alias("key"))).alias("x")).select("x.id", "x.key")
+    kept = keyed.join(first, F.col(id_col).eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key")), "left_semi")
+    return kept.dropDuplicates([id_col, "_key"]).select(*docs.columns)
 
 
 def op3_simhash(spark, sf_dir):
     from firesight.llm.common import table
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("component")
