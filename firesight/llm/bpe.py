@@ -17,7 +17,7 @@ a token span white space, which makes the outer words' agreement final.
 from __future__ import annotations
 
 import hashlib
-import zlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +25,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from firesight.llm.common import exchange_rows, in_batches, key_count, rows_sorted, run_exchange, table, texts_of, tune
+from firesight.llm.common import (Packer, exchange_rows, in_batches, key_count, pack, pack_rows, rows_sorted, run_exchange, table,
+                                  texts_of, tune, unpack, unpack_rows)
 
 #: Chunk lengths in bytes: least, mean distance of further cuts (a power of two), most.
 LEAST, MEAN, MOST = 512, 1024, 8192
-#: Words a worker keeps encoded; the memory is dropped when full, results don't change.
+#: Words a worker keeps encoded, in each of two generations; results don't depend on it.
 MEMORY_WORDS = 1 << 19
+#: Text bytes per batch.
+BATCH = 8 << 20
+#: Chunks and ids travel compressed against a sample of the texts: so many bytes from the starts of
+#: so many texts. Only their size on the wire depends on it.
+SAMPLE_BYTES, SAMPLE_TEXTS, LEVEL = 1 << 18, 256, 6
 
 _GEAR = np.frombuffer(hashlib.shake_256(b"content-defined chunks").digest(256 * 4), dtype="<u4")
 
@@ -43,6 +49,7 @@ class Words(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.older: dict[bytes, bytes] = {}
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
     def whole(self, text: bytes) -> bytes:
@@ -52,8 +59,12 @@ class Words(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= MEMORY_WORDS:
+            self.older = dict(self)
             self.clear()
-        self[word] = packed = self.whole(word)
+        packed = self.older.get(word)
+        if packed is None:
+            packed = self.whole(word)
+        self[word] = packed
         return packed
 
     def encode(self, text: bytes) -> bytes:
@@ -101,6 +112,8 @@ def cuts(data: bytes) -> list[int]:
 
 
 _SPACES = b" \t\n\r\x0b\x0c"
+_NOT_SPACES = bytes(x for x in range(256) if x not in _SPACES)
+_space = re.compile(rb"[ \t\n\r\x0b\x0c]")
 
 
 def _word_left(data: bytes, at: int) -> int:
@@ -111,12 +124,18 @@ def _word_left(data: bytes, at: int) -> int:
 
 
 def _run_left(data: bytes, at: int) -> int:
-    return max(data.rfind(s, 0, at) for s in (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c")) + 1
+    width = 64
+    while True:  # look back in growing steps: a long text isn't read to its start for every cut
+        start = max(0, at - width)
+        seen = data[start:at].rstrip(_NOT_SPACES)
+        if seen or start == 0:
+            return start + len(seen)
+        width *= 4
 
 
 def _run_right(data: bytes, at: int) -> int:
-    found = [x for s in (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c") if (x := data.find(s, at)) >= 0]
-    return min(found, default=len(data))
+    found = _space.search(data, at)
+    return found.start() if found else len(data)
 
 
 def _word_right(data: bytes, at: int) -> int:
@@ -163,11 +182,11 @@ def plan(data: bytes, words: Words) -> tuple[list[tuple[int, int]], list[tuple[i
     return chunks, repairs
 
 
-def _scan(path: str, keys: int, id_names: list[str]):
+def _scan(path: str, keys: int, id_names: list[str], sample: bytes):
     def run(batches):
-        words = words_of(path)
+        words, chunks_out = words_of(path), Packer(sample, LEVEL)
         width = np.dtype(words.dtype).itemsize
-        for g, batch in in_batches(batches, "_text"):
+        for g, batch in in_batches(batches, "_text", BATCH):
             known: dict[bytes, int] = {}
             sent: list[bytes] = []
             recipes = []
@@ -202,32 +221,34 @@ def _scan(path: str, keys: int, id_names: list[str]):
                     else:
                         steps.append(b"\0\0\0\0")
                 recipes.append(b"".join(steps))
-            rows = []
+            by_key: dict[int, list[tuple[int, bytes]]] = {}
             for digest, at in known.items():
-                rows.append((int.from_bytes(digest[:8], "little") % keys, g, 0, digest + at.to_bytes(4, "little"), sent[at]))
-            ids = pa.RecordBatch.from_arrays([batch.column(c) for c in id_names], names=id_names)
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, ids.schema) as out:
-                out.write_batch(ids)
-            sizes = np.array([len(x) for x in recipes], "<u4").tobytes()
-            rows.append((g % keys, g, 1, sink.getvalue().to_pybytes(),
-                         zlib.compress(np.uint32(len(recipes)).tobytes() + sizes + b"".join(recipes), 1)))
+                by_key.setdefault(int.from_bytes(digest[:8], "little") % keys, []).append((at, digest))
+            rows = [(k, g, 0, np.array([at for at, _ in some], "<u4").tobytes() + b"".join(d for _, d in some),
+                     chunks_out.pack([sent[at] for at, _ in some])) for k, some in by_key.items()]
+            rows.append((g % keys, g, 1, pack_rows(batch, id_names), pack(recipes)))
             yield exchange_rows(rows)
     return run
 
 
-def _answer(path: str):
+def _answer(path: str, sample: bytes, ids_sample: bytes):
     def run(batches):
         words, k, done = words_of(path), None, {}
+        chunks_in, ids_out = Packer(sample, LEVEL), Packer(ids_sample, LEVEL)
         out, size = [], 0
         for key, g, kind, a, b in rows_sorted(batches):
             if key != k:
                 k, done = key, {}
             if kind == 0:
-                ids = done.get(a[:16])
-                if ids is None:
-                    ids = done[a[:16]] = words.encode(b)
-                b = ids
+                n = len(a) // 20
+                answers = []
+                for i, piece in enumerate(chunks_in.unpack(b)):
+                    digest = a[4 * n + 16 * i:4 * n + 16 * i + 16]
+                    ids = done.get(digest)
+                    if ids is None:
+                        ids = done[digest] = words.encode(piece)
+                    answers.append(ids)
+                a, b = a[:4 * n], ids_out.pack(answers)
             out.append((key, g, kind, a, b))
             size += len(b)
             if size > 4 << 20:
@@ -258,9 +279,9 @@ def assemble(recipe: bytes, chunk_ids: dict[int, bytes], width: int) -> bytes:
     return b"".join(out)
 
 
-def _finish(path: str, schema: pa.Schema):
+def _finish(path: str, names: list[str], ids_sample: bytes):
     def run(batches):
-        words = words_of(path)
+        words, ids_in = words_of(path), Packer(ids_sample, LEVEL)
         width = np.dtype(words.dtype).itemsize
         tokens = np.array([words.tokenizer.id_to_token(i) or "" for i in range(words.tokenizer.get_vocab_size())], dtype=object)
         plain = words.tokenizer.decoder is None
@@ -269,28 +290,25 @@ def _finish(path: str, schema: pa.Schema):
             if g != group:
                 group, chunk_ids = g, {}
             if kind == 0:
-                chunk_ids[int.from_bytes(a[16:20], "little")] = b
+                chunk_ids.update(zip(np.frombuffer(a, "<u4").tolist(), ids_in.unpack(b)))
                 continue
-            ids = pa.ipc.open_stream(a).read_all().combine_chunks().to_batches()
-            packed = zlib.decompress(b)
-            n = int(np.frombuffer(packed, "<u4", 1)[0])
-            sizes = np.frombuffer(packed, "<u4", n, 4)
-            at = 4 + 4 * n
+            ids = unpack_rows(a)
+            recipes = list(unpack(b))
+            n = len(recipes)
             for start in range(0, n, 64):
                 lists, texts = [], []
-                for size in sizes[start:start + 64].tolist():
-                    one = np.frombuffer(assemble(packed[at:at + size], chunk_ids, width), words.dtype).astype(np.int32)
-                    at += size
+                for recipe in recipes[start:start + 64]:
+                    one = np.frombuffer(assemble(recipe, chunk_ids, width), words.dtype).astype(np.int32)
                     lists.append(one)
                     # without a decoder, decode() joins the tokens by spaces
                     texts.append(" ".join(tokens[one].tolist()) if plain else
                                  words.tokenizer.decode(one.tolist(), skip_special_tokens=False))
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
                 values = pa.array(np.concatenate(lists) if lists else np.array([], np.int32), pa.int32())
-                rows = ids[0].slice(start, len(lists))
+                rows = ids.slice(start, len(lists))
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(texts, pa.string())],
-                    names=schema)
+                    names=names)
     return run
 
 
@@ -308,8 +326,11 @@ def encode_documents(docs: DataFrame, tokenizer: str, text: str = "text", keep:
     rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col(text).alias("_text"))
     kept = rows.drop("_text").schema
     schema = kept.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
-    found = run_exchange(rows, _scan(tokenizer, key_count(docs.sparkSession, 64), names), _answer(tokenizer),
-                         _finish(tokenizer, schema.names), schema)
+    some = rows.select(F.substring("_text", 1, 2 * SAMPLE_BYTES // SAMPLE_TEXTS).alias("t")).limit(SAMPLE_TEXTS).collect()
+    sample = b"\n".join((r.t or "").encode() for r in some)[:SAMPLE_BYTES]
+    ids_sample = words_of(tokenizer).encode(sample)
+    found = run_exchange(rows, _scan(tokenizer, key_count(docs.sparkSession), names, sample),
+                         _answer(tokenizer, sample, ids_sample), _finish(tokenizer, schema.names, ids_sample), schema)
     return found.toDF(*keep, "ids", "decoded")
 
 

@@ -88,19 +88,37 @@ def in_batches(batches: Iterator[pa.RecordBatch], text: str, limit: int = BATCH_
             start = stop
 
 
+class Packer:
+    """Byte strings as one compressed value, with a shared sample of such strings if there is one."""
+
+    def __init__(self, sample: bytes = b"", level: int = 3):
+        shared = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if sample else None
+        if shared:
+            shared.precompute_compress(level=level)
+        self.compressor = zstandard.ZstdCompressor(level=level, dict_data=shared)
+        self.decompressor = zstandard.ZstdDecompressor(dict_data=shared)
+
+    def pack(self, parts: list[bytes]) -> bytes:
+        return self.compressor.compress(np.array([len(parts), *map(len, parts)], "<u4").tobytes() + b"".join(parts))
+
+    def unpack(self, packed: bytes):
+        data = self.decompressor.decompress(packed)
+        n = int.from_bytes(data[:4], "little")
+        at = 4 + 4 * n
+        for size in np.frombuffer(data, "<u4", n, 4).tolist():
+            yield data[at:at + size]
+            at += size
+
+
+_plain = Packer()
+
+
 def pack(parts: list[bytes]) -> bytes:
-    """Byte strings as one compressed value."""
-    sizes = np.array([len(parts), *map(len, parts)], "<u4").tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(sizes + b"".join(parts))
+    return _plain.pack(parts)
 
 
 def unpack(packed: bytes):
-    data = zstandard.ZstdDecompressor().decompress(packed)
-    n = int.from_bytes(data[:4], "little")
-    at = 4 + 4 * n
-    for size in np.frombuffer(data, "<u4", n, 4).tolist():
-        yield data[at:at + size]
-        at += size
+    return _plain.unpack(packed)
 
 
 def pack_rows(batch: pa.RecordBatch, names: list[str]) -> bytes:
