@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from firesight.llm.common import table, texts_of, tune
+from firesight.llm.common import table, texts_of, tune, written
 
 #: Bounds of the fitted sample: examples per class, rows for calibration, terms.
 EXAMPLES, CALIBRATION, TERMS = 2048, 4096, 2048
@@ -29,6 +29,10 @@ EXAMPLES, CALIBRATION, TERMS = 2048, 4096, 2048
 CHI_SQUARE = 28.0
 #: Besides words, their beginnings are terms, so that inflected and unseen forms count.
 PREFIXES = (3, 4, 5, 6)
+#: A term needs so many toxic examples, and so large a part of them.
+SUPPORT, SUPPORT_SHARE = 5, 0.01
+#: The term that stands for all words without a chosen term: it holds how thin the evidence is.
+OTHER = ""
 #: Words a worker remembers the terms of.
 MEMORY_WORDS = 1 << 19
 NEIGHBOURS = 16
@@ -57,11 +61,11 @@ class Known(dict):
     def __missing__(self, word):
         if len(self) >= MEMORY_WORDS:
             self.clear()
-        self[word] = found = tuple(t for t in terms_of(word) if t in self.terms)
+        self[word] = found = tuple(t for t in terms_of(word) if t in self.terms) or (OTHER,)
         return found
 
     def count(self, text: bytes) -> dict[str, int]:
-        return Counter(chain.from_iterable(filter(None, map(self.__getitem__, tokens(text)))))
+        return Counter(chain.from_iterable(map(self.__getitem__, tokens(text))))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -116,12 +120,6 @@ class BlockMaxIndex:
         return top, found[top]
 
 
-def chi_square(a, b, pos, neg):
-    """2 x 2 chi-square of a term in a of pos and b of neg rows."""
-    n, d = pos + neg, a + b
-    return n * (a * (neg - b) - b * (pos - a)) ** 2 / np.maximum(1e-9, pos * neg * d * (n - d))
-
-
 def monotone(scores: np.ndarray, labels: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
     """Pool-adjacent-violators fit of the label rate by score, each pool smoothed by one prior row."""
     order = np.argsort(scores, kind="stable")
@@ -141,6 +139,7 @@ def monotone(scores: np.ndarray, labels: np.ndarray, prior: float) -> tuple[np.n
 class Model:
     def __init__(self, terms: dict[str, int], idf: np.ndarray):
         self.terms, self.idf = terms, idf
+        self.known: dict[int, tuple[float, np.ndarray]] = {}
 
     def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         ids = sorted((self.terms[t], n) for t, n in counts.items() if t in self.terms)
@@ -168,11 +167,16 @@ class Model:
         at, w = self.vector(counts)
         if not len(at):
             return -1.0, at
+        if len(at) == 1 and int(at[0]) in self.known:  # a vector of one term is the same for all texts
+            return self.known[int(at[0])]
         top, cos = self.index.nearest(at, w, NEIGHBOURS)
         if not len(top):
             return -1.0, top
-        mass = self.mass[top] * cos / (1.0 + 1e-6 - np.minimum(cos, 1.0)) ** 0.5
-        return float((mass * self.labels[top]).sum() / mass.sum()), top
+        mass = self.mass[top] * cos / (1.01 - np.minimum(cos, 1.0)) ** 0.5
+        found = float((mass * self.labels[top]).sum() / mass.sum()), top
+        if len(at) == 1:
+            self.known[int(at[0])] = found
+        return found
 
     def calibrate(self, rows: list[tuple[int, dict[str, int]]]) -> None:
         votes = np.array([self.vote(c)[0] for _, c in rows])
@@ -192,16 +196,18 @@ class Model:
         return float(np.interp(vote, self.at, self.rate)), top
 
 
-def _term_counts(docs: DataFrame) -> DataFrame:
-    """(_id, _y, _part, counts) of a bounded sample of documents."""
+def _counted(sample: DataFrame, known: Known | None = None) -> DataFrame:
+    """(_id, _y, _part, counts) of a bounded sample: the counts of all terms, or of a model's."""
     def run(batches):
         for batch in batches:
-            counts = [list(Counter(chain.from_iterable(map(terms_of, tokens(t)))).items()) for t in texts_of(batch, "_t")]
+            counts = [known.count(t) if known is not None else Counter(chain.from_iterable(map(terms_of, tokens(t))))
+                      for t in texts_of(batch, "_t")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_y"), batch.column("_part"),
-                 pa.array(counts, pa.map_(pa.string(), pa.int32()))], names=["_id", "_y", "_part", "counts"])
+                 pa.array([list(c.items()) for c in counts], pa.map_(pa.string(), pa.int32()))],
+                names=["_id", "_y", "_part", "counts"])
 
-    return docs.mapInArrow(run, "_id long, _y int, _part int, counts map<string,int>")
+    return sample.mapInArrow(run, "_id long, _y int, _part int, counts map<string,int>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -224,27 +230,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text).alias("_t"))
     # at most 2 * examples + calibration rows: small whatever the tables hold
     taken = texts.join(F.broadcast(sample), "_id").groupBy("_id", "_y", "_part").agg(F.min("_t").alias("_t"))
-    counts = _term_counts(taken.select("_id", "_y", "_part", "_t")).persist()
-    try:
-        n1, n0 = (counts.filter((F.col("_part") == 0) & (F.col("_y") == v)).count() for v in (1, 0))
-        terms = (counts.filter("_part = 0").select("_y", F.explode(F.map_keys("counts")).alias("term")).groupBy("term")
-                 .agg(F.sum("_y").alias("a"), F.count("*").alias("d")).filter("d > 1"))
-        if n1 and n0:
-            a, b = F.col("a").cast("double"), (F.col("d") - F.col("a")).cast("double")
-            terms = terms.withColumn("x", F.lit(float(n1 + n0)) * F.pow(a * (n0 - b) - b * (n1 - a), 2) / (
-                F.lit(float(n1)) * n0 * F.col("d") * F.greatest(F.lit(1e-9), n1 + n0 - F.col("d"))))
-            chosen = terms.filter(F.col("x") >= CHI_SQUARE).orderBy(F.desc("x"), "term").limit(TERMS).select("term", "d").collect()
-        else:
-            chosen = []
-        model = Model({r.term: i for i, r in enumerate(chosen)},
-                      np.log((n1 + n0 + 1) / np.array([r.d for r in chosen], dtype=float)))
-        wanted = F.array(*[F.lit(r.term) for r in chosen]) if chosen else F.array().cast("array<string>")
-        small = counts.select("_id", "_y", "_part", F.map_filter("counts", lambda k, _: F.array_contains(wanted, k)).alias("c"))
-        got = small.orderBy("_id", "_part").collect()
-    finally:
-        counts.unpersist()
-    model.build([(r._id, r._y, r.c) for r in got if r._part == 0], share)
-    model.calibrate([(r._y, r.c) for r in got if r._part == 1])
+    taken = written(taken.select("_id", "_y", "_part", "_t"), "toxicity-sample")
+    n1, n0 = (taken.filter((F.col("_part") == 0) & (F.col("_y") == v)).count() for v in (1, 0))
+    chosen = []
+    if n1 and n0:
+        terms = (_counted(taken.filter("_part = 0")).select("_y", F.explode(F.map_keys("counts")).alias("term"))
+                 .groupBy("term").agg(F.sum("_y").alias("a"), F.count("*").alias("d"))
+                 .filter(F.col("a") >= max(SUPPORT, SUPPORT_SHARE * n1)))
+        a, b = F.col("a").cast("double"), (F.col("d") - F.col("a")).cast("double")
+        terms = terms.withColumn("x", F.lit(float(n1 + n0)) * F.pow(a * (n0 - b) - b * (n1 - a), 2) / (
+            F.lit(float(n1)) * n0 * F.col("d") * F.greatest(F.lit(1e-9), n1 + n0 - F.col("d"))))
+        chosen = (terms.filter((F.col("x") >= CHI_SQUARE) & (a * n0 > b * n1)).orderBy(F.desc("x"), "term")
+                  .limit(TERMS - 1).select("term", "d").collect())
+    names, rows = [*(r.term for r in chosen), OTHER], np.array([*(r.d for r in chosen), n1 + n0], dtype=float)
+    model = Model({t: i for i, t in enumerate(names)}, np.log1p((n1 + n0) / np.maximum(1.0, rows)))
+    got = _counted(taken, Known(model.terms)).orderBy("_id", "_part").collect()
+    model.build([(r._id, r._y, r.counts) for r in got if r._part == 0], share)
+    model.calibrate([(r._y, r.counts) for r in got if r._part == 1])
     return model
 
 
