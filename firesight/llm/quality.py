@@ -30,8 +30,9 @@ SYMBOL_WORD = rf"[^{SPACE}]*(?:{SYMBOLS}|[!?]{{2,}})[^{SPACE}]*"
 SEPARATOR = rf"(?:^|[{SPACE}])(?:\||>|>>|/|-|»|›|·)(?=[{SPACE}]|$)"
 SEPARATORS_PERCENT = 20
 NAVIGATION = r"^(?:home|menu|next|previous|back|login|log in|sign in|sign up|contact|about|search|share|tweet)$"
-BOILERPLATE = (r"all rights reserved|released under|licensed under|terms of (?:use|service)|privacy policy|cookie"
-               r"|javascript|lorem ipsum|click here|subscribe to|copyright (?:\(c\)|©)|© ?\d{4}")
+BOILERPLATE = ["all rights reserved", "released under", "licensed under", "terms of use", "terms of service",
+               "privacy policy", "cookie", "javascript", "lorem ipsum", "click here", "subscribe to",
+               "copyright (c)", "copyright ©", "© 19", "© 20", "©19", "©20"]
 #: A document keeps at least so many percent of its words, or it is rejected.
 KEEP_PERCENT = 50
 
@@ -67,12 +68,19 @@ def _repeat_words(words: str) -> Column:
 
 def line_fails(line: Column) -> Column:
     """True if a line with words fails a rule."""
-    n = F.regexp_count(line, F.lit(WORD))
-    low = F.trim(F.lower(line))
-    return ((n >= UNMARKED_WORDS) & ~line.rlike(MARKS)) \
-        | (100 * F.regexp_count(line, F.lit(SYMBOL_WORD)) > SYMBOL_WORDS_PERCENT * n) \
-        | (100 * F.regexp_count(line, F.lit(SEPARATOR)) > SEPARATORS_PERCENT * n) \
-        | low.rlike(NAVIGATION) | low.rlike(BOILERPLATE)
+    def on_words(n: Column) -> Column:
+        # the count of symbol words is only taken where a word can be one
+        symbols = F.when(line.rlike(rf"{SYMBOLS}|[!?]{{2}}"), F.regexp_count(line, F.lit(SYMBOL_WORD))).otherwise(0)
+        return ((n >= UNMARKED_WORDS) & ~line.rlike(MARKS)) | (100 * symbols > SYMBOL_WORDS_PERCENT * n) \
+            | (100 * F.regexp_count(line, F.lit(SEPARATOR)) > SEPARATORS_PERCENT * n)
+
+    def on_phrases(low: Column) -> Column:
+        found = low.rlike(NAVIGATION)
+        for phrase in BOILERPLATE:
+            found = found | F.contains(low, F.lit(phrase))
+        return found
+
+    return _let(F.regexp_count(line, F.lit(WORD)), on_words) | _let(F.trim(F.lower(line)), on_phrases)
 
 
 def clean_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -129,7 +137,7 @@ f AS (SELECT *, n > 0 AND (
         OR 100 * {_count(_SW, 'line')} > {SYMBOL_WORDS_PERCENT} * n
         OR 100 * len(list_filter(regexp_extract_all(line, '{_W}'), lambda x: x IN ('|', '>', '>>', '/', '-', '»', '›', '·'))) > {SEPARATORS_PERCENT} * n
         OR regexp_matches(trim(low), '{NAVIGATION}')
-        OR regexp_matches(low, '{BOILERPLATE.replace(chr(92) + 'u00a9', '©')}')) AS bad FROM m),
+        OR {" OR ".join(f"contains(low, '{x}')" for x in BOILERPLATE)}) AS bad FROM m),
 a AS (SELECT rid, count(*) FILTER (WHERE n > 0) - count(DISTINCT line) FILTER (WHERE n > 0) AS n_dup_lines,
         count(*) FILTER (WHERE bad) AS n_lines_removed, coalesce(sum(n) FILTER (WHERE NOT bad), 0) AS n_words_left
       FROM f GROUP BY rid),
