@@ -20,7 +20,7 @@ ENTROPY = 0.9
 def drop_toxic(spark, docs, sf_dir):
     """Documents whose score stays below the operator's threshold."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, keep=tuple(docs.columns)).filter("predicted = 0").select(*docs.columns)
+    return toxicity.accepted(docs, model)
 
 
 def drop_near_duplicates(spark, docs, sf_dir):

@@ -58,6 +58,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_rows(df: DataFrame):
+    """All columns as one struct, so that a step's own columns can't clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def key_count(spark: SparkSession, per_partition: int = 4) -> int:
     """Number of routing keys: follows the shuffle partitions the cluster sets for its input."""
     return max(64, per_partition * int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firesight.llm.common import WORD, table, written
+from firesight.llm.common import WORD, table, whole_rows, written
 
 #: Share of the largest possible entropy (ln of the number of sources) to reach.
 ENTROPY = 0.97
@@ -170,13 +170,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     seed = options.get("seed", SEED)
     # identical rows share a key; the rows of a key are as many as were drawn for it
     drawn = mix(docs, id_col, text, source, **options).groupBy("key").agg(F.count("*").alias("_drawn"))
-    own = docs.select("*", F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(t))
-                                 ).alias("_key"))
+    own = docs.select(whole_rows(docs).alias("_row"), F.md5(F.concat_ws(
+        ":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(t))).alias("_key"))
     each = own.select("_key").groupBy("_key").agg(F.count("*").alias("_rows"))
     share = drawn.join(each, F.col("key") == F.col("_key")).select(
         "key", F.ceil(F.col("_drawn") / F.col("_rows")).cast("int").alias("_times"))
     return own.join(share, F.col("_key") == F.col("key")).select(
-        *docs.columns, F.explode(F.array_repeat(F.lit(1), F.col("_times"))).alias("_copy")).drop("_copy")
+        "_row", F.explode(F.array_repeat(F.lit(1), F.col("_times"))).alias("_copy")).select("_row.*")
 
 
 def _number_sql(text: str) -> str:

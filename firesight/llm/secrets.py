@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firesight.llm.common import table, written
+from firesight.llm.common import table, whole_rows, written
 
 # Kinds in the order of the output, pattern, group that holds the
 # value, least length of the value, whether the kind is a base kind. A kind's
@@ -154,12 +154,12 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner: s
         return F.when(x["start"] >= acc["at"], F.struct(x["end"].alias("at"), F.concat(acc["out"], gap, F.lit(mask)).alias("out"))
                       ).otherwise(F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out")))
 
-    cols = docs.columns
     clean = F.aggregate(F.col("_spans"), start, step,
                         lambda acc: F.concat(acc["out"], F.substring(F.col("_text"), acc["at"] + 1, F.length("_text"))))
-    joined = docs.withColumn("_key", F.xxhash64(t, F.col(id_col))).withColumn("_text", F.col(text)).join(found, "_key", "left")
-    return joined.select(*[(F.when(F.col("_spans").isNull(), F.col(text)).otherwise(clean)).alias(c) if c == text
-                           else F.col(c) for c in cols])
+    rows = docs.select(whole_rows(docs).alias("_row"), F.xxhash64(t, F.col(id_col)).alias("_key"), F.col(text).alias("_text"))
+    masked = rows.join(found, "_key", "left").select("_row", F.when(F.col("_spans").isNull(), F.col("_text")).otherwise(clean)
+                                                     .alias("_masked"))
+    return masked.select(*[F.col("_masked").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
 def _sql_string(s: str) -> str:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firesight.llm.common import texts_of, tune, written
+from firesight.llm.common import table, texts_of, tune, whole_rows, written
 from firesight.llm.components import components
 
 #: Lists up to this many distinct fingerprints are compared pair by pair, longer ones by centres.
@@ -145,14 +145,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the smallest id (null last)."""
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(text)))
-    near = near_duplicates(keyed, id_col, text, shingle, max_bits, keep=("_key",))
-    first = near.groupBy("component").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+    keyed = docs.select(whole_rows(docs).alias("_row"), F.col(id_col).alias("_id"), F.col(text).alias("_text"),
+                        F.xxhash64(F.col(text)).alias("_key"))
+    near = near_duplicates(keyed, "_id", "_text", shingle, max_bits, keep=("_key",))
+    first = near.groupBy("component").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"),
                                                          F.col("_key").alias("key"))).alias("x")).select("x.id", "x.key")
-    kept = keyed.join(first, F.col(id_col).eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key")), "left_semi")
-    return kept.dropDuplicates([id_col, "_key"]).select(*docs.columns)
+    kept = keyed.join(first, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key")), "left_semi")
+    return kept.dropDuplicates(["_id", "_key"]).select("_row.*")
 
 
 def op3_simhash(spark, sf_dir):
-    from firesight.llm.common import table
     return near_duplicates(table(spark, sf_dir, "documents")).drop("component")

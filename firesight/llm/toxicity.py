@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from firesight.llm.common import table, texts_of, tune, written
+from firesight.llm.common import table, texts_of, tune, whole_rows, written
 
 #: Bounds of the fitted sample: examples per class, rows for calibration, terms.
 EXAMPLES, CALIBRATION, TERMS = 2048, 4096, 2048
@@ -250,6 +250,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     return model
 
 
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score stays below the threshold."""
+    rows = docs.select(whole_rows(docs).alias("_row"), F.col(text).alias("_text"))
+    return score(rows, model, "_text", keep=("_row",)).filter("predicted = 0").select("_row.*")
+
+
 def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per row of ``docs``: the columns in ``keep``, ``score``, ``predicted`` and ``evidence``.
 
