@@ -95,15 +95,21 @@ def event_time(df: DataFrame, col: str = "ingest_ts") -> Column:
     return F.col(col)
 
 
+def order_value(df: DataFrame, index: str = "reading_index", ts: str = "ingest_ts") -> Column:
+    """A reading's place in its node's order as one number: index (null as
+    0), then time (null first). A decimal, not a struct, so that ``max`` and
+    ``max_by`` over it run as hash aggregates."""
+    ord_ = F.coalesce(F.col(index).cast("long"), F.lit(0)).cast("decimal(19,0)")
+    at = event_time(df, ts)
+    micros = F.coalesce(F.unix_micros(at.cast("timestamp")) + F.lit(10 ** 17), F.lit(0)).cast("decimal(18,0)")
+    return (ord_ * F.lit(10 ** 18).cast("decimal(19,0)") + micros).cast("decimal(38,0)")
+
+
 def hour_of_day(c: Column) -> Column:
     return F.hour(c)
 
 
 # P9 / P10 ---------------------------------------------------------------------
-def round_to(c: Column, n: int) -> Column:
-    return F.round(c, n)
-
-
 def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
@@ -121,9 +127,13 @@ def exact_avg(c: Column, decimals: int) -> Column:
     A double sum depends on the order rows are added (that is, on the
     partitioning), which can move an average that is exactly on a rounding
     tie to either side. The decimal sum is exact, so the rounded result is the
-    same however the rows are split. NaN/inf are ignored like nulls.
+    same however the rows are split. If a value doesn't fit the decimal (1e26
+    and more, infinite, NaN), the plain double average of all values is returned:
+    no row is left out. (NaN readings are nulls from the source on.)
     """
-    return F.round(F.avg(c.try_cast(EXACT_DECIMAL)), decimals).cast("double")
+    exact = c.try_cast(EXACT_DECIMAL)
+    return F.when(F.count(exact) == F.count(c), F.round(F.avg(exact), decimals).cast("double")).otherwise(
+        F.round(F.avg(c), decimals))
 
 
 def round_significant(c: Column, digits: int) -> Column:

@@ -7,9 +7,9 @@ history into one task, and there are very few nodes. ``enrich`` therefore runs
 a two-level prefix scan:
 
 1. cut each node's sequence into chunks of ``chunk_rows`` consecutive index
-   values and summarise every chunk (count, mean, M2 per sensor; last non-null
-   fire label) - a partial aggregate, so the shuffle carries one row per chunk
-   and map task;
+   values and summarise every chunk (count, mean, M2, min, max per sensor; last
+   non-null fire label in index and time order) - a partial aggregate, so the
+   shuffle carries one row per chunk and map task;
 2. over the small chunk table, compute for every chunk the summary of all
    earlier chunks of its node (exclusive running sums, shifted by a per-node
    reference to avoid cancellation);
@@ -18,7 +18,8 @@ a two-level prefix scan:
    (n = a+b, d = mean_b-mean_a, mean = mean_a + d*b/n, M2 = M2_a + M2_b + d^2*a*b/n).
 
 Parallelism is nodes x chunks; the result equals the sequential Welford update
-up to floating-point rounding. ``method="window"`` keeps the plain one-level
+up to floating-point rounding. Min and max merge exactly, so a series that has
+been flat so far scores exactly 0.0 whatever the rounding of its merged M2. ``method="window"`` keeps the plain one-level
 window for comparison and tests.
 """
 
@@ -27,12 +28,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firesight.functions.columns import _compare, clean, fire_state_label, is_fire, q
+from firesight.functions.columns import _compare, clean, fire_state_label, is_fire, order_value, q
 from firesight.spec import DEFAULT_SPEC, SensorSpec
 
-# Index values per chunk. A chunk holds at most this many readings of one
-# node, so one sort task handles a bounded amount (about 50 MB at ~200 bytes a
-# row); a node with 10^11 readings has ~4*10^5 chunk-summary rows.
+# Index values per chunk. With one reading per index a chunk is one sort task
+# of about 50 MB at ~200 bytes a row; a node with 10^11 readings has ~4*10^5
+# chunk-summary rows. Readings that repeat an index, or have none (all count as
+# 0), add to their chunk.
 DEFAULT_CHUNK_ROWS = 1 << 18
 
 ORD = "_ord"
@@ -50,16 +52,18 @@ def order_key(df: DataFrame) -> DataFrame:
     return df.withColumn(ORD, F.coalesce(F.col("reading_index").cast("long"), F.lit(0)))
 
 
-def _zscore(x: Column, n: Column, mean: Column, m2: Column, decimals: int) -> Column:
+def _zscore(x: Column, n: Column, mean: Column, m2: Column, spread: Column, decimals: int) -> Column:
     """Signed z of the current value against the running stats that include it.
 
     Sample variance m2/(n-1); n = 1 or zero spread gives 0.0; a null value
-    gives null. ``+ 0.0`` turns a rounded -0.0 into 0.0.
+    gives null. ``spread`` says whether two values so far differ (min < max):
+    a merged M2 may be a rounding error above zero where none do. ``+ 0.0``
+    turns a rounded -0.0 into 0.0.
     """
     std = F.sqrt(m2 / (n - 1))
     z = F.round((x - mean) / std, decimals) + F.lit(0.0)
     return (F.when(x.isNull(), F.lit(None).cast("double"))
-            .when((n > 1) & (m2 > 0), z)
+            .when((n > 1) & spread & (m2 > 0), z)
             .otherwise(F.lit(0.0)))
 
 
@@ -113,7 +117,7 @@ def score_window(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
         n = F.count(x).over(w)
         mean = F.avg(x).over(w)
         m2 = F.var_pop(x).over(w) * n
-        zs[f"zscore_{name}"] = _zscore(x, n, mean, m2, spec.z_decimals)
+        zs[f"zscore_{name}"] = _zscore(x, n, mean, m2, F.min(x).over(w) < F.max(x).over(w), spec.z_decimals)
     scored = base.withColumns(zs)
     prev = F.last(F.col("Fire"), ignorenulls=True).over(w_prev)
     return _finish(scored, prev, spec).drop(ORD)
@@ -128,9 +132,11 @@ def _chunk_summaries(base: DataFrame, spec: SensorSpec) -> DataFrame:
             F.count(x).alias(f"_n_{name}"),
             F.avg(x).alias(f"_mean_{name}"),
             (F.var_pop(x) * F.count(x)).alias(f"_m2_{name}"),
+            F.min(x).alias(f"_lo_{name}"),
+            F.max(x).alias(f"_hi_{name}"),
         ]
     fire = F.col("Fire")
-    aggs.append(F.max_by(fire, F.when(fire.isNotNull(), F.col(ORD))).alias("_last_fire"))
+    aggs.append(F.max_by(fire, F.when(fire.isNotNull(), order_value(base))).alias("_last_fire"))
     return base.groupBy("node_id", CHUNK).agg(*aggs)
 
 
@@ -153,6 +159,8 @@ def _carry_in(chunks: DataFrame, spec: SensorSpec) -> DataFrame:
         sums[f"_pd_{n}"] = F.coalesce(F.sum(cnt * d).over(before), F.lit(0.0))
         sums[f"_pdd_{n}"] = F.coalesce(F.sum(cnt * d * d).over(before), F.lit(0.0))
         sums[f"_pm2_{n}"] = F.coalesce(F.sum(m2).over(before), F.lit(0.0))
+        sums[f"_clo_{n}"] = F.min(f"_lo_{n}").over(before)
+        sums[f"_chi_{n}"] = F.max(f"_hi_{n}").over(before)
     out = out.withColumns(sums)
     cols = []
     for n in names:
@@ -163,6 +171,7 @@ def _carry_in(chunks: DataFrame, spec: SensorSpec) -> DataFrame:
             F.when(has, F.col(f"_ref_{n}") + pd / pn).otherwise(F.lit(0.0)).alias(f"_cmean_{n}"),
             F.when(has, F.greatest(pm2 + pdd - pd * pd / pn, F.lit(0.0))).otherwise(F.lit(0.0))
             .alias(f"_cm2_{n}"),
+            f"_clo_{n}", f"_chi_{n}",
         ]
     return out.select("node_id", CHUNK, *cols, "_cfire")
 
@@ -183,6 +192,8 @@ def score_prefix(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC,
         local[f"_ln_{name}"] = F.count(x).over(w)
         local[f"_lmean_{name}"] = F.avg(x).over(w)
         local[f"_lm2_{name}"] = F.var_pop(x).over(w) * F.count(x).over(w)
+        local[f"_llo_{name}"] = F.min(x).over(w)
+        local[f"_lhi_{name}"] = F.max(x).over(w)
     local["_lfire"] = F.last(F.col("Fire"), ignorenulls=True).over(w_prev)
     windowed = base.withColumns(local)
 
@@ -208,7 +219,9 @@ def score_prefix(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC,
                                 + d * d * cn * ln / n)
     joined = joined.withColumns(stats)
     zs = {f"zscore_{name}": _zscore(q(col), F.col(f"_n_{name}"), F.col(f"_mean_{name}"),
-                                    F.col(f"_m2_{name}"), spec.z_decimals)
+                                    F.col(f"_m2_{name}"),
+                                    F.least(f"_clo_{name}", f"_llo_{name}") < F.greatest(f"_chi_{name}", f"_lhi_{name}"),
+                                    spec.z_decimals)
           for col, name, _ in spec.scored}
     scored = joined.withColumns(zs)
     prev = F.coalesce(F.col("_lfire"), F.col("_cfire"))

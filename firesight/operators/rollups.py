@@ -96,13 +96,12 @@ def enrichment_counts(enriched: DataFrame, batch_col: str = "batch_id") -> DataF
     return per.withColumn("batch_rows", F.sum("rows").over(Window.partitionBy(batch_col)))
 
 
-def snapshot_rollup(report: DataFrame, k: int = 10) -> DataFrame:
-    """Sum of totals and max of p99 temperature by node, first k nodes."""
+def snapshot_rollup(report: DataFrame) -> DataFrame:
+    """Sum of totals and max of p99 temperature by node, all nodes in order."""
     return (report.groupBy("node_id")
             .agg(F.sum("total_readings").alias("sum_total_readings"),
                  F.max("p99_temp").alias("max_p99_temp"))
-            .orderBy("node_id")
-            .limit(k))
+            .orderBy("node_id"))
 
 
 def fire_distribution(raw: DataFrame) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from firesight.functions.columns import fire_state_label, is_fire, map_status, q, round_significant
-from firesight.operators.enrich import ENRICH_COLUMNS, ORD, order_key
+from firesight.functions.columns import fire_state_label, is_fire, map_status, order_value, q, round_significant
+from firesight.operators.enrich import ENRICH_COLUMNS
 from firesight.operators.rollups import ROLLUP_SENSORS
 from firesight.spec import DEFAULT_SPEC, SensorSpec
 
@@ -15,37 +15,57 @@ STATE_DECIMALS = 6
 M2_DIGITS = 10
 
 
-def latest_by_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
-    """Keep, per key, the row with the greatest ordering value.
+def _in_place(t: T.DataType) -> bool:
+    """Types a hash aggregate can update in place."""
+    return isinstance(t, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
 
-    A ``max_by`` aggregate: every map task keeps only its best row per key
-    before the shuffle, so a key holding a large share of rows costs one
-    partial state per task, not a sort of all its rows.
+def latest_by_order(df: DataFrame, keys: list[str], order: Column, extra_aggs: list | None = None) -> DataFrame:
+    """Per key, the row with the greatest ``order`` (one number), in one pass.
+
+    A ``max_by`` per column beside the other aggregates: every map task keeps
+    one state per key, nothing is sorted and no row of the history is shuffled.
+    All columns are taken by the same comparisons, so they come from one row.
+    A ``max_by`` over text (or a whole-row struct) would run as a sort-based
+    aggregate, so such columns travel in a join of the keys' top orders with
+    the few rows that hold them instead.
     """
     others = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in order_cols])
-    row = F.struct(*[F.col(f"`{c}`") for c in others])
-    return (df.groupBy(*keys).agg(F.max_by(row, order).alias("_r"))
-            .select(*keys, *[F.col("_r").getField(c).alias(c) for c in others]))
+    flat = [c for c in others if _in_place(df.schema[c].dataType)]
+    rest = [c for c in others if c not in flat]
+    base = df.withColumn("_at", order)
+    aggs = [F.max_by(q(c), F.col("_at")).alias(c) for c in flat] + (extra_aggs or [])
+    if not rest:
+        return base.groupBy(*keys).agg(*aggs, F.max("_at").alias("_at")).drop("_at").select(
+            *keys, *[q(c) for c in others], *_names(extra_aggs))
+    top = base.groupBy(*keys).agg(F.max("_at").alias("_top"), *(extra_aggs or []))
+    same = [base[c].eqNullSafe(top[c]) for c in keys]
+    cond = base["_at"] == top["_top"]
+    for c in same:
+        cond = cond & c
+    rows = base.join(top, cond).select(*[base[c] for c in keys], *[base[c] for c in others], *_names(extra_aggs))
+    return rows.dropDuplicates(keys)
+
+
+def _names(aggs: list | None) -> list[str]:
+    return [a._jc.toString().rsplit(" AS ", 1)[-1] for a in (aggs or [])]
+
+
+def latest_by_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
+    """Keep, per key, the row with the greatest ordering value (one or two
+    integer columns, the first one counting most)."""
+    at = F.col(order_cols[0]).cast("decimal(19,0)")
+    if len(order_cols) == 2:
+        at = at * F.lit(10 ** 19).cast("decimal(20,0)") + F.col(order_cols[1]).cast("decimal(19,0)")
+    elif len(order_cols) > 2:
+        raise ValueError("at most two ordering columns")
+    return latest_by_order(df, keys, at.cast("decimal(38,0)"))
 
 
 def latest_rows(df: DataFrame, key: str = "node_id", extra_aggs: list | None = None) -> DataFrame:
     """Each key's row with the greatest order (null index as 0; ties by
-    ingest_ts), without sorting the input.
-
-    ``max_by`` over a whole-row struct can only run as a sort-based
-    aggregate (a struct buffer is not hash-aggregatable), which would sort
-    every input partition. Instead: (1) a hash aggregate of ``max(order)`` per
-    key (plus any ``extra_aggs`` over the same rows), (2) a join that keeps only
-    rows at that order - the per-key table is small and AQE broadcasts it once
-    its measured size allows - and (3) ``max_by`` over those few candidates.
-    Returns the latest row's columns plus the extra aggregates.
-    """
-    base = order_key(df)
-    tops = base.groupBy(key).agg(F.max(ORD).alias("_top"), *(extra_aggs or []))
-    cands = base.join(tops.select(key, "_top"), key).filter(F.col(ORD) == F.col("_top")).drop("_top")
-    latest = latest_by_key(cands, [key], [ORD, "ingest_ts"]).drop(ORD)
-    return latest.join(tops.drop("_top"), key) if extra_aggs else latest
+    ingest_ts), plus any ``extra_aggs`` over the same rows, from one scan."""
+    return latest_by_order(df, [key], order_value(df), extra_aggs)
 
 
 def latest_reading(df: DataFrame) -> DataFrame:
@@ -76,8 +96,8 @@ def node_state(clean_readings: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> Da
             round_significant(F.var_pop(x) * F.count(x), M2_DIGITS).alias(f"{name}_m2"),
         ]
     fire = F.col("Fire")
-    aggs.append(F.max_by(fire, F.when(fire.isNotNull(), F.col(ORD))).alias("last_fire_value"))
-    return order_key(clean_readings).groupBy("node_id").agg(*aggs)
+    aggs.append(F.max_by(fire, F.when(fire.isNotNull(), order_value(clean_readings))).alias("last_fire_value"))
+    return clean_readings.groupBy("node_id").agg(*aggs)
 
 
 STATUS_COLUMNS = (
@@ -132,9 +152,9 @@ def node_status(history: DataFrame, coords: DataFrame, spec: SensorSpec = DEFAUL
     statistics it is scored against are the node's statistics over the whole
     history: its z-scores are (x - mean) / sqrt(M2 / (n - 1)) with count,
     mean and M2 of all non-null values. These, the running min/max and the
-    totals come from the same hash aggregate that finds each node's latest
-    order; the latest row itself is picked among the few rows at that order
-    (``latest_rows``). ``coords`` is the fixed node dimension (broadcast: one
+    totals come from the same hash aggregate that picks each node's latest
+    row column by column (``latest_rows``): one scan, one shuffle of one state
+    per node and task. ``coords`` is the fixed node dimension (broadcast: one
     row per configured node).
     """
     from firesight.operators.enrich import _flags, _zscore
@@ -142,11 +162,11 @@ def node_status(history: DataFrame, coords: DataFrame, spec: SensorSpec = DEFAUL
     for col, name, _ in spec.scored:
         x = q(col)
         aggs += [F.count(x).alias(f"_n_{name}"), F.avg(x).alias(f"_mean_{name}"),
-                 (F.var_pop(x) * F.count(x)).alias(f"_m2_{name}")]
+                 (F.var_pop(x) * F.count(x)).alias(f"_m2_{name}"), (F.min(x) < F.max(x)).alias(f"_spread_{name}")]
     latest = latest_rows(history, "node_id", aggs)
     latest = latest.withColumns({
         f"zscore_{name}": _zscore(q(col), F.col(f"_n_{name}"), F.col(f"_mean_{name}"), F.col(f"_m2_{name}"),
-                                  spec.z_decimals)
+                                  F.col(f"_spread_{name}"), spec.z_decimals)
         for col, name, _ in spec.scored})
     anomalous, joined = _flags(spec)
     latest = latest.withColumns({"is_anomaly": anomalous, "anomaly_sensors": joined})

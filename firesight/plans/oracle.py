@@ -319,7 +319,7 @@ ORACLES["latest_reading"] = (f"{BASE} SELECT * FROM readings QUALIFY row_number(
 ORACLES["node_state"] = f"""{BASE_CLEAN} SELECT node_id, {", ".join(
     f"count({Q(c)}) AS {n}_count, {R(f'avg({Q(c)})', 6)} AS {n}_mean, "
     f"{RS(f'var_pop({Q(c)}) * count({Q(c)})', 10)} AS {n}_m2" for c, n in SCORED)},
-  arg_max("Fire", coalesce(reading_index, 0)) FILTER (WHERE "Fire" IS NOT NULL) AS last_fire_value
+  arg_max("Fire", (coalesce(reading_index, 0), ingest_ts)) FILTER (WHERE "Fire" IS NOT NULL) AS last_fire_value
 FROM clean GROUP BY node_id"""
 ORACLES["node_status"] = f"{BASE_STATUS} SELECT * FROM status"
 
@@ -349,7 +349,7 @@ ORACLES["fire_distribution"] = f'{BASE} SELECT node_id, "Fire", count(*) AS n FR
 ORACLES["snapshot_rollup"] = f"""{BASE}, base AS (SELECT node_id, {_summary_cols()}, {_pct_cols()}
   FROM readings GROUP BY node_id)
 SELECT node_id, CAST(sum(total_readings) AS BIGINT) AS sum_total_readings, max(p99_temp) AS max_p99_temp
-FROM base GROUP BY node_id ORDER BY node_id LIMIT 10"""
+FROM base GROUP BY node_id ORDER BY node_id"""
 
 ORACLES["window_stats"] = f"{BASE} {_window_sql('1 minute')}"
 ORACLES["window_stats_hourly"] = f"{BASE} {_window_sql('1 hour')}"

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from firesight.functions.columns import nan_to_null_all
 from firesight.spec import SENSOR_COLUMNS
 
 # Columns of the reading table, in order (ingest_ts is a timestamp here; the
@@ -22,26 +23,18 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has
-    cores (a small or unsplittable file), so the per-row work after it runs in
-    parallel. A large table already has enough splits and is left alone (no
-    shuffle). Filters and column pruning still reach the scan."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               spread: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Scan a Parquet table; Catalyst prunes columns and pushes filters."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.parquet(path)
-    return spread_small_input(df) if spread else df
+    return reader.parquet(path)
+
+
+def read_readings(spark: SparkSession, path: str) -> DataFrame:
+    """A stored readings table; NaN sensor values are nulls from here on (P10)."""
+    df = read_table(spark, path)
+    return nan_to_null_all(df, [c for c in SENSOR_COLUMNS if c in df.columns])
 
 
 def readings_from_events(events: DataFrame) -> DataFrame:
@@ -84,5 +77,5 @@ def readings_from_events(events: DataFrame) -> DataFrame:
 
 
 def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The readings table for a test-data folder."""
-    return readings_from_events(read_table(spark, table_path(sf_dir, "events")))
+    """The readings table for a test-data folder; NaN values are nulls (P10)."""
+    return nan_to_null_all(readings_from_events(read_table(spark, table_path(sf_dir, "events"))), SENSOR_COLUMNS)
