@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firesight.functions.columns import event_time, exact_avg, q
@@ -93,6 +93,14 @@ def hourly_trend_nested(raw: DataFrame) -> DataFrame:
             .agg(F.sort_array(F.collect_list(F.struct("hour", "avg_temp"))).alias("trend_hourly")))
 
 
+def trend_text(trend) -> Column:
+    """The nested trend as JSON text."""
+    def cell(x):
+        value = F.coalesce(x["avg_temp"].cast("string"), F.lit("null"))
+        return F.concat(F.lit('{"hour":'), x["hour"].cast("string"), F.lit(',"avg_temp":'), value, F.lit("}"))
+    return F.concat(F.lit("["), F.array_join(F.transform(trend, cell), ","), F.lit("]"))
+
+
 def _quality_aggs(spec: SensorSpec) -> tuple[list, list]:
     """Confusion-matrix counts over cleaned, labelled rows, as masked counts
     inside the per-node aggregate; returns (aggregates, output columns)."""
@@ -118,7 +126,7 @@ def _pair_aggs(spec: SensorSpec) -> list:
     return [pearson(F.when(ok, q(a)), F.when(ok, q(b))).alias(label) for label, a, b in spec.corr_pairs]
 
 
-def baseline_report(raw: DataFrame, enriched: DataFrame | None = None, spec: SensorSpec = DEFAULT_SPEC,
+def baseline_report(raw: DataFrame, spec: SensorSpec = DEFAULT_SPEC,
                     nested: bool = True, generated_at=None) -> DataFrame:
     """One row per node: baseline, hourly trend, detection quality and
     the key correlation pairs.
@@ -127,9 +135,7 @@ def baseline_report(raw: DataFrame, enriched: DataFrame | None = None, spec: Sen
     detection counts (masked to cleaned, labelled rows) and the correlation
     pairs (masked to complete rows); the distinct-index count and the
     (node, hour) trend are two narrow aggregates; all are joined on node_id.
-    Nothing is collected.
-    ``enriched`` is accepted for the signature of the reference's two inputs;
-    the cleaned rows are selected by the outlier mask instead.
+    Nothing is collected. The cleaned rows are those under the outlier mask.
     """
     q_aggs, q_cols = _quality_aggs(spec)
     per_node = (with_event_time(raw).groupBy("node_id")

@@ -40,11 +40,15 @@ DEFAULT_CHUNK_ROWS = 1 << 18
 ORD = "_ord"
 CHUNK = "_chunk"
 
-ENRICH_COLUMNS = (
-    "zscore_Temperature", "zscore_CO", "zscore_Smoke", "zscore_Gas",
-    "is_anomaly", "anomaly_sensors", "is_fire", "is_fire_transition",
-    "fire_value_prev", "fire_state_label",
-)
+FLAG_COLUMNS = ("is_anomaly", "anomaly_sensors", "is_fire", "is_fire_transition", "fire_value_prev", "fire_state_label")
+
+
+def enrich_columns(spec: SensorSpec = DEFAULT_SPEC) -> tuple[str, ...]:
+    """The columns that enrichment adds: a z-score per scored sensor, then flags and labels."""
+    return (*(f"zscore_{name}" for _, name, _ in spec.scored), *FLAG_COLUMNS)
+
+
+ENRICH_COLUMNS = enrich_columns()
 
 
 def order_key(df: DataFrame) -> DataFrame:
@@ -87,7 +91,7 @@ def _flags(spec: SensorSpec) -> tuple[Column, Column]:
     return anomalous, F.concat_ws(", ", *terms)
 
 
-def _finish(df: DataFrame, prev_fire: Column, spec: SensorSpec) -> DataFrame:
+def finish(df: DataFrame, prev_fire: Column, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
     """W2 + W3 from the z-scores and the previous non-null fire value."""
     anomalous, joined = _flags(spec)
     fire = F.col("Fire")
@@ -120,7 +124,7 @@ def score_window(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
         zs[f"zscore_{name}"] = _zscore(x, n, mean, m2, F.min(x).over(w) < F.max(x).over(w), spec.z_decimals)
     scored = base.withColumns(zs)
     prev = F.last(F.col("Fire"), ignorenulls=True).over(w_prev)
-    return _finish(scored, prev, spec).drop(ORD)
+    return finish(scored, prev, spec).drop(ORD)
 
 
 def _chunk_summaries(base: DataFrame, spec: SensorSpec) -> DataFrame:
@@ -225,15 +229,15 @@ def score_prefix(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC,
           for col, name, _ in spec.scored}
     scored = joined.withColumns(zs)
     prev = F.coalesce(F.col("_lfire"), F.col("_cfire"))
-    out = _finish(scored, prev, spec)
-    return out.select(*df.columns, *ENRICH_COLUMNS)
+    out = finish(scored, prev, spec)
+    return out.select(*df.columns, *enrich_columns(spec))
 
 
 def score(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC, method: str = "prefix",
           chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """W1-W3 on already-cleaned readings."""
     if method == "window":
-        return score_window(df, spec).select(*df.columns, *ENRICH_COLUMNS)
+        return score_window(df, spec).select(*df.columns, *enrich_columns(spec))
     if method == "prefix":
         return score_prefix(df, spec, chunk_rows)
     raise ValueError(method)

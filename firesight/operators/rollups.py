@@ -49,25 +49,22 @@ def cumulative_stats(df: DataFrame, batch_col: str = "batch_id") -> DataFrame:
     Sums are exact and rounded on output (the reference adds rounded batch
     sums, which makes totals depend on how rows were batched).
     """
-    totals = [F.count(F.lit(1)).alias("total_processed")]
+    per = [F.count(F.lit(1)).alias("_n"), F.max("ingest_ts").alias("_t")]
+    totals = [F.sum("_n").alias("total_processed")]
+    last = []
     for col, suf, d, ds in ROLLUP_SENSORS:
         x = q(col)
+        per += [F.sum(x).alias(f"_sum_{suf}"), F.min(x).alias(f"_min_{suf}"), F.max(x).alias(f"_max_{suf}"),
+                exact_avg(x, d).alias(f"_avg_{suf}")]
         totals += [
-            F.round(F.sum(x), ds).alias(f"running_sum_{suf}"),
-            F.round(F.min(x), d).alias(f"running_min_{suf}"),
-            F.round(F.max(x), d).alias(f"running_max_{suf}"),
+            F.round(F.sum(f"_sum_{suf}"), ds).alias(f"running_sum_{suf}"),
+            F.round(F.min(f"_min_{suf}"), d).alias(f"running_min_{suf}"),
+            F.round(F.max(f"_max_{suf}"), d).alias(f"running_max_{suf}"),
         ]
-    totals.append(F.max(F.col(batch_col)).alias("_last_batch"))
-    totals.append(F.max(F.col("ingest_ts")).alias("last_update"))
-    tot = df.groupBy("node_id").agg(*totals)
-
-    # Averages of each node's latest batch: a (node, batch) aggregate, then
-    # pick the row of the node's last batch with a join on (node, batch).
-    last = (df.groupBy("node_id", batch_col)
-            .agg(*[exact_avg(q(col), d).alias(f"last_batch_avg_{suf}")
-                   for col, suf, d, _ in ROLLUP_SENSORS])
-            .withColumnRenamed(batch_col, "_last_batch"))
-    return tot.join(last, ["node_id", "_last_batch"], "left").drop("_last_batch")
+        last.append(F.max_by(f"_avg_{suf}", batch_col).alias(f"last_batch_avg_{suf}"))
+    totals.append(F.max("_t").alias("last_update"))
+    # one scan: the history becomes one row per (node, batch), and these one row per node
+    return df.groupBy("node_id", batch_col).agg(*per).groupBy("node_id").agg(*totals, *last)
 
 
 def cumulative_by_batch(batch_stats: DataFrame, batch_col: str = "batch_id") -> DataFrame:

@@ -69,27 +69,53 @@ def anomaly_count(enriched: DataFrame, span: str = "15 minutes", every: str = "1
 
 
 # A14 / J6 ---------------------------------------------------------------------
-def fire_activity(enriched: DataFrame, every: str = "1 hour") -> DataFrame:
-    """Count of fire rows per (node, bucket), zero-filled over the table's time range.
-
-    One aggregate over the readings gives the count of every occupied
-    (node, bucket). The range comes from it too: per-node first/last bucket
-    (one row per node), then the global first/last over that node table. For
-    every node the bucket sequence of the range is exploded and left-joined to
-    the counts. Spine size = nodes x buckets in the range, not rows.
+#: Buckets per row of the spine before it is exploded: no row holds a longer array.
+SPINE_SEGMENT = 4096
+
+
+def fire_activity(enriched: DataFrame, every: str = "1 hour", start: Column | None = None,
+                  end: Column | None = None) -> DataFrame:
+    """Count of fire rows per (node, bucket), zero-filled over a time range.
+
+    ``start`` and ``end`` (timestamps) bound the range, as a dashboard's time
+    picker does; by default it is the table's own range, from scalar subqueries
+    over the counts. One aggregate over the readings gives the count of every
+    occupied (node, bucket). The range's buckets are made in segments of
+    SPINE_SEGMENT, so no row carries the whole range and no window gathers the
+    nodes, and left-joined to the counts. Spine size = nodes x buckets in the range.
     """
-    from pyspark.sql import Window
-    counts = (enriched.groupBy("node_id", bucket(F.col("ingest_ts"), every).alias("bucket_start"))
+    step = F.expr(f"INTERVAL {every}")
+    at = F.col("ingest_ts")
+    rows = enriched
+    if start is not None:
+        rows = rows.filter(at >= start)
+    if end is not None:
+        rows = rows.filter(at <= end)
+    counts = (rows.groupBy("node_id", bucket(at, every).alias("bucket_start"))
               .agg(F.count_if(F.col("is_fire")).alias("fire_count")))
-    all_nodes = Window.partitionBy()
-    nodes = (counts.groupBy("node_id").agg(F.min("bucket_start").alias("_a"), F.max("bucket_start").alias("_b"))
-             .select("node_id", F.min("_a").over(all_nodes).alias("_a"), F.max("_b").over(all_nodes).alias("_b")))
-    spine = nodes.select("node_id", F.explode(F.sequence("_a", "_b", F.expr(f"INTERVAL {every}")))
-                         .alias("bucket_start"))
+    seconds = int(enriched.sparkSession.range(1).select(
+        F.unix_micros((F.lit("1970-01-01").cast("timestamp") + step).cast("timestamp"))).first()[0]) // 1_000_000
+    first = counts.select(F.min("bucket_start")).scalar() if start is None else _floor(start, every)
+    last = counts.select(F.max("bucket_start")).scalar() if end is None else _floor(end, every)
+    total = F.floor((_epoch(last) - _epoch(first)) / seconds)
+    nodes = enriched.select("node_id").distinct()
+    segments = nodes.select("node_id", first.alias("_a"), total.alias("_n")).filter("_n is not null").select(
+        "node_id", "_a", "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_n") / SPINE_SEGMENT))).alias("_s"))
+    spine = segments.select("node_id", "_a", F.explode(F.sequence(
+        F.col("_s") * SPINE_SEGMENT, F.least(F.col("_n"), (F.col("_s") + 1) * SPINE_SEGMENT - 1))).alias("_i")).select(
+        "node_id", F.timestamp_add("SECOND", F.col("_i") * seconds, F.col("_a")).alias("bucket_start"))
     return (spine.join(counts, ["node_id", "bucket_start"], "left")
             .select("node_id", "bucket_start", F.coalesce("fire_count", F.lit(0)).alias("fire_count")))
 
 
+def _epoch(ts: Column) -> Column:
+    return F.floor(F.unix_micros(ts.cast("timestamp")) / 1_000_000)
+
+
+def _floor(ts: Column, every: str) -> Column:
+    return F.window(ts, every).start
+
+
 # A15 --------------------------------------------------------------------------
 def window_reagg(windows: DataFrame, every: str = "1 hour") -> DataFrame:
     """Re-aggregate the window table: avg of the window averages per (node, bucket).

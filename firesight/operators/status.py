@@ -38,13 +38,16 @@ def latest_by_order(df: DataFrame, keys: list[str], order: Column, extra_aggs: l
     if not rest:
         return base.groupBy(*keys).agg(*aggs, F.max("_at").alias("_at")).drop("_at").select(
             *keys, *[q(c) for c in others], *_names(extra_aggs))
-    top = base.groupBy(*keys).agg(F.max("_at").alias("_top"), *(extra_aggs or []))
-    same = [base[c].eqNullSafe(top[c]) for c in keys]
-    cond = base["_at"] == top["_top"]
-    for c in same:
-        cond = cond & c
-    rows = base.join(top, cond).select(*[base[c] for c in keys], *[base[c] for c in others], *_names(extra_aggs))
-    return rows.dropDuplicates(keys)
+    top = base.groupBy(*[q(c).alias(f"_k{i}") for i, c in enumerate(keys)]).agg(
+        F.max("_at").alias("_top"), *(extra_aggs or []))
+    cond = F.col("_at") == F.col("_top")
+    for i, c in enumerate(keys):
+        cond = cond & q(c).eqNullSafe(F.col(f"_k{i}"))
+    few = base.join(top, cond)
+    # rows that tie on the whole order are few; the pick among them depends on their values only
+    row = F.struct(*[q(c) for c in others], *_names(extra_aggs))
+    return (few.groupBy(*keys).agg(F.max_by(row, F.xxhash64(*[q(c) for c in others])).alias("_r"))
+            .select(*keys, "_r.*"))
 
 
 def _names(aggs: list | None) -> list[str]:
@@ -56,7 +59,7 @@ def latest_by_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Data
     integer columns, the first one counting most)."""
     at = F.col(order_cols[0]).cast("decimal(19,0)")
     if len(order_cols) == 2:
-        at = at * F.lit(10 ** 19).cast("decimal(20,0)") + F.col(order_cols[1]).cast("decimal(19,0)")
+        at = at * F.expr("CAST('10000000000000000000' AS DECIMAL(20,0))") + F.col(order_cols[1]).cast("decimal(19,0)")
     elif len(order_cols) > 2:
         raise ValueError("at most two ordering columns")
     return latest_by_order(df, keys, at.cast("decimal(38,0)"))
@@ -118,7 +121,7 @@ def _running_totals() -> list:
     return totals
 
 
-def _status_row(latest: DataFrame, coords: DataFrame) -> DataFrame:
+def status_row(latest: DataFrame, coords: DataFrame) -> DataFrame:
     """Status columns from a frame holding each node's latest reading (raw
     names), its z-scores, flags and the running totals."""
     fire = F.col("Fire")
@@ -136,7 +139,8 @@ def _status_row(latest: DataFrame, coords: DataFrame) -> DataFrame:
         fire_state_label(fire).alias("fire_state_label"),
         F.col("is_anomaly").alias("is_anomaly_current"),
         "anomaly_sensors",
-        "zscore_Temperature", "zscore_CO", "zscore_Smoke", "zscore_Gas",
+        *[F.col(c) if c in latest.columns else F.lit(None).cast("double").alias(c)  # a sensor that the spec doesn't score
+          for c in STATUS_COLUMNS if c.startswith("zscore_")],
         *[c for c in latest.columns if c.startswith("running_") or c == "total_processed"],
         F.col("ingest_ts").alias("last_update_ts"),
         map_status(fire, F.col("is_anomaly")).alias("map_status"),
@@ -170,14 +174,14 @@ def node_status(history: DataFrame, coords: DataFrame, spec: SensorSpec = DEFAUL
         for col, name, _ in spec.scored})
     anomalous, joined = _flags(spec)
     latest = latest.withColumns({"is_anomaly": anomalous, "anomaly_sensors": joined})
-    return _status_row(latest, coords)
+    return status_row(latest, coords)
 
 
 def node_status_from_enriched(enriched: DataFrame, coords: DataFrame) -> DataFrame:
     """W6 from an enriched table (the streaming sink's form): latest enriched
     row per node joined with the running totals of the same rows."""
     latest = latest_reading(enriched).join(enriched.groupBy("node_id").agg(*_running_totals()), "node_id", "left")
-    return _status_row(latest, coords)
+    return status_row(latest, coords)
 
 
 __all__ = ["latest_by_key", "latest_reading", "coords_table", "node_state", "node_status",

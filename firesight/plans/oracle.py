@@ -85,7 +85,7 @@ def _z(col: str) -> str:
     x = Q(col)
     w = "OVER w"
     return (f"CASE WHEN {x} IS NULL THEN NULL "
-            f"WHEN count({x}) {w} > 1 AND var_pop({x}) {w} > 0 "
+            f"WHEN count({x}) {w} > 1 AND min({x}) {w} < max({x}) {w} AND var_pop({x}) {w} > 0 "
             f"THEN {R(f'({x} - avg({x}) {w}) / stddev_samp({x}) {w}', 3)} + 0.0e0 ELSE 0.0e0 END")
 
 
@@ -291,6 +291,12 @@ ORACLES["baseline_percentiles"] = f"{BASE} SELECT node_id, {_pct_cols()} FROM re
 ORACLES["hourly_trend"] = (f"{BASE} SELECT node_id, CAST(hour(ingest_ts) AS INTEGER) AS hour, "
                            f"{RA(Q('Temperature (C)'), 4)} AS avg_temp FROM readings "
                            "WHERE hour(ingest_ts) IS NOT NULL GROUP BY 1, 2")
+TREND = f"""
+th AS (SELECT node_id, hour(ingest_ts) AS hour, {RA(Q('Temperature (C)'), 4)} AS avg_temp FROM readings
+  WHERE hour(ingest_ts) IS NOT NULL GROUP BY 1, 2),
+trend AS (SELECT node_id, '[' || string_agg('{{"hour":' || hour || ',"avg_temp":' || coalesce(CAST(avg_temp AS VARCHAR), 'null')
+  || '}}', ',' ORDER BY hour) || ']' AS trend_hourly FROM th GROUP BY node_id)"""
+ORACLES["hourly_trend_nested"] = f"{BASE},{TREND} SELECT * FROM trend"
 ORACLES["detection_quality"] = f"{with_(READINGS, CLEAN, QUALITY_CTE)} SELECT * FROM quality"
 
 ORACLES["baseline_report_flat"] = f"""{with_(READINGS, CLEAN, QUALITY_CTE, _corr_wide_cte())},
@@ -301,11 +307,32 @@ SELECT base.*, q.tp AS val_tp, q.fp AS val_fp, q.tn AS val_tn, q.fn AS val_fn,
   {", ".join(f"pairs.{label}" for label, _, _ in CORR_PAIRS)}
 FROM base LEFT JOIN quality q USING (node_id) LEFT JOIN pairs USING (node_id)"""
 
+_flat = ORACLES["baseline_report_flat"]
+_at = _flat.rindex("\nSELECT base.*")
+ORACLES["baseline_report"] = (
+    f"{_flat[:_at]},{TREND},\nflat_report AS ({_flat[_at:]})\n"
+    "SELECT f.*, coalesce(t.trend_hourly, '[]') AS trend_hourly FROM flat_report f LEFT JOIN trend t USING (node_id)")
 ORACLES["sensor_correlation"] = f"{with_(READINGS, _corr_wide_cte())} SELECT * FROM corr_wide"
 ORACLES["correlation_pairs"] = f"{with_(READINGS, _corr_wide_cte())} SELECT scope, {_pairs_select()} FROM corr_wide"
 ORACLES["correlation_long"] = f"{with_(READINGS, _corr_wide_cte())} {_long_select()}"
 
 ORACLES["enriched_readings"] = f"{BASE_ENRICHED} SELECT * FROM enriched"
+FLAT = """
+flat AS (SELECT * REPLACE (
+    CASE WHEN node_id = 'nodo_1' THEN 0.1e0 ELSE "Smoke (ppm)" END AS "Smoke (ppm)",
+    CASE WHEN node_id = 'nodo_2' THEN 25.3e0 ELSE "Temperature (C)" END AS "Temperature (C)",
+    CASE WHEN node_id = 'nodo_3' THEN 0.07e0 ELSE "CO" END AS "CO") FROM readings)"""
+NANS = """
+nans AS (SELECT * REPLACE (
+    CASE WHEN reading_index % 7 = 0 THEN NULL ELSE "Temperature (C)" END AS "Temperature (C)",
+    CASE WHEN reading_index % 5 = 0 THEN NULL ELSE "Smoke (ppm)" END AS "Smoke (ppm)",
+    CASE WHEN reading_index % 11 = 0 THEN NULL ELSE "CO" END AS "CO") FROM readings)"""
+BASE_FLAT = with_(READINGS, FLAT, CLEAN.replace("FROM readings", "FROM flat"), _enriched_cte())
+ORACLES["enriched_multichunk"] = f"{BASE_FLAT} SELECT * FROM enriched"
+ORACLES["fire_transitions_multichunk"] = (f"{BASE_FLAT} SELECT node_id, reading_index, \"Fire\", is_fire, "
+                                          "is_fire_transition, fire_value_prev, fire_state_label FROM enriched")
+ORACLES["nan_enriched"] = (f"{with_(READINGS, NANS, CLEAN.replace('FROM readings', 'FROM nans'), _enriched_cte())} "
+                           "SELECT * FROM enriched")
 ORACLES["running_zscore"] = (f"{BASE_ENRICHED} SELECT node_id, reading_index, zscore_Temperature, zscore_CO, "
                              "zscore_Smoke, zscore_Gas FROM enriched")
 ORACLES["anomaly_flags"] = f"{BASE_ENRICHED} SELECT node_id, reading_index, is_anomaly, anomaly_sensors FROM enriched"
@@ -414,22 +441,26 @@ ORACLES["labelled_only"] = f'{BASE} SELECT node_id, reading_index, "Fire" FROM r
 
 ISO_COLS = RAW_COLS.replace("ingest_ts", f"{ISO} AS ingest_ts")
 ORACLES["decode_envelope"] = f"{BASE} SELECT {ISO_COLS} FROM readings WHERE reading_index % 100 <> 13"
+ORACLES["decode_rejects"] = (f"{BASE} SELECT node_id AS key, '{{\"Temperature (C)\":' AS head, 40 AS n_chars FROM readings "
+                             "WHERE reading_index % 100 = 13")
 ORACLES["encode_decode_roundtrip"] = f"{BASE} SELECT node_id AS key, {ISO_COLS} FROM readings"
 VT = ("CASE WHEN k % 5 = 0 THEN ' ' || CAST(value AS VARCHAR) || ' ' WHEN k % 5 = 1 THEN 'abc' "
-      "WHEN k % 5 = 2 THEN '' WHEN k % 5 = 3 THEN 'nan' ELSE CAST(value AS VARCHAR) END")
-FT = "CASE WHEN k % 4 = 0 THEN ' 2 ' WHEN k % 4 = 1 THEN '1.0' WHEN k % 4 = 2 THEN '' ELSE CAST(k AS VARCHAR) END"
+      "WHEN k % 5 = 2 THEN '' WHEN k % 5 = 3 THEN ['nan', '1.0d', '1f', '0x10', '1_000', '-2.5e1'][k % 6 + 1] "
+      "ELSE CAST(value AS VARCHAR) END")
+FT = "CASE WHEN k % 8 = 0 THEN ' 2 ' WHEN k % 4 = 0 THEN chr(9) || '2' || chr(9) WHEN k % 4 = 1 THEN '1.0' WHEN k % 4 = 2 THEN '' ELSE CAST(k AS VARCHAR) END"
 ORACLES["tolerant_cast"] = f"""{BASE}, t AS (SELECT event_id, {VT} AS value_text, {FT} AS fire_text FROM ev)
 SELECT event_id, value_text,
-  CASE WHEN isnan(TRY_CAST(trim(value_text) AS DOUBLE)) THEN NULL ELSE TRY_CAST(trim(value_text) AS DOUBLE) END
-    AS value_parsed,
+  CASE WHEN regexp_full_match(trim(value_text), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')
+    THEN TRY_CAST(trim(value_text) AS DOUBLE) END AS value_parsed,
   fire_text,
-  CASE WHEN regexp_full_match(trim(fire_text), '[+-]?[0-9]+') THEN TRY_CAST(trim(fire_text) AS INTEGER) END
+  CASE WHEN regexp_full_match(trim(fire_text, ' ' || chr(9)), '[+-]?[0-9]+')
+    THEN TRY_CAST(trim(fire_text, ' ' || chr(9)) AS INTEGER) END
     AS fire_parsed
 FROM t"""
 ORACLES["sequence_readings"] = """WITH s AS (
   SELECT 'nodo_' || CAST(user_id % 4 + 1 AS VARCHAR) AS node_id, event_id, ts FROM events),
 r AS (SELECT node_id, event_id,
-  CAST(row_number() OVER (PARTITION BY node_id ORDER BY ts, ts) - 1 AS BIGINT) AS reading_index FROM s)
+  CAST(row_number() OVER (PARTITION BY node_id ORDER BY ts, event_id) - 1 AS BIGINT) AS reading_index FROM s)
 SELECT node_id, event_id, reading_index,
   TIMESTAMP '2024-01-01 00:00:00' + to_milliseconds(reading_index * 500) AS stamped_ts FROM r"""
 UPSERT_COLS = RAW_COLS.replace('"Temperature (C)"', 'CASE WHEN k >= 50 THEN "Temperature (C)" + 1.0e0 '
@@ -450,7 +481,13 @@ ORACLES["retention_filter"] = (f"{BASE} SELECT * FROM readings WHERE ingest_ts >
 ORACLES["dedup_readings"] = f"{BASE} SELECT * FROM readings"
 ORACLES["alert_feed"] = (f"{BASE_ENRICHED} SELECT node_id, reading_index, \"Fire\" AS fire_value, fire_value_prev, "
                          "strftime(ingest_ts, '%Y-%m-%dT%H:%M:%S.%f') AS ingest_ts, \"Temperature (C)\" AS temperature_c, "
-                         "\"CO\" AS co, \"Smoke (ppm)\" AS smoke_ppm FROM enriched WHERE is_fire_transition")
+                         "\"CO\" AS co, \"Smoke (ppm)\" AS smoke_ppm, "
+                         + " || ".join(["'{\"node_id\":\"' || node_id || '\"'"] + [
+                             f"',\"{n}\":' || coalesce(CAST({v} AS VARCHAR), 'null')" for n, v in (
+                                 ("fire_value", '"Fire"'), ("fire_value_prev", "fire_value_prev"),
+                                 ("ingest_ts", "'\"' || strftime(ingest_ts, '%Y-%m-%dT%H:%M:%S.%f') || '\"'"),
+                                 ("temperature_c", '"Temperature (C)"'), ("co", '"CO"'), ("smoke_ppm", '"Smoke (ppm)"'))])
+                         + " || '}' AS payload FROM enriched WHERE is_fire_transition")
 ORACLES["audit_counts"] = f"""{BASE_STATUS}
 SELECT 'raw_readings' AS table_name, count(*) AS row_count FROM readings
 UNION ALL SELECT 'processed_readings', count(*) FROM enriched
@@ -460,5 +497,15 @@ UNION ALL SELECT 'window_stats', count(*) FROM (SELECT DISTINCT node_id, time_bu
 UNION ALL SELECT 'node_status', count(*) FROM status"""
 
 
+# The streams' stored tables equal their batch twins; times travel as ISO text in milliseconds.
+MILLIS = READINGS.replace("ts AS ingest_ts", "date_trunc('millisecond', ts) AS ingest_ts")
+ORACLES["stream_raw"] = f"{BASE} SELECT {ISO_COLS} FROM readings"
+ORACLES["stream_enriched"] = f"{with_(MILLIS, CLEAN, _enriched_cte())} SELECT * REPLACE ({ISO} AS ingest_ts) FROM enriched"
+ORACLES["stream_node_status"] = (f"{with_(MILLIS, CLEAN, _enriched_cte(), STATUS_CTE)} SELECT * REPLACE ("
+                                 f"{ISO.replace('ingest_ts', 'last_ingest_ts')} AS last_ingest_ts, "
+                                 f"{ISO.replace('ingest_ts', 'last_update_ts')} AS last_update_ts) FROM status")
+ORACLES["stream_window_stats"] = f"{with_(MILLIS)} {_window_sql('1 minute')}"
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

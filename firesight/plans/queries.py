@@ -17,10 +17,12 @@ from firesight.operators import status as S
 from firesight.operators.enrich import enrich, fire_events
 from firesight.operators.quality import detection_quality
 from firesight.operators.windows import window_stats
+from firesight.session import unique_shared_path
 from firesight.sinks import tables as T
 from firesight.sources import csvfiles, envelope
-from firesight.sources.readings import load_readings, read_table, table_path
-from firesight.spec import DEFAULT_SPEC, RETENTION
+from firesight.sources.readings import load_readings, read_table, readings_from_events, table_path
+from firesight.spec import DEFAULT_SPEC, RETENTION, SENSOR_COLUMNS
+from firesight.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -79,19 +81,19 @@ def q_hourly_trend(spark, sf):
 
 @register("hourly_trend_nested")
 def q_hourly_trend_nested(spark, sf):
-    return B.hourly_trend_nested(_raw(spark, sf))
+    """The nested trend, its array as JSON text."""
+    return B.hourly_trend_nested(_raw(spark, sf)).withColumn("trend_hourly", B.trend_text(F.col("trend_hourly")))
 
 
 @register("baseline_report")
 def q_baseline_report(spark, sf):
-    raw = _raw(spark, sf)
-    return B.baseline_report(raw, C.clean(raw), nested=True)
+    report = B.baseline_report(_raw(spark, sf))
+    return report.withColumn("trend_hourly", B.trend_text(F.col("trend_hourly")))
 
 
 @register("baseline_report_flat")
 def q_baseline_report_flat(spark, sf):
-    raw = _raw(spark, sf)
-    return B.baseline_report(raw, C.clean(raw), nested=False)
+    return B.baseline_report(_raw(spark, sf), nested=False)
 
 
 @register("detection_quality")
@@ -121,6 +123,39 @@ def q_enriched(spark, sf):
     return _enriched(spark, sf)
 
 
+# Chunks so narrow that every node spans many, over readings with one flat sensor per node.
+NARROW_CHUNK = 256
+FLAT = {"nodo_1": ("Smoke (ppm)", 0.1), "nodo_2": ("Temperature (C)", 25.3), "nodo_3": ("CO", 0.07)}
+
+
+def _multichunk(spark, sf):
+    flat = _raw(spark, sf).withColumns({
+        col: F.when(F.col("node_id") == node, F.lit(v)).otherwise(C.q(col)) for node, (col, v) in FLAT.items()})
+    return enrich(flat, chunk_rows=NARROW_CHUNK)
+
+
+@register("enriched_multichunk")
+def q_enriched_multichunk(spark, sf):
+    return _multichunk(spark, sf)
+
+
+@register("fire_transitions_multichunk")
+def q_fire_transitions_multichunk(spark, sf):
+    return _multichunk(spark, sf).select("node_id", "reading_index", "Fire", "is_fire", "is_fire_transition",
+                                         "fire_value_prev", "fire_state_label")
+
+
+@register("nan_enriched")
+def q_nan_enriched(spark, sf):
+    """Readings that hold NaN values, cleaned as a stored table is when it is read, then enriched."""
+    nan = F.lit(float("nan"))
+    dirty = _raw(spark, sf).withColumns({
+        "Temperature (C)": F.when(F.col("reading_index") % 7 == 0, nan).otherwise(C.q("Temperature (C)")),
+        "Smoke (ppm)": F.when(F.col("reading_index") % 5 == 0, nan).otherwise(C.q("Smoke (ppm)")),
+        "CO": F.when(F.col("reading_index") % 11 == 0, nan).otherwise(C.q("CO"))})
+    return enrich(C.nan_to_null_all(dirty, SENSOR_COLUMNS))
+
+
 @register("running_zscore")
 def q_running_zscore(spark, sf):
     return _enriched(spark, sf).select("node_id", "reading_index", "zscore_Temperature", "zscore_CO",
@@ -325,16 +360,27 @@ def _iso_readings(df):
     return df.withColumn("ingest_ts", C.iso_ts(F.col("ingest_ts")))
 
 
-@register("decode_envelope")
-def q_decode_envelope(spark, sf):
-    """Encoded readings, every message whose index ends in 13 cut short (it
-    becomes unparsable), sent as bytes and decoded; the cut ones are rejected."""
+def _damaged(spark, sf):
+    """Encoded readings as bytes, every message whose index ends in 13 cut short."""
     raw = _raw(spark, sf).withColumn("_cut", (F.col("reading_index") % 100) == 13)
     msgs = envelope.encode(raw, keep=["_cut"])
     damaged = msgs.select(
         "key", F.when(F.col("_cut"), F.substring("value", 1, 40)).otherwise(F.col("value"))
         .cast("binary").alias("value"))
-    return envelope.decode(damaged)
+    return damaged
+
+
+@register("decode_envelope")
+def q_decode_envelope(spark, sf):
+    """What can be read of the damaged messages."""
+    return envelope.decode(_damaged(spark, sf))
+
+
+@register("decode_rejects")
+def q_decode_rejects(spark, sf):
+    """What can't: the message key and document of every reject."""
+    bad = envelope.split_rejects(envelope.decode(_damaged(spark, sf), keep_rejects=True))[1]
+    return bad.select("key", F.substring("document", 1, 19).alias("head"), F.length("document").alias("n_chars"))
 
 
 @register("encode_decode_roundtrip")
@@ -343,6 +389,9 @@ def q_encode_decode_roundtrip(spark, sf):
     return envelope.decode(msgs).select(F.col("node_id").alias("key"), "*")
 
 
+JUNK_NUMBERS = ("nan", "1.0d", "1f", "0x10", "1_000", "-2.5e1")
+
+
 @register("tolerant_cast")
 def q_tolerant_cast(spark, sf):
     ev = _k(spark, sf)
@@ -350,9 +399,9 @@ def q_tolerant_cast(spark, sf):
     value_text = (F.when(F.col("k") % 5 == 0, F.concat(F.lit(" "), v, F.lit(" ")))
                   .when(F.col("k") % 5 == 1, F.lit("abc"))
                   .when(F.col("k") % 5 == 2, F.lit(""))
-                  .when(F.col("k") % 5 == 3, F.lit("nan"))
+                  .when(F.col("k") % 5 == 3, F.element_at(F.array(*map(F.lit, JUNK_NUMBERS)), (F.col("k") % 6 + 1).cast("int")))
                   .otherwise(v))
-    fire_text = (F.when(F.col("k") % 4 == 0, F.lit(" 2 "))
+    fire_text = (F.when(F.col("k") % 4 == 0, F.when(F.col("k") % 8 == 0, F.lit(" 2 ")).otherwise(F.lit("\t2\t")))
                  .when(F.col("k") % 4 == 1, F.lit("1.0"))
                  .when(F.col("k") % 4 == 2, F.lit(""))
                  .otherwise(F.col("k").cast("string")))
@@ -367,19 +416,20 @@ def q_sequence_readings(spark, sf):
     nodes = ev.select(F.concat(F.lit("nodo_"), (F.col("user_id") % 4 + 1).cast("string")).alias("node_id"),
                       "event_id", "ts")
     base = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    out = csvfiles.assign_index(nodes, "ts", chunk_width=86_400_000_000, base_ts=base)
+    out = csvfiles.assign_index(nodes, "ts", chunk_width=3_600_000_000, base_ts=base, tie="event_id")
     return out.select("node_id", "event_id", "reading_index", "stamped_ts")
 
 
 @register("upsert_latest")
 def q_upsert_latest(spark, sf):
-    raw = _raw(spark, sf)
-    ev = _k(spark, sf).select(F.col("event_id").alias("reading_index"), "k")
-    old = raw.withColumn("version", F.lit(0))
-    new = (raw.join(ev, "reading_index").filter(F.col("k") >= 50).drop("k")
-           .withColumn("Temperature (C)", C.q("Temperature (C)") + F.lit(1.0))
-           .withColumn("version", F.lit(1)))
-    return T.upsert_latest(old.unionByName(new), ["node_id", "reading_index"], ["version"]).drop("version")
+    """Two batches; the second updates half of the keys, each twice within the batch."""
+    raw = readings_from_events(_k(spark, sf), keep=["k"])
+    old = raw.withColumns({"batch": F.lit(0), "seq": F.lit(0)})
+    changed = raw.filter(F.col("k") >= 50)
+    first, second = (changed.withColumns({"Temperature (C)": C.q("Temperature (C)") + F.lit(by), "batch": F.lit(1),
+                                          "seq": F.lit(n)}) for n, by in ((0, 5.0), (1, 1.0)))
+    written = old.unionByName(second).unionByName(first).drop("k")
+    return T.upsert_latest(written, ["node_id", "reading_index"], ["batch", "seq"]).drop("batch", "seq")
 
 
 @register("serving_projection")
@@ -401,7 +451,7 @@ def q_dedup_readings(spark, sf):
 
 @register("alert_feed")
 def q_alert_feed(spark, sf):
-    return T.alerts(fire_events(_enriched(spark, sf))).drop("payload")
+    return T.alerts(fire_events(_enriched(spark, sf)))
 
 
 @register("audit_counts")
@@ -417,6 +467,48 @@ def q_audit_counts(spark, sf):
     })
 
 
+# --- streams (S1, S7, T1-T9, W6, A11 in streaming form) -----------------------
+STREAM_FILES = 4
+
+
+def _streamed(spark, sf, name, which):
+    """One stored table of the streams, after they have read the readings as STREAM_FILES files of
+    messages, a file per micro-batch, and have been stopped and started again half way."""
+    root = unique_shared_path(spark, "stream")
+    raw = _iso_readings(_raw(spark, sf))
+    part = F.floor(F.col("reading_index") * STREAM_FILES / (raw.agg(F.max("reading_index") + 1).first()[0] or 1))
+    msgs = envelope.encode(raw, keep=[part.cast("int").alias("part")])
+    half = STREAM_FILES // 2
+    for parts in (range(half), range(half, STREAM_FILES)):
+        for p in parts:
+            msgs.filter(F.col("part") == p).select("value").coalesce(1).write.mode("append").text(f"{root}/messages")
+        start = {"raw": jobs.start_raw, "enrichment": jobs.start_enrichment, "windows": jobs.start_windows}[which]
+        jobs.wait_for([start(spark, jobs.read_stream(spark, f"{root}/messages"), f"{root}/tables",
+                             checkpoint=f"{root}/checkpoint", trigger={"availableNow": True})])
+    return jobs.read_tables(spark, f"{root}/tables", [name])[name]
+
+
+@register("stream_raw")
+def q_stream_raw(spark, sf):
+    return _streamed(spark, sf, "raw_readings", "raw")
+
+
+@register("stream_enriched")
+def q_stream_enriched(spark, sf):
+    return _streamed(spark, sf, "processed_readings", "enrichment")
+
+
+@register("stream_node_status")
+def q_stream_node_status(spark, sf):
+    return _streamed(spark, sf, "node_status", "enrichment")
+
+
+@register("stream_window_stats")
+def q_stream_window_stats(spark, sf):
+    out = _streamed(spark, sf, "window_stats", "windows")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 

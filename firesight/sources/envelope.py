@@ -37,21 +37,23 @@ def decode(messages: DataFrame, spec: SensorSpec = DEFAULT_SPEC, value_col: str
     Permissive: a wrongly typed field becomes null, an unparsable document a
     row of nulls. NaN sensor values become null (one bad reading must not
     poison a node's running statistics). With ``keep_rejects`` a boolean
-    ``_rejected`` column marks documents without a node id, instead of
-    dropping them.
+    ``_rejected`` column marks documents without a node id, and ``_key`` and
+    ``_raw`` keep the message, for ``split_rejects``.
     """
     text = F.col(value_col).cast("string")
-    parsed = messages.select(F.from_json(text, spec.schema, {"mode": "PERMISSIVE"}).alias("d"), text.alias("_raw"))
+    key = F.col("key").cast("string") if "key" in messages.columns else F.lit(None).cast("string")
+    parsed = messages.select(F.from_json(text, spec.schema, {"mode": "PERMISSIVE"}).alias("d"), text.alias("_raw"),
+                             key.alias("_key"))
     cols = [nan_to_null(F.col(f"d.`{c}`")).alias(c) if c in SENSOR_COLUMNS else F.col(f"d.`{c}`").alias(c)
             for c in spec.schema.fieldNames()]
-    out = parsed.select(*cols, F.col("d.node_id").isNull().alias("_rejected"), "_raw")
+    out = parsed.select(*cols, F.col("d.node_id").isNull().alias("_rejected"), "_key", "_raw")
     if keep_rejects:
         return out
-    return out.filter(~F.col("_rejected")).drop("_rejected", "_raw")
+    return split_rejects(out)[0]
 
 
 def split_rejects(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected raw documents) of a ``decode(keep_rejects=True)`` frame."""
-    good = decoded.filter(~F.col("_rejected")).drop("_rejected", "_raw")
-    bad = decoded.filter(F.col("_rejected")).select(F.col("_raw").alias("document"))
+    good = decoded.filter(~F.col("_rejected")).drop("_rejected", "_key", "_raw")
+    bad = decoded.filter(F.col("_rejected")).select(F.col("_key").alias("key"), F.col("_raw").alias("document"))
     return good, bad

@@ -37,11 +37,12 @@ def read_readings(spark: SparkSession, path: str) -> DataFrame:
     return nan_to_null_all(df, [c for c in SENSOR_COLUMNS if c in df.columns])
 
 
-def readings_from_events(events: DataFrame) -> DataFrame:
+def readings_from_events(events: DataFrame, keep=()) -> DataFrame:
     """Readings view over the driver's ``events`` table (FIXTURES.md section 4).
 
     Every column is a fixed expression of one event row, so the view is a
     narrow projection: it keeps the scan's partitioning and adds no shuffle.
+    Columns named in ``keep`` are passed through.
     """
     k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
     value = F.col("value")
@@ -73,7 +74,7 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         "ingest_ts": F.col("ts"),
     }
     return events.select(*[c.cast("double").alias(n) if n in SENSOR_COLUMNS else c.alias(n)
-                           for n, c in cols.items()])
+                           for n, c in cols.items()], *keep)
 
 
 def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:

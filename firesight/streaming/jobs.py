@@ -1,10 +1,13 @@
-"""The two streaming queries (T1-T9, S1, S7 in streaming form).
+"""The streaming queries (T1-T9, S1, S7 in streaming form).
 
+* raw: source -> decode -> every readable reading into ``raw_readings``, before
+  any filter, and every unreadable message into ``rejects``.
 * enrichment: source -> decode -> outlier filter -> per-node stateful scoring
   (``transformWithStateInPandas``, RocksDB state store) -> ``foreachBatch``
-  fan-out into keyed tables (enriched rows, fire events, node status,
-  cumulative partials). Every sink write replaces the partition of its own
-  batch id, so a retried micro-batch leaves the tables as one clean run would.
+  fan-out into keyed tables (enriched rows, fire events, alerts, counters,
+  cumulative partials, live node status). Every sink write replaces the
+  partition of its own batch id, so a retried micro-batch leaves the tables as
+  one clean run would.
 * windows: source -> decode -> event time -> watermark -> tumbling window
   aggregate in update mode -> keyed upsert on (node, window_start).
 
@@ -16,15 +19,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firesight.functions.columns import clean, parse_ts
-from firesight.operators.enrich import ENRICH_COLUMNS
-from firesight.operators.rollups import ROLLUP_SENSORS
+from firesight.functions.columns import clean, order_value, parse_ts
+from firesight.operators.enrich import enrich_columns, finish, fire_events
+from firesight.operators.rollups import ROLLUP_SENSORS, enrichment_counts
+from firesight.operators.status import coords_table, latest_reading, status_row
 from firesight.operators.windows import flatten_window, window_aggs
 from firesight.session import ensure_checkpoint_dir
 from firesight.sinks import tables as T
-from firesight.sources.envelope import decode
+from firesight.sources.envelope import decode, split_rejects
 from firesight.spec import DEFAULT_SPEC, MAX_OFFSETS_PER_TRIGGER, TRIGGER_INTERVAL, SensorSpec
-from firesight.streaming.processor import Enricher, enriched_schema
+from firesight.streaming.processor import PREV_FIRE, Enricher, scored_schema
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -39,7 +43,7 @@ def read_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1)
     """Messages as text lines from a folder of files (one JSON document per
     line), a bounded number of files per micro-batch."""
     return (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
-            .text(path).withColumnRenamed("value", "value"))
+            .text(path))
 
 
 def read_kafka_stream(spark: SparkSession, servers: str, topic: str,
@@ -64,11 +68,13 @@ def enrich_stream(decoded: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFr
     safe = cleaned.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in cleaned.columns])
     scored = (safe.groupBy("node_id")
               .transformWithStateInPandas(
-                  statefulProcessor=Enricher(),
-                  outputStructType=enriched_schema(safe.schema),
+                  statefulProcessor=Enricher(spec),
+                  outputStructType=scored_schema(safe.schema, spec),
                   outputMode="Append",
                   timeMode="None"))
-    return scored.select(*[F.col(names.get(c, c)).alias(c) for c in cleaned.columns], *ENRICH_COLUMNS)
+    zs = [f"zscore_{name}" for _, name, _ in spec.scored]
+    named = scored.select(*[F.col(names.get(c, c)).alias(c) for c in cleaned.columns], *zs, PREV_FIRE)
+    return finish(named, F.col(PREV_FIRE), spec).select(*cleaned.columns, *enrich_columns(spec))
 
 
 def cumulative_partials(batch: DataFrame) -> DataFrame:
@@ -92,37 +98,76 @@ def cumulative_from_partials(partials: DataFrame) -> DataFrame:
     return partials.groupBy("node_id").agg(*aggs)
 
 
-def fan_out(root: str):
-    """T5: one materialised micro-batch feeding several keyed tables."""
-    from firesight.operators.enrich import fire_events
-    from firesight.operators.status import latest_reading
+READING_KEY = ["node_id", "reading_index"]
+
+
+def live_status(spark: SparkSession, root: str, batch: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
+    """Status rows of the batch's nodes: their latest enriched row, with the
+    running totals over all batches (this one's partials included)."""
+    totals = cumulative_from_partials(T.read_batches(spark, f"{root}/cumulative_partials"))
+    keep = ["node_id", "total_processed", *[c for c in totals.columns if c.startswith(("running_min", "running_max"))]]
+    return status_row(latest_reading(batch).join(totals.select(*keep), "node_id", "left"), coords_table(spark, spec))
 
+
+def fan_out(root: str, spec: SensorSpec = DEFAULT_SPEC):
+    """T5: one materialised micro-batch feeding several keyed tables."""
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch = batch.persist()
         try:
-            T.write_batch(batch, f"{root}/processed_readings", batch_id)
-            T.write_batch(fire_events(batch), f"{root}/fire_events", batch_id)
-            T.write_batch(latest_reading(batch), f"{root}/node_latest", batch_id)
+            at = order_value(batch)
+            T.write_batch(batch, f"{root}/processed_readings", batch_id, READING_KEY, at)
+            events = fire_events(batch)
+            T.write_batch(events, f"{root}/fire_events", batch_id, READING_KEY, order_value(events))
+            T.write_batch(T.alerts(events), f"{root}/alerts", batch_id)
             T.write_batch(cumulative_partials(batch), f"{root}/cumulative_partials", batch_id)
+            counters = enrichment_counts(batch.withColumn("stream_batch", F.lit(int(batch_id)).cast("long")), "stream_batch")
+            T.write_batch(counters, f"{root}/batch_counters", batch_id)
+            T.write_batch(live_status(spark, root, batch, spec), f"{root}/node_status", batch_id)
+        finally:
+            batch.unpersist()
+    return run
+
+
+def write_raw(root: str):
+    """The unfiltered batch into ``raw_readings``, what can't be read into ``rejects``."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            good, bad = split_rejects(batch)
+            T.write_batch(good, f"{root}/raw_readings", batch_id, READING_KEY, order_value(good))
+            T.write_batch(bad, f"{root}/rejects", batch_id)
         finally:
             batch.unpersist()
     return run
 
 
+def start_raw(spark: SparkSession, messages: DataFrame, root: str, checkpoint: str | None = None,
+              trigger: dict | None = None, spec: SensorSpec = DEFAULT_SPEC):
+    """Start the raw query; returns the StreamingQuery."""
+    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/streams/raw"
+    return (decode(messages, spec, keep_rejects=True).writeStream.foreachBatch(write_raw(root))
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL})).start())
+
+
 def start_enrichment(spark: SparkSession, messages: DataFrame, root: str, checkpoint: str | None = None,
-                     trigger: dict | None = None):
+                     trigger: dict | None = None, spec: SensorSpec = DEFAULT_SPEC):
     """Start the enrichment query; returns the StreamingQuery."""
     configure_state_store(spark)
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/streams/enrichment"
-    enriched = enrich_stream(decode(messages))
+    enriched = enrich_stream(decode(messages, spec), spec)
     return (enriched.writeStream
-            .foreachBatch(fan_out(root))
+            .foreachBatch(fan_out(root, spec))
             .option("checkpointLocation", checkpoint)
             .outputMode("append")
             .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
             .start())
 
 
+WINDOW_KEY = ["node_id", "window_start"]
+
+
 # T1-T3 ------------------------------------------------------------------------
 def window_stream(decoded: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
     """Tumbling window aggregate with watermark (late rows are dropped)."""
@@ -136,10 +181,11 @@ def window_stream(decoded: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFr
 def start_windows(spark: SparkSession, messages: DataFrame, root: str, checkpoint: str | None = None,
                   trigger: dict | None = None):
     """Start the window query: update output, upserted on (node, window_start)."""
+    configure_state_store(spark)
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/streams/windows"
     agg = window_stream(decode(messages))
     return (agg.writeStream
-            .foreachBatch(lambda df, bid: T.write_batch(df, f"{root}/window_stats", bid))
+            .foreachBatch(lambda df, bid: T.write_batch(df, f"{root}/window_stats", bid, WINDOW_KEY))
             .option("checkpointLocation", checkpoint)
             .outputMode("update")
             .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
@@ -156,29 +202,49 @@ def read_stream_state(spark: SparkSession, checkpoint: str) -> DataFrame:
 
 
 # T6 ---------------------------------------------------------------------------
-def run_both(spark: SparkSession, source: str, root: str, max_files_per_trigger: int = 1,
-             trigger: dict | None = None, wait: bool = True, checkpoint_root: str | None = None):
-    """Both queries on the same source, each with its own reader and checkpoint;
-    with ``wait`` the call returns when either query stops (or fails)."""
+def run_all(spark: SparkSession, source: str, root: str, max_files_per_trigger: int = 1,
+            trigger: dict | None = None, wait: bool = True, checkpoint_root: str | None = None):
+    """The three queries on the same source, each with its own reader and checkpoint.
+
+    With ``wait`` the call returns when all have ended (``availableNow``) or
+    raises when one fails; in either case no query is left running.
+    """
     ck = checkpoint_root or f"{ensure_checkpoint_dir(spark)}/streams"
-    q1 = start_enrichment(spark, read_stream(spark, source, max_files_per_trigger), root,
-                          checkpoint=f"{ck}/enrichment", trigger=trigger)
-    q2 = start_windows(spark, read_stream(spark, source, max_files_per_trigger), root,
-                       checkpoint=f"{ck}/windows", trigger=trigger)
-    if wait:
-        spark.streams.awaitAnyTermination()
-    return q1, q2
+    starts = (("raw", start_raw), ("enrichment", start_enrichment), ("windows", start_windows))
+    running = [start(spark, read_stream(spark, source, max_files_per_trigger), root,
+                     checkpoint=f"{ck}/{name}", trigger=trigger) for name, start in starts]
+    return wait_for(running) if wait else running
+
+
+def wait_for(running: list) -> list:
+    """Wait until every query has ended; the first failure stops the others and is raised."""
+    try:
+        waiting = list(running)
+        while waiting:
+            waiting = [q for q in waiting if not q.awaitTermination(1)]
+    finally:
+        for q in running:
+            q.stop()
+    return running
 
 
 def read_tables(spark: SparkSession, root: str, names=None) -> dict[str, DataFrame]:
     """Current state of the stream outputs (merge-on-read of the keyed tables)."""
+    def keyed(name, keys):
+        return lambda: T.read_upserted(spark, f"{root}/{name}", keys)
+
+    def appended(name):
+        return lambda: T.read_batches(spark, f"{root}/{name}").drop(T.BATCH)
+
     readers = {
-        "processed_readings": lambda: T.read_upserted(spark, f"{root}/processed_readings",
-                                                      ["node_id", "reading_index"]),
-        "fire_events": lambda: T.read_upserted(spark, f"{root}/fire_events", ["node_id", "reading_index"]),
-        "node_latest": lambda: T.read_upserted(spark, f"{root}/node_latest", ["node_id"]),
-        "window_stats": lambda: T.read_upserted(spark, f"{root}/window_stats", ["node_id", "window_start"]),
-        "cumulative": lambda: cumulative_from_partials(
-            spark.read.parquet(f"{root}/cumulative_partials").drop(T.SEQ)),
+        "raw_readings": keyed("raw_readings", READING_KEY),
+        "rejects": appended("rejects"),
+        "processed_readings": keyed("processed_readings", READING_KEY),
+        "fire_events": keyed("fire_events", READING_KEY),
+        "alerts": appended("alerts"),
+        "batch_counters": appended("batch_counters"),
+        "node_status": keyed("node_status", ["node_id"]),
+        "window_stats": keyed("window_stats", WINDOW_KEY),
+        "cumulative": lambda: cumulative_from_partials(T.read_batches(spark, f"{root}/cumulative_partials")),
     }
     return {n: readers[n]() for n in (names or readers)}

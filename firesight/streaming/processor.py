@@ -2,11 +2,15 @@
 Spark's checkpointed state store, so they commit together with the source
 offsets (a retried micro-batch starts again from the committed state).
 
-Per micro-batch and node the rows arrive as pandas frames; they are ordered by
-index (null as 0) and scored with vectorised running sums merged with the
-carried state - the same pairwise update as the batch prefix scan, with the
-carried state as the prefix. Rows of a node that arrive in a later
-micro-batch are scored then, after everything already seen.
+The stateful step returns what needs the state only: the z-scores and the
+previous fire value of every row. Rows arrive as pandas frames; they are
+ordered by index (null as 0) and scored with vectorised running sums merged
+with the carried state - the same pairwise update as the batch prefix scan,
+with the carried state as the prefix. Flags and labels are Spark expressions
+after it, shared with the batch form (``enrich.finish``). Rows of a node that
+arrive in a later micro-batch are scored then, after everything already seen.
+One node is one task per micro-batch: its rows are bounded by the trigger's
+file or offset limit.
 """
 
 from __future__ import annotations
@@ -18,32 +22,23 @@ import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from firesight.spec import (DEFAULT_SPEC, FIRE_LABEL_OTHER, FIRE_LABELS, SENSOR_COLUMNS, SERVING_NAMES,
-                            SensorSpec)
+from firesight.spec import DEFAULT_SPEC, SensorSpec
 
-# Arrow hands columns whose names hold spaces or brackets to Python under
-# positional names, so the stateful step works on the snake_case names.
-SAFE = SERVING_NAMES
+PREV_FIRE = "_prev_fire"
 
-STATE_SCHEMA = T.StructType(
-    [T.StructField(f"{name}_{part}", T.LongType() if part == "count" else T.DoubleType(), True)
-     for _, name, _ in DEFAULT_SPEC.scored for part in ("count", "mean", "m2")]
-    + [T.StructField("last_fire_value", T.IntegerType(), True)])
 
+def state_schema(spec: SensorSpec = DEFAULT_SPEC) -> T.StructType:
+    """Count, mean and M2 of every scored sensor, and the last non-null fire value."""
+    return T.StructType(
+        [T.StructField(f"{name}_{part}", T.LongType() if part == "count" else T.DoubleType(), True)
+         for _, name, _ in spec.scored for part in ("count", "mean", "m2")]
+        + [T.StructField("last_fire_value", T.IntegerType(), True)])
 
-def enriched_schema(input_schema: T.StructType) -> T.StructType:
-    return T.StructType(list(input_schema.fields) + [
-        T.StructField("zscore_Temperature", T.DoubleType(), True),
-        T.StructField("zscore_CO", T.DoubleType(), True),
-        T.StructField("zscore_Smoke", T.DoubleType(), True),
-        T.StructField("zscore_Gas", T.DoubleType(), True),
-        T.StructField("is_anomaly", T.BooleanType(), True),
-        T.StructField("anomaly_sensors", T.StringType(), True),
-        T.StructField("is_fire", T.BooleanType(), True),
-        T.StructField("is_fire_transition", T.BooleanType(), True),
-        T.StructField("fire_value_prev", T.IntegerType(), True),
-        T.StructField("fire_state_label", T.StringType(), True),
-    ])
+
+def scored_schema(input_schema: T.StructType, spec: SensorSpec = DEFAULT_SPEC) -> T.StructType:
+    return T.StructType(list(input_schema.fields)
+                        + [T.StructField(f"zscore_{name}", T.DoubleType(), True) for _, name, _ in spec.scored]
+                        + [T.StructField(PREV_FIRE, T.IntegerType(), True)])
 
 
 def _round_half_up(z: np.ndarray, decimals: int) -> np.ndarray:
@@ -66,12 +61,12 @@ def _round_half_up(z: np.ndarray, decimals: int) -> np.ndarray:
 
 
 def score_frame(pdf: pd.DataFrame, state: dict, spec: SensorSpec = DEFAULT_SPEC) -> tuple[pd.DataFrame, dict]:
-    """Score one node's new rows (already ordered, snake_case column names)
-    against its carried state; returns the scored rows and the new state."""
-    out = pdf.copy()
+    """Z-scores and previous fire value of one node's new rows (already ordered, snake_case
+    column names) against its carried state; returns the rows and the new state."""
+    out, safe = pdf.copy(), spec.serving_names
     new_state = dict(state)
     for col, name, _ in spec.scored:
-        x = out[SAFE[col]].to_numpy(dtype="float64", na_value=np.nan)
+        x = out[safe[col]].to_numpy(dtype="float64", na_value=np.nan)
         valid = ~np.isnan(x)
         cn = float(state.get(f"{name}_count") or 0)
         cmean = float(state.get(f"{name}_mean") or 0.0)
@@ -99,42 +94,12 @@ def score_frame(pdf: pd.DataFrame, state: dict, spec: SensorSpec = DEFAULT_SPEC)
             new_state[f"{name}_mean"] = float(mean_y[-1] + shift) if n[-1] > 0 else 0.0
             new_state[f"{name}_m2"] = float(m2[-1])
 
-    # Flags: z-flags in sensor order, then threshold flags not yet present.
-    n_rows = len(out)
-    parts = []
-    hit_any = np.zeros(n_rows, dtype=bool)
-    z_hit = {}
-    for _, name, _ in spec.scored:
-        z = out[f"zscore_{name}"].astype("float64").fillna(0.0).abs().to_numpy()
-        z_hit[name] = z > spec.z_threshold
-        parts.append(np.where(z_hit[name], name, ""))
-        hit_any |= z_hit[name]
-    for name, col, op, thr in spec.thresholds:
-        v = out[SAFE[col]].to_numpy(dtype="float64", na_value=np.nan)
-        with np.errstate(invalid="ignore"):
-            hit = (v > thr) if op == ">" else (v < thr)
-        hit &= ~np.isnan(v)
-        parts.append(np.where(hit & ~z_hit.get(name, np.zeros(n_rows, dtype=bool)), name, ""))
-        hit_any |= hit
-    out["is_anomaly"] = hit_any
-    out["anomaly_sensors"] = [", ".join(p for p in row if p) for row in zip(*parts)] if n_rows else []
-
-    # Fire state: previous non-null value carried across rows and batches.
+    # previous non-null fire value, carried across rows and batches
     last = state.get("last_fire_value")
-    prevs, trans, fires, labels = [], [], [], []
-    for v in out[SAFE["Fire"]].tolist():
-        v = None if v is None or pd.isna(v) else int(v)
-        prevs.append(int(last) if last is not None else 0)
-        trans.append(bool(v is not None and v >= 1 and (last is None or last == 0)))
-        fires.append(bool(v is not None and v >= 1))
-        labels.append(FIRE_LABELS.get(v, FIRE_LABEL_OTHER))
-        if v is not None:
-            last = v
-    out["is_fire"] = fires
-    out["is_fire_transition"] = trans
-    out["fire_value_prev"] = pd.array(prevs, dtype="Int32")
-    out["fire_state_label"] = labels
-    new_state["last_fire_value"] = last
+    fire = pd.concat([pd.Series([last], dtype="Int32"), out[safe["Fire"]].astype("Int32")], ignore_index=True).ffill()
+    out[PREV_FIRE] = fire.iloc[:-1].to_numpy(dtype=object, na_value=None)
+    out[PREV_FIRE] = out[PREV_FIRE].astype("Int32")
+    new_state["last_fire_value"] = None if pd.isna(fire.iloc[-1]) else int(fire.iloc[-1])
     return out, new_state
 
 
@@ -146,22 +111,23 @@ def order_rows(pdf: pd.DataFrame) -> pd.DataFrame:
 class Enricher(StatefulProcessor):
     """Per-node Welford state + fire state, one ValueState per node."""
 
+    def __init__(self, spec: SensorSpec = DEFAULT_SPEC) -> None:
+        self.spec = spec
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("stats", STATE_SCHEMA)
+        self.fields = state_schema(self.spec).fieldNames()
+        self.state = handle.getValueState("stats", state_schema(self.spec))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True)
         if pdf.empty:
             return
-        if self.state.exists():
-            values = self.state.get()
-            state = dict(zip(STATE_SCHEMA.fieldNames(), values))
-        else:
-            state = {}
-        for c in SENSOR_COLUMNS:
-            pdf[SAFE[c]] = pdf[SAFE[c]].astype("float64")
-        out, new_state = score_frame(order_rows(pdf), state)
-        self.state.update(tuple(new_state.get(f) for f in STATE_SCHEMA.fieldNames()))
+        state = dict(zip(self.fields, self.state.get())) if self.state.exists() else {}
+        for col, _, _ in self.spec.scored:
+            name = self.spec.serving_names[col]
+            pdf[name] = pdf[name].astype("float64")
+        out, new_state = score_frame(order_rows(pdf), state, self.spec)
+        self.state.update(tuple(new_state.get(f) for f in self.fields))
         yield out
 
     def close(self) -> None:

@@ -68,7 +68,7 @@ def test_report_node_without_hours_gets_empty_trend(spark):
     rows = [reading("a", 0), reading("b", 0)]
     df = frame(spark, rows).withColumn(
         "ingest_ts", F.when(F.col("node_id") == "a", F.lit(None)).otherwise(F.col("ingest_ts")))
-    rep = {r["node_id"]: r for r in B.baseline_report(df, C.clean(df)).collect()}
+    rep = {r["node_id"]: r for r in B.baseline_report(df).collect()}
     assert rep["a"]["trend_hourly"] == []
     assert rep["a"]["total_readings"] == 1 and rep["a"]["first_ingest_ts"] is None
     assert len(rep["b"]["trend_hourly"]) == 1
@@ -77,8 +77,8 @@ def test_report_node_without_hours_gets_empty_trend(spark):
 def test_report_nested_matches_flat(spark):
     from firesight.sources.readings import load_readings
     raw = load_readings(spark, "/root/testdata/sf0.001")
-    nested = B.baseline_report(raw, C.clean(raw)).drop("trend_hourly")
-    flat = B.baseline_report(raw, C.clean(raw), nested=False)
+    nested = B.baseline_report(raw).drop("trend_hourly")
+    flat = B.baseline_report(raw, nested=False)
     assert nested.exceptAll(flat.select(*nested.columns)).count() == 0
 
 

@@ -1,6 +1,7 @@
 """Physical-plan checks: pruning and pushdown reach the scan, no Python in
 batch plans, the flagship query has no sort of history, bounded broadcasts."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from firesight.sources.readings import load_readings
@@ -24,26 +25,35 @@ def test_filter_on_index_is_pushed_to_parquet(spark):
 
 
 def test_batch_queries_run_no_python(spark):
-    from __spark_entry__ import queries
+    from firesight.plans.queries import queries
     for name, fn in queries().items():
+        if name.startswith("stream_"):
+            continue
         plan = plan_of(fn(spark, SF_SMALL))
         assert "EvalPython" not in plan and "FlatMapGroupsInPandas" not in plan, name
 
 
-def test_node_status_is_aggregate_only_with_bounded_broadcast(spark):
-    from __spark_entry__ import queries
-    df = queries()["node_status"](spark, SF_SMALL)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
-    # the only sort-based aggregate runs on the few rows at each node's latest index
-    for line in plan.splitlines():
-        if "SortAggregate" in line:
-            assert "max_by" in line
-    # the coordinate dimension is broadcast; other broadcasts are AQE's,
-    # decided on measured sizes (the per-node table)
-    assert "BroadcastExchange" in plan and "Scan ExistingRDD[node_id" in plan
-    assert df.count() == 4
+@pytest.mark.parametrize("name", ["node_status", "latest_reading", "node_state", "cumulative_stats"])
+def test_latest_rows_take_one_scan_and_no_sort(spark, name):
+    """The plan at scale: without broadcasts chosen by size, one scan, hash aggregates, nothing sorted
+    below the first exchange and only aggregated rows in exchanges."""
+    from firesight.plans.queries import queries
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(queries()[name](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("FileScan parquet") == 1
+    assert "Sort" not in plan and "Window" not in plan
+    lines = [x.strip(" +-:") for x in plan.splitlines()]
+    for above, below in zip(lines, lines[1:]):
+        if above.startswith("Exchange"):
+            assert below.startswith("HashAggregate"), (above, below)
+
+
+def test_no_repartition_by_size(spark):
+    assert "RoundRobin" not in plan_of(load_readings(spark, SF_SMALL))
 
 
 def test_prefix_scan_partitions_by_node_and_chunk(spark):

@@ -27,18 +27,37 @@ def test_bands_and_parse(spark):
     assert got == ["2024-01-01T00:00:07.179Z", None, None]
 
 
-def test_tolerant_csv(spark, workdir):
-    with open(os.path.join(workdir, "nodo_1.csv"), "w") as f:
-        f.write("Temperature (C),CO,Gas (Ohm),Smoke (ppm),Fire\n")
-        f.write(" 21.5 ,abc,,nan, 2 \n")
-        f.write("22,1.5,100,0.02,1.0\n")
-    with open(os.path.join(workdir, "nodo_4.csv"), "w") as f:
-        f.write("Temperature (C),CO\n19,2\n")
+def test_tolerant_csv_reads_each_file_by_its_own_header(spark, workdir):
+    files = {
+        "nodo_1": "Temperature (C),CO,Gas (Ohm),Smoke (ppm),Fire\n 21.5 ,abc,,nan, 2 \n22,1.5,100,0.02,1.0\n",
+        "nodo_2": "Fire,Temperature (C),CO\n1,20,2\n\t2\t,1.0d,1f\n",  # the label first
+        "nodo_3": "Temperature (C),CO\n" + "19,2\n" * 200,  # the largest file has none
+        "nodo_4": "CO,Fire,Temperature (C)\n2,0,18\n",
+        "nodo_5": "Temperature (C),CO\n",  # no rows
+    }
+    for name, text in files.items():
+        with open(os.path.join(workdir, f"{name}.csv"), "w") as f:
+            f.write(text)
     df = csvfiles.read_csv_readings(spark, workdir)
-    rows = sorted((r["node_id"], r["Temperature (C)"], r["CO"], r["Gas (Ohm)"], r["Smoke (ppm)"], r["Fire"])
-                  for r in df.collect())
-    assert rows == [("nodo_1", 21.5, None, None, None, 2), ("nodo_1", 22.0, 1.5, 100.0, 0.02, None),
-                    ("nodo_4", 19.0, 2.0, None, None, None)]
+    rows = sorted(((r["node_id"], r["Temperature (C)"], r["CO"], r["Gas (Ohm)"], r["Smoke (ppm)"], r["Fire"])
+                   for r in df.distinct().collect()), key=repr)
+    assert rows == sorted([
+        ("nodo_1", 21.5, None, None, None, 2), ("nodo_1", 22.0, 1.5, 100.0, 0.02, None),
+        ("nodo_2", 20.0, 2.0, None, None, 1), ("nodo_2", None, None, None, None, 2),
+        ("nodo_3", 19.0, 2.0, None, None, None), ("nodo_4", 18.0, 2.0, None, None, 0)], key=repr)
+    assert df.count() == 205
+
+
+def test_stored_nan_is_null_from_the_source_on(spark, workdir):
+    from firesight.operators.baseline import baseline_summary
+    from firesight.operators.enrich import enrich
+    from firesight.sources.readings import read_readings
+    nan = float("nan")
+    frame(spark, [reading("a", i, temp=nan if i == 5 else 20.0 + i % 3) for i in range(40)]).write.parquet(f"{workdir}/r")
+    stored = read_readings(spark, f"{workdir}/r")
+    clean = frame(spark, [reading("a", i, temp=None if i == 5 else 20.0 + i % 3) for i in range(40)])
+    assert sorted(map(repr, enrich(stored).collect())) == sorted(map(repr, enrich(clean).collect()))
+    assert baseline_summary(stored).first() == baseline_summary(clean).first()
 
 
 def test_sequence_index_matches_row_number(spark):
@@ -66,21 +85,56 @@ def test_decode_rejects_and_nan(spark):
     assert got["a"]["Temperature (C)"] == 21.0 and got["a"]["ingest_ts"] == "2024-01-01T00:00:01.000Z"
     # a wrongly typed field becomes null; NaN becomes null (deviation: it never enters running state)
     assert got["b"]["reading_index"] is None and got["b"]["CO"] is None and got["b"]["Fire"] == 1
-    assert [r["document"] for r in bad.collect()] == ["{broken"]
+    assert [(r["key"], r["document"]) for r in bad.collect()] == [("k", "{broken")]
+
+
+KEY = ["node_id", "reading_index"]
+
+
+def state(spark, target):
+    return {r["reading_index"]: r["Temperature (C)"] for r in T.read_upserted(spark, target, KEY).collect()}
 
 
 def test_write_batch_replay_is_idempotent(spark, workdir):
     target = f"{workdir}/t"
     v1 = frame(spark, [reading("a", 0, temp=1.0), reading("a", 1, temp=1.0)])
     v2 = frame(spark, [reading("a", 1, temp=2.0)])
-    T.write_batch(v1, target, 0)
-    T.write_batch(v2, target, 1)
-    T.write_batch(v2, target, 1)  # replay of batch 1
-    got = {r["reading_index"]: r["Temperature (C)"] for r in T.read_upserted(spark, target, ["node_id", "reading_index"]).collect()}
-    assert got == {0: 1.0, 1: 2.0}
-    assert spark.read.parquet(target).count() == 3
-    T.compact(spark, target, ["node_id", "reading_index"], f"{workdir}/c")
-    assert spark.read.parquet(f"{workdir}/c").count() == 2
+    for df, batch in ((v1, 0), (v2, 1), (v2, 1)):  # batch 1 is replayed
+        T.write_batch(df, target, batch, KEY, C.order_value(df))
+    assert state(spark, target) == {0: 1.0, 1: 2.0}
+    assert T.read_batches(spark, target).count() == 3
+
+
+def test_last_write_within_a_batch_is_the_latest_by_time(spark, workdir):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    rows = [reading("a", 0, temp=float(i), ts=t + dt.timedelta(seconds=i)) for i in range(30)]
+    for n, order in enumerate((rows, rows[::-1], rows[15:] + rows[:15])):
+        df = frame(spark, order).repartition(7)
+        T.write_batch(df, f"{workdir}/t{n}", 0, KEY, C.order_value(df))
+        assert state(spark, f"{workdir}/t{n}") == {0: 29.0}
+
+
+def test_compaction_is_followed_by_readers_and_writers(spark, workdir):
+    target = f"{workdir}/t"
+    for batch, temp in enumerate((1.0, 2.0, 3.0)):
+        df = frame(spark, [reading("a", i, temp=temp) for i in range(batch, 4)])
+        T.write_batch(df, target, batch, KEY, C.order_value(df))
+    before = state(spark, target)
+    assert T.compact(spark, target, KEY) == 1
+    assert state(spark, target) == before and T.read_batches(spark, target).count() == 4
+    T.write_batch(df, target, 2, KEY, C.order_value(df))  # the last batch is replayed
+    assert state(spark, target) == before
+    T.write_batch(frame(spark, [reading("a", 0, temp=9.0)]), target, 3, KEY)
+    assert state(spark, target) == {**before, 0: 9.0}
+    assert T.compact(spark, target, KEY) == 2
+    assert state(spark, target) == {**before, 0: 9.0}
+
+
+def test_upsert_has_no_sort_aggregate(spark):
+    df = frame(spark, [reading("a", 0)]).selectExpr("*", "0L batch", "1L seq")
+    plan = T.upsert_latest(df, KEY, ["batch", "seq"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
 
 
 def test_mirror_failure_does_not_raise(spark, workdir):

@@ -47,9 +47,9 @@ def test_stream_equals_batch_and_restart(spark, workdir):
     # rate control: one file per micro-batch, so the state is carried across two batches
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 2
     # rerun without new files emits nothing new
-    before = spark.read.parquet(f"{root}/processed_readings").count()
+    before = T.read_batches(spark, f"{root}/processed_readings").count()
     run_enrichment(spark, src, root, ckpt)
-    assert spark.read.parquet(f"{root}/processed_readings").count() == before
+    assert T.read_batches(spark, f"{root}/processed_readings").count() == before
     # a new file continues from the committed state
     write_file(src, "m-002.json", messages(spark, 620, 1000))
     run_enrichment(spark, src, root, ckpt)
@@ -58,12 +58,15 @@ def test_stream_equals_batch_and_restart(spark, workdir):
     cols = ["node_id", "reading_index", *ENRICH_COLUMNS]
     assert got.count() == exp.count()
     assert got.select(*cols).exceptAll(exp.select(*cols)).count() == 0
-    tabs = jobs.read_tables(spark, root, ["cumulative", "node_latest", "fire_events"])
+    tabs = jobs.read_tables(spark, root, ["cumulative", "node_status", "fire_events", "alerts", "batch_counters"])
     cum = {r["node_id"]: r["total_processed"] for r in tabs["cumulative"].collect()}
     assert sum(cum.values()) == exp.count()
-    latest = {r["node_id"]: r["reading_index"] for r in tabs["node_latest"].collect()}
-    exp_latest = {r["node_id"]: r["m"] for r in exp.groupBy("node_id").agg(F.max("reading_index").alias("m")).collect()}
-    assert latest == exp_latest
+    from firesight.operators.status import coords_table, node_status
+    from firesight.functions.columns import clean
+    want = node_status(clean(decode(encode(load_readings(spark, "/root/testdata/sf0.001")))), coords_table(spark))
+    assert sorted(map(repr, tabs["node_status"].select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+    assert tabs["fire_events"].count() == exp.filter("is_fire_transition").count() == tabs["alerts"].count()
+    assert tabs["batch_counters"].agg(F.sum("rows")).first()[0] == exp.count()
 
 
 def doc(node, idx, ts, temp):
@@ -96,7 +99,7 @@ def test_window_watermark_drops_late_rows(spark, workdir):
     ten = out[dt.datetime(2024, 1, 1, 0, 10)]
     assert ten["reading_count"] == 2 and ten["avg_temp"] == 35.0
     # the open window was written twice (update mode), the upsert keeps the last
-    assert spark.read.parquet(f"{root}/window_stats").filter(
+    assert T.read_batches(spark, f"{root}/window_stats").filter(
         (F.col("window_start") == dt.datetime(2024, 1, 1, 0, 10)) & (F.col("node_id") == "a")).count() == 2
 
 
@@ -114,19 +117,62 @@ def test_stream_dedup_within_watermark(spark, workdir):
 
 
 @pytest.mark.slow
-def test_both_queries_run_independently(spark, workdir):
-    src, root = f"{workdir}/src", f"{workdir}/out"
-    write_file(src, "b-000.json", messages(spark, 0, 200))
-    q1, q2 = jobs.run_both(spark, src, root, trigger={"availableNow": True}, wait=False,
-                           checkpoint_root=f"{workdir}/ck")
-    q1.awaitTermination()
-    q2.awaitTermination()
-    assert q1.exception() is None and q2.exception() is None
-    tabs = jobs.read_tables(spark, root, ["processed_readings", "window_stats", "cumulative"])
-    raw = load_readings(spark, "/root/testdata/sf0.001").filter(F.col("reading_index") < 200)
+def test_streams_then_batch_job(spark, workdir):
+    """All queries on one source, then the batch job over what they stored."""
+    from firesight.batch.job import run_batch
     from firesight.functions.columns import clean
+    from firesight.operators.baseline import baseline_report
+    src, root = f"{workdir}/src", f"{workdir}/out"
+    write_file(src, "b-000.json", [*messages(spark, 0, 200), "{broken"])
+    queries = jobs.run_all(spark, src, root, trigger={"availableNow": True}, checkpoint_root=f"{workdir}/ck")
+    assert all(q.exception() is None and not q.isActive for q in queries)
+    tabs = jobs.read_tables(spark, root, ["raw_readings", "rejects", "processed_readings", "window_stats"])
+    raw = decode(encode(load_readings(spark, "/root/testdata/sf0.001").filter(F.col("reading_index") < 200)))
+    assert tabs["raw_readings"].count() == raw.count()
+    assert [r["document"] for r in tabs["rejects"].collect()] == ["{broken"]
     assert tabs["processed_readings"].count() == clean(raw).count()
     assert tabs["window_stats"].agg(F.sum("reading_count")).collect()[0][0] == raw.count()
+    at = dt.datetime(2024, 5, 1)
+    written = run_batch(spark, root, f"{workdir}/snap", f"{workdir}/mirror", at)
+    report = written["baseline_report"]
+    assert {r["report_generated_at"] for r in report.collect()} == {at}
+    want = baseline_report(raw)
+    assert sorted(map(repr, report.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+    assert spark.read.json(f"{workdir}/mirror/correlation").count() == written["correlation"].count()
+
+
+@pytest.mark.slow
+def test_a_failing_query_stops_the_others(spark, workdir):
+    src = f"{workdir}/src"
+    write_file(src, "f-000.json", messages(spark, 0, 20))
+
+    def fail(batch, batch_id):
+        raise ValueError("no")
+
+    lines = jobs.read_stream(spark, src)
+    good = (lines.writeStream.format("noop").option("checkpointLocation", f"{workdir}/c1")
+            .trigger(processingTime="1 second").start())
+    bad = lines.writeStream.foreachBatch(fail).option("checkpointLocation", f"{workdir}/c2").start()
+    with pytest.raises(Exception, match="no"):
+        jobs.wait_for([good, bad])
+    assert not good.isActive and not bad.isActive
+
+
+@pytest.mark.slow
+def test_stream_honours_the_spec(spark, workdir):
+    from dataclasses import replace
+    from firesight.spec import DEFAULT_SPEC
+    spec = replace(DEFAULT_SPEC, z_threshold=0.5, thresholds=(("CO", "CO", ">", 5.0),), scored=DEFAULT_SPEC.scored[:2])
+    src, root = f"{workdir}/src", f"{workdir}/out"
+    write_file(src, "p-000.json", messages(spark, 0, 300))
+    q = jobs.start_enrichment(spark, jobs.read_stream(spark, src), root, checkpoint=f"{workdir}/ck",
+                              trigger={"availableNow": True}, spec=spec)
+    q.awaitTermination()
+    raw = decode(encode(load_readings(spark, "/root/testdata/sf0.001").filter(F.col("reading_index") < 300)))
+    cols = ["node_id", "reading_index", "zscore_Temperature", "zscore_CO", "is_anomaly", "anomaly_sensors", "fire_value_prev"]
+    got = T.read_upserted(spark, f"{root}/processed_readings", ["node_id", "reading_index"]).select(*cols)
+    want = enrich(raw, spec).select(*cols)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
 
 
 @pytest.mark.slow
