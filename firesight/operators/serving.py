@@ -78,8 +78,8 @@ def fire_activity(enriched: DataFrame, every: str = "1 hour", start: Column | No
     """Count of fire rows per (node, bucket), zero-filled over a time range.
 
     ``start`` and ``end`` (timestamps) bound the range, as a dashboard's time
-    picker does; by default it is the table's own range, from scalar subqueries
-    over the counts. One aggregate over the readings gives the count of every
+    picker does; by default it is the table's own range, a scalar subquery over
+    the counts. One aggregate over the readings gives the count of every
     occupied (node, bucket). The range's buckets are made in segments of
     SPINE_SEGMENT, so no row carries the whole range and no window gathers the
     nodes, and left-joined to the counts. Spine size = nodes x buckets in the range.
@@ -95,11 +95,12 @@ def fire_activity(enriched: DataFrame, every: str = "1 hour", start: Column | No
               .agg(F.count_if(F.col("is_fire")).alias("fire_count")))
     seconds = int(enriched.sparkSession.range(1).select(
         F.unix_micros((F.lit("1970-01-01").cast("timestamp") + step).cast("timestamp"))).first()[0]) // 1_000_000
-    first = counts.select(F.min("bucket_start")).scalar() if start is None else _floor(start, every)
-    last = counts.select(F.max("bucket_start")).scalar() if end is None else _floor(end, every)
-    total = F.floor((_epoch(last) - _epoch(first)) / seconds)
-    nodes = enriched.select("node_id").distinct()
-    segments = nodes.select("node_id", first.alias("_a"), total.alias("_n")).filter("_n is not null").select(
+    own = counts.select(F.struct(F.min("bucket_start").alias("a"), F.max("bucket_start").alias("b"))).scalar()
+    nodes = enriched.select("node_id").distinct().select("node_id", own.alias("_r")).select(
+        "node_id", (F.col("_r.a") if start is None else _floor(start, every)).alias("_a"),
+        (F.col("_r.b") if end is None else _floor(end, every)).alias("_b"))
+    total = F.floor((_epoch(F.col("_b")) - _epoch(F.col("_a"))) / seconds)
+    segments = nodes.select("node_id", "_a", total.alias("_n")).filter("_n is not null").select(
         "node_id", "_a", "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_n") / SPINE_SEGMENT))).alias("_s"))
     spine = segments.select("node_id", "_a", F.explode(F.sequence(
         F.col("_s") * SPINE_SEGMENT, F.least(F.col("_n"), (F.col("_s") + 1) * SPINE_SEGMENT - 1))).alias("_i")).select(
