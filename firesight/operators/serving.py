@@ -163,6 +163,23 @@ BASELINE_PANEL_FIELDS = ("node_id", "p50_temp", "p95_temp", "p99_temp", "avg_tem
                          "p99_gas", "avg_gas")
 
 
+# Titles of the report panels, as the dashboards show them.
+SENSOR_TITLES = {"temp": "Temp", "co": "CO", "smoke": "Smoke", "gas": "Gas"}
+STAT_TITLES = {"p50": "p50", "p95": "p95", "p99": "p99", "avg": "media"}
+BASELINE_PANEL_TITLES = {"node_id": "Nodo", **{f"{stat}_{s}": f"{title} {name}" for s, title in SENSOR_TITLES.items()
+                                               for stat, name in STAT_TITLES.items()}}
+COVERAGE_PANEL_TITLES = {"node_id": "Nodo", "total_readings": "Letture totali",
+                         "distinct_reading_index": "reading_index distinti", "first_ingest_ts": "Primo ingest",
+                         "last_ingest_ts": "Ultimo ingest"}
+QUALITY_PANEL_TITLES = {"node_id": "Nodo", "val_tp": "TP", "val_fp": "FP", "val_tn": "TN", "val_fn": "FN",
+                        "val_precision": "Precision", "val_recall": "Recall", "val_f1": "F1", "val_accuracy": "Accuracy"}
+
+
+def titled_panel(report: DataFrame, titles: dict) -> DataFrame:
+    """A panel's fields in its order, under its titles, sorted by node."""
+    return panel_projection(report.orderBy("node_id"), tuple(titles), titles)
+
+
 def sorted_panel(report: DataFrame, fields: Sequence[str] = BASELINE_PANEL_FIELDS) -> DataFrame:
     """L3: a report table panel: field subset in panel order, sorted by node."""
     return panel_projection(report, fields).orderBy("node_id")
@@ -180,6 +197,21 @@ def severity_bands(readings: DataFrame) -> DataFrame:
     )
 
 
+def report_bands(report: DataFrame, pairs: Sequence[str]) -> DataFrame:
+    """Bands of a report's tail temperature, detection metrics and correlation pairs."""
+    metrics = ("val_precision", "val_recall", "val_f1", "val_accuracy")
+    return report.select("node_id", band(F.col("p99_temp"), SEVERITY_STEPS["p99_temp"]).alias("p99_temp_band"),
+                         *[band(F.col(c), SEVERITY_STEPS["metric"]).alias(f"{c}_band") for c in metrics],
+                         *[band(F.col(c), SEVERITY_STEPS["correlation"]).alias(f"{c}_band") for c in pairs])
+
+
+def status_bands(status: DataFrame, anomalies: DataFrame) -> DataFrame:
+    """Map marker band of every node beside the band of the recent anomaly count (one row)."""
+    n = anomalies.select("anomaly_count").scalar()
+    return status.select("node_id", band(F.col("map_status"), SEVERITY_STEPS["map_status"]).alias("map_band"),
+                         band(n, SEVERITY_STEPS["anomaly_count"]).alias("anomaly_count_band"))
+
+
 # P15 --------------------------------------------------------------------------
 def node_fire_rows(enriched: DataFrame, node: str) -> DataFrame:
     """Rows of one node with the fire flag set (term AND term)."""

@@ -419,6 +419,24 @@ ORACLES["severity_bands"] = (f"{BASE_ENRICHED} SELECT node_id, reading_index, "
                              f"{_band(Q('CO'), (50.0, 150.0))} AS co_band, "
                              f"{_band(Q('Smoke (ppm)'), (0.05, 0.1, 0.15))} AS smoke_band, "
                              f"{_band(Q('Gas (Ohm)'), (5000.0, 10000.0))} AS gas_band FROM enriched")
+_TITLES = {"temp": "Temp", "co": "CO", "smoke": "Smoke", "gas": "Gas"}
+ORACLES["baseline_panel_titled"] = (f"WITH p AS ({ORACLES['baseline_panel']}) SELECT node_id AS \"Nodo\", " + ", ".join(
+    f'{st}_{s} AS "{t} {n}"' for s, t in _TITLES.items()
+    for st, n in (("p50", "p50"), ("p95", "p95"), ("p99", "p99"), ("avg", "media"))) + " FROM p")
+ORACLES["coverage_panel"] = (f"WITH s AS ({ORACLES['baseline_summary']}) SELECT node_id AS \"Nodo\", total_readings AS "
+                             "\"Letture totali\", distinct_reading_index AS \"reading_index distinti\", "
+                             "first_ingest_ts AS \"Primo ingest\", last_ingest_ts AS \"Ultimo ingest\" FROM s")
+ORACLES["quality_panel"] = (f"WITH r AS ({ORACLES['baseline_report_flat']}) SELECT node_id AS \"Nodo\", val_tp AS \"TP\", "
+                            "val_fp AS \"FP\", val_tn AS \"TN\", val_fn AS \"FN\", val_precision AS \"Precision\", "
+                            "val_recall AS \"Recall\", val_f1 AS \"F1\", val_accuracy AS \"Accuracy\" FROM r")
+ORACLES["report_bands"] = (f"WITH r AS ({ORACLES['baseline_report_flat']}) SELECT node_id, "
+                           f"{_band('p99_temp', (30.0, 40.0))} AS p99_temp_band, "
+                           + ", ".join(f"{_band(c, (0.5, 0.8))} AS {c}_band" for c in
+                                       ("val_precision", "val_recall", "val_f1", "val_accuracy")) + ", "
+                           + ", ".join(f"{_band(c, (-0.3, 0.3))} AS {c}_band" for c, _, _ in CORR_PAIRS) + " FROM r")
+ORACLES["status_bands"] = (f"WITH s AS ({ORACLES['node_status']}), n AS ({ORACLES['anomaly_count']}) SELECT node_id, "
+                           f"{_band('map_status', (1.0, 2.0))} AS map_band, "
+                           f"{_band('anomaly_count', (1.0, 10.0))} AS anomaly_count_band FROM s, n")
 ORACLES["node_fire_rows"] = (f"{BASE_ENRICHED} SELECT node_id, reading_index, ingest_ts, \"Fire\" FROM enriched "
                              "WHERE node_id = 'nodo_1' AND is_fire")
 

@@ -296,6 +296,32 @@ def q_baseline_panel(spark, sf):
     return V.sorted_panel(B.baseline(_raw(spark, sf)))
 
 
+@register("baseline_panel_titled")
+def q_baseline_panel_titled(spark, sf):
+    return V.titled_panel(B.baseline(_raw(spark, sf)), V.BASELINE_PANEL_TITLES)
+
+
+@register("coverage_panel")
+def q_coverage_panel(spark, sf):
+    return V.titled_panel(B.baseline_summary(_raw(spark, sf)), V.COVERAGE_PANEL_TITLES)
+
+
+@register("quality_panel")
+def q_quality_panel(spark, sf):
+    return V.titled_panel(B.baseline_report(_raw(spark, sf), nested=False), V.QUALITY_PANEL_TITLES)
+
+
+@register("report_bands")
+def q_report_bands(spark, sf):
+    return V.report_bands(B.baseline_report(_raw(spark, sf), nested=False), [p[0] for p in DEFAULT_SPEC.corr_pairs])
+
+
+@register("status_bands")
+def q_status_bands(spark, sf):
+    recent = V.anomaly_count(_enriched(spark, sf), as_of=V.latest_time(_clean(spark, sf)))
+    return V.status_bands(_status(spark, sf), recent)
+
+
 @register("severity_bands")
 def q_severity_bands(spark, sf):
     return V.severity_bands(_served(spark, sf))

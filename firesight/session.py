@@ -45,12 +45,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset (a
-    local test run) a fresh scratch folder is made and set.
+    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset in a
+    local run a fresh scratch folder is made and set; on a cluster an unset
+    folder is an error, as a machine's own folder isn't shared.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="firesight-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
@@ -73,7 +76,5 @@ def apply_base_conf(spark: SparkSession) -> None:
     for k, v in BASE_CONF.items():
         if k.startswith("spark.ui"):
             continue
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf on a running session
-            pass
