@@ -28,13 +28,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firesight.functions.columns import _compare, clean, fire_state_label, is_fire, order_value, q
+from firesight.functions.columns import _compare, clean, event_time, fire_state_label, is_fire, order_value, q
 from firesight.spec import DEFAULT_SPEC, SensorSpec
 
 # Index values per chunk. With one reading per index a chunk is one sort task
 # of about 50 MB at ~200 bytes a row; a node with 10^11 readings has ~4*10^5
-# chunk-summary rows. Readings that repeat an index, or have none (all count as
-# 0), add to their chunk.
+# chunk-summary rows. Readings without an index all count as 0 and come first;
+# they are cut by day (``chunk_key``). Readings that repeat another index add to
+# their chunk.
 DEFAULT_CHUNK_ROWS = 1 << 18
 
 ORD = "_ord"
@@ -56,6 +57,21 @@ def order_key(df: DataFrame) -> DataFrame:
     return df.withColumn(ORD, F.coalesce(F.col("reading_index").cast("long"), F.lit(0)))
 
 
+_DAYS = 1 << 20
+
+
+def chunk_key(df: DataFrame, chunk_rows: int) -> Column:
+    """The chunk of a row (``df`` has ORD), never falling in the order of (index, time).
+
+    ``chunk_rows`` consecutive index values make a chunk; those with index 0,
+    where readings without an index gather, are cut by day ahead of the rest.
+    """
+    part = F.floor(F.col(ORD) / F.lit(int(chunk_rows))).cast("long") * F.lit(_DAYS)
+    day = F.floor(F.unix_micros(event_time(df).cast("timestamp")) / F.lit(86_400_000_000)).cast("long") + F.lit(_DAYS // 2)
+    day = F.coalesce(F.least(F.greatest(day, F.lit(1)), F.lit(_DAYS - 2)), F.lit(0))
+    return F.when(F.col(ORD) == 0, day).otherwise(part + F.lit(_DAYS - 1))
+
+
 def _zscore(x: Column, n: Column, mean: Column, m2: Column, spread: Column, decimals: int) -> Column:
     """Signed z of the current value against the running stats that include it.
 
@@ -183,7 +199,8 @@ def _carry_in(chunks: DataFrame, spec: SensorSpec) -> DataFrame:
 def score_prefix(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC,
                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """W1-W3 by the two-level prefix scan (see module docstring)."""
-    base = order_key(df).withColumn(CHUNK, F.floor(F.col(ORD) / F.lit(int(chunk_rows))))
+    base = order_key(df)
+    base = base.withColumn(CHUNK, chunk_key(base, chunk_rows))
     carry = _carry_in(_chunk_summaries(base, spec), spec)
 
     order = [F.col(ORD), F.col("ingest_ts")]

@@ -196,3 +196,22 @@ def test_prefix_equals_window_on_lineitem_readings(spark):
     b = sorted(map(repr, enrich(big, method="window").select(*cols).collect()))
     differ = [(x, y) for x, y in zip(a, b) if x != y]
     assert len(a) == len(b) and len(differ) <= len(a) // 1000  # z on a rounding tie in the third decimal
+
+
+@pytest.mark.parametrize("chunk", [3, 1 << 18])
+def test_readings_without_index_are_cut_by_day(spark, chunk):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from firesight.operators.enrich import chunk_key, order_key
+    rng = random.Random(1)
+    t = dt.datetime(2024, 1, 1)
+    rows = [reading("a", None, temp=rng.gauss(20, 3), fire=rng.choice([0, 1, None]), ts=t + dt.timedelta(hours=i))
+            for i in range(200)]
+    rows += [reading("a", i, temp=rng.gauss(20, 3), fire=rng.choice([0, 1, None]), ts=t + dt.timedelta(hours=i)) for i in range(50)]
+    df = frame(spark, rows)
+    base = order_key(df)
+    chunks = base.withColumn("c", chunk_key(base, chunk)).groupBy("c").agg(F.count("*").alias("n")).collect()
+    assert len(chunks) >= 9 and max(r["n"] for r in chunks) <= 50
+    cols = ["reading_index", "ingest_ts", "zscore_Temperature", "is_fire_transition", "fire_value_prev"]
+    a, b = (sorted(map(repr, enrich(df, method=m, chunk_rows=chunk).select(*cols).collect())) for m in ("prefix", "window"))
+    assert a == b
