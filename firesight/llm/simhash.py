@@ -145,13 +145,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the smallest id (null last)."""
+    # rows go by one number for id and text: the join and the drop of repeated rows share its exchange
     keyed = docs.select(whole_rows(docs).alias("_row"), F.col(id_col).alias("_id"), F.col(text).alias("_text"),
-                        F.xxhash64(F.col(text)).alias("_key"))
-    near = near_duplicates(keyed, "_id", "_text", shingle, max_bits, keep=("_key",))
+                        F.xxhash64(F.col(id_col), F.col(text)).alias("_at"))
+    near = near_duplicates(keyed, "_id", "_text", shingle, max_bits, keep=("_at",))
     first = near.groupBy("component").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"),
-                                                         F.col("_key").alias("key"))).alias("x")).select("x.id", "x.key")
-    kept = keyed.join(first, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key")), "left_semi")
-    return kept.dropDuplicates(["_id", "_key"]).select("_row.*")
+                                                         F.col("_at").alias("at"))).alias("x")).select("x.at")
+    return keyed.join(first, F.col("_at") == F.col("at"), "left_semi").dropDuplicates(["_at"]).select("_row.*")
 
 
 def op3_simhash(spark, sf_dir):
