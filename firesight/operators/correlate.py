@@ -13,25 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firesight.functions.columns import q
-from firesight.spec import DEFAULT_SPEC, SensorSpec
+from firesight.spec import DEFAULT_SPEC, SHORT_NAMES, SensorSpec
 
 CORR_DECIMALS = 4
 GLOBAL = "global"
 
-# Short names for the matrix sensors, used in wide column names.
-SHORT = {
-    "Temperature (C)": "temp",
-    "Humidity (%)": "hum",
-    "Pressure (hPA)": "press",
-    "Gas (Ohm)": "gas",
-    "CO": "co",
-    "NO2": "no2",
-    "Smoke (ppm)": "smoke",
-}
-
-
 def pair_column(a: str, b: str) -> str:
-    return f"corr_{SHORT[a]}_{SHORT[b]}"
+    return f"corr_{SHORT_NAMES[a]}_{SHORT_NAMES[b]}"
 
 
 def complete_condition(sensors) -> Column:

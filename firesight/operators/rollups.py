@@ -13,15 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firesight.functions.columns import exact_avg, q
-
-# (raw column, suffix, decimals of avg/min/max, decimals of sum)
-ROLLUP_SENSORS = (
-    ("Temperature (C)", "temp", 2, 4),
-    ("CO", "co", 2, 4),
-    ("Smoke (ppm)", "smoke", 4, 4),
-    ("Gas (Ohm)", "gas", 2, 2),
-)
-
+from firesight.spec import ROLLUP_SENSORS
 
 def batch_bucket(ts: Column, every: str = "1 hour") -> Column:
     """Batch id of a replayed table: the start of the ``every`` bucket of ts."""
@@ -31,7 +23,7 @@ def batch_bucket(ts: Column, every: str = "1 hour") -> Column:
 def node_batch_stats(df: DataFrame, batch_col: str = "batch_id") -> DataFrame:
     """A1: per (node, batch): count and rounded avg/min/max/sum of 4 sensors."""
     aggs = [F.count(F.lit(1)).alias("batch_count")]
-    for col, suf, d, ds in ROLLUP_SENSORS:
+    for col, suf, d, ds, _ in ROLLUP_SENSORS:
         x = q(col)
         aggs += [
             exact_avg(x, d).alias(f"batch_avg_{suf}"),
@@ -52,7 +44,7 @@ def cumulative_stats(df: DataFrame, batch_col: str = "batch_id") -> DataFrame:
     per = [F.count(F.lit(1)).alias("_n"), F.max("ingest_ts").alias("_t")]
     totals = [F.sum("_n").alias("total_processed")]
     last = []
-    for col, suf, d, ds in ROLLUP_SENSORS:
+    for col, suf, d, ds, _ in ROLLUP_SENSORS:
         x = q(col)
         per += [F.sum(x).alias(f"_sum_{suf}"), F.min(x).alias(f"_min_{suf}"), F.max(x).alias(f"_max_{suf}"),
                 exact_avg(x, d).alias(f"_avg_{suf}")]
@@ -74,13 +66,13 @@ def cumulative_by_batch(batch_stats: DataFrame, batch_col: str = "batch_id") ->
     """
     w = Window.partitionBy("node_id").orderBy(batch_col).rowsBetween(Window.unboundedPreceding, 0)
     cols = {"total_processed": F.sum("batch_count").over(w)}
-    for _, suf, _, ds in ROLLUP_SENSORS:
+    for _, suf, _, ds, _ in ROLLUP_SENSORS:
         cols[f"running_sum_{suf}"] = F.round(F.sum(f"batch_sum_{suf}").over(w), ds)
         cols[f"running_min_{suf}"] = F.min(f"batch_min_{suf}").over(w)
         cols[f"running_max_{suf}"] = F.max(f"batch_max_{suf}").over(w)
     return batch_stats.select("node_id", batch_col, *[c.alias(n) for n, c in cols.items()],
                               *[F.col(f"batch_avg_{suf}").alias(f"last_batch_avg_{suf}")
-                                for _, suf, _, _ in ROLLUP_SENSORS])
+                                for _, suf, *_ in ROLLUP_SENSORS])
 
 
 def enrichment_counts(enriched: DataFrame, batch_col: str = "batch_id") -> DataFrame:

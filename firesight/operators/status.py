@@ -8,8 +8,7 @@ from pyspark.sql import types as T
 
 from firesight.functions.columns import fire_state_label, is_fire, map_status, order_value, q, round_significant
 from firesight.operators.enrich import ENRICH_COLUMNS
-from firesight.operators.rollups import ROLLUP_SENSORS
-from firesight.spec import DEFAULT_SPEC, SensorSpec
+from firesight.spec import DEFAULT_SPEC, ROLLUP_SENSORS, SensorSpec
 
 STATE_DECIMALS = 6
 M2_DIGITS = 10
@@ -103,6 +102,7 @@ def node_state(clean_readings: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> Da
     return clean_readings.groupBy("node_id").agg(*aggs)
 
 
+# The status table's columns, in order.
 STATUS_COLUMNS = (
     "node_id", "last_ingest_ts", "temperature_c", "humidity_pct", "pressure_hpa", "gas_ohm",
     "co", "smoke_ppm", "fire", "is_fire", "fire_state_label", "is_anomaly_current",
@@ -115,7 +115,7 @@ STATUS_COLUMNS = (
 
 def _running_totals() -> list:
     totals = [F.count(F.lit(1)).alias("total_processed")]
-    for col, suf, d, _ in ROLLUP_SENSORS:
+    for col, suf, d, *_ in ROLLUP_SENSORS:
         totals += [F.round(F.min(q(col)), d).alias(f"running_min_{suf}"),
                    F.round(F.max(q(col)), d).alias(f"running_max_{suf}")]
     return totals

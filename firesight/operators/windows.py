@@ -6,24 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firesight.functions.columns import event_time, exact_avg, q
-from firesight.spec import WINDOW_DURATION
+from firesight.spec import ROLLUP_SENSORS, WINDOW_DURATION
 
-WINDOW_COLUMNS = ("window_start", "window_end", "node_id", "avg_temp", "max_temp", "avg_co", "max_co",
-                  "avg_smoke", "max_smoke", "avg_gas", "min_gas", "reading_count")
+# The window table's columns, in order.
+WINDOW_COLUMNS = ("window_start", "window_end", "node_id",
+                  *(c for _, suf, _, _, most in ROLLUP_SENSORS for c in (f"avg_{suf}", f"{most}_{suf}")), "reading_count")
 
 
 def window_aggs() -> list:
-    return [
-        exact_avg(q("Temperature (C)"), 2).alias("avg_temp"),
-        F.round(F.max(q("Temperature (C)")), 2).alias("max_temp"),
-        exact_avg(q("CO"), 2).alias("avg_co"),
-        F.round(F.max(q("CO")), 2).alias("max_co"),
-        exact_avg(q("Smoke (ppm)"), 4).alias("avg_smoke"),
-        F.round(F.max(q("Smoke (ppm)")), 4).alias("max_smoke"),
-        exact_avg(q("Gas (Ohm)"), 2).alias("avg_gas"),
-        F.round(F.min(q("Gas (Ohm)")), 2).alias("min_gas"),
-        F.count(F.lit(1)).alias("reading_count"),
-    ]
+    aggs = []
+    for col, suf, d, _, most in ROLLUP_SENSORS:
+        extreme = F.max(q(col)) if most == "max" else F.min(q(col))
+        aggs += [exact_avg(q(col), d).alias(f"avg_{suf}"), F.round(extreme, d).alias(f"{most}_{suf}")]
+    return [*aggs, F.count(F.lit(1)).alias("reading_count")]
 
 
 def with_event_ts(df: DataFrame) -> DataFrame:

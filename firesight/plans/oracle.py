@@ -13,8 +13,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from firesight.operators.correlate import SHORT
 from firesight.spec import CORR_PAIRS, CORR_SENSORS, NODE_COORDS
+from firesight.spec import SHORT_NAMES as SHORT
 
 
 def R(expr: str, n: int) -> str:

@@ -59,6 +59,26 @@ SCORED_SENSORS = (
     ("Gas (Ohm)", "Gas", "gas"),
 )
 
+# Sensors of roll-ups and windows: (raw column, suffix, decimals of avg/min/max,
+# decimals of sum, the extreme that the window table keeps).
+ROLLUP_SENSORS = (
+    ("Temperature (C)", "temp", 2, 4, "max"),
+    ("CO", "co", 2, 4, "max"),
+    ("Smoke (ppm)", "smoke", 4, 4, "max"),
+    ("Gas (Ohm)", "gas", 2, 2, "min"),
+)
+
+# Short names of the correlation sensors, used in wide column names.
+SHORT_NAMES = {
+    "Temperature (C)": "temp",
+    "Humidity (%)": "hum",
+    "Pressure (hPA)": "press",
+    "Gas (Ohm)": "gas",
+    "CO": "co",
+    "NO2": "no2",
+    "Smoke (ppm)": "smoke",
+}
+
 # Absolute anomaly thresholds, in the order they are appended to the flag list:
 # (flag name, raw column, comparison, threshold).
 THRESHOLD_RULES = (

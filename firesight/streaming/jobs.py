@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 
 from firesight.functions.columns import clean, order_value, parse_ts
 from firesight.operators.enrich import enrich_columns, finish, fire_events
-from firesight.operators.rollups import ROLLUP_SENSORS, enrichment_counts
+from firesight.operators.rollups import enrichment_counts
 from firesight.operators.status import coords_table, latest_reading, status_row
 from firesight.operators.windows import flatten_window, window_aggs
 from firesight.session import ensure_checkpoint_dir
 from firesight.sinks import tables as T
 from firesight.sources.envelope import decode, split_rejects
-from firesight.spec import DEFAULT_SPEC, MAX_OFFSETS_PER_TRIGGER, TRIGGER_INTERVAL, SensorSpec
+from firesight.spec import DEFAULT_SPEC, MAX_OFFSETS_PER_TRIGGER, ROLLUP_SENSORS, TRIGGER_INTERVAL, SensorSpec
 from firesight.streaming.processor import PREV_FIRE, Enricher, scored_schema
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -81,7 +81,7 @@ def cumulative_partials(batch: DataFrame) -> DataFrame:
     """Mergeable per-(node, batch) partial statistics; summing counts and sums
     and taking min/max over all batches gives the cumulative table."""
     aggs = [F.count(F.lit(1)).alias("batch_count"), F.max("ingest_ts").alias("last_ingest_ts")]
-    for col, suf, _, _ in ROLLUP_SENSORS:
+    for col, suf, *_ in ROLLUP_SENSORS:
         x = F.col(f"`{col}`")
         aggs += [F.sum(x).alias(f"sum_{suf}"), F.count(x).alias(f"n_{suf}"),
                  F.min(x).alias(f"min_{suf}"), F.max(x).alias(f"max_{suf}")]
@@ -91,7 +91,7 @@ def cumulative_partials(batch: DataFrame) -> DataFrame:
 def cumulative_from_partials(partials: DataFrame) -> DataFrame:
     """A2 over the partials table (one row per node and batch)."""
     aggs = [F.sum("batch_count").alias("total_processed")]
-    for _, suf, d, ds in ROLLUP_SENSORS:
+    for _, suf, d, ds, _ in ROLLUP_SENSORS:
         aggs += [F.round(F.sum(f"sum_{suf}"), ds).alias(f"running_sum_{suf}"),
                  F.round(F.min(f"min_{suf}"), d).alias(f"running_min_{suf}"),
                  F.round(F.max(f"max_{suf}"), d).alias(f"running_max_{suf}")]
