@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firesight.llm.common import (EXCHANGE, exchange_rows, in_batches, key_count, pack, pack_rows, rows_sorted, run_exchange,
+from firesight.llm.common import (EXCHANGE, by_key, exchange_rows, in_batches, key_count, pack, pack_rows, rows_sorted, run_exchange,
                                   table, texts_of, tune, unpack, unpack_rows, written)
 
 CLASSES, WORDS, ENDINGS, ROUNDS = 64, 1024, 64, 6
@@ -122,8 +122,8 @@ def count_words(train: DataFrame, keys: int) -> DataFrame:
                                  (k, 0, 1, sums.astype("<i8").tobytes(),
                                   np.bincount(_bin(n), minlength=_BINS).astype("<i8").tobytes())])
 
-    return (train.withColumn("_part", F.spark_partition_id()).mapInArrow(scan, EXCHANGE)
-            .repartition(F.col("k")).sortWithinPartitions("k").mapInArrow(total, EXCHANGE))
+    counted = by_key(train.withColumn("_part", F.spark_partition_id()).mapInArrow(scan, EXCHANGE))
+    return counted.sortWithinPartitions("k").mapInArrow(total, EXCHANGE)
 
 
 class Vocabulary:
@@ -207,8 +207,8 @@ def count_bigrams(train: DataFrame, units: Units, keys: int) -> np.ndarray:
             u, n = _sum_by(codes, [np.frombuffer(next(unpack(b)), "<u4") for *_, b in rows])
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n)], names=["code", "n"])
 
-    got = (train.withColumn("_part", F.spark_partition_id()).mapInArrow(scan, EXCHANGE).repartition(F.col("k"))
-           .sortWithinPartitions("k").mapInArrow(total, "code long, n long").toArrow())
+    counted = by_key(train.withColumn("_part", F.spark_partition_id()).mapInArrow(scan, EXCHANGE))
+    got = counted.sortWithinPartitions("k").mapInArrow(total, "code long, n long").toArrow()
     flat = np.zeros(units.n * units.n, dtype=np.int64)
     flat[got.column("code").to_numpy()] = got.column("n").to_numpy()
     return flat.reshape(units.n, units.n)

@@ -63,9 +63,26 @@ def whole_rows(df: DataFrame):
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def key_count(spark: SparkSession, per_partition: int = 4) -> int:
     """Number of routing keys: follows the shuffle partitions the cluster sets for its input."""
-    return max(64, per_partition * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(64, per_partition * partitions(spark))
+
+
+def by_key(df: DataFrame) -> DataFrame:
+    """Rows of a routing key together; every partition gets as many keys (give or take one)."""
+    n = partitions(df.sparkSession)
+    return df.repartitionById(n, F.pmod(F.col("k"), F.lit(n)).cast("int"))
+
+
+def by_batch(df: DataFrame) -> DataFrame:
+    """Rows of a batch together, the batches of a scan's tasks dealt in turn."""
+    n = partitions(df.sparkSession)
+    turn = F.shiftright("g", 32) + F.col("g").bitwiseAND(F.lit((1 << 32) - 1)) * 31
+    return df.repartitionById(n, F.pmod(turn, F.lit(n)).cast("int"))
 
 
 def exchange_rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -169,7 +186,7 @@ def run_exchange(docs: DataFrame, scan: Callable, answer: Callable, finish: Call
     asked = docs.mapInArrow(scan, EXCHANGE)
     if extra is not None:
         asked = asked.unionByName(extra)
-    answered = asked.repartition(F.col("k")).sortWithinPartitions("k", "kind", "g").mapInArrow(answer, EXCHANGE)
+    answered = by_key(asked).sortWithinPartitions("k", "kind", "g").mapInArrow(answer, EXCHANGE)
     if keep is not None:
         answered = answered.unionByName(docs.mapInArrow(keep, EXCHANGE))
-    return answered.repartition(F.col("g")).sortWithinPartitions("g", "kind", "k").mapInArrow(finish, schema)
+    return by_batch(answered).sortWithinPartitions("g", "kind", "k").mapInArrow(finish, schema)
