@@ -33,6 +33,9 @@ PLACEHOLDER = r"example|changeme|your|dummy|placeholder|sample|xxxx"
 #: From so many distinct owners on, a value is a widely copied example.
 COPIED_OWNERS = 3
 
+#: Matches of one text that are placed at a time.
+BLOCK = 256
+
 _SPAN = "array<struct<s:int,k:int,e:int,v:string>>"
 
 
@@ -44,16 +47,34 @@ def _spans(text: Column, matches: Column, kind: int) -> Column:
     value = F.regexp_extract_all(text, whole, F.lit(group)) if group else matches
     parts = F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)).alias("gap"),
                          matches.alias("m"), value.alias("v"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
-
-    def step(acc, x):
-        s = acc["at"] + F.length(x["gap"])
-        e = s + F.length(x["m"])
-        one = F.array(F.struct(s.alias("s"), F.lit(kind).alias("k"), e.alias("e"), x["v"].alias("v")))
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.when(F.length(x["v"]) >= least, one)
-                                                .otherwise(F.array().cast(_SPAN))).alias("out"))
-    return F.when(F.size(matches) > 0, F.aggregate(parts, start, step, lambda acc: acc["out"])).otherwise(
-        F.array().cast(_SPAN))
+    empty = F.array().cast(_SPAN)
+
+    def run(block: Column, at: Column) -> Column:  # the spans of a block that starts at a place in the text
+        def step(acc, x):
+            s = acc["at"] + F.length(x["gap"])
+            e = s + F.length(x["m"])
+            one = F.array(F.struct(s.alias("s"), F.lit(kind).alias("k"), e.alias("e"), x["v"].alias("v")))
+            return F.struct(e.alias("at"), F.concat(acc["out"], F.when(F.length(x["v"]) >= least, one).otherwise(empty)).alias("out"))
+        return F.aggregate(block, F.struct(at.alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+
+    def starts(blocks: Column) -> Column:  # where each block starts
+        def step(acc, block):
+            size = F.aggregate(block, F.lit(0), lambda n, x: n + F.length(x["gap"]) + F.length(x["m"]))
+            return F.struct((acc["at"] + size).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), step,
+                           lambda acc: acc["out"])
+
+    def in_blocks(p: Column) -> Column:  # arrays grow by concat, so a text of very many matches goes in blocks
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int")),
+                          lambda i: F.slice(p, i * BLOCK + 1, F.lit(BLOCK)))
+        return _let(cut, lambda blocks: F.flatten(F.zip_with(blocks, starts(blocks), run)))
+
+    return F.when(F.size(matches) > 0, _let(parts, in_blocks)).otherwise(empty)
+
+
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _looks_live(value: Column) -> Column:

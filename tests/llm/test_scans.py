@@ -65,6 +65,15 @@ def test_secret_query_on_small_tables(spark):
     same(secrets.op1_secret_scans(spark, SMALL), names, rows)
 
 
+def test_a_text_of_very_many_secrets(monkeypatch, spark):
+    text = "é " + " ".join(f"{i:032x}" + ("" if i % 7 else f" token={i:08x}") for i in range(3000))
+    monkeypatch.setattr(secrets, "table", lambda *a: spark.createDataFrame([(1, text, "en", "s")],
+                                                                           "doc_id long, text string, lang string, source string"))
+    r = secrets.op1_secret_scans(None, None).first()
+    joined = ",".join(f"{n}:{s}:{e}" for s, _, e, n in base_spans(text))
+    assert r.n_hex == 3000 and r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+
+
 def test_ownership_separates_copied_from_live(secret_docs):
     by_doc = {r.doc_id: r.spans for r in secrets.secret_scan(secret_docs).collect()}
     assert {x.verdict for x in by_doc[7]} == {"copied"}
