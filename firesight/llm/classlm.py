@@ -1,15 +1,17 @@
 """Language-model scoring with a Brown class-based bigram model.
 
-p(word | previous word) = p(class | previous class) * p(word | class). Exchange
-clustering moves one word at a time to the class that raises the training
-likelihood most. The ``WORDS`` most frequent words move on their own; all other
-words, unseen ones included, are tied by their last two bytes to ``ENDINGS`` groups
-that move as one. So every word has a class, and the clustering works on a bigram
-table of a fixed size whatever the corpus. Counts cover all training texts.
-
-Words travel as 64-bit hashes whose lowest bits name the ending. Word counts stay
-distributed: a batch asks for the counts of its own words that aren't in the small
-dictionary of very frequent ones.
+p(word | previous word) = p(class | previous class) * p(word | class). Clustering
+starts from a seed: exchange on the driver over the ``WORDS`` most frequent words
+and ``ENDINGS`` groups of the others, tied by their last two bytes. From there every
+training word moves on its own, in rounds over all training texts: the counts of a
+word's left and right neighbour classes meet at the word's key, and it goes to the
+class that raises the likelihood most, given the classes of all other words. Rounds
+end when nothing moves or a round adds less than ``LEAST_GAIN`` of the information
+that neighbouring classes give. Unseen words have the class of their ending.
+
+Words travel as 64-bit hashes whose lowest bits name the ending. Counts and classes
+of words stay distributed: a batch asks for those of its own words that aren't in
+the small dictionary of very frequent ones.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ CLASSES, WORDS, ENDINGS, ROUNDS = 64, 1024, 64, 6
 DICTIONARY = 1 << 16
 #: Added to word counts (as the base score does) and to class bigrams.
 DELTA, ALPHA = 0.1, 0.1
+#: Rounds end when one adds less than this share of the class information.
+LEAST_GAIN = 0.01
 BATCH = 4 << 20
 MEMORY_WORDS = 1 << 19
 #: The end of a text is a token of its own.
@@ -264,36 +268,212 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS)
     return of
 
 
+def _values(a: bytes, b: bytes):
+    """Hashes, counts and classes of a row of the class table."""
+    u = np.frombuffer(a, np.uint64)
+    return u, np.frombuffer(b, "<i8", len(u)), np.frombuffer(b, np.uint8, offset=8 * len(u))
+
+
+def _class_rows(k: int, u: np.ndarray, n: np.ndarray, cls: np.ndarray, moved: np.ndarray) -> list[tuple]:
+    """A key's classes (kind 0), and its tokens, distinct and moved words per class (kind 1)."""
+    sums = [np.bincount(cls, weights=n, minlength=CLASSES), np.bincount(cls, minlength=CLASSES),
+            np.bincount(cls[moved], minlength=CLASSES)]
+    return [(k, 0, 0, u.tobytes(), n.astype("<i8").tobytes() + cls.astype(np.uint8).tobytes()),
+            (k, 0, 1, np.concatenate(sums).astype("<i8").tobytes(), b"")]
+
+
+def first_classes(vocab: DataFrame, units: Units, of: np.ndarray) -> DataFrame:
+    """Every word in the class of its unit."""
+    def run(batches):
+        for k, _, _, a, b in rows_sorted(batches):
+            u = np.frombuffer(a, np.uint64)
+            yield exchange_rows(_class_rows(k, u, np.frombuffer(b, "<i8"), of[units.of(u)], np.zeros(len(u), bool)))
+
+    return vocab.filter("kind = 0").mapInArrow(run, EXCHANGE)
+
+
+class Classes:
+    """What a task needs to know of the classes: sums per class, and the classes of the dictionary's words."""
+
+    def __init__(self, rows: DataFrame, vocab: Vocabulary, unseen: np.ndarray):
+        self.rows, self.unseen = rows, unseen
+        sums = np.zeros(3 * CLASSES, np.int64)
+        for r in rows.filter("kind = 1").select("a").toLocalIterator():
+            sums += np.frombuffer(r.a, "<i8")
+        self.n, self.v, moved = sums.reshape(3, CLASSES)
+        self.moved = int(moved.sum())
+        hashes = vocab.hashes
+
+        def known(batches):
+            for _, _, _, a, b in rows_sorted(batches):
+                u, _, cls = _values(a, b)
+                some = np.isin(u, hashes)
+                yield pa.RecordBatch.from_arrays([pa.array(u[some].view(np.int64)), pa.array(cls[some].astype(np.int32))],
+                                                 names=["h", "c"])
+
+        got = rows.filter("kind = 0").mapInArrow(known, "h long, c int").toArrow()
+        order = np.argsort(got.column("h").to_numpy().view(np.uint64))
+        self.known = got.column("c").to_numpy()[order].astype(np.uint8)
+
+
+def _place(hashes: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Places of ``h`` in sorted ``hashes``, -1 elsewhere."""
+    if not len(hashes):
+        return np.full(len(h), -1, dtype=np.int64)
+    at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+    return np.where(hashes[at] == h, at, -1)
+
+
+def neighbour_counts(train: DataFrame, classes: Classes, vocab: Vocabulary, keys: int) -> DataFrame:
+    """Per key, kind 1: words and counts of their neighbours' classes; kind 2: bigrams of classes. All of them
+    pre-aggregated per batch."""
+    hashes, known = vocab.hashes, classes.known
+
+    def scan(batches):
+        for g, batch in in_batches(batches, "_text", BATCH):
+            u, at = np.unique(tokens_of(texts_of(batch, "_text"))[0], return_inverse=True)
+            order = np.argsort(_key(u, keys), kind="stable")  # words in the order of (key, hash), as asked
+            rank = np.empty(len(u), dtype="<u4")
+            rank[order] = np.arange(len(u))
+            u, at = u[order], rank[at]
+            place = _place(hashes, u)
+            rare = np.flatnonzero(place < 0)
+            asked = [(k, g, 1, u[rare[p]].tobytes(), b"") for k, p in _by_key(u[rare], keys)]
+            cls = np.zeros(len(u), np.uint8)
+            cls[place >= 0] = known[place[place >= 0]]
+            own = pack([u.tobytes(), at.astype("<u4").tobytes(), cls.tobytes(), rare.astype("<u4").tobytes()])
+            yield exchange_rows([*asked, (g % keys, g, 2, own, b"")])
+
+    def finish(batches):
+        group, answers = None, []
+        for _, g, kind, a, _ in rows_sorted(batches):
+            if g != group:
+                group, answers = g, []
+            if kind == 1:
+                answers.append(np.frombuffer(list(unpack(a))[1], np.uint8))
+                continue
+            u, at, cls, rare = (np.frombuffer(x, t) for x, t in zip(unpack(a), (np.uint64, "<u4", np.uint8, "<u4")))
+            cls, at = cls.copy(), at.astype(np.int64)
+            if len(rare):
+                cls[rare] = np.concatenate(answers)
+            token = cls[at].astype(np.int64)
+            before, after = _pairs(token), np.concatenate([token[1:], [0]])
+            word = u[at] != END
+            code, n = np.unique(np.concatenate([at[word] * 2 * CLASSES + before[word],
+                                                (at[word] * 2 + 1) * CLASSES + after[word]]), return_counts=True)
+            stops = np.searchsorted(code, np.arange(1, len(u) + 1) * 2 * CLASSES)
+            rows = []
+            for k, p in _by_key(u, keys):  # p is a run of words, as words are in the order of their keys
+                lo, hi = (stops[p[0] - 1] if p[0] else 0), stops[p[-1]]
+                rows.append((k, g, 1, u[p].tobytes(), pack([(code[lo:hi] - int(p[0]) * 2 * CLASSES).astype("<u4").tobytes(),
+                                                            n[lo:hi].astype("<u4").tobytes()])))
+            m = np.bincount(before * CLASSES + token, minlength=CLASSES * CLASSES)
+            yield exchange_rows([*rows, (g % keys, g, 2, m.astype("<i8").tobytes(), b"")])
+
+    return run_exchange(train, scan, _answer(classes.unseen), finish, EXCHANGE, extra=classes.rows.filter("kind = 0"))
+
+
+def class_bigrams(counts: DataFrame) -> np.ndarray:
+    """classes x classes counts over all training texts."""
+    def run(batches):
+        m = np.zeros(CLASSES * CLASSES, np.int64)
+        for batch in batches:
+            for a in batch.column("a").to_pylist():
+                m += np.frombuffer(a, "<i8")
+        yield pa.RecordBatch.from_arrays([pa.array([m.tobytes()], pa.binary())], names=["a"])
+
+    m = np.zeros(CLASSES * CLASSES, np.int64)
+    for r in counts.filter("kind = 2").select("a").mapInArrow(run, "a binary").toLocalIterator():
+        m += np.frombuffer(r.a, "<i8")
+    return m.reshape(CLASSES, CLASSES)
+
+
+def information(m: np.ndarray) -> float:
+    """What a token's class tells of the next token's class, in nats per token."""
+    n = float(m.sum())
+    f = _xlogx
+    return (f(m.astype(float)).sum() - f(m.sum(axis=0).astype(float)).sum() - f(m.sum(axis=1).astype(float)).sum()
+            + f(n)) / n if n else 0.0
+
+
+def move(counts: DataFrame, rows: DataFrame, m: np.ndarray) -> DataFrame:
+    """The class table after every word went to its best class, given all other words' classes."""
+    p = m + ALPHA
+    gain = np.log(p * p.sum() / (p.sum(axis=1, keepdims=True) * p.sum(axis=0)))
+    by_code = np.concatenate([gain, gain.T])  # what each class gains by a left, a right neighbour of each class
+    by_code[:, 0] = -np.inf  # END's own
+
+    def run(batches):
+        for k, group in _by_group(batches):
+            _, _, _, a, b = next(r for r in group if r[2] == 0)
+            u, n, cls = _values(a, b)
+            codes, weights = [], []
+            for _, _, kind, a, b in group:
+                if kind == 1:
+                    code, c = (np.frombuffer(x, "<u4").astype(np.int64) for x in unpack(b))
+                    there = np.searchsorted(u, np.frombuffer(a, np.uint64))
+                    codes.append(there[code // (2 * CLASSES)] * 2 * CLASSES + code % (2 * CLASSES))
+                    weights.append(c)
+            new = cls.astype(np.int64)
+            if codes:
+                code, c = _sum_by(codes, weights)
+                word = code // (2 * CLASSES)
+                starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.zeros(0, np.int64)
+                for i in range(0, len(starts), 4096):
+                    lo, hi = starts[i], (starts[i + 4096] if i + 4096 < len(starts) else len(code))
+                    score = np.add.reduceat(c[lo:hi, None] * by_code[code[lo:hi] % (2 * CLASSES)], starts[i:i + 4096] - lo, axis=0)
+                    w = word[starts[i:i + 4096]]
+                    best = np.argmax(score, axis=1)
+                    row = np.arange(len(w))
+                    new[w] = np.where(score[row, new[w]] >= score[row, best] - 1e-9, new[w], best)
+            yield exchange_rows(_class_rows(k, u, n, new, new != cls))
+
+    asked = counts.filter("kind = 1").unionByName(rows.filter("kind = 0"))
+    return by_key(asked).sortWithinPartitions("k").mapInArrow(run, EXCHANGE)
+
+
 class Model:
-    """Everything a task needs to score: bounded by WORDS, ENDINGS, CLASSES and DICTIONARY."""
+    """Everything a task needs to score: bounded by ENDINGS, CLASSES and DICTIONARY. Other words' counts and
+    classes are asked for."""
 
-    def __init__(self, vocab: Vocabulary, units: Units, words: np.ndarray, bigrams: np.ndarray, classes: int = CLASSES):
-        self.vocab, self.units = vocab, units
-        self.of = exchange(bigrams, classes)
-        member = np.eye(classes)[self.of]
-        between = member.T @ bigrams @ member + ALPHA
+    def __init__(self, vocab: Vocabulary, classes: Classes, m: np.ndarray):
+        self.vocab, self.unseen = vocab, classes.unseen
+        between = m + ALPHA
         self.step = np.log10(between / between.sum(axis=1, keepdims=True))
-        # tokens and distinct words of a unit, for the emission's denominators
-        n, v = np.zeros(units.n), np.zeros(units.n)
-        n[0], v[0] = vocab.ends, vocab.ends > 0
-        n[1:units.first], v[1:units.first] = vocab.n_ending, vocab.v_ending
-        for i, h in enumerate(words):
-            ending = 1 + int(h % np.uint64(ENDINGS))
-            c = int(vocab.look_up(np.array([h]))[0])
-            n[units.first + i], v[units.first + i] = c, 1
-            n[ending] -= c
-            v[ending] -= 1
-        per_class = np.bincount(self.of, weights=n, minlength=classes) + DELTA * (
-            np.bincount(self.of, weights=v, minlength=classes) + 1)
-        self.spread = np.log10(per_class)[self.of]  # by unit
+        self.spread_class = np.log10(classes.n + DELTA * (classes.v + 1))
+        # END, the endings (for unseen words), then the dictionary's words
+        word = vocab.hashes != END
+        self.units = Units(vocab.hashes[word])
+        self.of = np.concatenate([[0], classes.unseen, classes.known[word]]).astype(np.int64)
+        self.spread = self.spread_class[self.of]
         self.base = np.log10(vocab.n + DELTA * (vocab.v + 1))
 
 
 def fit(train: DataFrame, vocab: DataFrame, keys: int, words: int = WORDS) -> Model:
-    v = Vocabulary(vocab)
-    own = v.movable(words)
-    units = Units(own)
-    return Model(v, units, own, count_bigrams(train, units, keys))
+    return train_classes(train, vocab, keys, words)[0]
+
+
+def train_classes(train: DataFrame, vocab: DataFrame, keys: int, words: int = WORDS) -> tuple[Model, DataFrame]:
+    """The model and the class table, which has every training word."""
+    v = Vocabulary(vocab, DICTIONARY)
+    seed = Units(v.movable(words))
+    of = exchange(count_bigrams(train, seed, keys))
+    unseen = of[1:seed.first].astype(np.uint8)
+
+    def state(rows):
+        classes = Classes(rows, v, unseen)
+        counts = written(neighbour_counts(train, classes, v, keys), "lm-neighbours")
+        return classes, counts, class_bigrams(counts)
+
+    classes, counts, m = state(written(first_classes(vocab, seed, of), "lm-classes"))
+    while m.any():
+        new, new_counts, new_m = state(written(move(counts, classes.rows, m), "lm-classes"))
+        before, after = information(m), information(new_m)
+        if after > before:
+            classes, counts, m = new, new_counts, new_m
+        if not new.moved or after - before < LEAST_GAIN * before:
+            break
+    return Model(v, classes, m), classes.rows
 
 
 def _scan(model: Model, keys: int, names: list[str]):
@@ -302,58 +482,67 @@ def _scan(model: Model, keys: int, names: list[str]):
             h, sizes = tokens_of(texts_of(batch, "_text"))
             ends = np.cumsum(sizes)
             starts = ends - sizes
-            unit = model.units.of(h)
-            cls = model.of[unit]
-            path = model.step[_pairs(cls), cls] - model.spread[unit]
+            cls = model.of[model.units.of(h)].astype(np.uint8)  # of rare words: replaced by the answer
             count = model.vocab.look_up(h)
             known = count >= 0
             local = np.where(known, np.log10(np.maximum(count, 0) + DELTA), 0.0)
             rare = np.flatnonzero(~known)
             u, at = np.unique(h[rare], return_inverse=True)
             per_doc = np.add.reduceat(~known, starts) if len(sizes) else np.zeros(0)
-            parts = [np.add.reduceat(x, starts).astype("<f8").tobytes() if len(sizes) else b"" for x in (path, local)]
+            logs = np.add.reduceat(local, starts).astype("<f8").tobytes() if len(sizes) else b""
             # asked words are numbered in the order of (key, hash)
             asked, place, n = [], np.empty(len(u), dtype="<u4"), 0
             for k, p in _by_key(u, keys):
                 asked.append((k, g, 1, u[p].tobytes(), b""))
                 place[p] = np.arange(n, n + len(p))
                 n += len(p)
-            own = pack([sizes.astype("<i8").tobytes(), *parts, per_doc.astype("<i8").tobytes(), place[at].tobytes()])
+            own = pack([sizes.astype("<i8").tobytes(), cls.tobytes(), np.packbits(~known).tobytes(), logs,
+                        per_doc.astype("<i8").tobytes(), place[at].tobytes()])
             yield exchange_rows([*asked, (g % keys, g, 2, pack_rows(batch, names), own)])
     return run
 
 
-def _answer(batches):
-    """Counts from the vocabulary rows of a key (kind 0) for the words that batches ask for (kind 1)."""
-    key, u, n = None, np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    for k, g, kind, a, b in rows_sorted(batches):
-        if k != key:
-            key, u, n = k, np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        if kind == 0:
-            u, n = np.frombuffer(a, np.uint64), np.frombuffer(b, "<i8")
-            continue
-        if kind == 1:
-            h = np.frombuffer(a, np.uint64)
-            c = np.zeros(len(h), np.int64)
-            if len(u):
-                at = np.minimum(np.searchsorted(u, h), len(u) - 1)
-                c = np.where(u[at] == h, n[at], 0)
-            a, b = c.astype("<i8").tobytes(), b""
-            a = pack([a])
-        yield exchange_rows([(k, g, kind, a, b)])
+def _answer(unseen: np.ndarray):
+    """Counts and classes from the rows of a key (kind 0) for the words that batches ask for (kind 1)."""
+    def run(batches):
+        key, u, n, cls = None, np.zeros(0, np.uint64), None, None
+        for k, g, kind, a, b in rows_sorted(batches):
+            if k != key:
+                key, u = k, np.zeros(0, np.uint64)
+            if kind == 0:
+                u, n, cls = _values(a, b)
+                continue
+            if kind == 1:
+                h = np.frombuffer(a, np.uint64)
+                c, of = np.zeros(len(h), np.int64), unseen[(h % np.uint64(ENDINGS)).astype(np.int64)]
+                at = _place(u, h)
+                have = at >= 0
+                if have.any():
+                    c[have], of[have] = n[at[have]], cls[at[have]]
+                a, b = pack([c.astype("<i8").tobytes(), of.tobytes()]), b""
+            yield exchange_rows([(k, g, kind, a, b)])
+    return run
 
 
 def _finish(model: Model, names: list[str]):
     def run(batches):
-        group, counts = None, []
+        group, counts, classes = None, [], []
         for _, g, kind, a, b in rows_sorted(batches):  # by key within a batch, as asked
             if g != group:
-                group, counts = g, []
+                group, counts, classes = g, [], []
             if kind == 1:
-                counts.append(np.frombuffer(next(unpack(a)), "<i8"))
+                c, of = unpack(a)
+                counts.append(np.frombuffer(c, "<i8"))
+                classes.append(np.frombuffer(of, np.uint8))
                 continue
-            sizes, path, local, rare, place = (np.frombuffer(x, t) for x, t in zip(unpack(b), ("<i8", "<f8", "<f8", "<i8", "<u4")))
+            sizes, cls, asked, local, rare, place = (
+                np.frombuffer(x, t) for x, t in zip(unpack(b), ("<i8", np.uint8, np.uint8, "<f8", "<i8", "<u4")))
+            cls = cls.astype(np.int64)
             found = np.concatenate(counts)[place] if len(place) else np.zeros(0, np.int64)
+            if len(place):
+                cls[np.unpackbits(asked, count=len(cls)).astype(bool)] = np.concatenate(classes)[place]
+            steps = model.step[_pairs(cls), cls] - model.spread_class[cls]
+            path = np.add.reduceat(steps, np.cumsum(sizes) - sizes) if len(sizes) else np.zeros(0)
             doc = np.repeat(np.arange(len(sizes)), rare)
             logs = local + np.bincount(doc, weights=np.log10(found + DELTA), minlength=len(sizes))
             unknown = np.bincount(doc, weights=found == 0, minlength=len(sizes)).astype(np.int64)
@@ -382,14 +571,14 @@ def lm_scores(docs: DataFrame, held_out, text: str = "text", keep: tuple[str, ..
                        F.coalesce(held_out, F.lit(True)).alias("_held"), F.col(text).alias("_text"))
     train = rows.filter(~F.col("_held")).select("_text")
     vocab = written(count_words(train, keys), "lm-vocabulary")
-    model = fit(train, vocab, keys)
+    model, classes = train_classes(train, vocab, keys)
     names = [*names, "_held"]
     schema = rows.drop("_text").schema
     for c, t in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"),
                  ("score", "double"), ("perplexity", "double")):
         schema = schema.add(c, t)
-    found = run_exchange(rows, _scan(model, keys, names), _answer, _finish(model, names), schema,
-                         extra=vocab.filter("kind = 0"))
+    found = run_exchange(rows, _scan(model, keys, names), _answer(model.unseen), _finish(model, names), schema,
+                         extra=classes.filter("kind = 0"))
     return found.toDF(*keep, "held_out", *schema.names[len(names):])
 
 

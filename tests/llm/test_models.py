@@ -164,3 +164,27 @@ def test_class_model_probabilities_sum_to_one(spark):
 def test_tokens_end_each_text(n):
     h, sizes = classlm.tokens_of([words(random.Random(i), i).encode() for i in range(n)])
     assert sizes.tolist() == [i + 1 for i in range(n)] and (h == classlm.END).sum() == n
+
+
+def test_every_word_has_a_class_of_its_own(spark, monkeypatch):
+    """Rare words that end alike, and stand in other places, go to the classes of the frequent words in those places."""
+    monkeypatch.setattr(classlm, "DICTIONARY", 20)
+    rng = random.Random(4)
+    rare = [f"rare{i}xx" for i in range(60)]
+    texts = []
+    for i in range(600):
+        noun = rng.choice(["cat", "dog"]) if i % 3 else rare[rng.randrange(0, 60, 2)]
+        verb = rng.choice(["ran", "sat"]) if i % 5 else rare[rng.randrange(1, 60, 2)]
+        texts.append((f"the {noun} {verb} here",))
+    docs = spark.createDataFrame(texts, "_text string")
+    keys = classlm.key_count(spark)
+    from firesight.llm.common import written
+    _, rows = classlm.train_classes(docs, written(classlm.count_words(docs, keys), "test-vocabulary"), keys, words=6)
+    cls = {}
+    for r in rows.filter("kind = 0").collect():
+        u, _, c = classlm._values(bytes(r.a), bytes(r.b))
+        cls.update(zip(u.tolist(), c.tolist()))
+    of = {w: cls[int(classlm.tokens_of([w.encode()])[0][0])] for t in texts for w in t[0].split()}
+    assert len({of[w] for w in rare[0::2] if w in of} | {of["cat"], of["dog"]}) <= 2
+    nouns, verbs = {of[w] for w in rare[0::2] if w in of}, {of[w] for w in rare[1::2] if w in of}
+    assert not nouns & verbs
