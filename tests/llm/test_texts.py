@@ -236,3 +236,19 @@ def test_pipeline_against_plain_versions(spark, tokenizer):
 
     whole = corpus_pipeline.run(spark, SMALL)
     assert sorted((r.doc_id, r.ids_sha256) for r in whole.collect()) == sorted((r.doc_id, r.ids_sha256) for r in after)
+
+
+def host_rows(spark, pages):
+    rows = [(i, "http://a/" + str(i), p) for i, p in enumerate(pages)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+
+
+def test_html_repeats_over_a_large_host(spark):
+    """A banner on 5 of 200 pages without article or main goes from all of them, as from a small host."""
+    rng = random.Random(9)
+    banner = " ".join(words(rng, 12).split())
+    own = [words(rng, 30, 100000) for _ in range(200)]
+    pages = [f"<div>{banner}</div><div>{t}</div>" if i % 40 == 0 else f"<div>{t}</div>" for i, t in enumerate(own)]
+    got = {r.page_id: r.text for r in html.extract(host_rows(spark, pages)).collect()}
+    assert got == dict(enumerate(own))
+    assert [got[i] for i in range(200)] == html.main_texts(pages)
