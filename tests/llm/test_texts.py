@@ -252,3 +252,15 @@ def test_html_repeats_over_a_large_host(spark):
     got = {r.page_id: r.text for r in html.extract(host_rows(spark, pages)).collect()}
     assert got == dict(enumerate(own))
     assert [got[i] for i in range(200)] == html.main_texts(pages)
+
+
+def test_html_blocks_beside_an_article(spark):
+    rng = random.Random(10)
+    body, banner, card = words(rng, 40, 100000), words(rng, 12, 100000), "Read our other story"
+    teaser = f"<div>{body}</div><article>{card}</article><div>{banner}</div><div>short</div>"
+    other = f"<div>{words(rng, 40, 100000)}</div><div>{banner}</div>"
+    pages = [teaser, other, f"<div class='page has-sidebar'><article>{body} one</article></div>", f"<form><main>{body} two</main></form>",
+             f"<aside><article>{body}</article></aside>", f"<article>x<div class=comments><article>no</article></div></article>"]
+    got = {r.page_id: r.text for r in html.extract(host_rows(spark, pages[:2])).collect()}
+    assert got[0] == f"{body} {card}" and banner not in got[1]
+    assert html.main_texts(pages[2:]) == [f"{body} one", f"{body} two", "", "x"]
