@@ -264,3 +264,14 @@ def test_html_blocks_beside_an_article(spark):
     got = {r.page_id: r.text for r in html.extract(host_rows(spark, pages[:2])).collect()}
     assert got[0] == f"{body} {card}" and banner not in got[1]
     assert html.main_texts(pages[2:]) == [f"{body} one", f"{body} two", "", "x"]
+
+
+def test_html_copies_keep_their_text(spark):
+    rng = random.Random(11)
+    text, footer = words(rng, 400, 100000), words(rng, 10, 100000)
+    near = " ".join([*text.split()[:-1], "edited"])
+    pages = [f"<div>{t}</div><div>{footer}</div>" for t in (text, text, near, *(words(rng, 60, 100000) for _ in range(80)))]
+    got = {r.page_id: r.text for r in html.extract(host_rows(spark, pages)).collect()}
+    assert got[0] == got[1] == text and got[2] == near
+    assert not any(footer in t for t in got.values())
+    assert [got[i] for i in range(len(pages))] == html.main_texts(pages)
