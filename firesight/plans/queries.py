@@ -495,21 +495,28 @@ def q_audit_counts(spark, sf):
 
 # --- streams (S1, S7, T1-T9, W6, A11 in streaming form) -----------------------
 STREAM_FILES = 4
+#: Messages of a micro-batch and of a file, about; more messages are more micro-batches.
+STREAM_ROWS, FILE_ROWS = 250_000, 100_000
 
 
 def _streamed(spark, sf, name, which):
-    """One stored table of the streams, after they have read the readings as STREAM_FILES files of
-    messages, a file per micro-batch, and have been stopped and started again half way."""
+    """One stored table of the streams, after they have read the readings in parts by range of index
+    (null first). A part is one micro-batch of about STREAM_ROWS messages at most (or of a quarter of few
+    messages), in files of FILE_ROWS at most; the streams are stopped and started again after each."""
     root = unique_shared_path(spark, "stream")
     raw = _iso_readings(_raw(spark, sf))
-    part = F.floor(F.col("reading_index") * STREAM_FILES / (raw.agg(F.max("reading_index") + 1).first()[0] or 1))
-    msgs = envelope.encode(raw, keep=[part.cast("int").alias("part")])
-    half = STREAM_FILES // 2
-    for parts in (range(half), range(half, STREAM_FILES)):
-        for p in parts:
-            msgs.filter(F.col("part") == p).select("value").coalesce(1).write.mode("append").text(f"{root}/messages")
+    n_parts = max(STREAM_FILES, -(-raw.count() // STREAM_ROWS))
+    # written by part once, so that sending a part reads that part only
+    (envelope.encode(raw, keep=["reading_index"]).repartitionByRange(n_parts, F.col("reading_index").asc_nulls_first())
+     .select("value", F.spark_partition_id().alias("part"))
+     .write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("part").parquet(f"{root}/parts"))
+    msgs = spark.read.schema("value string, part int").parquet(f"{root}/parts")
+    for p in range(n_parts):
+        (msgs.filter(F.col("part") == p).select("value").write.option("maxRecordsPerFile", FILE_ROWS).mode("append")
+         .text(f"{root}/messages"))
         start = {"raw": jobs.start_raw, "enrichment": jobs.start_enrichment, "windows": jobs.start_windows}[which]
-        jobs.wait_for([start(spark, jobs.read_stream(spark, f"{root}/messages"), f"{root}/tables",
+        # all files of the part are one micro-batch: rows within it are ordered there, parts come in order
+        jobs.wait_for([start(spark, jobs.read_stream(spark, f"{root}/messages", STREAM_ROWS), f"{root}/tables",
                              checkpoint=f"{root}/checkpoint", trigger={"availableNow": True})])
     return jobs.read_tables(spark, f"{root}/tables", [name])[name]
 

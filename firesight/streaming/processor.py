@@ -10,21 +10,27 @@ with the carried state as the prefix. Flags and labels are Spark expressions
 after it, shared with the batch form (``enrich.finish``). Rows of a node that
 arrive in a later micro-batch are scored then, after everything already seen.
 One node is one task per micro-batch: its rows are bounded by the trigger's
-file or offset limit.
+file or offset limit. They are scored in pieces of ``PIECE`` rows against the
+carried state; more rows than that are kept as sorted runs on disk and merged,
+so a worker holds a piece and the order keys only.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from firesight.spec import DEFAULT_SPEC, SensorSpec
 
 PREV_FIRE = "_prev_fire"
+#: Rows of a node that are sorted and scored at a time.
+PIECE = 1 << 16
 
 
 def state_schema(spec: SensorSpec = DEFAULT_SPEC) -> T.StructType:
@@ -108,6 +114,56 @@ def order_rows(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf.assign(_ord=key).sort_values(["_ord", "ingest_ts"], kind="stable").drop(columns="_ord")
 
 
+def _runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The frames' rows in sorted frames of PIECE rows (the last has fewer)."""
+    held, n = [], 0
+    for frame in frames:
+        for at in range(0, len(frame), PIECE):
+            part = frame.iloc[at:at + PIECE]
+            while n + len(part) >= PIECE:
+                cut = PIECE - n
+                yield order_rows(pd.concat([*held, part.iloc[:cut]], ignore_index=True))
+                held, n, part = [], 0, part.iloc[cut:]
+            if len(part):
+                held.append(part)
+                n += len(part)
+    if n:
+        yield order_rows(pd.concat(held, ignore_index=True))
+
+
+def in_pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All rows in order, in frames of PIECE rows: the order of ``order_rows`` over their concatenation."""
+    runs = _runs(frames)
+    first, second = next(runs, None), next(runs, None)
+    if second is None:
+        if first is not None:
+            yield first
+        return
+    with tempfile.TemporaryDirectory() as folder:
+        stored, index, stamps = [], [], []
+        for i, run in enumerate(x for part in ([first, second], runs) for x in part):
+            rows = pa.Table.from_pandas(run, preserve_index=False)
+            with pa.OSFile(f"{folder}/{i}", "wb") as f, pa.ipc.new_file(f, rows.schema) as out:
+                out.write_table(rows)
+            index.append(run["reading_index"].fillna(0).astype("int64").to_numpy())
+            stamps.append(run["ingest_ts"])
+            stored.append(pa.ipc.open_file(pa.memory_map(f"{folder}/{i}")).read_all())
+        sizes = [len(x) for x in index]
+        del first, second
+        keys = pd.DataFrame({"_ord": np.concatenate(index), "ingest_ts": pd.concat(stamps, ignore_index=True)})
+        order = keys.sort_values(["_ord", "ingest_ts"], kind="stable").index.to_numpy()
+        stops = np.cumsum(sizes)
+        for at in range(0, len(order), PIECE):
+            rows = np.sort(order[at:at + PIECE])  # a slice of each run, as runs are sorted
+            cuts = np.searchsorted(rows, stops)
+            parts, lo = [], 0
+            for run, hi, stop, size in zip(stored, cuts, stops, sizes):
+                if hi > lo:
+                    parts.append(run.slice(int(rows[lo] - (stop - size)), int(hi - lo)).to_pandas())
+                lo = hi
+            yield order_rows(pd.concat(parts, ignore_index=True))
+
+
 class Enricher(StatefulProcessor):
     """Per-node Welford state + fire state, one ValueState per node."""
 
@@ -119,16 +175,17 @@ class Enricher(StatefulProcessor):
         self.state = handle.getValueState("stats", state_schema(self.spec))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        if pdf.empty:
-            return
-        state = dict(zip(self.fields, self.state.get())) if self.state.exists() else {}
-        for col, _, _ in self.spec.scored:
-            name = self.spec.serving_names[col]
-            pdf[name] = pdf[name].astype("float64")
-        out, new_state = score_frame(order_rows(pdf), state, self.spec)
-        self.state.update(tuple(new_state.get(f) for f in self.fields))
-        yield out
+        state = None
+        for pdf in in_pieces(rows):
+            if state is None:
+                state = dict(zip(self.fields, self.state.get())) if self.state.exists() else {}
+            for col, _, _ in self.spec.scored:
+                name = self.spec.serving_names[col]
+                pdf[name] = pdf[name].astype("float64")
+            out, state = score_frame(pdf, state, self.spec)
+            yield out
+        if state is not None:
+            self.state.update(tuple(state.get(f) for f in self.fields))
 
     def close(self) -> None:
         pass

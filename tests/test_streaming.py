@@ -194,3 +194,48 @@ def test_stream_state_equals_batch_key_state(spark, workdir):
             assert g[f"{name}_count"] == e[f"{name}_count"]
             assert g[f"{name}_mean"] == pytest.approx(e[f"{name}_mean"], rel=1e-9, abs=1e-6)
             assert g[f"{name}_m2"] == pytest.approx(e[f"{name}_m2"], rel=1e-9)
+
+
+def test_registered_streams_grow_in_bounded_parts(spark, monkeypatch):
+    """Null indexes are sent, and more messages are more micro-batches of more files."""
+    from firesight.plans import queries as Q
+    raw = load_readings(spark, "/root/testdata/sf0.001")
+    raw = raw.withColumn("reading_index", F.when(F.col("reading_index") != 7, F.col("reading_index")))
+    sent = []
+    monkeypatch.setattr(Q, "_raw", lambda *a: raw)
+    monkeypatch.setattr(Q, "STREAM_ROWS", 200)
+    monkeypatch.setattr(Q, "FILE_ROWS", 50)
+    monkeypatch.setattr(jobs, "wait_for", lambda qs: (qs[0].awaitTermination(), sent.extend(
+        p["numInputRows"] for p in qs[0].recentProgress if p["numInputRows"])))
+    got = Q.q_stream_raw(spark, None)
+    n = raw.count()
+    assert sum(sent) == got.count() == n and got.filter("reading_index is null").count() == 1
+    assert len(sent) == -(-n // 200) > 4 and max(sent) < 2 * 200
+
+
+def test_a_node_is_scored_in_pieces(monkeypatch):
+    import numpy as np
+    import pandas as pd
+    from firesight.spec import DEFAULT_SPEC
+    from firesight.streaming import processor as P
+    rng = np.random.default_rng(5)
+    n, names = 1000, DEFAULT_SPEC.serving_names
+    pdf = pd.DataFrame({names.get(c, c): rng.normal(20, 3, n).round(2) for c, _, _ in DEFAULT_SPEC.scored})
+    pdf[names["Fire"]] = pd.array(rng.integers(0, 2, n), dtype="Int32")
+    pdf["reading_index"] = pd.array(rng.permutation(n) // 2, dtype="Int64")
+    pdf.loc[3, "reading_index"] = pd.NA
+    pdf["ingest_ts"] = [f"t{x:04d}" for x in rng.permutation(n)]
+    frames = [pdf.iloc[i:i + 130] for i in range(0, n, 130)]
+    whole, state = P.score_frame(P.order_rows(pdf), {})
+    seen, scored, held = [], P.score_frame, {}
+    monkeypatch.setattr(P, "PIECE", 64)
+    monkeypatch.setattr(P, "score_frame", lambda f, *a: (seen.append(len(f)), scored(f, *a))[1])
+    e = P.Enricher()
+    e.fields = P.state_schema().fieldNames()
+    e.state = type("S", (), {"exists": lambda s: False, "update": lambda s, v: held.update(zip(e.fields, v))})()
+    got = pd.concat(list(e.handleInputRows(("n",), iter(frames), None)), ignore_index=True)
+    assert max(seen) <= 64 and got["ingest_ts"].tolist() == whole["ingest_ts"].tolist()
+    zs = [c for c in got.columns if c.startswith("zscore_")]
+    assert np.allclose(got[zs].astype(float), whole[zs].astype(float), atol=1.1 * 10.0 ** -DEFAULT_SPEC.z_decimals)
+    assert got[P.PREV_FIRE].tolist()[1:] == whole[P.PREV_FIRE].tolist()[1:]
+    assert all(np.isclose(held[f], state[f]) for f in e.fields)
