@@ -275,3 +275,9 @@ def test_html_copies_keep_their_text(spark):
     assert got[0] == got[1] == text and got[2] == near
     assert not any(footer in t for t in got.values())
     assert [got[i] for i in range(len(pages))] == html.main_texts(pages)
+
+
+def test_every_oracle_is_sql_text():
+    from firesight.llm import queries
+    assert all(isinstance(sql, str) for sql in queries.oracle_sql().values())
+    assert set(queries.oracle_sql()) <= set(queries.queries())
