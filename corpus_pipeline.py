@@ -1,7 +1,7 @@
 """Corpus pipeline: documents through five of the training-data operators.
 
 Documents that the toxicity operator rejects go, one document of each near-duplicate
-group stays, credentials that aren't widely copied examples are masked, sources are
+group stays, live-looking credentials are masked, sources are
 mixed to target weights, and what is left is encoded. Every stage works on all that
 its predecessor kept.
 """

@@ -160,13 +160,14 @@ def op1_secret_scans(spark, sf_dir):
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner: str = "source",
            repository: str = "lang", mask: str = "[secret]") -> DataFrame:
-    """``docs`` with every span that isn't a widely copied example replaced by ``mask``.
+    """``docs`` with every span whose verdict is "live" replaced by ``mask``.
 
+    Widely copied examples, placeholders and other spans that don't look random stay as they are.
     Overlapping spans become one mask. Other columns, rows and their number stay as they are.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     found = (secret_scan(docs, id_col, text, owner, repository)
-             .select(F.col("_key"), F.filter("spans", lambda x: x["verdict"] != "copied").alias("_spans"))
+             .select(F.col("_key"), F.filter("spans", lambda x: x["verdict"] == "live").alias("_spans"))
              .filter(F.size("_spans") > 0).dropDuplicates(["_key"]))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 

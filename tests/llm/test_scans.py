@@ -123,3 +123,9 @@ def test_native_plans_have_no_python(spark):
         plan = query(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
     assert F  # built-in functions only
+
+
+def test_redaction_leaves_placeholders(spark):
+    texts = ["password: changeme", "secret = os.environ", "token: abcd1234efgh"]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    assert {r.doc_id: r.text for r in secrets.redact(docs).collect()} == {0: texts[0], 1: texts[1], 2: "[secret]"}
