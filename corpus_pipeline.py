@@ -35,7 +35,7 @@ def mask_secrets(spark, docs, sf_dir):
 
 def mix_sources(spark, docs, sf_dir):
     """Documents repeated so that source shares reach the target entropy; every document stays."""
-    return mixing.mixed_documents(docs, entropy=ENTROPY, cover=True)
+    return mixing.mixed_documents(docs, entropy=ENTROPY, cover=True, wordless=True)
 
 
 def encode(spark, docs, sf_dir):

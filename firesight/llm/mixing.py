@@ -164,8 +164,12 @@ def op8_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).drop("key")
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """``docs`` as mixed: each row as often as it was drawn, with its own columns."""
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
+                    wordless: bool = False, **options) -> DataFrame:
+    """``docs`` as mixed: each row as often as it was drawn, with its own columns.
+
+    ``wordless``: the rows of sources without any words, which have no share in the mix, are passed through once.
+    """
     t = F.coalesce(F.col(text), F.lit(""))
     seed = options.get("seed", SEED)
     # identical rows share a key; the rows of a key are as many as were drawn for it
@@ -175,8 +179,15 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     each = own.select("_key").groupBy("_key").agg(F.count("*").alias("_rows"))
     share = drawn.join(each, F.col("key") == F.col("_key")).select(
         "key", F.ceil(F.col("_drawn") / F.col("_rows")).cast("int").alias("_times"))
-    return own.join(share, F.col("_key") == F.col("key")).select(
+    mixed = own.join(share, F.col("_key") == F.col("key")).select(
         "_row", F.explode(F.array_repeat(F.lit(1), F.col("_times"))).alias("_copy")).select("_row.*")
+    if not wordless:
+        return mixed
+    # one row per source: true if any of its texts has a word
+    silent = (docs.select(F.col(source).alias("_silent"), t.rlike(WORD).alias("_words"))
+              .groupBy("_silent").agg(F.max("_words").alias("_words")).filter(~F.col("_words")))
+    rows = docs.select(whole_rows(docs).alias("_row"), F.col(source).alias("_source"))
+    return mixed.unionAll(rows.join(silent, F.col("_source").eqNullSafe(F.col("_silent")), "left_semi").select("_row.*"))
 
 
 def _number_sql(text: str) -> str:

@@ -281,3 +281,14 @@ def test_every_oracle_is_sql_text():
     from firesight.llm import queries
     assert all(isinstance(sql, str) for sql in queries.oracle_sql().values())
     assert set(queries.oracle_sql()) <= set(queries.queries())
+
+
+def test_mix_stage_keeps_documents_of_a_wordless_source(spark):
+    rows = [(i, words(random.Random(i), 9), "en", f"s{i % 2}", 1) for i in range(20)]
+    rows += [(100, "", "en", "empty", 0), (101, None, "en", "empty", 0), (101, None, "en", "empty", 0), (102, " \n", "en", None, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.mix_sources(spark, docs, None)
+    assert out.columns == docs.columns
+    got = sorted((r.doc_id, r.text) for r in out.collect() if r.doc_id >= 100 and r.text is not None)
+    assert got == [(100, ""), (102, " \n")] and out.filter("doc_id = 101").count() == 2
+    assert {r.doc_id for r in out.collect()} == {r[0] for r in rows}
