@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from firesight.llm import bpe, classlm, embeddings, html, mixing, quality, secrets, substrings, toxicity
+from firesight.llm import bpe, classlm, embeddings, html, merkle, mixing, quality, secrets, substrings, toxicity
 from firesight.llm.simhash import op3_simhash
 
 
@@ -18,10 +18,11 @@ def queries():
         "op8_mixing": mixing.op8_mixing,
         "op9_html": html.op9_html,
         "op10_substring_dedup": substrings.op10_substring_dedup,
+        "op11_merkle": merkle.op11_merkle,
     }
 
 
 def oracle_sql():
     return {"op1_secret_scans": secrets.ORACLE, "op5_quality_rules": quality.ORACLE,
             "op8_mixing": mixing.ORACLE,
-            "op10_substring_dedup": substrings.ORACLE}
+            "op10_substring_dedup": substrings.ORACLE, "op11_merkle": merkle.ORACLE}
