@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from firesight.llm import bpe, classlm, embeddings, html, merkle, mixing, quality, secrets, substrings, toxicity
+from firesight.llm import bpe, classlm, embeddings, html, merkle, mixing, negatives, quality, secrets, substrings, topk, toxicity
 from firesight.llm.simhash import op3_simhash
 
 
@@ -19,10 +19,13 @@ def queries():
         "op9_html": html.op9_html,
         "op10_substring_dedup": substrings.op10_substring_dedup,
         "op11_merkle": merkle.op11_merkle,
+        "op12_topk": topk.op12_topk,
+        "op13_hard_negatives": negatives.op13_hard_negatives,
     }
 
 
 def oracle_sql():
     return {"op1_secret_scans": secrets.ORACLE, "op5_quality_rules": quality.ORACLE,
             "op8_mixing": mixing.ORACLE,
-            "op10_substring_dedup": substrings.ORACLE, "op11_merkle": merkle.ORACLE}
+            "op10_substring_dedup": substrings.ORACLE, "op11_merkle": merkle.ORACLE,
+            "op12_topk": topk.ORACLE, "op13_hard_negatives": negatives.ORACLE}
