@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firesight.functions.columns import event_time, exact_avg, q
+from firesight.operators.quantiles import LEAF, exact_quantiles
 from firesight.spec import DEFAULT_SPEC, SensorSpec
 
 STAT_DECIMALS = 4
@@ -68,6 +69,18 @@ def baseline_percentiles(raw: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> Dat
     return raw.groupBy("node_id").agg(*_percentile_aggs(spec))
 
 
+def baseline_percentiles_exact(raw: DataFrame, spec: SensorSpec = DEFAULT_SPEC, leaf: int = LEAF) -> DataFrame:
+    """A4, exact: the columns of ``baseline_percentiles`` by histogram refinement (``operators/quantiles.py``)."""
+    points = list(spec.percentiles)
+    found = exact_quantiles(raw, "node_id", [col for col, *_ in spec.scored], points, leaf)
+    wide = [F.max(F.when((F.col("s") == s) & (F.col("i") == i), F.round("x", STAT_DECIMALS)))
+            .alias(f"p{int(round(p * 100))}_{suf}") for s, (_, _, suf) in enumerate(spec.scored) for i, p in enumerate(points)]
+    # a node without any value has its row too
+    nodes = raw.select("node_id").distinct().select(F.col("node_id").alias("k"), F.lit(-1).alias("s"), F.lit(-1).alias("i"),
+                                                    F.lit(None).cast("double").alias("x"))
+    return found.unionByName(nodes).groupBy(F.col("k").alias("node_id")).agg(*wide)
+
+
 def baseline(raw: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
     """A3 + A4: one aggregate (one shuffle of partial states) plus the distinct count."""
     per_node = with_event_time(raw).groupBy("node_id").agg(*_summary_aggs(spec), *_percentile_aggs(spec))

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firesight.functions.columns import _compare, clean, event_time, fire_state_label, is_fire, order_value, q
+from firesight.operators.chunks import PART, PLACE, chunk_of, sorted_parts
 from firesight.spec import DEFAULT_SPEC, SensorSpec
 
 # Index values per chunk. With one reading per index a chunk is one sort task
@@ -196,11 +197,36 @@ def _carry_in(chunks: DataFrame, spec: SensorSpec) -> DataFrame:
     return out.select("node_id", CHUNK, *cols, "_cfire")
 
 
-def score_prefix(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC,
-                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """W1-W3 by the two-level prefix scan (see module docstring)."""
+def largest_chunk(df: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> int:
+    """Rows of the largest chunk that cutting by index values gives: one narrow scan."""
     base = order_key(df)
-    base = base.withColumn(CHUNK, chunk_key(base, chunk_rows))
+    sizes = base.withColumn(CHUNK, chunk_key(base, chunk_rows)).groupBy("node_id", CHUNK).count()
+    return sizes.agg(F.max("count")).first()[0] or 0
+
+
+def by_rows(df: DataFrame, chunk_rows: int) -> DataFrame:
+    """The readings in order with CHUNK, at most ``chunk_rows`` rows each (``operators/chunks.py``)."""
+    stored = sorted_parts(order_key(df), "node_id", [ORD, "ingest_ts"])
+    return stored.withColumn(CHUNK, chunk_of(chunk_rows)).drop(PART, PLACE)
+
+
+def score_prefix(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC,
+                 chunk_rows: int = DEFAULT_CHUNK_ROWS, cuts: str = "width") -> DataFrame:
+    """W1-W3 by the two-level prefix scan (see module docstring).
+
+    ``cuts``: "width" cuts a node's readings by index values, without any job; "rows" by their number, from
+    a sorted copy, whatever indexes repeat; "auto" counts the rows of the first and takes the second if a
+    chunk has more than twice ``chunk_rows``.
+    """
+    if cuts == "auto":
+        cuts = "rows" if largest_chunk(df, chunk_rows) > 2 * chunk_rows else "width"
+    if cuts == "rows":
+        base = by_rows(df, chunk_rows)
+    elif cuts == "width":
+        base = order_key(df)
+        base = base.withColumn(CHUNK, chunk_key(base, chunk_rows))
+    else:
+        raise ValueError(cuts)
     carry = _carry_in(_chunk_summaries(base, spec), spec)
 
     order = [F.col(ORD), F.col("ingest_ts")]
@@ -251,19 +277,19 @@ def score_prefix(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC,
 
 
 def score(df: DataFrame, spec: SensorSpec = DEFAULT_SPEC, method: str = "prefix",
-          chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+          chunk_rows: int = DEFAULT_CHUNK_ROWS, cuts: str = "width") -> DataFrame:
     """W1-W3 on already-cleaned readings."""
     if method == "window":
         return score_window(df, spec).select(*df.columns, *enrich_columns(spec))
     if method == "prefix":
-        return score_prefix(df, spec, chunk_rows)
+        return score_prefix(df, spec, chunk_rows, cuts)
     raise ValueError(method)
 
 
 def enrich(readings: DataFrame, spec: SensorSpec = DEFAULT_SPEC, method: str = "prefix",
-           chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+           chunk_rows: int = DEFAULT_CHUNK_ROWS, cuts: str = "width") -> DataFrame:
     """Enriched table: outlier filter (P1), then W1-W3."""
-    return score(clean(readings, spec), spec, method, chunk_rows)
+    return score(clean(readings, spec), spec, method, chunk_rows, cuts)
 
 
 def fire_events(enriched: DataFrame) -> DataFrame:

@@ -288,6 +288,7 @@ ORACLES: dict[str, str] = {}
 
 ORACLES["baseline_summary"] = f"{BASE} SELECT node_id, {_summary_cols()} FROM readings GROUP BY node_id"
 ORACLES["baseline_percentiles"] = f"{BASE} SELECT node_id, {_pct_cols()} FROM readings GROUP BY node_id"
+ORACLES["baseline_percentiles_exact"] = ORACLES["baseline_percentiles"]
 ORACLES["hourly_trend"] = (f"{BASE} SELECT node_id, CAST(hour(ingest_ts) AS INTEGER) AS hour, "
                            f"{RA(Q('Temperature (C)'), 4)} AS avg_temp FROM readings "
                            "WHERE hour(ingest_ts) IS NOT NULL GROUP BY 1, 2")
@@ -331,6 +332,9 @@ BASE_FLAT = with_(READINGS, FLAT, CLEAN.replace("FROM readings", "FROM flat"), _
 ORACLES["enriched_multichunk"] = f"{BASE_FLAT} SELECT * FROM enriched"
 ORACLES["fire_transitions_multichunk"] = (f"{BASE_FLAT} SELECT node_id, reading_index, \"Fire\", is_fire, "
                                           "is_fire_transition, fire_value_prev, fire_state_label FROM enriched")
+HOT_INDEX = READINGS.replace("CAST(event_id AS BIGINT) AS reading_index",
+                             "CAST(CASE WHEN event_id % 8 < 4 THEN 5 ELSE event_id END AS BIGINT) AS reading_index")
+ORACLES["enriched_hot_index"] = f"{with_(HOT_INDEX, CLEAN, _enriched_cte())} SELECT * FROM enriched"
 ORACLES["nan_enriched"] = (f"{with_(READINGS, NANS, CLEAN.replace('FROM readings', 'FROM nans'), _enriched_cte())} "
                            "SELECT * FROM enriched")
 ORACLES["running_zscore"] = (f"{BASE_ENRICHED} SELECT node_id, reading_index, zscore_Temperature, zscore_CO, "
@@ -481,6 +485,13 @@ r AS (SELECT node_id, event_id,
   CAST(row_number() OVER (PARTITION BY node_id ORDER BY ts, event_id) - 1 AS BIGINT) AS reading_index FROM s)
 SELECT node_id, event_id, reading_index,
   TIMESTAMP '2024-01-01 00:00:00' + to_milliseconds(reading_index * 500) AS stamped_ts FROM r"""
+ORACLES["sequence_hot_hour"] = ORACLES["sequence_readings"].replace(
+    "event_id, ts FROM events", "event_id, CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-01-01 00:00:00' "
+    "+ to_seconds(event_id % 1800) ELSE ts END AS ts FROM events")
+# the batch after a reading's own changed it, unless its own was the last
+ORACLES["upsert_many_batches"] = (f"{BASE}, b AS (SELECT event_id, coalesce(k, 0) % 24 AS b FROM ev) SELECT " + RAW_COLS.replace(
+    '"Temperature (C)"', 'CASE WHEN b < 23 THEN "Temperature (C)" + (b + 1) * 1.0e0 ELSE "Temperature (C)" END AS "Temperature (C)"', 1)
+    + " FROM readings r JOIN b ON r.reading_index = b.event_id")
 UPSERT_COLS = RAW_COLS.replace('"Temperature (C)"', 'CASE WHEN k >= 50 THEN "Temperature (C)" + 1.0e0 '
                                'ELSE "Temperature (C)" END AS "Temperature (C)"', 1)
 ORACLES["upsert_latest"] = (f"{BASE} SELECT {UPSERT_COLS} FROM readings r JOIN (SELECT event_id, k FROM ev) e "

@@ -74,6 +74,11 @@ def q_baseline_percentiles(spark, sf):
     return B.baseline_percentiles(_raw(spark, sf))
 
 
+@register("baseline_percentiles_exact")
+def q_baseline_percentiles_exact(spark, sf):
+    return B.baseline_percentiles_exact(_raw(spark, sf))
+
+
 @register("hourly_trend")
 def q_hourly_trend(spark, sf):
     return B.hourly_trend(_raw(spark, sf))
@@ -145,6 +150,17 @@ def q_fire_transitions_multichunk(spark, sf):
                                          "fire_value_prev", "fire_state_label")
 
 
+HOT_CHUNK = 1000
+
+
+@register("enriched_hot_index")
+def q_enriched_hot_index(spark, sf):
+    """Half of every node's readings on one index: chunks are cut by the number of rows."""
+    hot = _raw(spark, sf).withColumn("reading_index", F.when(F.col("reading_index") % 8 < 4, F.lit(5))
+                                     .otherwise(F.col("reading_index")).cast("long"))
+    return enrich(hot, chunk_rows=HOT_CHUNK, cuts="auto")
+
+
 @register("nan_enriched")
 def q_nan_enriched(spark, sf):
     """Readings that hold NaN values, cleaned as a stored table is when it is read, then enriched."""
@@ -446,6 +462,19 @@ def q_sequence_readings(spark, sf):
     return out.select("node_id", "event_id", "reading_index", "stamped_ts")
 
 
+@register("sequence_hot_hour")
+def q_sequence_hot_hour(spark, sf):
+    """Half of the events within one hour, many at the same second: the index is a place in the sorted rows."""
+    ev = read_table(spark, table_path(sf, "events"))
+    base = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    second = F.timestamp_add("SECOND", (F.col("event_id") % 1800).cast("long"), base)
+    hot = F.when(F.col("event_id") % 2 == 0, second).otherwise(F.col("ts").cast("timestamp_ntz"))
+    nodes = ev.select(F.concat(F.lit("nodo_"), (F.col("user_id") % 4 + 1).cast("string")).alias("node_id"),
+                      "event_id", hot.alias("ts"))
+    out = csvfiles.assign_index(nodes, "ts", base_ts=base, tie="event_id")
+    return out.select("node_id", "event_id", "reading_index", "stamped_ts")
+
+
 @register("upsert_latest")
 def q_upsert_latest(spark, sf):
     """Two batches; the second updates half of the keys, each twice within the batch."""
@@ -458,6 +487,26 @@ def q_upsert_latest(spark, sf):
     return T.upsert_latest(written, ["node_id", "reading_index"], ["batch", "seq"]).drop("batch", "seq")
 
 
+#: Micro-batches of ``upsert_many_batches``, and batches after which its sink merges.
+MANY_BATCHES, MERGE_EVERY = 24, 5
+
+
+@register("upsert_many_batches")
+def q_upsert_many_batches(spark, sf):
+    """Readings written in many batches, each with new readings and changes of the last batch's, by the sink
+    that merges its table as it goes; then the table's state, from base, runs and batches."""
+    target = unique_shared_path(spark, "upsert")
+    raw = readings_from_events(_k(spark, sf), keep=["k"]).withColumn("b", F.coalesce("k", F.lit(0)) % MANY_BATCHES)
+    path = unique_shared_path(spark, "upsert-input")
+    raw.drop("k").write.partitionBy("b").parquet(path)  # by batch, so that a batch reads its own rows only
+    rows = spark.read.schema(raw.drop("k").schema).parquet(path)
+    for b in range(MANY_BATCHES):
+        new = rows.filter(F.col("b") == b)
+        changed = rows.filter(F.col("b") == b - 1).withColumn("Temperature (C)", C.q("Temperature (C)") + F.lit(float(b)))
+        T.store(new.unionByName(changed).drop("b"), target, b, ["node_id", "reading_index"], every=MERGE_EVERY)
+    return T.read_upserted(spark, target, ["node_id", "reading_index"])
+
+
 @register("serving_projection")
 def q_serving_projection(spark, sf):
     return T.to_serving(_enriched(spark, sf))

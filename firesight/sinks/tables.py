@@ -1,34 +1,21 @@
-"""Sinks and table maintenance.
-
-The keyed upsert (S7) is merge-on-read over plain Parquet. A table is a folder
-of generations ``g=N``; every micro-batch keeps the last row of each key (by the
-reading's own order, so a retry picks the same rows) and writes them into its
-``batch_id=M`` partition of the current generation with dynamic partition
-overwrite, so a replayed batch rewrites exactly its own partition. A reader
-keeps the row of the newest batch per key. ``compact`` writes the merged state
-as the first partition of the next generation and then marks that generation as
-current; readers and later batches follow the mark, and the older generation can
-be deleted when no reader uses it any more.
-"""
+"""Sinks and table maintenance (S7-S14). The keyed, merged-on-read tables are in ``sinks/keyed.py``."""
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firesight.functions.columns import nan_to_null, q
-from firesight.operators.status import latest_by_key, latest_by_order
+from firesight.operators.status import latest_by_key
+from firesight.sinks.keyed import (BATCH, EVERY, compact, maintain, read_batches, read_upserted,  # noqa: F401
+                                   store, write_batch)
 from firesight.spec import DEFAULT_SPEC, SENSOR_COLUMNS, SensorSpec
 
 log = logging.getLogger(__name__)
 
-BATCH = "batch_id"
-MARKS = "generations"
-
 
 # S7 ---------------------------------------------------------------------------
 def upsert_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -36,68 +23,6 @@ def upsert_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str])
     return latest_by_key(df, list(keys), list(order_cols))
 
 
-def generation(spark: SparkSession, target: str) -> int:
-    """The table's current generation: the newest mark, 0 before any compaction."""
-    try:
-        marks = spark.read.schema("g long").parquet(f"{target}/{MARKS}")
-        return marks.agg(F.max("g")).first()[0] or 0
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return 0
-
-
-def current(spark: SparkSession, target: str) -> str:
-    """The folder of the current generation."""
-    return f"{target}/g={generation(spark, target)}"
-
-
-def write_batch(df: DataFrame, target: str, batch_id: int, keys: Sequence[str] = (), order: Column | None = None) -> None:
-    """Write one micro-batch to ``target`` as partition ``batch_id``.
-
-    With ``keys``, only the last row of each key by ``order`` is written (equal
-    orders: by the row's values), before any shuffle that could reorder rows.
-    Overwrites only its partition, so a retried batch replaces its own earlier
-    attempt and nothing else. The ``rebalance`` hint lets AQE size the output
-    files (a micro-batch would otherwise write one small file per state partition).
-    """
-    if keys:
-        df = latest_by_order(df, list(keys), F.lit(0).cast("decimal(38,0)") if order is None else order)
-    (df.hint("rebalance")
-       .withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(BATCH)
-       .parquet(current(df.sparkSession, target)))
-
-
-def read_batches(spark: SparkSession, target: str) -> DataFrame:
-    """All rows of the current generation, with their batch id."""
-    return spark.read.parquet(current(spark, target)).withColumn(BATCH, F.col(BATCH).cast("long"))
-
-
-def read_upserted(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
-    """Current state of an upsert table: the row of the newest batch per key."""
-    return upsert_latest(read_batches(spark, target), keys, [BATCH]).drop(BATCH)
-
-
-def compact(spark: SparkSession, target: str, keys: Sequence[str]) -> int:
-    """Write the merged state as a new generation and make it the current one.
-
-    Runs between micro-batches. The state is batch -1, below every later batch
-    (also a replay of the last one). A failure before the mark leaves the table
-    as it was.
-    """
-    g = generation(spark, target)
-    rows = read_batches(spark, target)
-    newest = rows.agg(F.max(BATCH)).first()[0]
-    merged = upsert_latest(rows, keys, [BATCH]).drop(BATCH).withColumn(BATCH, F.lit(-1).cast("long"))
-    merged.write.mode("overwrite").partitionBy(BATCH).parquet(f"{target}/g={g + 1}")
-    spark.createDataFrame([(g + 1, newest)], "g long, newest_batch long").coalesce(1).write.mode("append").parquet(
-        f"{target}/{MARKS}")
-    return g + 1
-
-
 # S8 / S9 ----------------------------------------------------------------------
 def write_snapshot(df: DataFrame, path: str) -> None:
     """Replace the snapshot at ``path`` with ``df``."""

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from firesight.operators.chunks import PART, PLACE, place_in_key, sorted_parts
 from firesight.spec import SENSOR_COLUMNS
 
 # Literals as the acquisition files write them; a suffix as in "1.0d" is junk.
@@ -75,30 +76,38 @@ def read_csv_readings(spark: SparkSession, paths, node_pattern: str = r"(nodo_[0
     return reduce(DataFrame.unionByName, parts)
 
 
-def assign_index(df: DataFrame, order_col: str, chunk_width: int, base_ts: Column,
+def assign_index(df: DataFrame, order_col: str, chunk_width: int | None = None, base_ts: Column | None = None,
                  step_ms: int = 500, key: str = "node_id", tie: str | None = None) -> DataFrame:
     """Per-key running index (0, 1, 2, ... in ``order_col`` order, then by
     ``tie``) and a stamped time ``base_ts + index * step_ms``.
 
-    A two-level prefix count instead of one ``row_number`` window per key:
+    The index is a row's place in a sorted copy (``operators/chunks.py``): one range exchange whose
+    partitions are cut by a sample of the rows, so neither a key nor an hour that holds most rows is one task.
+
+    With ``chunk_width`` a two-level prefix count without a copy, for orders that are spread evenly:
     rows are cut into chunks of ``chunk_width`` order values, chunk sizes are
     counted (a partial aggregate), an exclusive running sum over the small
     chunk table gives each chunk's offset, and ``row_number`` runs only inside
-    (key, chunk). A key holding most of the rows still spreads over many tasks.
+    (key, chunk).
     """
     dtype = df.schema[order_col].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         num = F.unix_micros(F.col(order_col).cast("timestamp"))
     else:
         num = F.col(order_col).cast("long")
-    base = df.withColumn("_o", num).withColumn("_c", F.floor(F.col("_o") / F.lit(int(chunk_width))))
-    sizes = base.groupBy(key, "_c").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(key).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(key, "_c", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    local = F.row_number().over(Window.partitionBy(key, "_c").orderBy("_o", *([tie] if tie else [])))
-    seq = (base.withColumn("_local", local)
-           .join(offsets, [key, "_c"], "left")
-           .withColumn("reading_index", (F.col("_offset") + F.col("_local") - 1).cast("long")))
+    base = df.withColumn("_o", num)
+    if chunk_width is None:
+        placed = place_in_key(sorted_parts(base, key, ["_o", *([tie] if tie else [])]), key)
+        seq = placed.withColumn("reading_index", F.col("_n").cast("long")).drop(PART, PLACE, "_n")
+    else:
+        base = base.withColumn("_c", F.floor(F.col("_o") / F.lit(int(chunk_width))))
+        sizes = base.groupBy(key, "_c").agg(F.count(F.lit(1)).alias("_size"))
+        before = Window.partitionBy(key).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select(key, "_c", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+        local = F.row_number().over(Window.partitionBy(key, "_c").orderBy("_o", *([tie] if tie else [])))
+        seq = (base.withColumn("_local", local)
+               .join(offsets, [key, "_c"], "left")
+               .withColumn("reading_index", (F.col("_offset") + F.col("_local") - 1).cast("long")))
     stamped = seq.withColumn(
         "stamped_ts", F.timestamp_add("MILLISECOND", F.col("reading_index") * F.lit(step_ms), base_ts))
     return stamped.drop("_o", "_c", "_local", "_offset")

@@ -5,9 +5,11 @@
 * enrichment: source -> decode -> outlier filter -> per-node stateful scoring
   (``transformWithStateInPandas``, RocksDB state store) -> ``foreachBatch``
   fan-out into keyed tables (enriched rows, fire events, alerts, counters,
-  cumulative partials, live node status). Every sink write replaces the
+  running totals, live node status). Every sink write replaces the
   partition of its own batch id, so a retried micro-batch leaves the tables as
-  one clean run would.
+  one clean run would. The running totals are state beside the scores' and come
+  with the batch, so no table is read again for them; the sinks merge their
+  tables' batches as they go (``sinks/keyed.py``).
 * windows: source -> decode -> event time -> watermark -> tumbling window
   aggregate in update mode -> keyed upsert on (node, window_start).
 
@@ -22,13 +24,13 @@ from pyspark.sql import functions as F
 from firesight.functions.columns import clean, order_value, parse_ts
 from firesight.operators.enrich import enrich_columns, finish, fire_events
 from firesight.operators.rollups import enrichment_counts
-from firesight.operators.status import coords_table, latest_reading, status_row
+from firesight.operators.status import coords_table, status_row
 from firesight.operators.windows import flatten_window, window_aggs
 from firesight.session import ensure_checkpoint_dir
 from firesight.sinks import tables as T
 from firesight.sources.envelope import decode, split_rejects
 from firesight.spec import DEFAULT_SPEC, MAX_OFFSETS_PER_TRIGGER, ROLLUP_SENSORS, TRIGGER_INTERVAL, SensorSpec
-from firesight.streaming.processor import PREV_FIRE, Enricher, scored_schema
+from firesight.streaming.processor import PREV_FIRE, TOTALS, Enricher, scored_schema, totals_schema
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -62,7 +64,8 @@ def read_kafka_stream(spark: SparkSession, servers: str, topic: str,
 
 # T4 ---------------------------------------------------------------------------
 def enrich_stream(decoded: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
-    """Filtered readings scored per node with state kept across micro-batches."""
+    """Filtered readings scored per node with state kept across micro-batches. Column TOTALS is
+    null, but for the last row of each node in a micro-batch: there it has the node's running totals."""
     cleaned = clean(decoded, spec)
     names = spec.serving_names
     safe = cleaned.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in cleaned.columns])
@@ -73,92 +76,84 @@ def enrich_stream(decoded: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFr
                   outputMode="Append",
                   timeMode="None"))
     zs = [f"zscore_{name}" for _, name, _ in spec.scored]
-    named = scored.select(*[F.col(names.get(c, c)).alias(c) for c in cleaned.columns], *zs, PREV_FIRE)
-    return finish(named, F.col(PREV_FIRE), spec).select(*cleaned.columns, *enrich_columns(spec))
+    totals = F.struct(*[F.col(f"{TOTALS}_{n}").alias(n) for n in totals_schema().fieldNames()])
+    named = scored.select(*[F.col(names.get(c, c)).alias(c) for c in cleaned.columns], *zs, PREV_FIRE,
+                          F.when(F.col(f"{TOTALS}_total_processed").isNotNull(), totals).alias(TOTALS))
+    return finish(named, F.col(PREV_FIRE), spec).select(*cleaned.columns, *enrich_columns(spec), TOTALS)
 
 
-def cumulative_partials(batch: DataFrame) -> DataFrame:
-    """Mergeable per-(node, batch) partial statistics; summing counts and sums
-    and taking min/max over all batches gives the cumulative table."""
-    aggs = [F.count(F.lit(1)).alias("batch_count"), F.max("ingest_ts").alias("last_ingest_ts")]
-    for col, suf, *_ in ROLLUP_SENSORS:
-        x = F.col(f"`{col}`")
-        aggs += [F.sum(x).alias(f"sum_{suf}"), F.count(x).alias(f"n_{suf}"),
-                 F.min(x).alias(f"min_{suf}"), F.max(x).alias(f"max_{suf}")]
-    return batch.groupBy("node_id").agg(*aggs)
-
-
-def cumulative_from_partials(partials: DataFrame) -> DataFrame:
-    """A2 over the partials table (one row per node and batch)."""
-    aggs = [F.sum("batch_count").alias("total_processed")]
+def running_totals(batch: DataFrame) -> DataFrame:
+    """A2: the running totals of the batch's nodes: a projection of each node's last row."""
+    cols = [F.col(f"{TOTALS}.total_processed").alias("total_processed")]
     for _, suf, d, ds, _ in ROLLUP_SENSORS:
-        aggs += [F.round(F.sum(f"sum_{suf}"), ds).alias(f"running_sum_{suf}"),
-                 F.round(F.min(f"min_{suf}"), d).alias(f"running_min_{suf}"),
-                 F.round(F.max(f"max_{suf}"), d).alias(f"running_max_{suf}")]
-    return partials.groupBy("node_id").agg(*aggs)
+        cols += [F.round(F.col(f"{TOTALS}.sum_{suf}"), ds).alias(f"running_sum_{suf}"),
+                 F.round(F.col(f"{TOTALS}.min_{suf}"), d).alias(f"running_min_{suf}"),
+                 F.round(F.col(f"{TOTALS}.max_{suf}"), d).alias(f"running_max_{suf}")]
+    return batch.filter(F.col(TOTALS).isNotNull()).select("*", *cols).drop(TOTALS)
 
 
 READING_KEY = ["node_id", "reading_index"]
+NODE_KEY = ["node_id"]
 
 
-def live_status(spark: SparkSession, root: str, batch: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
-    """Status rows of the batch's nodes: their latest enriched row, with the
-    running totals over all batches (this one's partials included)."""
-    totals = cumulative_from_partials(T.read_batches(spark, f"{root}/cumulative_partials"))
-    keep = ["node_id", "total_processed", *[c for c in totals.columns if c.startswith(("running_min", "running_max"))]]
-    return status_row(latest_reading(batch).join(totals.select(*keep), "node_id", "left"), coords_table(spark, spec))
+def live_status(spark: SparkSession, batch: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFrame:
+    """Status rows of the batch's nodes from their last enriched rows, which carry the running totals."""
+    totals = running_totals(batch)
+    return status_row(totals.drop(*[c for c in totals.columns if c.startswith("running_sum_")]), coords_table(spark, spec))
 
 
-def fan_out(root: str, spec: SensorSpec = DEFAULT_SPEC):
-    """T5: one materialised micro-batch feeding several keyed tables."""
+def fan_out(root: str, spec: SensorSpec = DEFAULT_SPEC, every: int = T.EVERY):
+    """T5: one materialised micro-batch feeding several keyed tables, each merged after ``every`` batches."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
-            at = order_value(batch)
-            T.write_batch(batch, f"{root}/processed_readings", batch_id, READING_KEY, at)
-            events = fire_events(batch)
-            T.write_batch(events, f"{root}/fire_events", batch_id, READING_KEY, order_value(events))
-            T.write_batch(T.alerts(events), f"{root}/alerts", batch_id)
-            T.write_batch(cumulative_partials(batch), f"{root}/cumulative_partials", batch_id)
-            counters = enrichment_counts(batch.withColumn("stream_batch", F.lit(int(batch_id)).cast("long")), "stream_batch")
-            T.write_batch(counters, f"{root}/batch_counters", batch_id)
-            T.write_batch(live_status(spark, root, batch, spec), f"{root}/node_status", batch_id)
+            rows = batch.drop(TOTALS)
+            T.store(rows, f"{root}/processed_readings", batch_id, READING_KEY, order_value(rows), every)
+            events = fire_events(rows)
+            T.store(events, f"{root}/fire_events", batch_id, READING_KEY, order_value(events), every)
+            T.store(T.alerts(events), f"{root}/alerts", batch_id, every=every)
+            totals = running_totals(batch)
+            T.store(totals.select("node_id", "total_processed", *[c for c in totals.columns if c.startswith("running_")]),
+                    f"{root}/cumulative", batch_id, NODE_KEY, every=every)
+            counters = enrichment_counts(rows.withColumn("stream_batch", F.lit(int(batch_id)).cast("long")), "stream_batch")
+            T.store(counters, f"{root}/batch_counters", batch_id, every=every)
+            T.store(live_status(spark, batch, spec), f"{root}/node_status", batch_id, NODE_KEY, every=every)
         finally:
             batch.unpersist()
     return run
 
 
-def write_raw(root: str):
+def write_raw(root: str, every: int = T.EVERY):
     """The unfiltered batch into ``raw_readings``, what can't be read into ``rejects``."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             good, bad = split_rejects(batch)
-            T.write_batch(good, f"{root}/raw_readings", batch_id, READING_KEY, order_value(good))
-            T.write_batch(bad, f"{root}/rejects", batch_id)
+            T.store(good, f"{root}/raw_readings", batch_id, READING_KEY, order_value(good), every)
+            T.store(bad, f"{root}/rejects", batch_id, every=every)
         finally:
             batch.unpersist()
     return run
 
 
 def start_raw(spark: SparkSession, messages: DataFrame, root: str, checkpoint: str | None = None,
-              trigger: dict | None = None, spec: SensorSpec = DEFAULT_SPEC):
+              trigger: dict | None = None, spec: SensorSpec = DEFAULT_SPEC, every: int = T.EVERY):
     """Start the raw query; returns the StreamingQuery."""
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/streams/raw"
-    return (decode(messages, spec, keep_rejects=True).writeStream.foreachBatch(write_raw(root))
+    return (decode(messages, spec, keep_rejects=True).writeStream.foreachBatch(write_raw(root, every))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL})).start())
 
 
 def start_enrichment(spark: SparkSession, messages: DataFrame, root: str, checkpoint: str | None = None,
-                     trigger: dict | None = None, spec: SensorSpec = DEFAULT_SPEC):
-    """Start the enrichment query; returns the StreamingQuery."""
+                     trigger: dict | None = None, spec: SensorSpec = DEFAULT_SPEC, every: int = T.EVERY):
+    """Start the enrichment query; returns the StreamingQuery. Its tables are merged after ``every`` batches."""
     configure_state_store(spark)
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/streams/enrichment"
     enriched = enrich_stream(decode(messages, spec), spec)
     return (enriched.writeStream
-            .foreachBatch(fan_out(root, spec))
+            .foreachBatch(fan_out(root, spec, every))
             .option("checkpointLocation", checkpoint)
             .outputMode("append")
             .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
@@ -179,13 +174,13 @@ def window_stream(decoded: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFr
 
 
 def start_windows(spark: SparkSession, messages: DataFrame, root: str, checkpoint: str | None = None,
-                  trigger: dict | None = None):
+                  trigger: dict | None = None, every: int = T.EVERY):
     """Start the window query: update output, upserted on (node, window_start)."""
     configure_state_store(spark)
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/streams/windows"
     agg = window_stream(decode(messages))
     return (agg.writeStream
-            .foreachBatch(lambda df, bid: T.write_batch(df, f"{root}/window_stats", bid, WINDOW_KEY))
+            .foreachBatch(lambda df, bid: T.store(df, f"{root}/window_stats", bid, WINDOW_KEY, every=every))
             .option("checkpointLocation", checkpoint)
             .outputMode("update")
             .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
@@ -243,8 +238,8 @@ def read_tables(spark: SparkSession, root: str, names=None) -> dict[str, DataFra
         "fire_events": keyed("fire_events", READING_KEY),
         "alerts": appended("alerts"),
         "batch_counters": appended("batch_counters"),
-        "node_status": keyed("node_status", ["node_id"]),
+        "node_status": keyed("node_status", NODE_KEY),
         "window_stats": keyed("window_stats", WINDOW_KEY),
-        "cumulative": lambda: cumulative_from_partials(T.read_batches(spark, f"{root}/cumulative_partials")),
+        "cumulative": keyed("cumulative", NODE_KEY),
     }
     return {n: readers[n]() for n in (names or readers)}

@@ -17,6 +17,7 @@ so a worker holds a piece and the order keys only.
 
 from __future__ import annotations
 
+import math
 import tempfile
 from collections.abc import Iterator
 
@@ -26,9 +27,11 @@ import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from firesight.spec import DEFAULT_SPEC, SensorSpec
+from firesight.spec import DEFAULT_SPEC, ROLLUP_SENSORS, SensorSpec
 
 PREV_FIRE = "_prev_fire"
+#: A node's running totals after a micro-batch; they travel on its last row, the other rows hold null.
+TOTALS = "_totals"
 #: Rows of a node that are sorted and scored at a time.
 PIECE = 1 << 16
 
@@ -41,10 +44,43 @@ def state_schema(spec: SensorSpec = DEFAULT_SPEC) -> T.StructType:
         + [T.StructField("last_fire_value", T.IntegerType(), True)])
 
 
+def totals_schema() -> T.StructType:
+    """Rows, and sum, min and max of every rolled-up sensor."""
+    return T.StructType([T.StructField("total_processed", T.LongType(), True)]
+                        + [T.StructField(f"{part}_{suf}", T.DoubleType(), True)
+                           for _, suf, *_ in ROLLUP_SENSORS for part in ("sum", "min", "max")])
+
+
 def scored_schema(input_schema: T.StructType, spec: SensorSpec = DEFAULT_SPEC) -> T.StructType:
     return T.StructType(list(input_schema.fields)
                         + [T.StructField(f"zscore_{name}", T.DoubleType(), True) for _, name, _ in spec.scored]
-                        + [T.StructField(PREV_FIRE, T.IntegerType(), True)])
+                        + [T.StructField(PREV_FIRE, T.IntegerType(), True)]
+                        + [T.StructField(f"{TOTALS}_{f.name}", f.dataType, True) for f in totals_schema()])
+
+
+def add_totals(pdf: pd.DataFrame, totals: dict, spec: SensorSpec = DEFAULT_SPEC) -> dict:
+    """The running totals with a piece's rows added; a sensor without a value yet has null for all three."""
+    new = {"total_processed": int(totals.get("total_processed") or 0) + len(pdf)}
+    for col, suf, *_ in ROLLUP_SENSORS:
+        x = pdf[spec.serving_names[col]].to_numpy(dtype="float64", na_value=np.nan)
+        x = x[~np.isnan(x)]
+        held = [totals[f"{part}_{suf}"] for part in ("sum", "min", "max")] if totals.get(f"sum_{suf}") is not None else []
+        if len(x):
+            parts = [math.fsum([*held[:1], *x.tolist()]), float(min([x.min(), *held[1:2]])), float(max([x.max(), *held[2:]]))]
+        else:
+            parts = held or [None] * 3
+        new.update(zip((f"sum_{suf}", f"min_{suf}", f"max_{suf}"), parts))
+    return new
+
+
+def with_totals(pdf: pd.DataFrame, totals: dict | None) -> pd.DataFrame:
+    """The totals' columns: null, but on the last row if ``totals`` are given."""
+    for f in totals_schema():
+        values = [None] * len(pdf)
+        if totals is not None:
+            values[-1] = totals[f.name]
+        pdf[f"{TOTALS}_{f.name}"] = pd.array(values, dtype="Int64" if f.dataType == T.LongType() else "Float64")
+    return pdf
 
 
 def _round_half_up(z: np.ndarray, decimals: int) -> np.ndarray:
@@ -165,7 +201,10 @@ def in_pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class Enricher(StatefulProcessor):
-    """Per-node Welford state + fire state, one ValueState per node."""
+    """Per-node Welford and fire state, and the node's running totals: two ValueStates per node."""
+
+    #: Set by ``init``; without it (a processor outside a query) totals start anew in every call.
+    totals = None
 
     def __init__(self, spec: SensorSpec = DEFAULT_SPEC) -> None:
         self.spec = spec
@@ -173,19 +212,27 @@ class Enricher(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.fields = state_schema(self.spec).fieldNames()
         self.state = handle.getValueState("stats", state_schema(self.spec))
+        self.totals = handle.getValueState("totals", totals_schema())
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = None
+        state, last = None, None
+        names = totals_schema().fieldNames()
         for pdf in in_pieces(rows):
             if state is None:
                 state = dict(zip(self.fields, self.state.get())) if self.state.exists() else {}
+                totals = dict(zip(names, self.totals.get())) if self.totals and self.totals.exists() else {}
             for col, _, _ in self.spec.scored:
                 name = self.spec.serving_names[col]
                 pdf[name] = pdf[name].astype("float64")
-            out, state = score_frame(pdf, state, self.spec)
-            yield out
+            if last is not None:
+                yield with_totals(last, None)
+            totals = add_totals(pdf, totals, self.spec)
+            last, state = score_frame(pdf, state, self.spec)
         if state is not None:
+            yield with_totals(last, totals)
             self.state.update(tuple(state.get(f) for f in self.fields))
+            if self.totals:
+                self.totals.update(tuple(totals[n] for n in names))
 
     def close(self) -> None:
         pass
