@@ -2,8 +2,11 @@
 
 Markup says outright what some parts of a page are: article and main hold its text;
 menus, headers, footers, sidebars, forms, scripts and blocks that call themselves
-adverts, notices or comments don't. An article or main within a form or within a
-block that is dropped for its name only is text all the same. The rest is decided
+adverts, notices or comments don't; an article of such a name (a comment, an advert)
+goes too. A name that only says where a block stands (sidebar, menu, search) drops it outside
+an article, not within. An article or main within a form or within a block that is
+dropped for its name is text if it is the page's largest, and the only one for blocks
+called furniture. The rest is decided
 by repeats: a substring of ``REPEAT`` tokens that stands on two pages of the host or
 more is boilerplate, the tokens that such substrings cover are removed, and the
 unique runs stay; beside an article or main, those of ``REPEAT`` tokens or more.
@@ -48,25 +51,29 @@ _token = re.compile(
 _attr = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*+(?:=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?""", re.I)
 
 # What markup says about a part of a page.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
                    "strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("nav footer aside form head button menu dialog object canvas audio video".split())
-#: How a part is dropped: an article or main overrides what is dropped for its name or as a form.
-BY_NAME, OUTRIGHT = 1, 2
+#: How a part is dropped: for the name of its place (or as a form), outright, or for a name that furniture has.
+BY_PLACE, OUTRIGHT, BY_NAME = 1, 2, 4
 TEXT = frozenset("article main".split())
 TEXT_ROLES = frozenset("main article".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
-DROPPED_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|notice|banner|popup|modal|menu|nav|navbar|navigation"
-    r"|breadcrumbs?|sidebar|footer|comments?|disqus|share|sharing|social|related|newsletter|subscribe|login|search)(?:$|[\s_-])", re.I)
+_NAMED = r"(?:^|[\s_-])(?:%s)(?:$|[\s_-])"
+FURNITURE_NAME = re.compile(_NAMED % (
+    r"ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|notice|popup|comments?|disqus|share|sharing|related|newsletter"
+    r"|subscribe"), re.I)
+PLACE_NAME = re.compile(_NAMED % "banner|modal|menu|nav|navbar|navigation|breadcrumbs?|sidebar|footer|social|login|search", re.I)
 
 
 class Block:
-    __slots__ = ("text", "inside")
+    """``held``: the number of the dropped block that its article or main stands in, 0 for none; ``named``:
+    that block is called furniture."""
+    __slots__ = ("text", "inside", "held", "named")
 
-    def __init__(self, text: str, inside: bool):
-        self.text, self.inside = text, inside
+    def __init__(self, text: str, inside: bool, held: int = 0, named: bool = False):
+        self.text, self.inside, self.held, self.named = text, inside, held, named
 
 
 def _about(attrs: str) -> tuple[int, bool]:
@@ -75,7 +82,7 @@ def _about(attrs: str) -> tuple[int, bool]:
     for name, value in _attr.findall(attrs):
         value, name = value.strip("\"'"), name.lower()
         if name in ("class", "id"):
-            dropped |= BY_NAME * bool(DROPPED_NAME.search(value))
+            dropped |= BY_NAME * bool(FURNITURE_NAME.search(value)) | BY_PLACE * bool(PLACE_NAME.search(value))
         elif name == "role":
             text |= value.lower() in TEXT_ROLES
             dropped |= OUTRIGHT * (value.lower() in DROPPED_ROLES)
@@ -90,16 +97,18 @@ def blocks_of(page: str) -> list[Block]:
     """The blocks of a page that aren't dropped by markup; ``inside``: within article or main."""
     out: list[Block] = []
     parts: list[str] = []
-    stack: list[tuple[str, int, bool]] = []  # element, dropped, inside, as inherited
+    stack: list[tuple[str, int, bool, int, bool]] = []  # element, dropped, inside, held, named, as inherited
+    outside = (0, False, 0, False)
+    held_blocks = 0
 
     def close():
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                out.append(Block(text, inside))
+                out.append(Block(text, inside, held, named))
 
-    dropped, inside = 0, False
+    dropped, inside, held, named = outside
     at = 0
     for m in _token.finditer(page):
         if m.start() > at and not dropped:
@@ -113,29 +122,37 @@ def blocks_of(page: str) -> list[Block]:
         ends, attrs = (m["end"] or m["end2"]) == "/", m["attrs"] or ""
         if not ends and tag not in VOID:
             drop, text = _about(attrs) if attrs else (0, False)
+            if inside:
+                drop &= ~BY_PLACE
             inline = tag in INLINE
             if inline and not drop:
                 continue  # inline markup only matters if it is dropped
             close()
             if tag in ("p", "li", "option") and stack and stack[-1][0] == tag:
                 stack.pop()
-                dropped, inside = stack[-1][1:] if stack else (0, False)
+                dropped, inside, held, named = stack[-1][1:] if stack else outside
             text |= tag in TEXT
             # a header is furniture unless it stands in the article
-            drop |= BY_NAME * (tag == "form") | OUTRIGHT * ((tag in DROPPED and tag != "form") or (tag == "header" and not inside))
-            # the page's text as a whole isn't dropped for its class
+            drop |= BY_PLACE * (tag == "form") | OUTRIGHT * ((tag in DROPPED and tag != "form") or (tag == "header" and not inside))
+            # the page's text as a whole isn't dropped for its class, an article is if it is called furniture
             if text or tag in ("body", "html"):
-                drop = 0
-            # nor is an article or main for what its surroundings are called
-            kept = text and not inside and dropped == BY_NAME
-            stack.append((tag, 0 if kept else dropped | drop, inside or text))
-            dropped, inside = stack[-1][1:]
+                drop = drop & BY_NAME if tag == "article" else 0
+            if drop and not dropped:
+                held_blocks += 1
+            # an article or main may be text for all that its surroundings are called
+            kept = text and not drop and not inside and dropped and not dropped & OUTRIGHT
+            if kept:
+                now = (0, True, held, bool(dropped & BY_NAME))
+            else:
+                now = (dropped | drop, inside or text, held_blocks if drop and not dropped else held, named)
+            stack.append((tag, *now))
+            dropped, inside, held, named = now
         elif ends:
             if any(s[0] == tag for s in stack):
                 close()
                 while stack.pop()[0] != tag:
                     pass
-                dropped, inside = stack[-1][1:] if stack else (0, False)
+                dropped, inside, held, named = stack[-1][1:] if stack else outside
             elif tag not in INLINE:
                 close()
         elif tag not in INLINE:
@@ -143,7 +160,20 @@ def blocks_of(page: str) -> list[Block]:
     if at < len(page) and not dropped:
         parts.append(page[at:])
     close()
-    return out
+    return _settled(out)
+
+
+def _settled(blocks: list[Block]) -> list[Block]:
+    """Without the articles in dropped blocks that aren't the page's text (see the module's text)."""
+    if not any(b.held for b in blocks):
+        return blocks
+    size: dict[int, int] = {}
+    for b in blocks:
+        if b.inside:
+            size[b.held] = size.get(b.held, 0) + len(b.text)
+    most = max(size.values())
+    kept = {h for h in size if h and size[h] == most}
+    return [b for b in blocks if not b.held or (b.held in kept and (not b.named or len(size) == 1))]
 
 
 def repeated(tokens: np.ndarray, page: np.ndarray, depth: int = REPEAT, copies: np.ndarray | None = None) -> np.ndarray:

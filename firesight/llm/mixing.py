@@ -62,19 +62,23 @@ def _least_alpha(shares: DataFrame, holds) -> float:
 
 
 def temperature(sources: DataFrame, total: int, budget: int, entropy: float = ENTROPY,
-                max_repeats: float | None = MAX_REPEATS) -> float:
+                max_repeats: float | None = MAX_REPEATS, cover: bool = False) -> float:
     """The exponent: as near to the target entropy as the repetition limit allows.
 
     Entropy falls and the rarest source's repeats fall as alpha grows, so the exponent is the
-    larger of the one that meets the entropy and the least one that meets the limit.
+    larger of the one that meets the entropy and the least one that meets the limit. With ``cover`` the
+    budget follows the exponent: the largest source is used once, the rarest (largest / least) ** (1 - alpha) times.
     """
     shares = sources.select((F.col("tokens") / F.lit(total)).alias("p"))
+    largest = shares.agg(F.max("p")).first()[0] if cover else None
     goal = entropy * math.log(max(1, sources.count()))
 
     def entropy_met(a, z, zl, least):  # H <= goal
         return math.log(z) - a * zl / z <= goal
 
     def repeats_met(a, z, zl, least):
+        if cover:
+            return (largest / least) ** (1 - a) <= max_repeats
         return least ** (a - 1) / z * budget / total <= max_repeats
 
     alpha = _least_alpha(shares, entropy_met)
@@ -115,7 +119,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     shape = [F.col("_id").alias(id_col), "source", "pass", "block", "n_tokens", "start", "key"]
     if not total:
         return rows.filter("false").withColumns({c: F.lit(0).cast("long") for c in ("pass", "block", "start")}).select(*shape)
-    alpha = temperature(sources, total, budget or total, entropy, None if cover else max_repeats)
+    alpha = temperature(sources, total, budget or total, entropy, max_repeats, cover)
     weighed = weights(sources, total, alpha)
     if cover:
         budget = math.ceil(weighed.agg(F.max(F.col("tokens") / F.col("weight"))).first()[0])
@@ -166,20 +170,28 @@ def op8_mixing(spark, sf_dir):
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
                     wordless: bool = False, **options) -> DataFrame:
-    """``docs`` as mixed: each row as often as it was drawn, with its own columns.
+    """``docs`` as mixed: each row as often as it was drawn, with its own columns. Equal rows come as often
+    as was drawn for them together. With ``cover`` (an option of ``mix``) every document comes, and none more
+    than ``max_repeats`` times but for rounding.
 
     ``wordless``: the rows of sources without any words, which have no share in the mix, are passed through once.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     seed = options.get("seed", SEED)
-    # identical rows share a key; the rows of a key are as many as were drawn for it
-    drawn = mix(docs, id_col, text, source, **options).groupBy("key").agg(F.count("*").alias("_drawn"))
-    own = docs.select(whole_rows(docs).alias("_row"), F.md5(F.concat_ws(
+    # rows of equal id, text and source share a key: of R such rows that were drawn D times, each comes D // R
+    # times, and the first D % R of them, by their other columns, once more
+    drawn = mix(docs, id_col, text, source, **options).groupBy("key", "source").agg(F.count("*").alias("_drawn"))
+    own = docs.select(whole_rows(docs).alias("_row"), F.col(source).alias("_source"), F.md5(F.concat_ws(
         ":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(t))).alias("_key"))
-    each = own.select("_key").groupBy("_key").agg(F.count("*").alias("_rows"))
-    share = drawn.join(each, F.col("key") == F.col("_key")).select(
-        "key", F.ceil(F.col("_drawn") / F.col("_rows")).cast("int").alias("_times"))
-    mixed = own.join(share, F.col("_key") == F.col("key")).select(
+    each = own.select("_key", "_source").groupBy("_key", "_source").agg(F.count("*").alias("_rows"))
+    same = (F.col("key") == F.col("_key")) & F.col("source").eqNullSafe(F.col("_source"))
+    share = drawn.join(each, same).select("key", "source", F.floor(F.col("_drawn") / F.col("_rows")).cast("int").alias("_times"),
+                                          (F.col("_drawn") % F.col("_rows")).alias("_more"))
+    met = own.join(share, same)
+    place = F.row_number().over(Window.partitionBy("_key", "_source").orderBy(F.xxhash64("_row")))
+    # only rows that are equal and unevenly drawn are numbered
+    uneven = met.filter("_more > 0").withColumn("_times", F.col("_times") + (place <= F.col("_more")).cast("int"))
+    mixed = met.filter("_more = 0").unionByName(uneven).filter("_times > 0").select(
         "_row", F.explode(F.array_repeat(F.lit(1), F.col("_times"))).alias("_copy")).select("_row.*")
     if not wordless:
         return mixed

@@ -141,6 +141,32 @@ def test_cover_keeps_every_document(spark, odd_docs):
     assert mixing.mixed_documents(odd_docs, cover=True).columns == odd_docs.columns
 
 
+def test_mixed_rows_come_as_often_as_drawn(spark):
+    """Equal ids and texts in several sources, equal rows, and rows that differ in other columns only."""
+    from collections import Counter
+    rows = [(1, "same text of both", "A", 0), (1, "same text of both", "B", 0), (None, None, "A", 1), (2, "x y z", None, 1)]
+    rows += [(7, "copied row here", "B", i % 2) for i in range(5)]
+    rows += [(100 + i, f"w{i} more words in the large source", "A", i) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int").repartition(3)
+    options = {"budget": 500, "entropy": 0.99, "max_repeats": None}
+    want = Counter((r.doc_id, r.source) for r in mixing.mix(docs, **options).collect())
+    out = mixing.mixed_documents(docs, **options).collect()
+    assert Counter((r.doc_id, r.source) for r in out) == want and want[7, "B"] % 5
+    copies = Counter((r.doc_id, r.extra) for r in out if r.doc_id == 7)
+    assert abs(copies[7, 0] / 3 - copies[7, 1] / 2) <= 1
+
+
+def test_cover_keeps_the_repetition_limit(spark):
+    """A source of 2,000 documents beside sources of one: no document comes more than four times."""
+    from collections import Counter
+    rows = [(i, f"w{i} and five words more here", "large", None) for i in range(2000)]
+    rows += [(5000 + i, "a few words", f"small{i}", None) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int")
+    times = Counter(r.doc_id for r in mixing.mixed_documents(docs, entropy=0.9, cover=True).collect())
+    assert len(times) == len(rows) and max(times.values()) <= 4 and times[5000] > 1
+    assert sum(times.values()) < 2100
+
+
 def test_repeated_substrings_against_brute_force():
     rng = random.Random(6)
     for _ in range(30):
@@ -266,6 +292,64 @@ def test_html_blocks_beside_an_article(spark):
     assert html.main_texts(pages[2:]) == [f"{body} one", f"{body} two", "", "x"]
 
 
+def test_html_articles_that_are_furniture():
+    body = "<article><p>The text of the page</p></article>"
+    comment = "<article class='comment'>First!</article>"
+    pages = {f"{body}<section class='comments'>{comment}</section>": "The text of the page",
+             f"{body}<section class='comments'><article>A much longer reader comment than the page's own text</article></section>":
+             "The text of the page",
+             f"<article>Own text{comment}<article class='ad'>Buy</article> goes on</article>": "Own text goes on",
+             f"{body}<div class='related'><article>Another page</article></div>": "The text of the page",
+             f"{body}<div class='right-sidebar'><article>Card</article></div><article class='advert'>Buy</article>": "The text of the page",
+             "<main><div class='social policy'>About social policy</div><div class='share'>Tweet</div></main>": "About social policy",
+             "<div class='content related'><article>Only text</article></div>": "Only text",
+             "<div class='has-sidebar'><article>One post</article><article>Two posts</article></div>": "One post Two posts",
+             "<p>foo<img src=x>bar</p>": "foobar"}
+    assert html.main_texts(list(pages)) == list(pages.values())
+
+
+def plain_text(page):
+    """An extractor of its own kind: a tree by the standard parser, then the text of its article without furniture."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.path, self.blocks = [], []
+
+        def handle_starttag(self, tag, attrs):
+            if tag not in ("br", "img", "hr", "meta", "link", "input"):
+                self.path.append((tag, " ".join(v or "" for k, v in attrs if k in ("class", "id", "role"))))
+            if tag not in ("b", "i", "a", "em", "strong", "span", "img"):
+                self.blocks.append("")
+
+        def handle_endtag(self, tag):
+            while self.path and any(t == tag for t, _ in self.path) and self.path.pop()[0] != tag:
+                pass
+            if tag not in ("b", "i", "a", "em", "strong", "span"):
+                self.blocks.append("")
+
+        def handle_data(self, data):
+            tags = [t for t, _ in self.path]
+            bad = {"nav", "footer", "aside", "form", "script", "style", "button", "template", "noscript", "title"} & set(tags)
+            about = " ".join(c for _, c in self.path).lower().split()
+            named = {"comment", "comments", "ad", "advert", "related", "share", "newsletter", "cookie", "notice"} & set(about)
+            if "article" in tags and not bad and not named:
+                if not self.blocks:
+                    self.blocks.append("")
+                self.blocks[-1] += data
+
+    reader = Reader()
+    reader.feed(page or "")
+    return " ".join(t for b in reader.blocks for t in [" ".join(b.split())] if t)
+
+
+def test_html_equals_an_extractor_of_another_kind(spark):
+    rows = spark.read.parquet(f"{SMALL}/pages.parquet").collect()
+    got = {r.page_id: r.text for r in html.op9_html(spark, SMALL).collect()}
+    assert len(rows) > 20 and got == {r.page_id: plain_text(r.html) for r in rows}
+
+
 def test_html_copies_keep_their_text(spark):
     rng = random.Random(11)
     text, footer = words(rng, 400, 100000), words(rng, 10, 100000)
