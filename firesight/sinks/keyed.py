@@ -257,14 +257,14 @@ def maintain(spark: SparkSession, target: str, keys: Sequence[str], upto: int |
     at = known[-1] if known else Live()
     batches = [b for b in _batches(spark, target, at.covered) if upto is None or b <= upto]
     new = Live(at.version + 1, max([at.covered, *batches]), at.base, list(at.runs))
-    if batches:
-        rows = _newer(spark, target, keys, Live(), batches)
-        new.runs.append(_write_run(spark, _newest(rows) if keys else rows, target, 1, batches[-1]))
-    held = sum(p.rows for p in new.runs)
-    if new.runs and (full or held >= share * (at.base.rows if at.base else 0)):
-        most = held + (at.base.rows if at.base else 0)
-        new.base = _write_base(spark, _table(spark, target, keys, new, []), target, new.covered, most, bucket_rows)
-        new.runs = []
+    fresh = _newer(spark, target, keys, Live(), batches)
+    old = at.base.rows if at.base else 0
+    held = sum(p.rows for p in at.runs) + (fresh.count() if batches else 0)  # from the files' footers
+    if held and (full or held >= share * old):
+        merged = _table(spark, target, keys, at, batches)
+        new.base, new.runs = _write_base(spark, merged, target, new.covered, held + old, bucket_rows), []
+    elif batches:
+        new.runs.append(_write_run(spark, _newest(fresh) if keys else fresh, target, 1, batches[-1]))
     level = 1
     while (same := [p for p in new.runs if p.level == level]) and level < 64:
         if len(same) >= fan:
