@@ -536,5 +536,29 @@ ORACLES["stream_node_status"] = (f"{with_(MILLIS, CLEAN, _enriched_cte(), STATUS
 ORACLES["stream_window_stats"] = f"{with_(MILLIS)} {_window_sql('1 minute')}"
 
 
+ORACLES["stream_dedup"] = ORACLES["stream_enriched"]
+# part p admits a row unless its window ends by the newest time of the parts before it, less two minutes
+ADMITTED = """
+sent AS (SELECT *, CAST(floor((reading_index + CASE WHEN reading_index % 20 = 7 THEN n // 2 WHEN reading_index % 20 = 9 THEN 5 ELSE 0 END)
+  * 8 / (3 * n)) AS INTEGER) AS part FROM (SELECT *, count(*) OVER () AS n FROM readings_sent)),
+marks AS (SELECT part, max(max(ingest_ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  - INTERVAL '2 minutes' AS mark FROM sent GROUP BY part),
+readings AS (SELECT s.* EXCLUDE (n, part) FROM sent s JOIN marks m ON s.part = m.part
+  WHERE m.mark IS NULL OR time_bucket(INTERVAL '1 minute', s.ingest_ts) + INTERVAL '1 minute' > m.mark)"""
+ORACLES["stream_late_rows"] = (f"{with_(MILLIS.replace('readings AS (', 'readings_sent AS (', 1), ADMITTED)} {_window_sql('1 minute')}")
+ORACLES["stream_concurrent"] = f"""{with_(MILLIS, CLEAN)}
+SELECT 'raw_readings' AS table_name, count(*) AS row_count FROM readings
+UNION ALL SELECT 'rejects', 0
+UNION ALL SELECT 'processed_readings', count(*) FROM clean
+UNION ALL SELECT 'window_stats', count(*) FROM (SELECT DISTINCT node_id, time_bucket(INTERVAL '1 minute', ingest_ts)
+  FROM readings WHERE ingest_ts IS NOT NULL)
+UNION ALL SELECT 'node_status', count(DISTINCT node_id) FROM clean
+UNION ALL SELECT 'cumulative', count(DISTINCT node_id) FROM clean"""
+ORACLES["csv_readings"] = (f"{BASE} SELECT " + RAW_COLS.replace('"Fire"', "CASE WHEN node_id <> 'nodo_3' THEN \"Fire\" END AS \"Fire\"")
+                           .replace(", reading_index, ingest_ts", "") + " FROM readings")
+ORACLES["snapshot_report"] = ORACLES["mirror_report"] = ORACLES["baseline_percentiles"]
+ORACLES["retention_purged"] = ORACLES["retention_filter"]
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -552,13 +552,17 @@ def _streamed(spark, sf, name, which):
     """One stored table of the streams, after they have read the readings in parts by range of index
     (null first). A part is one micro-batch of about STREAM_ROWS messages at most (or of a quarter of few
     messages), in files of FILE_ROWS at most; the streams are stopped and started again after each."""
-    root = unique_shared_path(spark, "stream")
     raw = _iso_readings(_raw(spark, sf))
     n_parts = max(STREAM_FILES, -(-raw.count() // STREAM_ROWS))
+    parts = envelope.encode(raw, keep=["reading_index"]).repartitionByRange(n_parts, F.col("reading_index").asc_nulls_first())
+    return _sent(spark, parts.select("value", F.spark_partition_id().alias("part")), n_parts, name, which)
+
+
+def _sent(spark, parts, n_parts, name, which, **options):
+    """The stored table after the messages of each part (``value``, ``part``) were sent as a micro-batch."""
+    root = unique_shared_path(spark, "stream")
     # written by part once, so that sending a part reads that part only
-    (envelope.encode(raw, keep=["reading_index"]).repartitionByRange(n_parts, F.col("reading_index").asc_nulls_first())
-     .select("value", F.spark_partition_id().alias("part"))
-     .write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("part").parquet(f"{root}/parts"))
+    parts.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("part").parquet(f"{root}/parts")
     msgs = spark.read.schema("value string, part int").parquet(f"{root}/parts")
     for p in range(n_parts):
         (msgs.filter(F.col("part") == p).select("value").write.option("maxRecordsPerFile", FILE_ROWS).mode("append")
@@ -566,7 +570,7 @@ def _streamed(spark, sf, name, which):
         start = {"raw": jobs.start_raw, "enrichment": jobs.start_enrichment, "windows": jobs.start_windows}[which]
         # all files of the part are one micro-batch: rows within it are ordered there, parts come in order
         jobs.wait_for([start(spark, jobs.read_stream(spark, f"{root}/messages", STREAM_ROWS), f"{root}/tables",
-                             checkpoint=f"{root}/checkpoint", trigger={"availableNow": True})])
+                             checkpoint=f"{root}/checkpoint", trigger={"availableNow": True}, **options)])
     return jobs.read_tables(spark, f"{root}/tables", [name])[name]
 
 
@@ -591,6 +595,91 @@ def q_stream_window_stats(spark, sf):
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
+#: Delay within which a repeated message is told.
+DEDUP_DELAY = "2 days"
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf):
+    """Every third message comes again a little later, partly in the next micro-batch: scores are as without it."""
+    raw = _iso_readings(_raw(spark, sf)).withColumn("_pos", F.col("reading_index"))
+    again = raw.filter(F.col("reading_index") % 3 == 0).withColumn("_pos", F.col("reading_index") + 41)
+    n = raw.count()
+    parts = max(STREAM_FILES, -(-n // STREAM_ROWS))
+    part = F.least(F.floor(F.col("_pos") * parts / n), F.lit(parts - 1)).cast("int")
+    msgs = envelope.encode(raw.unionByName(again).withColumn("part", part).drop("_pos"), keep=["part"])
+    return _sent(spark, msgs.select("value", "part"), parts, "processed_readings", "enrichment", dedup=DEDUP_DELAY)
+
+
+@register("stream_late_rows")
+def q_stream_late_rows(spark, sf):
+    """Windows over messages of which some come half a table late and some a few places: what the watermark
+    admits is counted. A part's watermark is the newest time of the parts before it, less the delay."""
+    raw = _iso_readings(_raw(spark, sf))
+    n = raw.count()
+    i = F.col("reading_index")
+    pos = i + F.when(i % 20 == 7, F.lit(n // 2)).when(i % 20 == 9, F.lit(5)).otherwise(F.lit(0))
+    part = F.floor(pos * 8 / (3 * n)).cast("int")
+    msgs = envelope.encode(raw.withColumn("part", part), keep=["part"])
+    out = _sent(spark, msgs.select("value", "part"), 4, "window_stats", "windows")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@register("stream_concurrent")
+def q_stream_concurrent(spark, sf):
+    """All three streams at once on one source: the rows of what each stored."""
+    root = unique_shared_path(spark, "streams")
+    msgs = envelope.encode(_iso_readings(_raw(spark, sf))).select("value")
+    msgs.write.option("maxRecordsPerFile", FILE_ROWS).text(f"{root}/messages")
+    jobs.run_all(spark, f"{root}/messages", f"{root}/tables", STREAM_ROWS, {"availableNow": True},
+                 checkpoint_root=f"{root}/checkpoints")
+    return T.audit_counts(jobs.read_tables(spark, f"{root}/tables", [
+        "raw_readings", "rejects", "processed_readings", "window_stats", "node_status", "cumulative"]))
+
+
+@register("csv_readings")
+def q_csv_readings(spark, sf):
+    """The readings as acquisition files: one folder per node, columns in another order for each, one without labels."""
+    root = unique_shared_path(spark, "csv")
+    raw = _raw(spark, sf).withColumn("_nth", F.substring("node_id", 6, 9).cast("int"))
+    for nth in range(1, 5):
+        columns = [*SENSOR_COLUMNS, "Fire"]
+        turned = columns[nth:] + columns[:nth]
+        mine = raw.filter(F.col("_nth") == nth).select(*[C.q(c) for c in turned if c != "Fire" or nth != 3])
+        mine.write.option("header", "true").csv(f"{root}/nodo_{nth}")
+    return csvfiles.read_csv_readings(spark, [f"{root}/nodo_{nth}" for nth in range(1, 5)])
+
+
+@register("snapshot_report")
+def q_snapshot_report(spark, sf):
+    """A snapshot that replaces an older one."""
+    path = unique_shared_path(spark, "snapshot") + "/report"
+    report = B.baseline_percentiles(_raw(spark, sf))
+    T.write_snapshot(report.limit(0), path)
+    T.write_snapshot(report, path)
+    return spark.read.parquet(path)
+
+
+@register("mirror_report")
+def q_mirror_report(spark, sf):
+    """The second copy of a report, read back."""
+    path = unique_shared_path(spark, "mirror")
+    report = B.baseline_percentiles(_raw(spark, sf))
+    T.write_mirror(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
+@register("retention_purged")
+def q_retention_purged(spark, sf):
+    """Readings stored by day, days before the period removed, and what is left of the period read."""
+    path = unique_shared_path(spark, "dated")
+    raw = _raw(spark, sf)
+    T.write_dated(raw, path)
+    newest = raw.select(F.max("ingest_ts")).first()[0]
+    T.purge(spark, path, RETENTION["raw"], newest)
+    return T.read_retained(spark, path, RETENTION["raw"], newest).select(*raw.columns)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 

@@ -4,6 +4,7 @@
 ``target/runs/...``            several batches merged into one sorted table, in levels
 ``target/base/...``            everything older, bucketed by key
 ``target/log/v=N``             which of these are live, one small file per version
+``target/schema``              no rows: the columns, for a table that has none yet
 
 A reader takes the newest version of the log and the batches after it. The newest row of each key among
 batches and runs is found by one exchange of these rows alone; the base is bucketed by the key, so it is
@@ -64,18 +65,24 @@ class Live:
         return {p.path for p in (*self.runs, *([self.base] if self.base else []))}
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    fs, hadoop = _folder(spark, path)
+    if not fs.rename(hadoop, _folder(spark, to)[1]):
+        raise OSError(f"can't move {path} to {to}")
+
+
 def _folder(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def names(spark: SparkSession, path: str) -> list[str]:
     """Entries of a folder, none if it doesn't exist."""
     fs, hadoop = _folder(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop = _folder(spark, path)
     fs.delete(hadoop, True)
 
@@ -127,8 +134,10 @@ def write_batch(df: DataFrame, target: str, batch_id: int, keys: Sequence[str] =
     """
     if keys:
         df = latest_by_order(df, list(keys), F.lit(0).cast("decimal(38,0)") if order is None else order)
+    df = df.withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
+    if not names(df.sparkSession, f"{target}/schema"):
+        df.limit(0).write.mode("overwrite").parquet(f"{target}/schema")
     (df.hint("rebalance")
-       .withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(BATCH)
@@ -145,10 +154,16 @@ def store(df: DataFrame, target: str, batch_id: int, keys: Sequence[str] = (), o
 
 # Reading ------------------------------------------------------------------------
 def _batches(spark: SparkSession, target: str, after: int) -> list[int]:
-    return sorted(b for b in (int(n.split("=")[1]) for n in _names(spark, f"{target}/deltas") if n.startswith(f"{BATCH}="))
+    return sorted(b for b in (int(n.split("=")[1]) for n in names(spark, f"{target}/deltas") if n.startswith(f"{BATCH}="))
                   if b > after)
 
 
+def batches_of(spark: SparkSession, target: str) -> int:
+    """The number after the newest batch of a table, for writers that number their batches themselves."""
+    known = _batches(spark, target, -1)
+    return max([live(spark, target).covered, *known]) + 1
+
+
 def _deltas(spark: SparkSession, target: str, batches: list[int]) -> DataFrame | None:
     if not batches:
         return None
@@ -212,7 +227,7 @@ def read_upserted(spark: SparkSession, target: str, keys: Sequence[str]) -> Data
     at = live(spark, target)
     batches = _batches(spark, target, at.covered)
     if at.base is None and not at.runs and not batches:
-        return spark.read.parquet(f"{target}/deltas")
+        return spark.read.parquet(f"{target}/schema").drop(BATCH)
     return _table(spark, target, keys, at, batches).drop(KEY, BATCH)
 
 
@@ -224,7 +239,7 @@ def read_batches(spark: SparkSession, target: str) -> DataFrame:
     if deltas is not None:
         parts.append(deltas)
     if not parts:
-        return spark.read.parquet(f"{target}/deltas")
+        return spark.read.parquet(f"{target}/schema")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.drop(KEY) for p in parts])
 
 
@@ -281,16 +296,16 @@ def _clean(spark: SparkSession, target: str, kept: list[Live]) -> None:
     """Delete what only older versions name: a table has one writer, and readers may be one version late."""
     paths = set().union(*(k.paths for k in kept))
     for kind in ("runs", "base"):
-        for name in _names(spark, f"{target}/{kind}"):
+        for name in names(spark, f"{target}/{kind}"):
             if f"{target}/{kind}/{name}" not in paths:
                 spark.sql(f"DROP TABLE IF EXISTS firesight_base_{name}")
-                _delete(spark, f"{target}/{kind}/{name}")
-    for name in _names(spark, f"{target}/deltas"):
+                delete(spark, f"{target}/{kind}/{name}")
+    for name in names(spark, f"{target}/deltas"):
         if name.startswith(f"{BATCH}=") and int(name.split("=")[1]) <= kept[0].covered:
-            _delete(spark, f"{target}/deltas/{name}")
-    for name in _names(spark, f"{target}/log"):
+            delete(spark, f"{target}/deltas/{name}")
+    for name in names(spark, f"{target}/log"):
         if name.startswith("v=") and int(name.split("=")[1]) < kept[0].version:
-            _delete(spark, f"{target}/log/{name}")
+            delete(spark, f"{target}/log/{name}")
 
 
 def compact(spark: SparkSession, target: str, keys: Sequence[str]) -> int:

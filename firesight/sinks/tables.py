@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import logging
+import re
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firesight.functions.columns import nan_to_null, q
 from firesight.operators.status import latest_by_key
-from firesight.sinks.keyed import (BATCH, EVERY, compact, maintain, read_batches, read_upserted,  # noqa: F401
-                                   store, write_batch)
+from firesight.sinks.keyed import (BATCH, EVERY, batches_of, compact, delete, maintain, move, names,  # noqa: F401
+                                   read_batches, read_upserted, store, write_batch)
 from firesight.spec import DEFAULT_SPEC, SENSOR_COLUMNS, SensorSpec
 
 log = logging.getLogger(__name__)
@@ -25,8 +27,20 @@ def upsert_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str])
 
 # S8 / S9 ----------------------------------------------------------------------
 def write_snapshot(df: DataFrame, path: str) -> None:
-    """Replace the snapshot at ``path`` with ``df``."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace the snapshot at ``path`` with ``df``.
+
+    The rows are written beside it first (a name that readers of the parent folder skip) and moved into place when
+    they are complete, so that a failure while writing leaves the old snapshot as it was and nobody sees a half one.
+    """
+    spark = df.sparkSession
+    parent, _, name = path.rstrip("/").rpartition("/")
+    mark = uuid.uuid4().hex[:12]
+    new, old = f"{parent}/.{name}-{mark}-new", f"{parent}/.{name}-{mark}-old"
+    df.write.parquet(new)
+    if name in names(spark, parent):
+        move(spark, path, old)
+    move(spark, new, path)
+    delete(spark, old)
 
 
 def write_mirror(df: DataFrame, path: str, fmt: str = "json") -> bool:
@@ -66,6 +80,33 @@ def apply_retention(df: DataFrame, period: str, as_of=None, ts_col: str = "inges
     return df.filter(F.col(ts_col) >= end - F.expr(f"INTERVAL {period}"))
 
 
+DATE = "date"
+
+
+def write_dated(df: DataFrame, path: str, ts_col: str = "ingest_ts") -> None:
+    """Append to a table partitioned by the date of ``ts_col``, so that old days can go as folders."""
+    dated = df.withColumn(DATE, F.to_date(ts_col))
+    dated.hint("rebalance", DATE).write.mode("append").partitionBy(DATE).parquet(path)
+
+
+def read_retained(spark: SparkSession, path: str, period: str, as_of, ts_col: str = "ingest_ts") -> DataFrame:
+    """The rows of a dated table within ``period`` before ``as_of`` (a datetime): only the days inside are read."""
+    start = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {period}")
+    rows = spark.read.parquet(path)
+    return rows.filter((F.col(DATE) >= F.to_date(start)) & (F.col(ts_col) >= start)).drop(DATE)
+
+
+def purge(spark: SparkSession, path: str, period: str, as_of) -> list[str]:
+    """Remove the days of a dated table that lie wholly before ``as_of - period``; returns them. Other days'
+    files aren't touched. Rows without a time (the default partition) stay."""
+    first = spark.range(1).select(F.to_date(F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {period}"))).first()[0]
+    days = [n.partition("=")[2] for n in names(spark, path) if n.startswith(f"{DATE}=")]
+    gone = sorted(d for d in days if re.fullmatch(r"\d{4}-\d\d-\d\d", d) and d < first.isoformat())
+    for d in gone:
+        delete(spark, f"{path}/{DATE}={d}")
+    return gone
+
+
 # S12 --------------------------------------------------------------------------
 def dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop repeated keys (batch). Streams use ``dropDuplicatesWithinWatermark``."""

@@ -18,6 +18,8 @@ Each query has its own checkpoint under the shared checkpoint folder.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +84,19 @@ def enrich_stream(decoded: DataFrame, spec: SensorSpec = DEFAULT_SPEC) -> DataFr
     return finish(named, F.col(PREV_FIRE), spec).select(*cleaned.columns, *enrich_columns(spec), TOTALS)
 
 
+# T9 ---------------------------------------------------------------------------
+def deduplicated(decoded: DataFrame, delay: str) -> DataFrame:
+    """Readings without repeats of a message (same node, index and time) within ``delay``, for use before anything
+    that counts. What was seen is state by event time and goes once the watermark has passed it; a reading that
+    comes later than the watermark is dropped, as a repeat of it couldn't be told. Readings without a
+    readable time have no place in event time and pass unchecked.
+    """
+    timed = decoded.withColumn("_event", parse_ts(F.col("ingest_ts")).cast("timestamp"))
+    seen = (timed.filter("_event is not null").withWatermark("_event", delay)
+            .dropDuplicatesWithinWatermark([*READING_KEY, "ingest_ts"]))
+    return seen.drop("_event").unionByName(timed.filter("_event is null").drop("_event"))
+
+
 def running_totals(batch: DataFrame) -> DataFrame:
     """A2: the running totals of the batch's nodes: a projection of each node's last row."""
     cols = [F.col(f"{TOTALS}.total_processed").alias("total_processed")]
@@ -147,11 +162,14 @@ def start_raw(spark: SparkSession, messages: DataFrame, root: str, checkpoint: s
 
 
 def start_enrichment(spark: SparkSession, messages: DataFrame, root: str, checkpoint: str | None = None,
-                     trigger: dict | None = None, spec: SensorSpec = DEFAULT_SPEC, every: int = T.EVERY):
-    """Start the enrichment query; returns the StreamingQuery. Its tables are merged after ``every`` batches."""
+                     trigger: dict | None = None, spec: SensorSpec = DEFAULT_SPEC, every: int = T.EVERY,
+                     dedup: str | None = None):
+    """Start the enrichment query; returns the StreamingQuery. Its tables are merged after ``every`` batches.
+    ``dedup``: a delay within which repeated messages are dropped before they are scored or counted."""
     configure_state_store(spark)
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/streams/enrichment"
-    enriched = enrich_stream(decode(messages, spec), spec)
+    decoded = decode(messages, spec)
+    enriched = enrich_stream(deduplicated(decoded, dedup) if dedup else decoded, spec)
     return (enriched.writeStream
             .foreachBatch(fan_out(root, spec, every))
             .option("checkpointLocation", checkpoint)
@@ -223,6 +241,27 @@ def wait_for(running: list) -> list:
     return running
 
 
+# T2 ---------------------------------------------------------------------------
+PROGRESS = "query string, batch long, input_rows long, late_rows long, watermark string"
+
+
+def store_progress(spark: SparkSession, queries: dict, root: str) -> None:
+    """What each query's latest batches read and what its watermark dropped (rows of its state operators), as
+    keyed table ``progress``. Spark keeps a bounded number of progress events, so call it in between on long runs;
+    a batch that is stored again replaces itself. A query may report a batch twice; the last report counts."""
+    rows = [(name, p["batchId"], p["numInputRows"], sum(o["numRowsDroppedByWatermark"] for o in p["stateOperators"]),
+             (p.get("eventTime") or {}).get("watermark"))
+            for name, query in queries.items() for p in map(_plain, query.recentProgress)]
+    if rows:
+        frame = spark.createDataFrame(rows, PROGRESS)
+        known = T.batches_of(spark, f"{root}/progress")
+        T.store(frame, f"{root}/progress", known, ["query", "batch"], F.col("input_rows").cast("decimal(38,0)"))
+
+
+def _plain(progress) -> dict:
+    return progress if isinstance(progress, dict) else json.loads(progress.json)
+
+
 def read_tables(spark: SparkSession, root: str, names=None) -> dict[str, DataFrame]:
     """Current state of the stream outputs (merge-on-read of the keyed tables)."""
     def keyed(name, keys):
@@ -241,5 +280,6 @@ def read_tables(spark: SparkSession, root: str, names=None) -> dict[str, DataFra
         "node_status": keyed("node_status", NODE_KEY),
         "window_stats": keyed("window_stats", WINDOW_KEY),
         "cumulative": keyed("cumulative", NODE_KEY),
+        "progress": keyed("progress", ["query", "batch"]),
     }
     return {n: readers[n]() for n in (names or readers)}

@@ -132,3 +132,44 @@ def test_store_merges_by_itself(spark, workdir):
     K.store(batch(spark, rows), target, 6, KEY, F.col("x"), every=3)  # a replay
     K.write_batch(batch(spark, [(1, "a", -5, None)]), target, 4, KEY)  # a late replay of a merged batch is not read
     assert state(spark, target) == want
+
+
+def test_a_table_without_rows_has_its_columns(spark, workdir):
+    K.write_batch(batch(spark, []), f"{workdir}/t", 0, KEY)
+    K.write_batch(batch(spark, []), f"{workdir}/u", 0)
+    assert K.read_upserted(spark, f"{workdir}/t", KEY).columns == ["k", "n", "x", "t (x)"]
+    assert K.read_batches(spark, f"{workdir}/u").count() == 0
+    K.maintain(spark, f"{workdir}/t", KEY)
+    assert state(spark, f"{workdir}/t") == {}
+
+
+def test_a_failed_snapshot_leaves_the_old_one(spark, workdir):
+    from firesight.sinks import tables as T
+    path = f"{workdir}/out/report"
+    T.write_snapshot(spark.range(5), path)
+    broken = spark.range(100).withColumn("id", F.expr("if(id = 77, raise_error('no'), id)"))
+    with pytest.raises(Exception, match="no"):
+        T.write_snapshot(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    T.write_snapshot(spark.range(7), path)
+    assert spark.read.parquet(path).count() == 7
+    assert [n for n in os.listdir(f"{workdir}/out") if n.endswith("-old")] == []
+
+
+def test_retention_reads_and_keeps_only_the_days_inside(spark, workdir):
+    import datetime as dt
+    from firesight.sinks import tables as T
+    path, end = f"{workdir}/dated", dt.datetime(2024, 1, 20, 12)
+    rows = [(i, end - dt.timedelta(hours=6 * i)) for i in range(60)] + [(99, None)]
+    T.write_dated(spark.createDataFrame(rows, "x long, ingest_ts timestamp_ntz"), path)
+    kept = {i for i, t in rows if t is not None and t >= end - dt.timedelta(days=3)}
+    df = T.read_retained(spark, path, "3 days", end)
+    assert {r.x for r in df.collect()} == kept and df.columns == ["x", "ingest_ts"]
+    plan = plan_of(df)  # days outside aren't listed among the partitions to read
+    assert "PartitionFilters: [isnotnull(date" in plan and ">= 2024-01-17" in plan
+    before = {f for d, _, fs in os.walk(path) for f in (f"{d}/{x}" for x in fs) if "date=2024-01-1" in d or "date=2024-01-2" in d}
+    gone = T.purge(spark, path, "3 days", end)
+    assert gone and max(gone) == "2024-01-16" and {r.x for r in T.read_retained(spark, path, "3 days", end).collect()} == kept
+    left = {f for d, _, fs in os.walk(path) for f in (f"{d}/{x}" for x in fs)}
+    assert {f for f in before if "2024-01-17" <= f.split("date=")[1][:10]} <= left  # later files untouched
+    assert spark.read.parquet(path).filter("x = 99").count() == 1 and T.purge(spark, path, "3 days", end) == []

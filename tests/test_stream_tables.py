@@ -84,3 +84,44 @@ def test_totals_add_up_over_pieces():
     out = P.with_totals(one.copy(), totals)
     assert out["_totals_total_processed"].isna().tolist() == [True, True, False] and out["_totals_sum_co"].iloc[2] == 9.0
     assert P.with_totals(one.copy(), None)["_totals_sum_co"].isna().all()
+
+
+
+
+@pytest.mark.slow
+def test_repeated_messages_leave_scores_and_counters_unchanged(spark, workdir):
+    """Repeats within a file and in a later one; a message without a time passes unchecked."""
+    lines = messages(spark, 0, 90)
+    untimed = json.dumps({"node_id": "nodo_1", "reading_index": 5000, "CO": 1.0, "Gas (Ohm)": 5.0, "ingest_ts": "junk"})
+    tables = []
+    for n, (first, second) in enumerate(((lines[:60], lines[60:]),
+                                         (lines[:60] + lines[:30], lines[20:60] + lines[60:] + [untimed] + lines[80:]))):
+        src, root = f"{workdir}/src{n}", f"{workdir}/out{n}"
+        write_file(src, "a.json", first)
+        write_file(src, "b.json", second)
+        jobs.start_enrichment(spark, jobs.read_stream(spark, src, 1), root, checkpoint=f"{workdir}/ck{n}",
+                              trigger={"availableNow": True}, dedup="1 day").awaitTermination()
+        tabs = jobs.read_tables(spark, root, ["processed_readings", "batch_counters", "cumulative"])
+        # the message without a time comes last, with the largest index
+        rows = tabs["processed_readings"].filter("reading_index < 5000")
+        tables.append((sorted(map(repr, rows.select("node_id", "reading_index", *ENRICH_COLUMNS).collect())),
+                       tabs["batch_counters"].agg(F.sum("rows")).first()[0], tabs["processed_readings"].count()))
+    (plain, rows, n), (again, rows2, n2) = tables
+    assert again == plain and rows2 == rows + 1 and n2 == n + 1
+
+
+@pytest.mark.slow
+def test_late_rows_are_counted(spark, workdir):
+    from tests.test_streaming import doc
+    src, root = f"{workdir}/src", f"{workdir}/out"
+    write_file(src, "a.json", [doc("a", 0, "2024-01-01T00:00:10.000Z", 20.0)])
+    write_file(src, "b.json", [doc("a", 1, "2024-01-01T00:30:00.000Z", 20.0)])
+    write_file(src, "c.json", [doc("a", 2, "2024-01-01T00:30:01.000Z", 20.0)])
+    write_file(src, "d.json", [doc("a", 3, "2024-01-01T00:00:11.000Z", 20.0), doc("b", 4, "2024-01-01T00:00:12.000Z", 20.0)])
+    q = jobs.start_windows(spark, jobs.read_stream(spark, src, 1), root, checkpoint=f"{workdir}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    for _ in range(2):  # stored twice, counted once
+        jobs.store_progress(spark, {"windows": q}, root)
+    got = jobs.read_tables(spark, root, ["progress"])["progress"]
+    assert got.agg(F.sum("late_rows"), F.sum("input_rows")).first() == (2, 5)
+    assert {r.query for r in got.collect()} == {"windows"} and got.filter("watermark is not null").count() > 0
