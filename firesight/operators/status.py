@@ -19,8 +19,9 @@ def _in_place(t: T.DataType) -> bool:
     return isinstance(t, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
-def latest_by_order(df: DataFrame, keys: list[str], order: Column, extra_aggs: list | None = None) -> DataFrame:
-    """Per key, the row with the greatest ``order`` (one number), in one pass.
+def latest_by_order(df: DataFrame, keys: list[str], order: Column, extra_aggs: dict[str, Column] | None = None) -> DataFrame:
+    """Per key, the row with the greatest ``order`` (one number), in one pass. ``extra_aggs``: further aggregates
+    over the same rows by their names.
 
     A ``max_by`` per column beside the other aggregates: every map task keeps
     one state per key, nothing is sorted and no row of the history is shuffled.
@@ -33,26 +34,24 @@ def latest_by_order(df: DataFrame, keys: list[str], order: Column, extra_aggs: l
     flat = [c for c in others if _in_place(df.schema[c].dataType)]
     rest = [c for c in others if c not in flat]
     base = df.withColumn("_at", order)
-    aggs = [F.max_by(q(c), F.col("_at")).alias(c) for c in flat] + (extra_aggs or [])
+    extra = extra_aggs or {}
+    more = [a.alias(n) for n, a in extra.items()]
+    aggs = [F.max_by(q(c), F.col("_at")).alias(c) for c in flat] + more
     if not rest:
         return base.groupBy(*keys).agg(*aggs, F.max("_at").alias("_at")).drop("_at").select(
-            *keys, *[q(c) for c in others], *_names(extra_aggs))
+            *keys, *[q(c) for c in others], *extra)
     top = base.groupBy(*[q(c).alias(f"_k{i}") for i, c in enumerate(keys)]).agg(
-        F.max("_at").alias("_top"), *(extra_aggs or []))
+        F.max("_at").alias("_top"), *more)
     cond = F.col("_at") == F.col("_top")
     for i, c in enumerate(keys):
         cond = cond & q(c).eqNullSafe(F.col(f"_k{i}"))
     few = base.join(top, cond)
     # rows that tie on the whole order are few; the pick among them depends on their values only
-    row = F.struct(*[q(c) for c in others], *_names(extra_aggs))
+    row = F.struct(*[q(c) for c in others], *extra)
     return (few.groupBy(*keys).agg(F.max_by(row, F.xxhash64(*[q(c) for c in others])).alias("_r"))
             .select(*keys, "_r.*"))
 
 
-def _names(aggs: list | None) -> list[str]:
-    return [a._jc.toString().rsplit(" AS ", 1)[-1] for a in (aggs or [])]
-
-
 def latest_by_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
     """Keep, per key, the row with the greatest ordering value (one or two
     integer columns, the first one counting most)."""
@@ -64,7 +63,7 @@ def latest_by_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Data
     return latest_by_order(df, keys, at.cast("decimal(38,0)"))
 
 
-def latest_rows(df: DataFrame, key: str = "node_id", extra_aggs: list | None = None) -> DataFrame:
+def latest_rows(df: DataFrame, key: str = "node_id", extra_aggs: dict[str, Column] | None = None) -> DataFrame:
     """Each key's row with the greatest order (null index as 0; ties by
     ingest_ts), plus any ``extra_aggs`` over the same rows, from one scan."""
     return latest_by_order(df, [key], order_value(df), extra_aggs)
@@ -113,11 +112,11 @@ STATUS_COLUMNS = (
 )
 
 
-def _running_totals() -> list:
-    totals = [F.count(F.lit(1)).alias("total_processed")]
+def _running_totals() -> dict[str, Column]:
+    totals = {"total_processed": F.count(F.lit(1))}
     for col, suf, d, *_ in ROLLUP_SENSORS:
-        totals += [F.round(F.min(q(col)), d).alias(f"running_min_{suf}"),
-                   F.round(F.max(q(col)), d).alias(f"running_max_{suf}")]
+        totals[f"running_min_{suf}"] = F.round(F.min(q(col)), d)
+        totals[f"running_max_{suf}"] = F.round(F.max(q(col)), d)
     return totals
 
 
@@ -162,11 +161,11 @@ def node_status(history: DataFrame, coords: DataFrame, spec: SensorSpec = DEFAUL
     row per configured node).
     """
     from firesight.operators.enrich import _flags, _zscore
-    aggs = list(_running_totals())
+    aggs = _running_totals()
     for col, name, _ in spec.scored:
         x = q(col)
-        aggs += [F.count(x).alias(f"_n_{name}"), F.avg(x).alias(f"_mean_{name}"),
-                 (F.var_pop(x) * F.count(x)).alias(f"_m2_{name}"), (F.min(x) < F.max(x)).alias(f"_spread_{name}")]
+        aggs |= {f"_n_{name}": F.count(x), f"_mean_{name}": F.avg(x), f"_m2_{name}": F.var_pop(x) * F.count(x),
+                 f"_spread_{name}": F.min(x) < F.max(x)}
     latest = latest_rows(history, "node_id", aggs)
     latest = latest.withColumns({
         f"zscore_{name}": _zscore(q(col), F.col(f"_n_{name}"), F.col(f"_mean_{name}"), F.col(f"_m2_{name}"),
@@ -180,7 +179,7 @@ def node_status(history: DataFrame, coords: DataFrame, spec: SensorSpec = DEFAUL
 def node_status_from_enriched(enriched: DataFrame, coords: DataFrame) -> DataFrame:
     """W6 from an enriched table (the streaming sink's form): latest enriched
     row per node joined with the running totals of the same rows."""
-    latest = latest_reading(enriched).join(enriched.groupBy("node_id").agg(*_running_totals()), "node_id", "left")
+    latest = latest_reading(enriched).join(enriched.groupBy("node_id").agg(*[a.alias(n) for n, a in _running_totals().items()]), "node_id", "left")
     return status_row(latest, coords)
 
 

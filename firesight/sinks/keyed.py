@@ -30,8 +30,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from firesight.operators.status import latest_by_order
-
 BATCH = "batch_id"
 #: A row's key as one text without nulls: what the base is bucketed and joined by.
 KEY = "_merge_key"
@@ -127,13 +125,17 @@ def write_batch(df: DataFrame, target: str, batch_id: int, keys: Sequence[str] =
     """Write one micro-batch to ``target`` as partition ``batch_id``.
 
     With ``keys``, only the last row of each key by ``order`` is written (equal
-    orders: by the row's values), before any shuffle that could reorder rows.
+    orders: by the row's values, so that a retry picks the same): one exchange, before
+    which a task's rows are already down to one per key.
     Overwrites only its partition, so a retried batch replaces its own earlier
     attempt and nothing else. The ``rebalance`` hint lets AQE size the output
     files (a micro-batch would otherwise write one small file per state partition).
     """
     if keys:
-        df = latest_by_order(df, list(keys), F.lit(0).cast("decimal(38,0)") if order is None else order)
+        values = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c not in keys])
+        by = [] if order is None else [order.desc_nulls_last()]
+        place = F.row_number().over(Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*by, values.desc()))
+        df = df.withColumn("_n", place).filter("_n = 1").drop("_n")
     df = df.withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
     if not names(df.sparkSession, f"{target}/schema"):
         df.limit(0).write.mode("overwrite").parquet(f"{target}/schema")
