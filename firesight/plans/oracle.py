@@ -556,6 +556,17 @@ UNION ALL SELECT 'node_status', count(DISTINCT node_id) FROM clean
 UNION ALL SELECT 'cumulative', count(DISTINCT node_id) FROM clean"""
 ORACLES["csv_readings"] = (f"{BASE} SELECT " + RAW_COLS.replace('"Fire"', "CASE WHEN node_id <> 'nodo_3' THEN \"Fire\" END AS \"Fire\"")
                            .replace(", reading_index, ingest_ts", "") + " FROM readings")
+ORACLES["sql_functions"] = (f"{BASE} SELECT node_id, reading_index, {LABEL} AS fire_state_label, {IS_FIRE} AS is_fire, "
+                            f"CASE WHEN {IS_FIRE} THEN 2 WHEN coalesce(\"CO\" > 50, false) THEN 1 ELSE 0 END AS map_status, "
+                            f"{_band(Q('Temperature (C)'), (35.0, 45.0))} AS temp_band, "
+                            f"{_band(Q('CO'), (50.0, 150.0))} AS co_band, "
+                            f"{_band(Q('Smoke (ppm)'), (0.05, 0.1, 0.15))} AS smoke_band, "
+                            f"{_band(Q('Gas (Ohm)'), (5000.0, 10000.0))} AS gas_band FROM readings")
+ORACLES["stored_counts"] = f"""{BASE}
+SELECT 'raw_readings' AS table_name, count(*) AS row_count FROM readings
+UNION ALL SELECT 'window_stats', count(*) FROM (SELECT DISTINCT node_id, time_bucket(INTERVAL '1 minute', ingest_ts)
+  FROM readings WHERE ingest_ts IS NOT NULL)
+UNION ALL SELECT 'baseline', count(DISTINCT node_id) FROM readings"""
 ORACLES["snapshot_report"] = ORACLES["mirror_report"] = ORACLES["baseline_percentiles"]
 ORACLES["retention_purged"] = ORACLES["retention_filter"]
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firesight.functions import columns as C
+from firesight.functions.catalog import register_functions
 from firesight.operators import baseline as B
 from firesight.operators import correlate as K
 from firesight.operators import rollups as R
@@ -378,6 +379,17 @@ def q_map_status(spark, sf):
                                        C.map_status(F.col("Fire"), F.col("is_anomaly")).alias("map_status"))
 
 
+@register("sql_functions")
+def q_sql_functions(spark, sf):
+    """The scalar helpers called from SQL text."""
+    register_functions(spark)
+    return spark.sql("""
+        SELECT node_id, reading_index, fire_state_label(Fire) AS fire_state_label, is_fire(Fire) AS is_fire,
+               map_status(Fire, CO > 50) AS map_status, temperature_c_band(`Temperature (C)`) AS temp_band,
+               co_band(CO) AS co_band, smoke_ppm_band(`Smoke (ppm)`) AS smoke_band, gas_ohm_band(`Gas (Ohm)`) AS gas_band
+        FROM {readings}""", readings=_raw(spark, sf))
+
+
 @register("ts_parse_format")
 def q_ts_parse_format(spark, sf):
     return (_raw(spark, sf).select("node_id", "reading_index", C.iso_ts(F.col("ingest_ts")).alias("iso_text"))
@@ -669,6 +681,17 @@ def q_mirror_report(spark, sf):
     return spark.read.schema(report.schema).json(path)
 
 
+@register("stored_counts")
+def q_stored_counts(spark, sf):
+    """Rows of stored tables, from their files' footers."""
+    root = unique_shared_path(spark, "stored")
+    raw = _raw(spark, sf)
+    tables = {"raw_readings": raw, "window_stats": window_stats(raw), "baseline": B.baseline_percentiles(raw)}
+    for name, df in tables.items():
+        df.write.parquet(f"{root}/{name}")
+    return T.stored_counts(spark, {name: f"{root}/{name}" for name in tables})
+
+
 @register("retention_purged")
 def q_retention_purged(spark, sf):
     """Readings stored by day, days before the period removed, and what is left of the period read."""

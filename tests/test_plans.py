@@ -60,3 +60,24 @@ def test_prefix_scan_partitions_by_node_and_chunk(spark):
     from firesight.operators.enrich import enrich
     plan = plan_of(enrich(load_readings(spark, SF_SMALL)))
     assert "hashpartitioning(node_id" in plan and "_chunk" in plan
+
+
+def test_sql_functions_are_inlined(spark):
+    """Functions in SQL text become plain expressions inside generated code."""
+    from firesight.functions.catalog import register_functions
+    names = register_functions(spark)
+    assert {"fire_state_label", "map_status", "co_band"} <= set(names) and register_functions(spark) == names
+    df = spark.sql("SELECT co_band(CO) AS band FROM {r} WHERE is_fire(CAST(user_id AS INT))",
+                   r=spark.read.parquet(f"{SF_SMALL}/events.parquet").selectExpr("user_id", "value AS CO"))
+    plan = plan_of(df)
+    assert "Python" not in plan and "is_fire" not in plan and "co_band" not in plan and "CASE WHEN" in plan
+    assert "Filter coalesce((cast(user_id" in plan and "*(1) Project" in plan
+
+
+def test_stored_counts_come_from_the_footers(spark, workdir):
+    from firesight.sinks import tables as T
+    spark.range(50).write.parquet(f"{workdir}/a")
+    df = T.stored_counts(spark, {"a": f"{workdir}/a"})
+    assert "PushedAggregation: [COUNT(*)]" in plan_of(df) and df.first().row_count == 50
+    # other scans are as they were
+    assert "BatchScan" not in plan_of(spark.read.parquet(f"{workdir}/a"))
