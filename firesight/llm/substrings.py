@@ -2,7 +2,8 @@
 
 Suffixes are split by the first words they start with. A prefix that too many
 suffixes share is lengthened (1, 2, then 8 words), and the resulting prefixes are
-packed into groups of about equal size that fit a task's memory. In a group, the
+packed into groups of about equal size that fit a task's memory; what is still too
+many is lengthened to the whole window and dealt to all groups by it. In a group, the
 suffixes' subtrees are needed from depth ``window`` on only: a node there is the
 set of suffixes that agree on their first ``window`` words, and it is internal if
 it has two leaves or more. So a suffix travels as a 64-bit fingerprint of these
@@ -33,6 +34,8 @@ WINDOW = 35
 PREFIXES = (1, 2, 8)
 SLOTS = 1 << 15
 BATCH = 4 << 20
+#: A slot of the longest prefix that is dealt over all of ``keys`` groups holds SPREAD - (keys - 1).
+SPREAD = -2
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -68,20 +71,23 @@ class Suffixes:
         h = self.hashes(length)
         return (((h ^ (h >> np.uint64(31))) * _MIX) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
 
-    def groups(self, plan: list[np.ndarray]) -> np.ndarray:
-        """The group of every suffix: by its shortest prefix that isn't lengthened."""
+    def groups(self, plan: list[np.ndarray], whole: np.ndarray) -> np.ndarray:
+        """The group of every suffix: by its shortest prefix that isn't lengthened; ``whole``: its window's fingerprint."""
         found = np.full(len(self.starts), -1, dtype=np.int64)
         for length, of_slot in zip(PREFIXES, plan):
             todo = found < 0
             if not todo.any():
                 break
             found[todo] = of_slot[self.slots(length)[todo]]
+        hot = found <= SPREAD
+        spread = ((whole[hot] ^ (whole[hot] >> np.uint64(29))) * _MIX) >> np.uint64(20)
+        found[hot] = (spread % (SPREAD - found[hot] + 1).astype(np.uint64)).astype(np.int64)
         return found
 
     def distinct(self, plan: list[np.ndarray]):
         """Distinct windows in the order of (group, fingerprint): fingerprint, group, twice, and each suffix's place."""
         h = self.hashes(self.window)
-        group = self.groups(plan)
+        group = self.groups(plan, h)
         order = np.lexsort((h, group))
         hs, gs = h[order], group[order]
         new = np.concatenate([[True], (hs[1:] != hs[:-1]) | (gs[1:] != gs[:-1])]) if len(hs) else np.zeros(0, bool)
@@ -101,7 +107,8 @@ def _runs(values: np.ndarray):
 
 
 def prefix_plan(rows: DataFrame, window: int, keys: int) -> list[np.ndarray]:
-    """For each prefix length the group of each slot, or -1 where the prefix is lengthened.
+    """For each prefix length the group of each slot, or -1 where the prefix is lengthened; at the longest one, slots
+    with more suffixes than a group should have are dealt over all groups (see SPREAD).
 
     Counts cover all suffixes. What reaches the driver has the fixed size of the slot table.
     """
@@ -131,7 +138,9 @@ def prefix_plan(rows: DataFrame, window: int, keys: int) -> list[np.ndarray]:
         heavy = 1.0 if level == 0 else float(counts[level - 1][plan[level - 1] < 0].sum()) / max(1, counts[level - 1].sum())
         for slot in np.argsort(-counts[level], kind="stable").tolist():
             n = counts[level, slot]
-            if n > limit and not last:
+            if n > limit:
+                if last:
+                    plan[level][slot] = SPREAD - (keys - 1)
                 continue
             load, k = heapq.heappop(loads)
             plan[level][slot] = k

@@ -192,3 +192,16 @@ def test_prefix_plan_splits_heavy_prefixes(spark):
     plan = substrings.prefix_plan(df, 8, 64)
     assert (plan[0] < 0).any() and (plan[0] >= 0).any()
     assert (plan[-1] >= 0).all()
+
+
+def test_windows_that_share_their_first_words_are_dealt_to_all_groups(spark):
+    rng = random.Random(8)
+    texts = ["a b c d e f g h " + words(rng, 27, 100000) for _ in range(4000)]
+    texts += texts[:50]  # copies meet, wherever they are dealt
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    plan = substrings.prefix_plan(df.withColumnRenamed("text", "_text").select("_text"), 35, 64)
+    _, groups, _, _ = substrings.Suffixes([t.encode() for t in texts], 35).distinct(plan)
+    sizes = np.bincount(groups, minlength=64)
+    assert len(sizes) == 64 and sizes.sum() == 4000 and sizes.min() > 30 and sizes.max() < 110
+    got = {r.doc_id: r.n_removed for r in substrings.remove_repeats(df).collect()}
+    assert got == {i: 35 if i < 50 or i >= 4000 else 0 for i in range(len(texts))}
