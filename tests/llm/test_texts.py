@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -376,3 +377,29 @@ def test_mix_stage_keeps_documents_of_a_wordless_source(spark):
     got = sorted((r.doc_id, r.text) for r in out.collect() if r.doc_id >= 100 and r.text is not None)
     assert got == [(100, ""), (102, " \n")] and out.filter("doc_id = 101").count() == 2
     assert {r.doc_id for r in out.collect()} == {r[0] for r in rows}
+
+
+def test_pipeline_stages_on_odd_and_empty_tables(spark, odd_docs):
+    """Every stage keeps the columns, clashing ones included, and decides nulls, empty, repeated and long rows as stated."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumns({"fingerprint": F.lit("x"), "_key": F.lit(1).cast("long")})
+    rows = docs.unionByName(odd_docs)
+    columns = rows.columns
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, rows, SMALL).persist()
+        none = stage(spark, rows.limit(0), SMALL)
+        assert none.collect() == [] and none.columns == out.columns, name
+        got = out.collect()
+        if name != "bpe":
+            assert out.columns == columns, name
+        if name in ("toxicity", "simhash"):
+            assert 0 < len(got) <= rows.count() and len(set(got)) <= len(set(rows.collect()))
+            assert set(got) <= set(rows.collect())
+        if name == "simhash":  # texts without words are one group; of an id's equal rows one stays
+            assert sum(not (r.text or "").strip(" \t\n") for r in got) == 1
+        if name == "secrets":
+            assert len(got) == rows.count() and sum(r.text is None for r in got) == sum(r.text is None for r in rows.collect())
+        if name == "mixing":
+            assert {(r.doc_id, r.text) for r in got} == {(r.doc_id, r.text) for r in rows.collect()}
+        if name == "bpe":
+            assert len(got) == rows.count()
+        out.unpersist()
