@@ -36,7 +36,7 @@ KEY = "_merge_key"
 #: Batches of a run, runs of a level that are merged, and the base's share of rows that runs may hold.
 EVERY, FAN, SHARE = 16, 4, 0.25
 #: Rows of a bucket, about; the number of buckets is a power of two, so it seldom changes.
-BUCKET_ROWS = 1 << 20
+BUCKET_ROWS = 1 << 18
 LOG_SCHEMA = "kind string, path string, level int, last long, rows long, buckets int"
 
 
