@@ -19,6 +19,8 @@ Each query has its own checkpoint under the shared checkpoint folder.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,11 +39,29 @@ from firesight.streaming.processor import PREV_FIRE, TOTALS, Enricher, scored_sc
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+#: Partitions of a stream's state and of its sinks' exchanges, at most.
+STREAM_PARTITIONS = 12
+
+
 def configure_state_store(spark: SparkSession) -> None:
     """transformWithState needs the RocksDB provider; set it before a first start."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+@contextmanager
+def stream_partitions(spark: SparkSession) -> Iterator[None]:
+    """A query that is started here has STREAM_PARTITIONS shuffle partitions at most. A session's number follows
+    its tables; a micro-batch is bounded by its source, and pays every partition (a state store, a worker and
+    a task of each of its sinks' jobs) however few rows it has. A checkpoint keeps the number it was begun with."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), STREAM_PARTITIONS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # S1 ---------------------------------------------------------------------------
 def read_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
     """Messages as text lines from a folder of files (one JSON document per
@@ -156,9 +176,10 @@ def start_raw(spark: SparkSession, messages: DataFrame, root: str, checkpoint: s
               trigger: dict | None = None, spec: SensorSpec = DEFAULT_SPEC, every: int = T.EVERY):
     """Start the raw query; returns the StreamingQuery."""
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/streams/raw"
-    return (decode(messages, spec, keep_rejects=True).writeStream.foreachBatch(write_raw(root, every))
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL})).start())
+    with stream_partitions(spark):
+        return (decode(messages, spec, keep_rejects=True).writeStream.foreachBatch(write_raw(root, every))
+                .option("checkpointLocation", checkpoint)
+                .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL})).start())
 
 
 def start_enrichment(spark: SparkSession, messages: DataFrame, root: str, checkpoint: str | None = None,
@@ -170,12 +191,13 @@ def start_enrichment(spark: SparkSession, messages: DataFrame, root: str, checkp
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/streams/enrichment"
     decoded = decode(messages, spec)
     enriched = enrich_stream(deduplicated(decoded, dedup) if dedup else decoded, spec)
-    return (enriched.writeStream
-            .foreachBatch(fan_out(root, spec, every))
-            .option("checkpointLocation", checkpoint)
-            .outputMode("append")
-            .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
-            .start())
+    with stream_partitions(spark):
+        return (enriched.writeStream
+                .foreachBatch(fan_out(root, spec, every))
+                .option("checkpointLocation", checkpoint)
+                .outputMode("append")
+                .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
+                .start())
 
 
 WINDOW_KEY = ["node_id", "window_start"]
@@ -197,12 +219,13 @@ def start_windows(spark: SparkSession, messages: DataFrame, root: str, checkpoin
     configure_state_store(spark)
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/streams/windows"
     agg = window_stream(decode(messages))
-    return (agg.writeStream
-            .foreachBatch(lambda df, bid: T.store(df, f"{root}/window_stats", bid, WINDOW_KEY, every=every))
-            .option("checkpointLocation", checkpoint)
-            .outputMode("update")
-            .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
-            .start())
+    with stream_partitions(spark):
+        return (agg.writeStream
+                .foreachBatch(lambda df, bid: T.store(df, f"{root}/window_stats", bid, WINDOW_KEY, every=every))
+                .option("checkpointLocation", checkpoint)
+                .outputMode("update")
+                .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
+                .start())
 
 
 # W7 (streaming form) -----------------------------------------------------------
