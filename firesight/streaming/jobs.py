@@ -19,9 +19,12 @@ Each query has its own checkpoint under the shared checkpoint folder.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,23 +140,36 @@ def live_status(spark: SparkSession, batch: DataFrame, spec: SensorSpec = DEFAUL
     return status_row(totals.drop(*[c for c in totals.columns if c.startswith("running_sum_")]), coords_table(spark, spec))
 
 
+def _at_once(spark: SparkSession, sinks: list[Callable[[], None]]) -> None:
+    """Run the sinks of a micro-batch beside each other, as each of their jobs has few tasks; all have ended
+    when this returns or the first failure is raised."""
+    with ThreadPoolExecutor(len(sinks)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(sink)) for sink in sinks]
+    for sink in running:
+        sink.result()
+
+
 def fan_out(root: str, spec: SensorSpec = DEFAULT_SPEC, every: int = T.EVERY):
     """T5: one materialised micro-batch feeding several keyed tables, each merged after ``every`` batches."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
+            # every partition of the state is updated here, once, before the sinks share the rows
+            batch.count()
             rows = batch.drop(TOTALS)
-            T.store(rows, f"{root}/processed_readings", batch_id, READING_KEY, order_value(rows), every)
             events = fire_events(rows)
-            T.store(events, f"{root}/fire_events", batch_id, READING_KEY, order_value(events), every)
-            T.store(T.alerts(events), f"{root}/alerts", batch_id, every=every)
             totals = running_totals(batch)
-            T.store(totals.select("node_id", "total_processed", *[c for c in totals.columns if c.startswith("running_")]),
-                    f"{root}/cumulative", batch_id, NODE_KEY, every=every)
+            running = totals.select("node_id", "total_processed", *[c for c in totals.columns if c.startswith("running_")])
             counters = enrichment_counts(rows.withColumn("stream_batch", F.lit(int(batch_id)).cast("long")), "stream_batch")
-            T.store(counters, f"{root}/batch_counters", batch_id, every=every)
-            T.store(live_status(spark, batch, spec), f"{root}/node_status", batch_id, NODE_KEY, every=every)
+            tables = [(rows, "processed_readings", READING_KEY, order_value(rows)),
+                      (events, "fire_events", READING_KEY, order_value(events)),
+                      (T.alerts(events), "alerts", (), None),
+                      (running, "cumulative", NODE_KEY, None),
+                      (counters, "batch_counters", (), None),
+                      (live_status(spark, batch, spec), "node_status", NODE_KEY, None)]
+            _at_once(spark, [partial(T.store, df, f"{root}/{name}", batch_id, keys, order, every)
+                             for df, name, keys, order in tables])
         finally:
             batch.unpersist()
     return run
