@@ -210,7 +210,7 @@ def _merged(base: DataFrame | None, buckets: int | None, newer: DataFrame | None
     """Rows with KEY and BATCH: the newest of each key, or all rows of a table without keys."""
     if base is None or newer is None:
         rows = newer if base is None else base
-        return _newest(rows) if keys and base is None else rows
+        return _newest(rows, buckets) if keys and base is None else rows
     if not keys:
         return base.unionByName(newer, allowMissingColumns=True)
     top = _newest(newer, buckets)
@@ -219,9 +219,11 @@ def _merged(base: DataFrame | None, buckets: int | None, newer: DataFrame | None
     return old.unionByName(top, allowMissingColumns=True)
 
 
-def _table(spark: SparkSession, target: str, keys: Sequence[str], at: Live, batches: list[int]) -> DataFrame:
+def _table(spark: SparkSession, target: str, keys: Sequence[str], at: Live, batches: list[int],
+           buckets: int | None = None) -> DataFrame:
+    """``buckets``: where the newer rows meet if there is no base."""
     base = _base(spark, at.base) if at.base else None
-    return _merged(base, at.base.buckets if at.base else None, _newer(spark, target, keys, at, batches), keys)
+    return _merged(base, at.base.buckets if at.base else buckets, _newer(spark, target, keys, at, batches), keys)
 
 
 def read_upserted(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
@@ -248,20 +250,25 @@ def read_batches(spark: SparkSession, target: str) -> DataFrame:
 # Compaction -----------------------------------------------------------------------
 def _write_run(spark: SparkSession, rows: DataFrame, target: str, level: int, last: int) -> Part:
     path = f"{target}/runs/{uuid.uuid4().hex}"
-    dealt = rows.hint("rebalance")
-    (dealt.sortWithinPartitions(KEY, BATCH) if KEY in rows.columns else dealt).write.parquet(path)
+    # keyed rows come in the partitions of ``_newest``
+    (rows.sortWithinPartitions(KEY, BATCH) if KEY in rows.columns else rows.hint("rebalance")).write.parquet(path)
     return Part(path, level, last, spark.read.parquet(path).count())
 
 
+def _buckets(rows: int, bucket_rows: int) -> int:
+    buckets = 1
+    while buckets * bucket_rows < rows:
+        buckets *= 2
+    return buckets
+
+
 def _write_base(spark: SparkSession, rows: DataFrame, target: str, last: int, most: int, bucket_rows: int) -> Part:
     name = uuid.uuid4().hex
     path = f"{target}/base/{name}"
     if KEY not in rows.columns:
         rows.hint("rebalance").write.parquet(path)
         return Part(path, 0, last, spark.read.parquet(path).count())
-    buckets = 1
-    while buckets * bucket_rows < most:
-        buckets *= 2
+    buckets = _buckets(most, bucket_rows)
     (rows.repartition(buckets, KEY).write.format("parquet").bucketBy(buckets, KEY).sortBy(KEY).option("path", path)
      .saveAsTable(f"firesight_base_{name}"))
     return Part(path, 0, last, spark.read.parquet(path).count(), buckets)
@@ -276,17 +283,20 @@ def maintain(spark: SparkSession, target: str, keys: Sequence[str], upto: int |
     new = Live(at.version + 1, max([at.covered, *batches]), at.base, list(at.runs))
     fresh = _newer(spark, target, keys, Live(), batches)
     old = at.base.rows if at.base else 0
-    held = sum(p.rows for p in at.runs) + (fresh.count() if batches else 0)  # from the files' footers
+    n_fresh = fresh.count() if batches else 0  # from the files' footers
+    held = sum(p.rows for p in at.runs) + n_fresh
+    # exchanges follow the rows they merge: a sink's session has a micro-batch's few partitions, without AQE
     if held and (full or held >= share * old):
-        merged = _table(spark, target, keys, at, batches)
+        merged = _table(spark, target, keys, at, batches, _buckets(held, bucket_rows))
         new.base, new.runs = _write_base(spark, merged, target, new.covered, held + old, bucket_rows), []
     elif batches:
-        new.runs.append(_write_run(spark, _newest(fresh) if keys else fresh, target, 1, batches[-1]))
+        new.runs.append(_write_run(spark, _newest(fresh, _buckets(n_fresh, bucket_rows)) if keys else fresh, target, 1, batches[-1]))
     level = 1
     while (same := [p for p in new.runs if p.level == level]) and level < 64:
         if len(same) >= fan:
             rows = _newer(spark, target, keys, Live(runs=same), [])
-            run = _write_run(spark, _newest(rows) if keys else rows, target, level + 1, same[-1].last)
+            n = _buckets(sum(p.rows for p in same), bucket_rows)
+            run = _write_run(spark, _newest(rows, n) if keys else rows, target, level + 1, same[-1].last)
             new.runs = sorted([p for p in new.runs if p.level != level] + [run], key=lambda p: p.last)
         level += 1
     _commit(spark, target, new)
