@@ -147,9 +147,11 @@ def write_batch(df: DataFrame, target: str, batch_id: int, keys: Sequence[str] =
 
 
 def store(df: DataFrame, target: str, batch_id: int, keys: Sequence[str] = (), order: Column | None = None,
-          every: int = EVERY) -> None:
-    """``write_batch``, and after every ``every`` batches ``maintain``: the form a running sink uses."""
-    write_batch(df, target, batch_id, keys, order)
+          every: int = EVERY, empty: bool = False) -> None:
+    """``write_batch``, and after every ``every`` batches ``maintain``: the form a running sink uses.
+    ``empty``: the batch is known to have no rows, so only a table that has no columns yet is written."""
+    if not empty or not names(df.sparkSession, f"{target}/schema"):
+        write_batch(df, target, batch_id, keys, order)
     if (batch_id + 1) % every == 0:
         maintain(df.sparkSession, target, keys, batch_id)
 

@@ -156,7 +156,7 @@ def fan_out(root: str, spec: SensorSpec = DEFAULT_SPEC, every: int = T.EVERY):
         batch = batch.persist()
         try:
             # every partition of the state is updated here, once, before the sinks share the rows
-            batch.count()
+            empty = not batch.count()  # as after each advance of the watermark
             rows = batch.drop(TOTALS)
             events = fire_events(rows)
             totals = running_totals(batch)
@@ -168,7 +168,7 @@ def fan_out(root: str, spec: SensorSpec = DEFAULT_SPEC, every: int = T.EVERY):
                       (running, "cumulative", NODE_KEY, None),
                       (counters, "batch_counters", (), None),
                       (live_status(spark, batch, spec), "node_status", NODE_KEY, None)]
-            _at_once(spark, [partial(T.store, df, f"{root}/{name}", batch_id, keys, order, every)
+            _at_once(spark, [partial(T.store, df, f"{root}/{name}", batch_id, keys, order, every, empty)
                              for df, name, keys, order in tables])
         finally:
             batch.unpersist()
