@@ -9,6 +9,9 @@ class that raises the likelihood most, given the classes of all other words. Rou
 end when nothing moves or a round adds less than ``LEAST_GAIN`` of the information
 that neighbouring classes give. Unseen words have the class of their ending.
 
+Texts are cut into words once: rounds read each batch's distinct words and its tokens' places
+among them. What a round shuffled and stored goes when the next has replaced it.
+
 Words travel as 64-bit hashes whose lowest bits name the ending. Counts and classes
 of words stay distributed: a batch asks for those of its own words that aren't in
 the small dictionary of very frequent ones.
@@ -16,14 +19,19 @@ the small dictionary of very frequent ones.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firesight.llm.common import (EXCHANGE, by_key, exchange_rows, in_batches, key_count, pack, pack_rows, rows_sorted, run_exchange,
-                                  table, texts_of, tune, unpack, unpack_rows, written)
+from firesight.llm.common import (EXCHANGE, by_batch, by_key, exchange_rows, in_batches, key_count, pack, pack_rows, rows_sorted, run_exchange,
+                                  table, texts_of, tune, unpack, unpack_rows)
+from firesight.session import unique_shared_path
+from firesight.sinks.keyed import delete
 
 CLASSES, WORDS, ENDINGS, ROUNDS = 64, 1024, 64, 6
 #: Words in the dictionary of counts that goes to every task, at most.
@@ -107,11 +115,68 @@ def _bin(counts: np.ndarray) -> np.ndarray:
     return np.minimum(_BINS - 1, (np.log2(counts) * 8).astype(np.int64))
 
 
+class Scratch:
+    """Tables of one run in the shared folder, deleted as soon as nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = unique_shared_path(self.spark, name)
+        # rows hold up to some MB each: few of them in a row group
+        df.write.option("parquet.block.size", 16 << 20).option("parquet.block.size.row.check.min", 4).parquet(path)
+        rows = self.spark.read.schema(df.schema).parquet(path)
+        self.paths.append((rows, path))
+        return rows
+
+    def drop(self, *tables: DataFrame) -> None:
+        for _, path in [x for x in self.paths if any(x[0] is t for t in tables)]:
+            delete(self.spark, path)
+        self.paths = [x for x in self.paths if not any(x[0] is t for t in tables)]
+
+
+@contextmanager
+def shuffles_cleared(spark: SparkSession) -> Iterator[None]:
+    """Every job's shuffle files go when it has ended, instead of when the driver collects its garbage: for jobs
+    whose results are written or collected and whose frames aren't used again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
+def tokenized(train: DataFrame, keys: int) -> DataFrame:
+    """Per batch of texts: its distinct words in the order of (key, hash), and each token's place among them."""
+    def scan(batches):
+        for g, batch in in_batches(batches, "_text", BATCH):
+            u, at = np.unique(tokens_of(texts_of(batch, "_text"))[0], return_inverse=True)
+            order = np.argsort(_key(u, keys), kind="stable")
+            rank = np.empty(len(u), dtype="<u4")
+            rank[order] = np.arange(len(u))
+            yield exchange_rows([(g % keys, g, 2, pack([u[order].tobytes()]), pack([rank[at].tobytes()]))])
+
+    return train.withColumn("_part", F.spark_partition_id()).mapInArrow(scan, EXCHANGE)
+
+
+def _tokens(train: DataFrame, keys: int) -> DataFrame:
+    """``train`` as ``tokenized`` gives it, whether it holds texts or has been through it."""
+    return tokenized(train, keys) if "_text" in train.columns else train
+
+
+def _words_at(a: bytes, b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words and the tokens' places of a row of ``tokenized``."""
+    return np.frombuffer(next(unpack(a)), np.uint64), np.frombuffer(next(unpack(b)), "<u4").astype(np.int64)
+
+
 def count_words(train: DataFrame, keys: int) -> DataFrame:
     """The vocabulary: per key, kind 0 has hashes and counts, kind 1 has totals per ending and a histogram."""
     def scan(batches):
-        for g, batch in in_batches(batches, "_text", BATCH):
-            u, n = np.unique(tokens_of(texts_of(batch, "_text"))[0], return_counts=True)
+        for _, g, _, a, b in rows_sorted(batches):
+            u, at = _words_at(a, b)
+            n = np.bincount(at, minlength=len(u))
             yield exchange_rows([(k, g, 0, u[p].tobytes(), n[p].astype("<u4").tobytes()) for k, p in _by_key(u, keys)])
 
     def total(batches):
@@ -126,7 +191,7 @@ def count_words(train: DataFrame, keys: int) -> DataFrame:
                                  (k, 0, 1, sums.astype("<i8").tobytes(),
                                   np.bincount(_bin(n), minlength=_BINS).astype("<i8").tobytes())])
 
-    counted = by_key(train.withColumn("_part", F.spark_partition_id()).mapInArrow(scan, EXCHANGE))
+    counted = by_key(_tokens(train, keys).mapInArrow(scan, EXCHANGE))
     return counted.sortWithinPartitions("k").mapInArrow(total, EXCHANGE)
 
 
@@ -196,8 +261,9 @@ def _pairs(unit: np.ndarray) -> np.ndarray:
 def count_bigrams(train: DataFrame, units: Units, keys: int) -> np.ndarray:
     """units x units counts over all training texts; a table of fixed size."""
     def scan(batches):
-        for g, batch in in_batches(batches, "_text", BATCH):
-            unit = units.of(tokens_of(texts_of(batch, "_text"))[0])
+        for _, g, _, a, b in rows_sorted(batches):
+            u, at = _words_at(a, b)
+            unit = units.of(u)[at]
             code, n = np.unique(_pairs(unit) * units.n + unit, return_counts=True)
             k = code % keys
             order = np.argsort(k, kind="stable")
@@ -211,7 +277,7 @@ def count_bigrams(train: DataFrame, units: Units, keys: int) -> np.ndarray:
             u, n = _sum_by(codes, [np.frombuffer(next(unpack(b)), "<u4") for *_, b in rows])
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n)], names=["code", "n"])
 
-    counted = by_key(train.withColumn("_part", F.spark_partition_id()).mapInArrow(scan, EXCHANGE))
+    counted = by_key(_tokens(train, keys).mapInArrow(scan, EXCHANGE))
     got = counted.sortWithinPartitions("k").mapInArrow(total, "code long, n long").toArrow()
     flat = np.zeros(units.n * units.n, dtype=np.int64)
     flat[got.column("code").to_numpy()] = got.column("n").to_numpy()
@@ -328,34 +394,28 @@ def neighbour_counts(train: DataFrame, classes: Classes, vocab: Vocabulary, keys
     """Per key, kind 1: words and counts of their neighbours' classes; kind 2: bigrams of classes. All of them
     pre-aggregated per batch."""
     hashes, known = vocab.hashes, classes.known
+    tokens = _tokens(train, keys)
 
-    def scan(batches):
-        for g, batch in in_batches(batches, "_text", BATCH):
-            u, at = np.unique(tokens_of(texts_of(batch, "_text"))[0], return_inverse=True)
-            order = np.argsort(_key(u, keys), kind="stable")  # words in the order of (key, hash), as asked
-            rank = np.empty(len(u), dtype="<u4")
-            rank[order] = np.arange(len(u))
-            u, at = u[order], rank[at]
-            place = _place(hashes, u)
-            rare = np.flatnonzero(place < 0)
-            asked = [(k, g, 1, u[rare[p]].tobytes(), b"") for k, p in _by_key(u[rare], keys)]
-            cls = np.zeros(len(u), np.uint8)
-            cls[place >= 0] = known[place[place >= 0]]
-            own = pack([u.tobytes(), at.astype("<u4").tobytes(), cls.tobytes(), rare.astype("<u4").tobytes()])
-            yield exchange_rows([*asked, (g % keys, g, 2, own, b"")])
+    def ask(batches):
+        for _, g, _, a, _ in rows_sorted(batches):
+            u = np.frombuffer(next(unpack(a)), np.uint64)
+            rare = u[_place(hashes, u) < 0]
+            yield exchange_rows([(k, g, 1, rare[p].tobytes(), b"") for k, p in _by_key(rare, keys)])
 
     def finish(batches):
         group, answers = None, []
-        for _, g, kind, a, _ in rows_sorted(batches):
+        for _, g, kind, a, b in rows_sorted(batches):
             if g != group:
                 group, answers = g, []
             if kind == 1:
                 answers.append(np.frombuffer(list(unpack(a))[1], np.uint8))
                 continue
-            u, at, cls, rare = (np.frombuffer(x, t) for x, t in zip(unpack(a), (np.uint64, "<u4", np.uint8, "<u4")))
-            cls, at = cls.copy(), at.astype(np.int64)
-            if len(rare):
-                cls[rare] = np.concatenate(answers)
+            u, at = _words_at(a, b)
+            place = _place(hashes, u)
+            cls = np.zeros(len(u), np.uint8)
+            cls[place >= 0] = known[place[place >= 0]]
+            if (place < 0).any():
+                cls[place < 0] = np.concatenate(answers)
             token = cls[at].astype(np.int64)
             before, after = _pairs(token), np.concatenate([token[1:], [0]])
             word = u[at] != END
@@ -370,7 +430,10 @@ def neighbour_counts(train: DataFrame, classes: Classes, vocab: Vocabulary, keys
             m = np.bincount(before * CLASSES + token, minlength=CLASSES * CLASSES)
             yield exchange_rows([*rows, (g % keys, g, 2, m.astype("<i8").tobytes(), b"")])
 
-    return run_exchange(train, scan, _answer(classes.unseen), finish, EXCHANGE, extra=classes.rows.filter("kind = 0"))
+    asked = tokens.select("k", "g", "kind", "a", F.lit(b"").alias("b")).mapInArrow(ask, EXCHANGE)
+    asked = by_key(asked.unionByName(classes.rows.filter("kind = 0"))).sortWithinPartitions("k", "kind", "g")
+    answered = asked.mapInArrow(_answer(classes.unseen), EXCHANGE).unionByName(tokens)
+    return by_batch(answered).sortWithinPartitions("g", "kind", "k").mapInArrow(finish, EXCHANGE)
 
 
 def class_bigrams(counts: DataFrame) -> np.ndarray:
@@ -455,24 +518,30 @@ def fit(train: DataFrame, vocab: DataFrame, keys: int, words: int = WORDS) -> Mo
 
 def train_classes(train: DataFrame, vocab: DataFrame, keys: int, words: int = WORDS) -> tuple[Model, DataFrame]:
     """The model and the class table, which has every training word."""
-    v = Vocabulary(vocab, DICTIONARY)
-    seed = Units(v.movable(words))
-    of = exchange(count_bigrams(train, seed, keys))
-    unseen = of[1:seed.first].astype(np.uint8)
-
-    def state(rows):
-        classes = Classes(rows, v, unseen)
-        counts = written(neighbour_counts(train, classes, v, keys), "lm-neighbours")
-        return classes, counts, class_bigrams(counts)
-
-    classes, counts, m = state(written(first_classes(vocab, seed, of), "lm-classes"))
-    while m.any():
-        new, new_counts, new_m = state(written(move(counts, classes.rows, m), "lm-classes"))
-        before, after = information(m), information(new_m)
-        if after > before:
-            classes, counts, m = new, new_counts, new_m
-        if not new.moved or after - before < LEAST_GAIN * before:
-            break
+    scratch = Scratch(train.sparkSession)
+    with shuffles_cleared(train.sparkSession):
+        tokens = train if "_text" not in train.columns else scratch.written(tokenized(train, keys), "lm-tokens")
+        v = Vocabulary(vocab, DICTIONARY)
+        seed = Units(v.movable(words))
+        of = exchange(count_bigrams(tokens, seed, keys))
+        unseen = of[1:seed.first].astype(np.uint8)
+
+        def state(rows):
+            classes = Classes(rows, v, unseen)
+            counts = scratch.written(neighbour_counts(tokens, classes, v, keys), "lm-neighbours")
+            return classes, counts, class_bigrams(counts)
+
+        classes, counts, m = state(scratch.written(first_classes(vocab, seed, of), "lm-classes"))
+        while m.any():
+            new, new_counts, new_m = state(scratch.written(move(counts, classes.rows, m), "lm-classes"))
+            before, after = information(m), information(new_m)
+            better = after > before
+            scratch.drop(*((counts, classes.rows) if better else (new_counts, new.rows)))
+            if better:
+                classes, counts, m = new, new_counts, new_m
+            if not new.moved or after - before < LEAST_GAIN * before:
+                break
+        scratch.drop(counts, tokens)
     return Model(v, classes, m), classes.rows
 
 
@@ -570,8 +639,12 @@ def lm_scores(docs: DataFrame, held_out, text: str = "text", keep: tuple[str, ..
     rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)],
                        F.coalesce(held_out, F.lit(True)).alias("_held"), F.col(text).alias("_text"))
     train = rows.filter(~F.col("_held")).select("_text")
-    vocab = written(count_words(train, keys), "lm-vocabulary")
-    model, classes = train_classes(train, vocab, keys)
+    scratch = Scratch(spark)
+    with shuffles_cleared(spark):
+        tokens = scratch.written(tokenized(train, keys), "lm-tokens")
+        vocab = scratch.written(count_words(tokens, keys), "lm-vocabulary")
+    model, classes = train_classes(tokens, vocab, keys)
+    scratch.drop(tokens, vocab)
     names = [*names, "_held"]
     schema = rows.drop("_text").schema
     for c, t in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"),

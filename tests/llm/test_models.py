@@ -188,3 +188,13 @@ def test_every_word_has_a_class_of_its_own(spark, monkeypatch):
     assert len({of[w] for w in rare[0::2] if w in of} | {of["cat"], of["dog"]}) <= 2
     nouns, verbs = {of[w] for w in rare[0::2] if w in of}, {of[w] for w in rare[1::2] if w in of}
     assert not nouns & verbs
+
+
+def test_lm_training_cuts_texts_once_and_leaves_the_classes_only(spark, monkeypatch, tmp_path):
+    seen = []
+    monkeypatch.setattr(classlm, "unique_shared_path", lambda s, name: (seen.append(name), f"{tmp_path}/{name}-{len(seen)}")[1])
+    docs = spark.createDataFrame([(i, f"one two w{i} three one w{i % 3} two") for i in range(40)], "doc_id long, text string")
+    got = classlm.lm_scores(docs, F.col("doc_id") % 10 == 0)
+    assert seen.count("lm-tokens") == 1 and [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["lm-classes"]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert got.count() == got.count() == 40
