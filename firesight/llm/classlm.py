@@ -24,12 +24,13 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firesight.llm.common import (EXCHANGE, by_batch, by_key, exchange_rows, in_batches, key_count, pack, pack_rows, rows_sorted, run_exchange,
-                                  table, texts_of, tune, unpack, unpack_rows)
+                                  table, tune, unpack, unpack_rows)
 from firesight.session import unique_shared_path
 from firesight.sinks.keyed import delete
 
@@ -69,15 +70,40 @@ class Hashes(dict):
 _hashes = Hashes()
 
 
+def distinct_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all texts' distinct tokens, in order; each token's place among them, each text closed by END;
+    and the number of tokens of each text. Only distinct words are hashed."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    cut = np.asarray(lists.offsets).astype(np.int64)
+    words = lists.values.slice(cut[0], cut[-1] - cut[0])
+    some = np.asarray(pc.binary_length(words)) > 0  # white space at a text's start or end leaves an empty word
+    sizes = np.diff(np.concatenate([[0], np.cumsum(some)])[cut - cut[0]]) + 1
+    coded = (words if some.all() else words.filter(pa.array(some))).dictionary_encode()
+    h = np.fromiter(map(_hashes.__getitem__, coded.dictionary.cast(pa.binary()).to_pylist()), dtype=np.uint64,
+                    count=len(coded.dictionary))
+    u, place = np.unique(np.append(h, END) if len(texts) else h, return_inverse=True)
+    ends = np.cumsum(sizes) - 1
+    word = np.ones(int(sizes.sum()), dtype=bool)
+    word[ends] = False
+    at = np.empty(len(word), dtype=np.int64)
+    at[word] = place[np.asarray(coded.indices)]
+    at[ends] = place[-1:]
+    return u, at, sizes
+
+
 def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all texts' tokens, each text closed by END; and the number of tokens of each."""
-    out, sizes = [], []
-    for t in texts:
-        words = t.lower().split()
-        out.append(np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words)))
-        out.append(np.array([END]))
-        sizes.append(len(words) + 1)
-    return (np.concatenate(out) if out else np.zeros(0, np.uint64)), np.array(sizes, dtype=np.int64)
+    u, at, sizes = distinct_tokens(pa.array(texts, pa.binary()).view(pa.string()))
+    return u[at], sizes
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Values of 32 bits as all their lowest bytes, then all their next ones, ...: smaller when packed."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def _key(h: np.ndarray, keys: int) -> np.ndarray:
@@ -94,8 +120,12 @@ def _by_key(h: np.ndarray, keys: int):
 
 
 def _sum_by(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    u, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return u, np.bincount(at, weights=np.concatenate(counts), minlength=len(u)).astype(np.int64)
+    key = np.concatenate(keys)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    n = np.concatenate(counts).astype(np.int64)[order]
+    return key[first], np.add.reduceat(n, first) if len(n) else n
 
 
 def _by_group(batches):
@@ -152,11 +182,11 @@ def tokenized(train: DataFrame, keys: int) -> DataFrame:
     """Per batch of texts: its distinct words in the order of (key, hash), and each token's place among them."""
     def scan(batches):
         for g, batch in in_batches(batches, "_text", BATCH):
-            u, at = np.unique(tokens_of(texts_of(batch, "_text"))[0], return_inverse=True)
+            u, at, _ = distinct_tokens(batch.column("_text"))
             order = np.argsort(_key(u, keys), kind="stable")
             rank = np.empty(len(u), dtype="<u4")
             rank[order] = np.arange(len(u))
-            yield exchange_rows([(g % keys, g, 2, pack([u[order].tobytes()]), pack([rank[at].tobytes()]))])
+            yield exchange_rows([(g % keys, g, 2, pack([u[order].tobytes()]), pack([_planes(rank[at])]))])
 
     return train.withColumn("_part", F.spark_partition_id()).mapInArrow(scan, EXCHANGE)
 
@@ -168,7 +198,7 @@ def _tokens(train: DataFrame, keys: int) -> DataFrame:
 
 def _words_at(a: bytes, b: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct words and the tokens' places of a row of ``tokenized``."""
-    return np.frombuffer(next(unpack(a)), np.uint64), np.frombuffer(next(unpack(b)), "<u4").astype(np.int64)
+    return np.frombuffer(next(unpack(a)), np.uint64), _from_planes(next(unpack(b)))
 
 
 def count_words(train: DataFrame, keys: int) -> DataFrame:
@@ -255,7 +285,7 @@ class Units:
 
 def _pairs(unit: np.ndarray) -> np.ndarray:
     """The unit before each token; the first token of a text follows END, as any text's last token is END."""
-    return np.concatenate([[0], unit[:-1]]) if len(unit) else unit
+    return np.concatenate([np.zeros(1, unit.dtype), unit[:-1]]) if len(unit) else unit
 
 
 def count_bigrams(train: DataFrame, units: Units, keys: int) -> np.ndarray:
@@ -263,7 +293,7 @@ def count_bigrams(train: DataFrame, units: Units, keys: int) -> np.ndarray:
     def scan(batches):
         for _, g, _, a, b in rows_sorted(batches):
             u, at = _words_at(a, b)
-            unit = units.of(u)[at]
+            unit = units.of(u).astype(np.uint32)[at]  # their pairs are at most as many as the table's cells
             code, n = np.unique(_pairs(unit) * units.n + unit, return_counts=True)
             k = code % keys
             order = np.argsort(k, kind="stable")
@@ -391,8 +421,8 @@ def _place(hashes: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def neighbour_counts(train: DataFrame, classes: Classes, vocab: Vocabulary, keys: int) -> DataFrame:
-    """Per key, kind 1: words and counts of their neighbours' classes; kind 2: bigrams of classes. All of them
-    pre-aggregated per batch."""
+    """Per key, kind 1: words and counts of their neighbours' classes, as steps from code to code; kind 2: bigrams of
+    classes. All of them pre-aggregated per batch."""
     hashes, known = vocab.hashes, classes.known
     tokens = _tokens(train, keys)
 
@@ -408,7 +438,7 @@ def neighbour_counts(train: DataFrame, classes: Classes, vocab: Vocabulary, keys
             if g != group:
                 group, answers = g, []
             if kind == 1:
-                answers.append(np.frombuffer(list(unpack(a))[1], np.uint8))
+                answers.append(np.frombuffer(next(unpack(a)), np.uint8))
                 continue
             u, at = _words_at(a, b)
             place = _place(hashes, u)
@@ -416,23 +446,26 @@ def neighbour_counts(train: DataFrame, classes: Classes, vocab: Vocabulary, keys
             cls[place >= 0] = known[place[place >= 0]]
             if (place < 0).any():
                 cls[place < 0] = np.concatenate(answers)
-            token = cls[at].astype(np.int64)
-            before, after = _pairs(token), np.concatenate([token[1:], [0]])
+            # narrow codes sort faster
+            at = at.astype(np.uint32 if len(u) * 2 * CLASSES < 1 << 32 else np.int64)
+            token = cls.astype(at.dtype)[at]
+            before, after = _pairs(token), np.append(token[1:], np.zeros(1, token.dtype))
             word = u[at] != END
-            code, n = np.unique(np.concatenate([at[word] * 2 * CLASSES + before[word],
-                                                (at[word] * 2 + 1) * CLASSES + after[word]]), return_counts=True)
-            stops = np.searchsorted(code, np.arange(1, len(u) + 1) * 2 * CLASSES)
-            rows = []
+            code, n = np.unique(np.concatenate([at[word] * (2 * CLASSES) + before[word],
+                                                at[word] * (2 * CLASSES) + CLASSES + after[word]]), return_counts=True)
+            code = code.astype(np.int64)
+            rows, lo = [], 0
             for k, p in _by_key(u, keys):  # p is a run of words, as words are in the order of their keys
-                lo, hi = (stops[p[0] - 1] if p[0] else 0), stops[p[-1]]
-                rows.append((k, g, 1, u[p].tobytes(), pack([(code[lo:hi] - int(p[0]) * 2 * CLASSES).astype("<u4").tobytes(),
-                                                            n[lo:hi].astype("<u4").tobytes()])))
+                hi = lo + int(np.searchsorted(code[lo:], (int(p[-1]) + 1) * 2 * CLASSES))
+                step = np.diff(code[lo:hi], prepend=int(p[0]) * 2 * CLASSES)
+                rows.append((k, g, 1, u[p].tobytes(), pack([_planes(step), _planes(n[lo:hi])])))
+                lo = hi
             m = np.bincount(before * CLASSES + token, minlength=CLASSES * CLASSES)
             yield exchange_rows([*rows, (g % keys, g, 2, m.astype("<i8").tobytes(), b"")])
 
     asked = tokens.select("k", "g", "kind", "a", F.lit(b"").alias("b")).mapInArrow(ask, EXCHANGE)
     asked = by_key(asked.unionByName(classes.rows.filter("kind = 0"))).sortWithinPartitions("k", "kind", "g")
-    answered = asked.mapInArrow(_answer(classes.unseen), EXCHANGE).unionByName(tokens)
+    answered = asked.mapInArrow(_answer(classes.unseen, counts=False), EXCHANGE).unionByName(tokens)
     return by_batch(answered).sortWithinPartitions("g", "kind", "k").mapInArrow(finish, EXCHANGE)
 
 
@@ -473,7 +506,8 @@ def move(counts: DataFrame, rows: DataFrame, m: np.ndarray) -> DataFrame:
             codes, weights = [], []
             for _, _, kind, a, b in group:
                 if kind == 1:
-                    code, c = (np.frombuffer(x, "<u4").astype(np.int64) for x in unpack(b))
+                    step, c = map(_from_planes, unpack(b))
+                    code = np.cumsum(step.astype(np.int64))
                     there = np.searchsorted(u, np.frombuffer(a, np.uint64))
                     codes.append(there[code // (2 * CLASSES)] * 2 * CLASSES + code % (2 * CLASSES))
                     weights.append(c)
@@ -533,12 +567,15 @@ def train_classes(train: DataFrame, vocab: DataFrame, keys: int, words: int = WO
 
         classes, counts, m = state(scratch.written(first_classes(vocab, seed, of), "lm-classes"))
         while m.any():
-            new, new_counts, new_m = state(scratch.written(move(counts, classes.rows, m), "lm-classes"))
+            moved = scratch.written(move(counts, classes.rows, m), "lm-classes")
+            scratch.drop(counts)  # before the next ones are counted; if those are no better, no round follows
+            new, counts, new_m = state(moved)
             before, after = information(m), information(new_m)
-            better = after > before
-            scratch.drop(*((counts, classes.rows) if better else (new_counts, new.rows)))
-            if better:
-                classes, counts, m = new, new_counts, new_m
+            if after <= before:
+                scratch.drop(new.rows)
+                break
+            scratch.drop(classes.rows)
+            classes, m = new, new_m
             if not new.moved or after - before < LEAST_GAIN * before:
                 break
         scratch.drop(counts, tokens)
@@ -548,16 +585,14 @@ def train_classes(train: DataFrame, vocab: DataFrame, keys: int, words: int = WO
 def _scan(model: Model, keys: int, names: list[str]):
     def run(batches):
         for g, batch in in_batches(batches, "_text", BATCH):
-            h, sizes = tokens_of(texts_of(batch, "_text"))
-            ends = np.cumsum(sizes)
-            starts = ends - sizes
-            cls = model.of[model.units.of(h)].astype(np.uint8)  # of rare words: replaced by the answer
-            count = model.vocab.look_up(h)
-            known = count >= 0
-            local = np.where(known, np.log10(np.maximum(count, 0) + DELTA), 0.0)
-            rare = np.flatnonzero(~known)
-            u, at = np.unique(h[rare], return_inverse=True)
-            per_doc = np.add.reduceat(~known, starts) if len(sizes) else np.zeros(0)
+            words, at, sizes = distinct_tokens(batch.column("_text"))
+            starts = np.cumsum(sizes) - sizes
+            cls = model.of[model.units.of(words)].astype(np.uint8)[at]  # of rare words: replaced by the answer
+            count = model.vocab.look_up(words)
+            rare = count < 0
+            local = np.where(rare, 0.0, np.log10(np.maximum(count, 0) + DELTA))[at]
+            u, asks = words[rare], rare[at]
+            per_doc = np.add.reduceat(asks, starts, dtype=np.int64) if len(sizes) else np.zeros(0)
             logs = np.add.reduceat(local, starts).astype("<f8").tobytes() if len(sizes) else b""
             # asked words are numbered in the order of (key, hash)
             asked, place, n = [], np.empty(len(u), dtype="<u4"), 0
@@ -565,14 +600,15 @@ def _scan(model: Model, keys: int, names: list[str]):
                 asked.append((k, g, 1, u[p].tobytes(), b""))
                 place[p] = np.arange(n, n + len(p))
                 n += len(p)
-            own = pack([sizes.astype("<i8").tobytes(), cls.tobytes(), np.packbits(~known).tobytes(), logs,
-                        per_doc.astype("<i8").tobytes(), place[at].tobytes()])
+            among = (np.cumsum(rare) - 1)[at[asks]]
+            own = pack([sizes.astype("<i8").tobytes(), cls.tobytes(), np.packbits(asks).tobytes(), logs,
+                        per_doc.astype("<i8").tobytes(), _planes(place[among])])
             yield exchange_rows([*asked, (g % keys, g, 2, pack_rows(batch, names), own)])
     return run
 
 
-def _answer(unseen: np.ndarray):
-    """Counts and classes from the rows of a key (kind 0) for the words that batches ask for (kind 1)."""
+def _answer(unseen: np.ndarray, counts: bool = True):
+    """Classes, and counts if wanted, from the rows of a key (kind 0) for the words that batches ask for (kind 1)."""
     def run(batches):
         key, u, n, cls = None, np.zeros(0, np.uint64), None, None
         for k, g, kind, a, b in rows_sorted(batches):
@@ -588,7 +624,7 @@ def _answer(unseen: np.ndarray):
                 have = at >= 0
                 if have.any():
                     c[have], of[have] = n[at[have]], cls[at[have]]
-                a, b = pack([c.astype("<i8").tobytes(), of.tobytes()]), b""
+                a, b = pack([of.tobytes(), *([c.astype("<i8").tobytes()] if counts else [])]), b""
             yield exchange_rows([(k, g, kind, a, b)])
     return run
 
@@ -600,12 +636,13 @@ def _finish(model: Model, names: list[str]):
             if g != group:
                 group, counts, classes = g, [], []
             if kind == 1:
-                c, of = unpack(a)
+                of, c = unpack(a)
                 counts.append(np.frombuffer(c, "<i8"))
                 classes.append(np.frombuffer(of, np.uint8))
                 continue
-            sizes, cls, asked, local, rare, place = (
-                np.frombuffer(x, t) for x, t in zip(unpack(b), ("<i8", np.uint8, np.uint8, "<f8", "<i8", "<u4")))
+            *own, place = unpack(b)
+            sizes, cls, asked, local, rare = (np.frombuffer(x, t) for x, t in zip(own, ("<i8", np.uint8, np.uint8, "<f8", "<i8")))
+            place = _from_planes(place)
             cls = cls.astype(np.int64)
             found = np.concatenate(counts)[place] if len(place) else np.zeros(0, np.int64)
             if len(place):

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -198,3 +199,53 @@ def test_lm_training_cuts_texts_once_and_leaves_the_classes_only(spark, monkeypa
     assert seen.count("lm-tokens") == 1 and [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["lm-classes"]
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
     assert got.count() == got.count() == 40
+
+
+def test_lm_rounds_drop_neighbour_counts_before_the_next_ones(spark, monkeypatch, tmp_path):
+    """At most one table of neighbour counts, the largest of a round's tables, is stored at a time."""
+    beside, n = [], iter(range(1000))
+
+    def path(_, name):
+        if name == "lm-neighbours":
+            beside.append(len(list(tmp_path.glob("lm-neighbours-*"))))
+        return f"{tmp_path}/{name}-{next(n)}"
+
+    monkeypatch.setattr(classlm, "unique_shared_path", path)
+    docs = spark.createDataFrame([(i, f"one two w{i} three one w{i % 3} two") for i in range(40)], "doc_id long, text string")
+    classlm.lm_scores(docs, F.col("doc_id") % 10 == 0)
+    assert len(beside) > 1 and set(beside) == {0}
+
+
+def test_lm_hashes_a_batch_s_distinct_words_only(monkeypatch):
+    asked = []
+
+    class Counted(classlm.Hashes):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    monkeypatch.setattr(classlm, "_hashes", Counted())
+    h, sizes = classlm.tokens_of([b"a b a b", b"", b"B a"] * 50)
+    assert sorted(asked) == [b"a", b"b"] and sizes.tolist() == [5, 1, 3] * 50 and len(set(h.tolist())) == 3
+
+
+def test_distinct_tokens_are_those_of_plain_splitting():
+    texts = [None, "", "  \t", " A  b\x0bC\x0c", "tail \x1c\x85\xa0x 　y", "ÄÖ äö İ", "a\x00b a", "same same", "\n😀\r\nx " * 9]
+    raw = [t.encode() if t is not None else None for t in texts] + [b"\xff bad\xc3 \xe3\x81 A\xff", b"a"]
+    column = pa.array([b"left out", *raw], pa.binary()).view(pa.string()).slice(1)
+    u, at, sizes = classlm.distinct_tokens(column)
+    want = [[*(int(classlm._hashes[w]) for w in (t or b"").lower().split()), 0] for t in raw]
+    assert u[at].tolist() == [h for t in want for h in t] and sizes.tolist() == [len(t) for t in want]
+    assert u.tolist() == sorted({h for t in want for h in t})
+
+
+@pytest.mark.parametrize("x", [[], [0], [1, 255, 256, 65536, (1 << 32) - 1]])
+def test_planes_round_trip(x):
+    assert classlm._from_planes(classlm._planes(np.array(x, dtype=np.int64))).tolist() == x
+
+
+def test_sum_by_is_exact():
+    u, n = classlm._sum_by([np.array([3, 1, 3]), np.array([], np.int64), np.array([1])],
+                           [np.array([1, 2, 1 << 60]), np.array([], np.int64), np.array([5])])
+    assert u.tolist() == [1, 3] and n.tolist() == [7, (1 << 60) + 1]
+    assert [x.tolist() for x in classlm._sum_by([np.zeros(0, np.uint64)], [np.zeros(0, "<u4")])] == [[], []]
