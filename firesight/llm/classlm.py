@@ -42,32 +42,28 @@ DELTA, ALPHA = 0.1, 0.1
 #: Rounds end when one adds less than this share of the class information.
 LEAST_GAIN = 0.01
 BATCH = 4 << 20
-MEMORY_WORDS = 1 << 19
 #: The end of a text is a token of its own.
 END = np.uint64(0)
 #: Counts are put in bins of an eighth of a power of two to find the dictionary's least count.
 _BINS = 64 * 8
 
 
-class Hashes(dict):
-    """Word -> hash; its lowest bits name the word's ending."""
+class Endings(dict):
+    """The last two bytes of a word -> its ending; at most 65,793 entries."""
 
-    def __init__(self):
-        self.older = {}
+    def __missing__(self, last: bytes) -> int:
+        self[last] = ending = xxhash.xxh32_intdigest(last) % ENDINGS
+        return ending
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMORY_WORDS:
-            self.older = dict(self)
-            self.clear()
-        h = self.older.get(word)
-        if h is None:
-            ending = xxhash.xxh32_intdigest(word[-2:]) % ENDINGS
-            h = ((xxhash.xxh3_64_intdigest(word) | ENDINGS) & ~(ENDINGS - 1)) | ending  # never END
-        self[word] = h
-        return h
 
+_endings = Endings()
 
-_hashes = Hashes()
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    """Hashes of words; the lowest bits name the word's ending."""
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+    ending = np.fromiter([_endings[w[-2:]] for w in words], dtype=np.uint64, count=len(words))
+    return ((h | np.uint64(ENDINGS)) & ~np.uint64(ENDINGS - 1)) | ending  # never END
 
 
 def distinct_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,8 +75,7 @@ def distinct_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     some = np.asarray(pc.binary_length(words)) > 0  # white space at a text's start or end leaves an empty word
     sizes = np.diff(np.concatenate([[0], np.cumsum(some)])[cut - cut[0]]) + 1
     coded = (words if some.all() else words.filter(pa.array(some))).dictionary_encode()
-    h = np.fromiter(map(_hashes.__getitem__, coded.dictionary.cast(pa.binary()).to_pylist()), dtype=np.uint64,
-                    count=len(coded.dictionary))
+    h = hashes_of(coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
     u, place = np.unique(np.append(h, END) if len(texts) else h, return_inverse=True)
     ends = np.cumsum(sizes) - 1
     word = np.ones(int(sizes.sum()), dtype=bool)

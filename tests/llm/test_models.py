@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from firesight.llm import classlm, toxicity
@@ -217,24 +218,25 @@ def test_lm_rounds_drop_neighbour_counts_before_the_next_ones(spark, monkeypatch
 
 
 def test_lm_hashes_a_batch_s_distinct_words_only(monkeypatch):
-    asked = []
-
-    class Counted(classlm.Hashes):
-        def __getitem__(self, word):
-            asked.append(word)
-            return super().__getitem__(word)
-
-    monkeypatch.setattr(classlm, "_hashes", Counted())
+    asked, hashes_of = [], classlm.hashes_of
+    monkeypatch.setattr(classlm, "hashes_of", lambda words: (asked.extend(words), hashes_of(words))[1])
     h, sizes = classlm.tokens_of([b"a b a b", b"", b"B a"] * 50)
     assert sorted(asked) == [b"a", b"b"] and sizes.tolist() == [5, 1, 3] * 50 and len(set(h.tolist())) == 3
 
 
+def test_word_hashes_hold_their_ending():
+    found = [b"a", b"going", b"being", "été".encode(), b"x" * 5000]
+    h = classlm.hashes_of(found).tolist()
+    assert h == [((xxhash.xxh3_64_intdigest(w) | 64) & ~63) | xxhash.xxh32_intdigest(w[-2:]) % 64 for w in found]
+    assert h[1] % 64 == h[2] % 64 and classlm.hashes_of([]).tolist() == []
+
+
 def test_distinct_tokens_are_those_of_plain_splitting():
     texts = [None, "", "  \t", " A  b\x0bC\x0c", "tail \x1c\x85\xa0x 　y", "ÄÖ äö İ", "a\x00b a", "same same", "\n😀\r\nx " * 9]
     raw = [t.encode() if t is not None else None for t in texts] + [b"\xff bad\xc3 \xe3\x81 A\xff", b"a"]
     column = pa.array([b"left out", *raw], pa.binary()).view(pa.string()).slice(1)
     u, at, sizes = classlm.distinct_tokens(column)
-    want = [[*(int(classlm._hashes[w]) for w in (t or b"").lower().split()), 0] for t in raw]
+    want = [[*classlm.hashes_of((t or b"").lower().split()).tolist(), 0] for t in raw]
     assert u[at].tolist() == [h for t in want for h in t] and sizes.tolist() == [len(t) for t in want]
     assert u.tolist() == sorted({h for t in want for h in t})
 
