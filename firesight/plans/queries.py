@@ -4,6 +4,7 @@ whole test tables (the readings view over ``events``)."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -570,19 +571,35 @@ def _streamed(spark, sf, name, which):
     return _sent(spark, parts.select("value", F.spark_partition_id().alias("part")), n_parts, name, which)
 
 
-def _sent(spark, parts, n_parts, name, which, **options):
-    """The stored table after the messages of each part (``value``, ``part``) were sent as a micro-batch."""
+def _sent(spark, parts, n_parts, name, which, runs=None, **options):
+    """The stored table after the messages of each part (``value``, ``part``) were sent as a micro-batch. The stream
+    is stopped and started again after each part, or, with ``runs``, that many times in all."""
     root = unique_shared_path(spark, "stream")
-    # written by part once, so that sending a part reads that part only
-    parts.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("part").parquet(f"{root}/parts")
-    msgs = spark.read.schema("value string, part int").parquet(f"{root}/parts")
-    for p in range(n_parts):
-        (msgs.filter(F.col("part") == p).select("value").write.option("maxRecordsPerFile", FILE_ROWS).mode("append")
-         .text(f"{root}/messages"))
-        start = {"raw": jobs.start_raw, "enrichment": jobs.start_enrichment, "windows": jobs.start_windows}[which]
-        # all files of the part are one micro-batch: rows within it are ordered there, parts come in order
-        jobs.wait_for([start(spark, jobs.read_stream(spark, f"{root}/messages", STREAM_ROWS), f"{root}/tables",
-                             checkpoint=f"{root}/checkpoint", trigger={"availableNow": True}, **options)])
+    # written by part once, so that sending a part is a move of its folder
+    parts.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("part").text(f"{root}/parts")
+    written = set(T.names(spark, f"{root}/parts"))
+    start = {"raw": jobs.start_raw, "enrichment": jobs.start_enrichment, "windows": jobs.start_windows}[which]
+
+    def send(p):
+        """All files of a part at once: they are one micro-batch, rows within it are ordered there, parts come in order."""
+        if f"part={p}" in written:
+            T.move(spark, f"{root}/parts/part={p}", f"{root}/messages-{p}")
+        else:
+            spark.createDataFrame([], "value string").write.text(f"{root}/messages-{p}")
+        T.delete(spark, f"{root}/messages-{p - 2}")  # a restart looks at the last batch's files
+
+    def started(trigger):
+        return start(spark, jobs.read_stream(spark, f"{root}/messages-*", STREAM_ROWS), f"{root}/tables",
+                     checkpoint=f"{root}/checkpoint", trigger=trigger, **options)
+
+    if runs is None:
+        for p in range(n_parts):
+            send(p)
+            jobs.wait_for([started({"availableNow": True})])
+    else:
+        for r in range(runs):
+            jobs.feed(partial(started, {"processingTime": "0 seconds"}),
+                      [partial(send, p) for p in range(r * n_parts // runs, (r + 1) * n_parts // runs)])
     return jobs.read_tables(spark, f"{root}/tables", [name])[name]
 
 
@@ -624,7 +641,8 @@ def q_stream_dedup(spark, sf):
     else:  # indexes with gaps: by rank, so that parts are alike in size wherever they lie
         msgs = msgs.repartitionByRange(parts, F.col("_pos").asc_nulls_last())
         part = F.spark_partition_id()
-    return _sent(spark, msgs.select("value", part.alias("part")), parts, "processed_readings", "enrichment", dedup=DEDUP_DELAY)
+    return _sent(spark, msgs.select("value", part.alias("part")), parts, "processed_readings", "enrichment",
+                 runs=STREAM_FILES, dedup=DEDUP_DELAY)
 
 
 @register("stream_late_rows")

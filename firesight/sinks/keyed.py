@@ -271,8 +271,9 @@ def _write_base(spark: SparkSession, rows: DataFrame, target: str, last: int, mo
         rows.hint("rebalance").write.parquet(path)
         return Part(path, 0, last, spark.read.parquet(path).count())
     buckets = _buckets(most, bucket_rows)
-    (rows.repartition(buckets, KEY).write.format("parquet").bucketBy(buckets, KEY).sortBy(KEY).option("path", path)
-     .saveAsTable(f"firesight_base_{name}"))
+    # the rows come in the partitions of ``_merged``, by key in a power of two no larger than ``buckets``: each writes
+    # buckets of its own, once the old rows and once the newer ones, without another exchange
+    rows.write.format("parquet").bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(f"firesight_base_{name}")
     return Part(path, 0, last, spark.read.parquet(path).count(), buckets)
 
 

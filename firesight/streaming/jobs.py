@@ -19,7 +19,7 @@ Each query has its own checkpoint under the shared checkpoint folder.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import partial
@@ -27,6 +27,7 @@ from functools import partial
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from firesight.functions.columns import clean, order_value, parse_ts
 from firesight.operators.enrich import enrich_columns, finish, fire_events
@@ -47,8 +48,11 @@ STREAM_PARTITIONS = 12
 
 
 def configure_state_store(spark: SparkSession) -> None:
-    """transformWithState needs the RocksDB provider; set it before a first start."""
+    """transformWithState needs the RocksDB provider; set it before a first start. A batch commits what it changed
+    (snapshots follow beside the stream), and a key isn't looked up again when it is written, only to count keys."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
 
 
 @contextmanager
@@ -115,9 +119,11 @@ def deduplicated(decoded: DataFrame, delay: str) -> DataFrame:
     readable time have no place in event time and pass unchecked.
     """
     timed = decoded.withColumn("_event", parse_ts(F.col("ingest_ts")).cast("timestamp"))
-    seen = (timed.filter("_event is not null").withWatermark("_event", delay)
-            .dropDuplicatesWithinWatermark([*READING_KEY, "ingest_ts"]))
-    return seen.drop("_event").unionByName(timed.filter("_event is null").drop("_event"))
+    # a null time is never below the watermark; with a key of their own these readings pass the same way as the
+    # others, so the messages are read and parsed once
+    told = F.when(F.col("_event").isNull(), F.uuid()).otherwise(F.col("ingest_ts"))
+    return (timed.withColumn("_told", told).withWatermark("_event", delay)
+            .dropDuplicatesWithinWatermark([*READING_KEY, "_told"]).drop("_event", "_told"))
 
 
 def running_totals(batch: DataFrame) -> DataFrame:
@@ -151,25 +157,31 @@ def _at_once(spark: SparkSession, sinks: list[Callable[[], None]]) -> None:
 
 def fan_out(root: str, spec: SensorSpec = DEFAULT_SPEC, every: int = T.EVERY):
     """T5: one materialised micro-batch feeding several keyed tables, each merged after ``every`` batches."""
+    def tables(spark: SparkSession, batch: DataFrame, batch_id: int) -> list[tuple]:
+        rows = batch.drop(TOTALS)
+        events = fire_events(rows)
+        totals = running_totals(batch)
+        running = totals.select("node_id", "total_processed", *[c for c in totals.columns if c.startswith("running_")])
+        counters = enrichment_counts(rows.withColumn("stream_batch", F.lit(int(batch_id)).cast("long")), "stream_batch")
+        return [(rows, "processed_readings", READING_KEY, order_value(rows)),
+                (events, "fire_events", READING_KEY, order_value(events)),
+                (T.alerts(events), "alerts", (), None),
+                (running, "cumulative", NODE_KEY, None),
+                (counters, "batch_counters", (), None),
+                (live_status(spark, batch, spec), "node_status", NODE_KEY, None)]
+
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
-            # every partition of the state is updated here, once, before the sinks share the rows
-            empty = not batch.count()  # as after each advance of the watermark
-            rows = batch.drop(TOTALS)
-            events = fire_events(rows)
-            totals = running_totals(batch)
-            running = totals.select("node_id", "total_processed", *[c for c in totals.columns if c.startswith("running_")])
-            counters = enrichment_counts(rows.withColumn("stream_batch", F.lit(int(batch_id)).cast("long")), "stream_batch")
-            tables = [(rows, "processed_readings", READING_KEY, order_value(rows)),
-                      (events, "fire_events", READING_KEY, order_value(events)),
-                      (T.alerts(events), "alerts", (), None),
-                      (running, "cumulative", NODE_KEY, None),
-                      (counters, "batch_counters", (), None),
-                      (live_status(spark, batch, spec), "node_status", NODE_KEY, None)]
+            with ThreadPoolExecutor(1) as pool:
+                # every partition of the state is updated here, once, before the sinks share the rows; their plans are
+                # made meanwhile
+                counted = pool.submit(inheritable_thread_target(spark)(batch.count))
+                sinks = tables(spark, batch, batch_id)
+                empty = not counted.result()  # as after each advance of the watermark
             _at_once(spark, [partial(T.store, df, f"{root}/{name}", batch_id, keys, order, every, empty)
-                             for df, name, keys, order in tables])
+                             for df, name, keys, order in sinks])
         finally:
             batch.unpersist()
     return run
@@ -280,6 +292,20 @@ def wait_for(running: list) -> list:
     return running
 
 
+def feed(start: Callable[[], StreamingQuery], sends: Iterable[Callable[[], None]]) -> None:
+    """One run of a query over what each of ``sends`` adds to its source, all of one before the next is sent (with the
+    batch that advances the watermark, if there is one). It starts after the first; a failure is raised."""
+    query = None
+    try:
+        for send in sends:
+            send()
+            query = query or start()
+            query.processAllAvailable()
+    finally:
+        if query:
+            query.stop()
+
+
 # T2 ---------------------------------------------------------------------------
 PROGRESS = "query string, batch long, input_rows long, late_rows long, watermark string"
 

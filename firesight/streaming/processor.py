@@ -76,10 +76,11 @@ def add_totals(pdf: pd.DataFrame, totals: dict, spec: SensorSpec = DEFAULT_SPEC)
 def with_totals(pdf: pd.DataFrame, totals: dict | None) -> pd.DataFrame:
     """The totals' columns: null, but on the last row if ``totals`` are given."""
     for f in totals_schema():
-        values = [None] * len(pdf)
-        if totals is not None:
-            values[-1] = totals[f.name]
-        pdf[f"{TOTALS}_{f.name}"] = pd.array(values, dtype="Int64" if f.dataType == T.LongType() else "Float64")
+        whole = f.dataType == T.LongType()
+        values, missing = np.zeros(len(pdf), "int64" if whole else "float64"), np.ones(len(pdf), bool)
+        if totals is not None and totals[f.name] is not None:
+            values[-1], missing[-1] = totals[f.name], False
+        pdf[f"{TOTALS}_{f.name}"] = (pd.arrays.IntegerArray if whole else pd.arrays.FloatingArray)(values, missing)
     return pdf
 
 
@@ -147,6 +148,8 @@ def score_frame(pdf: pd.DataFrame, state: dict, spec: SensorSpec = DEFAULT_SPEC)
 
 def order_rows(pdf: pd.DataFrame) -> pd.DataFrame:
     key = pdf["reading_index"].fillna(0).astype("int64")
+    if key.is_unique:  # times decide nothing
+        return pdf.iloc[np.argsort(key.to_numpy())]
     return pdf.assign(_ord=key).sort_values(["_ord", "ingest_ts"], kind="stable").drop(columns="_ord")
 
 
